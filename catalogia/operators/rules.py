@@ -1,8 +1,8 @@
 """Classification: one ordered waterfall of conditions, first match wins.
 
-Everything is a column expression over an item row that carries the dictionaries of
-its profile.  Facts that several rules ask for are projected once; facts only later
-rules need stay null for rows that rule 0 already settles.
+Everything is a SQL condition over an item row that carries the dictionaries of its
+profile in ``_p``.  Facts that several rules ask for are projected once; facts that only
+later rules need stay null for rows that rule 0 already settles.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catalogia import fixed_values as V
-from catalogia.functions import contains_any, duration_seconds, title, title_lc, who
+from catalogia.functions import duration_seconds, title, title_lc, who
 from catalogia.operators.profiles import DICTIONARY, with_dictionary
 
 _RESULT = ["category", "classification_reason"]
@@ -21,176 +21,153 @@ _CATEGORY_OF_RULE = {
 }
 
 
-def _p(name: str) -> Column:
-    return F.col(f"{DICTIONARY}.{name}")
+def has(terms: str, text: str = "_t") -> str:
+    """SQL: some dictionary entry is a substring of the text."""
+    return f"exists({DICTIONARY}.{terms}, x -> contains({text}, x))"
 
 
-def _words(text: Column, terms: Column) -> Column:
-    """Java's ``\\b`` has no reliable sense for CJK text, so letters and digits decide."""
-    return F.exists(terms, lambda t: F.rlike(text, F.concat(
-        F.lit(r"(?<![\p{L}\p{N}])\Q"), t, F.lit(r"\E(?![\p{L}\p{N}])")
-    )))
+def has_word(terms: str, text: str) -> str:
+    """SQL: like ``has``, but the entry must not touch a letter or digit."""
+    bounded = r"concat(r'(?<![\p{L}\p{N}])\Q', x, r'\E(?![\p{L}\p{N}])')"
+    return f"exists({DICTIONARY}.{terms}, x -> rlike({text}, {bounded}))"
 
 
-def _facts(word_boundary: bool) -> dict[str, Column]:
+def matches(pattern: str, text: str = "_t_lc") -> str:
+    return f"rlike({text}, r'{pattern}')"
+
+
+def _first_of(*rules: tuple[str, str]) -> str:
+    """SQL: reason of the first condition that holds."""
+    branches = " ".join(f"when {condition} then '{reason}'" for reason, condition in rules)
+    return f"case {branches} end"
+
+
+def _facts(word_boundary: bool) -> dict[str, str]:
     """Facts every row needs for rule 0."""
-    t, t_lc, w, w_lc = (F.col(c) for c in ("_t", "_t_lc", "_who", "_who_lc"))
-    blacklisted = _words if word_boundary else contains_any
+    listed = has_word if word_boundary else has
     return {
-        "_artist": contains_any(t_lc, _p("names_lc")),
-        "_group": contains_any(t_lc, _p("group_lc")),
-        "_official": F.array_contains(_p("official"), w),
-        "_wrong": contains_any(t_lc, _p("wrong_context")),
-        "_western": blacklisted(t_lc, _p("western_lc")) | blacklisted(w_lc, _p("western_lc")),
-        "_chinese": blacklisted(t, _p("chinese")) | blacklisted(w, _p("chinese")),
-        "_track": contains_any(t, _p("tracks")),
-        "_ost": contains_any(t, _p("ost_names")),
-        "_show": contains_any(t, _p("shows")),
-        "_concert": contains_any(t_lc, _p("concerts_lc")) | contains_any(t, _p("concerts")),
-        "_group_track": contains_any(t_lc, _p("group_mvs_lc")),
+        "_artist": has("names_lc", "_t_lc"),
+        "_group": has("group_lc", "_t_lc"),
+        "_official": f"array_contains({DICTIONARY}.official, _who)",
+        "_wrong": has("wrong_context", "_t_lc"),
+        "_western": f"{listed('western_lc', '_t_lc')} or {listed('western_lc', '_who_lc')}",
+        "_chinese": f"{listed('chinese', '_t')} or {listed('chinese', '_who')}",
+        "_track": has("tracks"),
+        "_ost": has("ost_names"),
+        "_show": has("shows"),
+        "_concert": f"{has('concerts_lc', '_t_lc')} or {has('concerts')}",
+        "_group_track": has("group_mvs_lc", "_t_lc"),
     }
 
 
-def _blacklist() -> Column:
-    known = (
-        F.col("_official") | F.col("_artist") | F.col("_group") | F.col("_track")
-        | F.col("_concert") | F.col("_ost") | F.col("_show") | F.col("_group_track")
-        | contains_any(F.col("_t"), _p("collab_songs")) | contains_any(F.col("_t"), _p("venues"))
-    )
-    return (
-        F.when(F.col("_wrong"), "rule0_wrong_context")
-        .when(~F.col("_artist") & F.col("_western"), "rule0_western_blacklist")
-        .when(~F.col("_artist") & F.col("_chinese"), "rule0_chinese_blacklist")
-        .when(~known, "rule0_artist_not_primary")
-    )
-
-
-def _later_facts() -> dict[str, Column]:
-    """Facts of the rules after rule 0, null where rule 0 has matched."""
-    t, t_lc = F.col("_t"), F.col("_t_lc")
-    other = (
-        F.rlike(t_lc, F.lit(V.OTHER_CONCERT)) | contains_any(t_lc, _p("concerts_lc"))
-        | F.col("_show") | F.rlike(t_lc, F.lit(V.OTHER_GALA))
-        | F.rlike(t_lc, F.lit(V.OTHER_INTERVIEW)) | F.rlike(t_lc, F.lit(V.OTHER_COLLAB))
-        | F.exists(_p("collabs"), lambda c: F.contains(t, c["name"]))
-    )
+_KNOWN = (
+    "_official or _artist or _group or _track or _concert or _ost or _show or _group_track or "
+    f"{has('collab_songs')} or {has('venues')}"
+)
+_RULE0 = _first_of(
+    ("rule0_wrong_context", "_wrong"),
+    ("rule0_western_blacklist", "not _artist and _western"),
+    ("rule0_chinese_blacklist", "not _artist and _chinese"),
+    ("rule0_artist_not_primary", f"not ({_KNOWN})"),
+)
+
+_SONG = "(_track or _ost or _group_track)"
+_LATER_FACTS = {
+    "_live": matches(V.LIVE),
+    "_mv": matches(V.MV),
+    # Signs of a category other than a music video.
+    "_other": " or ".join([
+        matches(V.OTHER_CONCERT), has("concerts_lc", "_t_lc"), "_show", matches(V.OTHER_GALA),
+        matches(V.OTHER_INTERVIEW), matches(V.OTHER_COLLAB),
+        f"exists({DICTIONARY}.collabs, c -> contains(_t, c.name))",
+    ]),
     # A known track outside the film or drama that also uses it.
-    solo = F.exists(_p("solo"), lambda s: F.contains(t, s.track) & ~F.exists(
-        s.sources, lambda src: F.contains(t, src)
-    ))
-    distinct_songs = (
-        F.size(F.filter(_p("tracks"), lambda x: F.contains(t, x)))
-        + F.size(F.filter(_p("ost_names"), lambda x: F.contains(t, x)))
-    )
-    any_song = F.col("_track") | F.col("_ost") | F.col("_group_track")
-    performance = ~F.col("_show") & (
-        (any_song & F.col("_concert"))
-        | (any_song & F.rlike(t_lc, F.lit(V.SONG_LIVE))
-           & ~F.rlike(t_lc, F.lit(V.SONG_INTERVIEW_FRAME)))
-        | (distinct_songs >= 2)
-    )
-    facts = {
-        "_live": F.rlike(t_lc, F.lit(V.LIVE)),
-        "_mv": F.rlike(t_lc, F.lit(V.MV)),
-        "_other": other,
-        "_solo": F.when(F.col("_track"), solo).otherwise(False),
-        "_performance": performance,
-        "_either": F.col("_artist") | F.col("_group"),
-    }
-    return {name: F.when(F.col("_rule0").isNull(), fact) for name, fact in facts.items()}
+    "_solo": f"_track and exists({DICTIONARY}.solo, s -> contains(_t, s.track) "
+             "and not exists(s.sources, x -> contains(_t, x)))",
+    # A song performance rather than a show or an interview.
+    "_performance": f"not _show and (({_SONG} and _concert) or ({_SONG} and "
+                    f"{matches(V.SONG_LIVE)} and not {matches(V.SONG_INTERVIEW_FRAME)}) or "
+                    f"size(filter({DICTIONARY}.tracks, x -> contains(_t, x))) + "
+                    f"size(filter({DICTIONARY}.ost_names, x -> contains(_t, x))) >= 2)",
+    "_either": "_artist or _group",
+}
 
 
-def _collab_reason() -> Column:
-    """Reason of the first collaborator, in profile order, that matches either way."""
-    t, t_lc = F.col("_t"), F.col("_t_lc")
-    pattern = F.rlike(t_lc, F.lit(V.COLLAB_MARKER)) & F.col("_artist")
-    named = F.filter(
-        _p("collabs"), lambda c: F.contains(t, c["name"]) | F.contains(t_lc, c.name_lc)
-    )
-    reasons = F.transform(named, lambda c: F.when(
-        F.exists(c.songs, lambda s: F.contains(t, s)), "rule4_collab_known_song"
-    ).when(pattern, "rule4_collab_pattern"))
-    return F.get(F.filter(reasons, lambda r: r.isNotNull()), F.lit(0))
-
-
-def _reason() -> Column:
-    t, t_lc = F.col("_t"), F.col("_t_lc")
-    artist, group, live, mv, other, solo, show, either = (
-        F.col(c) for c in (
-            "_artist", "_group", "_live", "_mv", "_other", "_solo", "_show", "_either",
-        )
+def _ost(condition: str) -> str:
+    return f"exists({DICTIONARY}.ost, o -> contains(_t, o.name) and {condition})"
+
+
+_RULE1 = f"if(_group, null, {_first_of(
+    ('rule1_official_mv', f'_official and {matches(V.OFFICIAL_MV)}'),
+    ('rule1_known_track_mv', 'not _live and _mv and _solo'),
+    ('rule1_known_track_broad', 'not _live and not _other and _artist and _solo'),
+)})"
+_RULE2 = f"if({DICTIONARY}.has_group and not _live, {_first_of(
+    ('rule2_she_mv', '_group and _mv'),
+    ('rule2_she_known_track_mv', '_group_track and _mv'),
+    ('rule2_she_known_track_broad', 'not _other and _group and _group_track'),
+)}, null)"
+_RULE3 = _first_of(
+    ("rule3_ost_with_source",
+     f"not _live and _ost and {_ost("o.source <> '' and contains(_t, o.source)")}"),
+    ("rule3_ost_official", f"not _live and _ost and {matches(V.OST_MARKER)} and " + _ost(
+        "not (o.also_track and o.source <> '' and not contains(_t, o.source))"
+    )),
+    ("rule3_variety_single", f"{matches(V.SINGLE_MARKER)} and {has('variety_singles')}"),
+    ("rule3_ost_broad", f"not _live and _ost and _artist and {_ost('not o.also_track')}"),
+)
+# Reason of the first collaborator, in profile order, that matches either way.
+_NAMED = (
+    f"filter({DICTIONARY}.collabs, c -> contains(_t, c.name) or contains(_t_lc, c.name_lc))"
+)
+_COLLAB_REASONS = f"transform({_NAMED}, c -> {_first_of(
+    ('rule4_collab_known_song', 'exists(c.songs, x -> contains(_t, x))'),
+    ('rule4_collab_pattern', f'_artist and {matches(V.COLLAB_MARKER)}'),
+)})"
+_RULE4 = f"get(filter({_COLLAB_REASONS}, r -> r is not null), 0)"
+_RULE5 = _first_of(
+    ("rule5_known_concert", "_concert"),
+    ("rule5_she_concert", has("group_concerts_short")),
+    ("rule5_concert_keyword", f"_either and {matches(V.CONCERT_KEYWORD)}"),
+    ("rule5_long_live", f"_seconds > {V.LONG_LIVE_SECONDS} and _artist and not _show "
+                        f"and {matches(V.LONG_LIVE)}"),
+    ("rule5_venue", f"_either and {matches(V.VENUE_LIVE)} and {has('venues')}"),
+)
+_ONLY_TALK = f"({matches(V.SHOW_INTERVIEW)} and not {matches(V.SHOW_PERFORMANCE)})"
+_RULE6 = f"case when _performance then null when _show then if({_ONLY_TALK}, null, " + (
+    f"'rule6_known_show') else {_first_of(
+        ('rule6_tv_network',
+         f"_either and ({has('networks', '_who')} or {has('networks')})"),
+        ('rule6_award_gala', f'_either and {matches(V.GALA)}'),
+        ('rule6_episode_pattern', f"_either and {matches(V.EPISODE_RAW_TITLE, '_t')}"),
+    )} end"
+)
+_RULE7 = f"if(_performance, null, {_first_of(
+    ('rule7_interview_keyword', matches(V.INTERVIEW_KEYWORD)),
+    ('rule7_behind_scenes', matches(V.BEHIND_SCENES)),
+    ('rule7_news', f'_artist and {matches(V.NEWS)}'),
+    ('rule7_media_channel', f"_either and {has('media', '_who')}"),
+)})"
+_REASON = "coalesce(" + ", ".join([
+    "_rule0", _RULE1, _RULE2, _RULE3, _RULE4, _RULE5, _RULE6, _RULE7, "'no_rule_match'",
+]) + ")"
+
+
+def category_of(reason: str) -> Column:
+    branches = " ".join(
+        f"when '{rule}' then '{category}'" for rule, category in _CATEGORY_OF_RULE.items()
     )
+    return F.expr(f"case left({reason}, 5) {branches} else '{V.UNCLASSIFIED}' end")
 
-    def title_is(pattern):
-        return F.rlike(t_lc, F.lit(pattern))
-
-    rule1 = F.when(~group, (
-        F.when(F.col("_official") & title_is(V.OFFICIAL_MV), "rule1_official_mv")
-        .when(~live & mv & solo, "rule1_known_track_mv")
-        .when(~live & ~other & artist & solo, "rule1_known_track_broad")
-    ))
-    rule2 = F.when(_p("has_group") & ~live, (
-        F.when(group & mv, "rule2_she_mv")
-        .when(F.col("_group_track") & mv, "rule2_she_known_track_mv")
-        .when(~other & group & F.col("_group_track"), "rule2_she_known_track_broad")
-    ))
-    with_source = F.exists(_p("ost"), lambda o: (
-        (o.source != "") & F.contains(t, o["name"]) & F.contains(t, o.source)
-    ))
-    released = F.exists(_p("ost"), lambda o: F.contains(t, o["name"]) & ~(
-        o.also_track & (o.source != "") & ~F.contains(t, o.source)
-    ))
-    only_single = F.exists(_p("ost"), lambda o: F.contains(t, o["name"]) & ~o.also_track)
-    rule3 = (
-        F.when(~live & F.col("_ost") & with_source, "rule3_ost_with_source")
-        .when(~live & F.col("_ost") & title_is(V.OST_MARKER) & released, "rule3_ost_official")
-        .when(
-            title_is(V.SINGLE_MARKER) & contains_any(t, _p("variety_singles")),
-            "rule3_variety_single",
-        )
-        .when(~live & F.col("_ost") & artist & only_single, "rule3_ost_broad")
-    )
-    long_enough = duration_seconds(F.col("duration")) > V.LONG_LIVE_SECONDS
-    rule5 = (
-        F.when(F.col("_concert"), "rule5_known_concert")
-        .when(contains_any(t, _p("group_concerts_short")), "rule5_she_concert")
-        .when(title_is(V.CONCERT_KEYWORD) & either, "rule5_concert_keyword")
-        .when(long_enough & title_is(V.LONG_LIVE) & artist & ~show, "rule5_long_live")
-        .when(
-            either & title_is(V.VENUE_LIVE) & contains_any(t, _p("venues")), "rule5_venue"
-        )
-    )
-    on_network = F.exists(
-        _p("networks"), lambda n: F.contains(F.col("_who"), n) | F.contains(t, n)
-    )
-    rule6 = F.when(~F.col("_performance"), (
-        F.when(
-            show,
-            F.when(
-                ~(title_is(V.SHOW_INTERVIEW) & ~title_is(V.SHOW_PERFORMANCE)), "rule6_known_show"
-            ),
-        )
-        .when(either & on_network, "rule6_tv_network")
-        .when(either & title_is(V.GALA), "rule6_award_gala")
-        .when(either & F.rlike(t, F.lit(V.EPISODE_RAW_TITLE)), "rule6_episode_pattern")
-    ))
-    rule7 = F.when(~F.col("_performance"), (
-        F.when(title_is(V.INTERVIEW_KEYWORD), "rule7_interview_keyword")
-        .when(title_is(V.BEHIND_SCENES), "rule7_behind_scenes")
-        .when(title_is(V.NEWS) & artist, "rule7_news")
-        .when(either & contains_any(F.col("_who"), _p("media")), "rule7_media_channel")
-    ))
-    return F.coalesce(
-        F.col("_rule0"), rule1, rule2, rule3, _collab_reason(), rule5, rule6, rule7,
-        F.lit("no_rule_match"),
-    )
 
+def settle(df: DataFrame, kept: list[str], **results: Column) -> DataFrame:
+    """``kept`` columns plus ``results``, each computed once per row.
 
-def category_of(reason: Column) -> Column:
-    chosen = F.lit(V.UNCLASSIFIED)
-    for rule, category in _CATEGORY_OF_RULE.items():
-        chosen = F.when(reason.startswith(rule), category).otherwise(chosen)
-    return chosen
+    The results come out of a one-row ``inline``.  A later filter on them is applied to
+    the values instead of being rewritten in terms of every condition behind them.
+    """
+    row = F.struct(*[value.alias(name) for name, value in results.items()])
+    return df.select(*kept, F.inline(F.array(row)))
 
 
 def classify(
@@ -199,13 +176,17 @@ def classify(
 ) -> DataFrame:
     """Items plus ``category`` and ``classification_reason``."""
     kept = [c for c in items.columns if c not in (*_RESULT, DICTIONARY)]
-    base = with_dictionary(items, profiles, **lists).drop(*_RESULT)
-    base = base.withColumns({"_t": title(), "_t_lc": title_lc(), "_who": who()})
-    base = base.withColumns({"_who_lc": F.lower("_who")})
-    base = base.withColumns(_facts(word_boundary)).withColumn("_rule0", _blacklist())
-    reasoned = base.withColumns(_later_facts()).withColumn("classification_reason", _reason())
-    extra = [DICTIONARY] if keep_dictionary else []
-    return reasoned.select(
-        *kept, category_of(F.col("classification_reason")).alias("category"),
-        "classification_reason", *extra,
+    named = with_dictionary(items, profiles, **lists).select(
+        *kept, DICTIONARY, title().alias("_t"), title_lc().alias("_t_lc"), who().alias("_who"),
+        F.lower(who()).alias("_who_lc"), duration_seconds(F.col("duration")).alias("_seconds"),
+    )
+    facts = {name: F.expr(sql) for name, sql in _facts(word_boundary).items()}
+    later = {name: F.expr(f"if(_rule0 is null, {sql}, null)") for name, sql in _LATER_FACTS.items()}
+    reasoned = (
+        named.withColumns(facts).withColumn("_rule0", F.expr(_RULE0)).withColumns(later)
+        .withColumn("_reason", F.expr(_REASON))
+    )
+    return settle(
+        reasoned, [*kept, DICTIONARY] if keep_dictionary else kept,
+        category=category_of("_reason"), classification_reason=F.col("_reason"),
     )

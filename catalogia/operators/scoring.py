@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catalogia import fixed_values as V
-from catalogia.functions import contains_any, duration_seconds, title_lc, views, who
+from catalogia.functions import duration_seconds, title_lc, views, who
 from catalogia.functions.display import fixed
 from catalogia.operators.profiles import DICTIONARY, with_dictionary
+from catalogia.operators.rules import has, matches, settle
 
 
 def _p(name: str) -> Column:
@@ -62,46 +63,48 @@ def signal_view_count(count: Column) -> Column:
     )
 
 
-def signal_title_match(category: Column) -> Column:
-    t = title_lc()
-
-    def title_is(pattern):
-        return F.rlike(t, F.lit(pattern))
-
-    in_group = contains_any(t, _p("group_lc"))
-    ladders = {
-        "personal_mv": F.when(title_is(V.OFFICIAL_MV), 1.0).when(title_is(V.SCORE_MV_WORD), 0.8)
-        .when(contains_any(t, _p("tracks_lc")), 0.6),
-        "group_mv": F.when(in_group & title_is(V.SCORE_MV_WORD), 1.0)
-        .when(in_group | title_is(V.SCORE_MV_WORD), 0.6),
-        "concerts": F.when(title_is(V.CONCERT_KEYWORD), 1.0)
-        .when(title_is(V.SCORE_CONCERT_LIVE), 0.7),
-        "variety": F.when(contains_any(t, _p("shows_lc")), 1.0).when(title_is(V.SCORE_GALA), 0.8),
-        "interviews": F.when(title_is(V.INTERVIEW_KEYWORD), 1.0)
-        .when(title_is(V.SCORE_BEHIND), 0.8),
-        "ost_singles": F.when(contains_any(t, _p("ost_names_lc")), 0.9)
-        .when(title_is(V.SCORE_OST), 0.8),
-        "collabs": F.when(title_is(V.SCORE_COLLAB), 1.0)
-        .when(F.exists(_p("collabs"), lambda c: F.contains(t, c.name_lc)), 0.8),
-    }
-    match = F.lit(0.5)
-    for name, ladder in ladders.items():
-        match = F.when(category == name, ladder.otherwise(0.3)).otherwise(match)
-    return match
+_IN_GROUP = has("group_lc", "_t_lc")
+_MV_WORD = matches(V.SCORE_MV_WORD)
+# Per category: conditions on the title from strong to weak, else 0.3.
+_TITLE_LADDERS = {
+    "personal_mv": [
+        (1.0, matches(V.OFFICIAL_MV)), (0.8, _MV_WORD), (0.6, has("tracks_lc", "_t_lc")),
+    ],
+    "group_mv": [(1.0, f"{_IN_GROUP} and {_MV_WORD}"), (0.6, f"{_IN_GROUP} or {_MV_WORD}")],
+    "concerts": [(1.0, matches(V.CONCERT_KEYWORD)), (0.7, matches(V.SCORE_CONCERT_LIVE))],
+    "variety": [(1.0, has("shows_lc", "_t_lc")), (0.8, matches(V.SCORE_GALA))],
+    "interviews": [(1.0, matches(V.INTERVIEW_KEYWORD)), (0.8, matches(V.SCORE_BEHIND))],
+    "ost_singles": [(0.9, has("ost_names_lc", "_t_lc")), (0.8, matches(V.SCORE_OST))],
+    "collabs": [
+        (1.0, matches(V.SCORE_COLLAB)),
+        (0.8, f"exists({DICTIONARY}.collabs, c -> contains(_t_lc, c.name_lc))"),
+    ],
+}
+
+
+def signal_title_match() -> Column:
+    """Needs ``category`` and the lower-cased title as ``_t_lc``."""
+    ladders = ""
+    for category, steps in _TITLE_LADDERS.items():
+        ladder = " ".join(f"when {condition} then {value}D" for value, condition in steps)
+        ladders += f" when '{category}' then case {ladder} else 0.3D end"
+    return F.expr(f"case category{ladders} else 0.5D end")
 
 
 def score(items: DataFrame, profiles: DataFrame, keep_dictionary=False) -> DataFrame:
     """Items plus ``confidence`` and ``confidence_signals``; needs category and reason."""
     results = ("confidence", "confidence_signals")
     kept = [c for c in items.columns if c not in (*results, DICTIONARY)]
-    base = with_dictionary(items, profiles).drop(*results)
+    base = with_dictionary(items, profiles).drop(*results).withColumns({
+        "_t_lc": title_lc(), "_seconds": duration_seconds(F.col("duration")),
+    })
     category, discard = F.col("category"), F.col("category") == V.DISCARD
     signals = {
         "rule_strength": signal_rule_strength(F.col("classification_reason")),
         "source_reliability": signal_source_reliability(),
-        "duration_fit": signal_duration_fit(duration_seconds(F.col("duration")), category),
+        "duration_fit": signal_duration_fit(F.col("_seconds"), category),
         "view_count": signal_view_count(views()),
-        "title_match": signal_title_match(category),
+        "title_match": signal_title_match(),
     }
     # Discards are judged by the rule alone; their other signals are never computed.
     base = base.withColumns({
@@ -118,10 +121,8 @@ def score(items: DataFrame, profiles: DataFrame, keep_dictionary=False) -> DataF
         F.array(*[F.lit(n) for n in signals]), F.array(*[F.col(f"_s_{n}") for n in signals])
     )
     only_rule = F.create_map(F.lit("rule_strength"), F.col("_s_rule_strength"))
-    extra = [DICTIONARY] if keep_dictionary else []
-    return base.select(
-        *kept,
-        F.when(discard, F.col("_s_rule_strength")).otherwise(F.round(mean, 3)).alias("confidence"),
-        F.when(discard, only_rule).otherwise(everything).alias("confidence_signals"),
-        *extra,
+    return settle(
+        base, [*kept, DICTIONARY] if keep_dictionary else kept,
+        confidence=F.when(discard, F.col("_s_rule_strength")).otherwise(F.round(mean, 3)),
+        confidence_signals=F.when(discard, only_rule).otherwise(everything),
     )
