@@ -14,22 +14,6 @@ def _list(path: str, kind: str = "array<string>") -> Column:
     return F.coalesce(F.col(path), F.array().cast(kind))
 
 
-def _known(values: Column) -> Column:
-    return F.array_distinct(F.filter(values, lambda v: v.isNotNull()))
-
-
-def _lower(values: Column) -> Column:
-    return F.array_distinct(F.transform(values, F.lower))
-
-
-def _literals(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
-def _text(value: Column) -> Column:
-    return F.coalesce(value, F.lit(""))
-
-
 def dims(profiles: DataFrame) -> dict[str, DataFrame]:
     """Every list of the profile document as its own table, with positions."""
 
@@ -109,6 +93,75 @@ def dims(profiles: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _sql_list(values: list[str]) -> str:
+    return "array(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in values) + ")"
+
+
+_NONE = "cast(array() as array<string>)"
+
+
+def _all(*lists: str) -> str:
+    """SQL: distinct non-null elements of several lists, null lists skipped."""
+    joined = ", ".join(f"coalesce({one}, {_NONE})" for one in lists)
+    return f"array_distinct(filter(concat({joined}), v -> v is not null))"
+
+
+def _folded(values: str) -> str:
+    return f"array_distinct(transform({values}, v -> lower(v)))"
+
+
+def _dictionaries(venues: list[str], media: list[str]) -> list[tuple[str, str]]:
+    """Dictionary name and SQL, in dependency order; later ones may use earlier ones."""
+    short = "c.name"
+    for prefix in V.GROUP_CONCERT_PREFIXES:
+        short = f"replace({short}, '{prefix}', '')"
+    collab_names = f"transform(d.collaborators, c -> concat(array(c.name), coalesce(c.aliases, {_NONE})))"
+    # Songs of a name: those of the last collaborator that has it.
+    holders = "filter(d.collaborators, c -> c.name = n or coalesce(array_contains(c.aliases, n), false))"
+    return [
+        ("names", _all("array(artist.names.primary, artist.names.english)", "artist.names.aliases")),
+        ("names_lc", _folded("names")),
+        ("has_group", "group is not null"),
+        ("group_lc", f"if(group is null, {_NONE}, {_folded(_all('array(group.name)', 'group.aliases'))})"),
+        ("official", f"coalesce(artist.official_channels, {_NONE})"),
+        ("labels", f"coalesce(artist.labels, {_NONE})"),
+        ("tracks", _all("flatten(transform(d.solo_albums, a -> coalesce(a.tracks, " + _NONE + ")))")),
+        ("tracks_lc", _folded("tracks")),
+        # Every track with the sources under which it also is a single.
+        ("solo", "transform(tracks, t -> struct(t as track, transform(filter(d.ost_singles, "
+                 "o -> o.name = t and coalesce(o.source, '') <> ''), o -> o.source) as sources))"),
+        ("ost", "transform(d.ost_singles, o -> struct(o.name as name, coalesce(o.source, '') as source, "
+                "array_contains(tracks, o.name) as also_track))"),
+        ("ost_names", _all("transform(d.ost_singles, o -> o.name)")),
+        ("ost_names_lc", _folded("ost_names")),
+        ("variety_singles", _all("transform(d.variety_show_singles, v -> v.name)")),
+        ("concerts", _all(
+            "flatten(transform(d.concerts, c -> concat(array(c.name), coalesce(c.aliases, " + _NONE + "))))",
+            "transform(d.group_concerts, c -> c.name)",
+        )),
+        ("concerts_lc", _folded("concerts")),
+        ("group_concerts_short", f"coalesce(transform(d.group_concerts, c -> {short}), {_NONE})"),
+        ("shows", _all("transform(d.variety_shows, s -> s.name)")),
+        ("shows_lc", _folded("shows")),
+        ("networks", _all(
+            "filter(transform(d.variety_shows, s -> s.network), n -> n <> '')",
+            _sql_list(V.TV_NETWORKS),
+        )),
+        # A repeated name keeps its first place and its last list of songs.
+        ("collabs", f"transform({_all(f'flatten({collab_names})')}, n -> struct(n as name, "
+                    f"lower(n) as name_lc, coalesce(element_at({holders}, -1).songs, {_NONE}) as songs))"),
+        ("collab_songs", _all("flatten(transform(collabs, c -> c.songs))")),
+        ("group_mvs_lc", _folded(_all("d.group_mvs"))),
+        ("wrong_context", _all(
+            "transform(d.wrong_context_patterns, w -> lower(w))", _sql_list(V.WRONG_CONTEXT_DEFAULTS)
+        )),
+        ("western_lc", _folded(_all("d.western_artist_blacklist"))),
+        ("chinese", _all("d.other_chinese_artist_blacklist")),
+        ("venues", _sql_list(venues)),
+        ("media", _sql_list(media)),
+    ]
+
+
 def wide(
     profiles: DataFrame, venues: list[str] | None = None, media: list[str] | None = None,
 ) -> DataFrame:
@@ -117,101 +170,18 @@ def wide(
     A projection of the document itself: no explode, no shuffle.  ``venues`` and
     ``media`` replace the fixed lists.
     """
-    d = "discography."
-    names = _known(F.concat(
-        F.array("artist.names.primary", "artist.names.english"), _list("artist.names.aliases")
-    ))
-    group_names = F.when(
-        F.col("group").isNotNull(), _known(F.concat(F.array("group.name"), _list("group.aliases")))
-    ).otherwise(F.array().cast("array<string>"))
-
-    tracks = _known(F.flatten(F.transform(
-        F.col(d + "solo_albums"), lambda a: F.coalesce(a.tracks, F.array().cast("array<string>"))
-    )))
-    ost = F.transform(F.col(d + "ost_singles"), lambda o: F.struct(
-        o["name"].alias("name"), _text(o.source).alias("source"),
-        F.array_contains(tracks, o["name"]).alias("also_track"),
-    ))
-    # Every track with the sources under which it also is a single.
-    solo = F.transform(tracks, lambda t: F.struct(
-        t.alias("track"),
-        F.transform(
-            F.filter(F.col(d + "ost_singles"), lambda o: (o["name"] == t) & (_text(o.source) != "")),
-            lambda o: o.source,
-        ).alias("sources"),
-    ))
-    ost_names = _known(F.transform(F.col(d + "ost_singles"), lambda o: o["name"]))
-    shows = _known(F.transform(F.col(d + "variety_shows"), lambda s: s["name"]))
-    networks = F.array_union(
-        F.filter(
-            F.transform(F.col(d + "variety_shows"), lambda s: _text(s.network)), lambda n: n != ""
-        ),
-        _literals(V.TV_NETWORKS),
+    named = profiles.select("profile", "artist", "group", F.col("discography").alias("d"))
+    listed = _dictionaries(
+        V.VENUES if venues is None else venues, V.INTERVIEW_MEDIA if media is None else media
     )
-    group_concerts = F.transform(
-        _list(d + "group_concerts", "array<struct<name:string,years:string>>"), lambda c: c["name"]
-    )
-    concerts = _known(F.concat(
-        F.flatten(F.transform(
-            F.col(d + "concerts"),
-            lambda c: F.concat(
-                F.array(c["name"]), F.coalesce(c.aliases, F.array().cast("array<string>"))
-            ),
-        )),
-        group_concerts,
-    ))
-
-    def without_prefix(name):
-        for prefix in V.GROUP_CONCERT_PREFIXES:
-            name = F.replace(name, F.lit(prefix), F.lit(""))
-        return name
-
-    def songs_of(c):
-        return F.coalesce(c.songs, F.array().cast("array<string>"))
-
-    entries = F.flatten(F.transform(
-        F.col(d + "collaborators"),
-        lambda c: F.transform(
-            F.concat(F.array(c["name"]), F.coalesce(c.aliases, F.array().cast("array<string>"))),
-            lambda n: F.struct(n.alias("name"), songs_of(c).alias("songs")),
-        ),
-    ))
-    # A repeated name keeps its first place and its last list of songs.
-    collab_names = _known(F.transform(entries, lambda e: e["name"]))
-    collabs = F.transform(collab_names, lambda n: F.struct(
-        n.alias("name"), F.lower(n).alias("name_lc"),
-        F.element_at(F.filter(entries, lambda e: e["name"] == n), -1)["songs"].alias("songs"),
-    ))
-    collab_songs = _known(F.flatten(F.transform(collabs, lambda c: c["songs"])))
-
-    return profiles.select(
-        "profile",
-        F.struct(
-            _lower(names).alias("names_lc"),
-            F.col("group").isNotNull().alias("has_group"),
-            _lower(group_names).alias("group_lc"),
-            _list("artist.official_channels").alias("official"),
-            _list("artist.labels").alias("labels"),
-            tracks.alias("tracks"), _lower(tracks).alias("tracks_lc"), solo.alias("solo"),
-            ost.alias("ost"), ost_names.alias("ost_names"), _lower(ost_names).alias("ost_names_lc"),
-            _known(F.transform(
-                _list(d + "variety_show_singles", "array<struct<name:string,source:string,year:int>>"),
-                lambda v: v["name"],
-            )).alias("variety_singles"),
-            concerts.alias("concerts"), _lower(concerts).alias("concerts_lc"),
-            F.transform(group_concerts, without_prefix).alias("group_concerts_short"),
-            shows.alias("shows"), _lower(shows).alias("shows_lc"), networks.alias("networks"),
-            collabs.alias("collabs"), collab_songs.alias("collab_songs"),
-            _lower(_known(_list(d + "group_mvs"))).alias("group_mvs_lc"),
-            F.array_union(
-                _lower(_list(d + "wrong_context_patterns")), _literals(V.WRONG_CONTEXT_DEFAULTS)
-            ).alias("wrong_context"),
-            _lower(_list(d + "western_artist_blacklist")).alias("western_lc"),
-            _known(_list(d + "other_chinese_artist_blacklist")).alias("chinese"),
-            _literals(V.VENUES if venues is None else venues).alias("venues"),
-            _literals(V.INTERVIEW_MEDIA if media is None else media).alias("media"),
-        ).alias(DICTIONARY),
+    later = {"solo", "ost", "collab_songs"}
+    folded = [name for name, sql in listed if name.endswith("_lc") and sql == _folded(name[:-3])]
+    second = [(n, sql) for n, sql in listed if n in later or n in folded]
+    first = [(n, sql) for n, sql in listed if (n, sql) not in second]
+    whole = named.selectExpr("*", *[f"{sql} as {n}" for n, sql in first]).selectExpr(
+        "*", *[f"{sql} as {n}" for n, sql in second]
     )
+    return whole.select("profile", F.struct(*[n for n, _ in listed]).alias(DICTIONARY))
 
 
 def with_dictionary(items: DataFrame, profiles: DataFrame, **lists) -> DataFrame:

@@ -2,66 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from catalogia import fixed_values as V
 from catalogia.functions import duration_seconds, title_lc, views, who
-from catalogia.functions.display import fixed
 from catalogia.operators.profiles import DICTIONARY, with_dictionary
 from catalogia.operators.rules import has, matches, settle
 
 
-def _p(name: str) -> Column:
-    return F.col(f"{DICTIONARY}.{name}")
-
-
-def signal_rule_strength(reason: Column) -> Column:
-    return (
-        F.when(reason.isin(V.STRONG_REASONS), 1.0)
-        .when(reason.isin(V.MEDIUM_REASONS), 0.7)
-        .when(reason.startswith("llm_"), 0.5)
-        .when(reason == "no_rule_match", 0.0)
-        .otherwise(0.6)
-    )
-
-
-def signal_source_reliability() -> Column:
-    topic = F.lit(False)
-    for mark in V.TOPIC_CHANNEL_MARKS:
-        topic = topic | F.contains(who(), F.lit(mark))
-    verified = F.coalesce(F.col("verified"), F.lit(False))
+def _one_of(column: str, values: list[str]) -> str:
+    return f"{column} in (" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def _steps(*steps: tuple[str, float], other: float) -> str:
+    branches = " ".join(f"when {condition} then {value}D" for condition, value in steps)
+    return f"case {branches} else {other}D end"
+
+
+# Each signal is SQL over an item row with its dictionaries in ``_p``, its channel or
+# author in ``_who``, its views in ``_views`` and its duration in ``_seconds``.
+RULE_STRENGTH = _steps(
+    (_one_of("classification_reason", V.STRONG_REASONS), 1.0),
+    (_one_of("classification_reason", V.MEDIUM_REASONS), 0.7),
+    ("startswith(classification_reason, 'llm_')", 0.5),
+    ("classification_reason = 'no_rule_match'", 0.0),
+    other=0.6,
+)
+SOURCE_RELIABILITY = _steps(
+    (f"array_contains({DICTIONARY}.official, _who)", 1.0),
+    (" or ".join(f"contains(_who, '{mark}')" for mark in V.TOPIC_CHANNEL_MARKS), 0.85),
+    ("source = 'youtube' and verified", 0.7),
+    ("source = 'bilibili' and verified", 0.6),
+    (f"array_contains({DICTIONARY}.labels, _who)", 0.9),
+    ("not verified", 0.3),
+    other=0.5,
+)
+VIEW_COUNT = _steps(
+    ("_views >= 1000000", 1.0), ("_views >= 100000", 0.85), ("_views >= 10000", 0.7),
+    ("_views >= 1000", 0.55),
+    other=0.4,
+)
+
+
+def _band(low: int, ideal_low: int, ideal_high: int, high: int) -> str:
+    """SQL: 1 inside the ideal band, a ramp from 0.6 around it, 0.2 outside.
+
+    The ramp is rounded to two digits on its exact binary value, ties to even, which
+    is what ``format_number`` does.
+    """
+    rising = f"0.4D * (_seconds - {low}) / {ideal_low - low} + 0.6D"
+    falling = f"0.4D * ({high} - _seconds) / {high - ideal_high} + 0.6D"
     return (
-        F.when(F.array_contains(_p("official"), who()), 1.0)
-        .when(topic, 0.85)
-        .when((F.col("source") == "youtube") & verified, 0.7)
-        .when((F.col("source") == "bilibili") & verified, 0.6)
-        .when(F.array_contains(_p("labels"), who()), 0.9)
-        .when(F.col("verified") == F.lit(False), 0.3)
-        .otherwise(0.5)
+        f"case when _seconds between {ideal_low} and {ideal_high} then 1D "
+        f"when _seconds between {low} and {high} then "
+        f"double(format_number(if(_seconds < {ideal_low}, {rising}, {falling}), 2)) else 0.2D end"
     )
 
 
-def signal_duration_fit(seconds: Column, category: Column) -> Column:
-    fit = F.lit(0.5)
-    for name, (low, ideal_low, ideal_high, high) in V.DURATION_BANDS.items():
-        rising = F.lit(0.4) * (seconds - low) / F.lit(ideal_low - low) + 0.6
-        falling = F.lit(0.4) * (F.lit(high) - seconds) / F.lit(high - ideal_high) + 0.6
-        ramp = F.when(seconds < ideal_low, rising).otherwise(falling)
-        band = (
-            F.when(seconds.between(ideal_low, ideal_high), 1.0)
-            .when(seconds.between(low, high), fixed(ramp, 2).cast("double"))
-            .otherwise(0.2)
-        )
-        fit = F.when(category == name, band).otherwise(fit)
-    return F.when(seconds.isNull(), 0.5).otherwise(fit)
-
-
-def signal_view_count(count: Column) -> Column:
-    return (
-        F.when(count >= 1_000_000, 1.0).when(count >= 100_000, 0.85).when(count >= 10_000, 0.7)
-        .when(count >= 1_000, 0.55).otherwise(0.4)
-    )
-
+DURATION_FIT = "case when _seconds is null then 0.5D " + " ".join(
+    f"when category = '{category}' then {_band(*band)}"
+    for category, band in V.DURATION_BANDS.items()
+) + " else 0.5D end"
 
 _IN_GROUP = has("group_lc", "_t_lc")
 _MV_WORD = matches(V.SCORE_MV_WORD)
@@ -82,47 +83,48 @@ _TITLE_LADDERS = {
 }
 
 
-def signal_title_match() -> Column:
-    """Needs ``category`` and the lower-cased title as ``_t_lc``."""
+def _title_match() -> str:
     ladders = ""
     for category, steps in _TITLE_LADDERS.items():
         ladder = " ".join(f"when {condition} then {value}D" for value, condition in steps)
         ladders += f" when '{category}' then case {ladder} else 0.3D end"
-    return F.expr(f"case category{ladders} else 0.5D end")
+    return f"case category{ladders} else 0.5D end"
+
+
+SIGNALS = {
+    "rule_strength": RULE_STRENGTH,
+    "source_reliability": SOURCE_RELIABILITY,
+    "duration_fit": DURATION_FIT,
+    "view_count": VIEW_COUNT,
+    "title_match": _title_match(),
+}
 
 
 def score(items: DataFrame, profiles: DataFrame, keep_dictionary=False) -> DataFrame:
     """Items plus ``confidence`` and ``confidence_signals``; needs category and reason."""
     results = ("confidence", "confidence_signals")
     kept = [c for c in items.columns if c not in (*results, DICTIONARY)]
-    base = with_dictionary(items, profiles).drop(*results).withColumns({
-        "_t_lc": title_lc(), "_seconds": duration_seconds(F.col("duration")),
-    })
-    category, discard = F.col("category"), F.col("category") == V.DISCARD
-    signals = {
-        "rule_strength": signal_rule_strength(F.col("classification_reason")),
-        "source_reliability": signal_source_reliability(),
-        "duration_fit": signal_duration_fit(F.col("_seconds"), category),
-        "view_count": signal_view_count(views()),
-        "title_match": signal_title_match(),
-    }
+    base = with_dictionary(items, profiles).select(
+        *kept, DICTIONARY, title_lc().alias("_t_lc"), who().alias("_who"), views().alias("_views"),
+        duration_seconds(F.col("duration")).alias("_seconds"),
+    )
     # Discards are judged by the rule alone; their other signals are never computed.
-    base = base.withColumns({
-        f"_s_{name}": value if name == "rule_strength" else F.when(~discard, value)
-        for name, value in signals.items()
-    })
+    discard = f"category = '{V.DISCARD}'"
+    signals = base.selectExpr("*", *[
+        f"{sql} as _s_{name}" if name == "rule_strength"
+        else f"if({discard}, null, {sql}) as _s_{name}"
+        for name, sql in SIGNALS.items()
+    ])
     total = 0.0
-    weighted = F.lit(0.0)
-    for name, weight in V.SIGNAL_WEIGHTS.items():
-        weighted = weighted + F.col(f"_s_{name}") * F.lit(weight)
+    for weight in V.SIGNAL_WEIGHTS.values():
         total += weight
-    mean = F.least(F.greatest(weighted / F.lit(total), F.lit(0.0)), F.lit(1.0))
-    everything = F.map_from_arrays(
-        F.array(*[F.lit(n) for n in signals]), F.array(*[F.col(f"_s_{n}") for n in signals])
-    )
-    only_rule = F.create_map(F.lit("rule_strength"), F.col("_s_rule_strength"))
+    weighted = " + ".join(f"_s_{name} * {weight}D" for name, weight in V.SIGNAL_WEIGHTS.items())
+    mean = f"round(least(greatest(({weighted}) / {total}D, 0D), 1D), 3)"
+    pairs = ", ".join(f"'{name}', _s_{name}" for name in SIGNALS)
     return settle(
-        base, [*kept, DICTIONARY] if keep_dictionary else kept,
-        confidence=F.when(discard, F.col("_s_rule_strength")).otherwise(F.round(mean, 3)),
-        confidence_signals=F.when(discard, only_rule).otherwise(everything),
+        signals, [*kept, DICTIONARY] if keep_dictionary else kept,
+        confidence=F.expr(f"if({discard}, _s_rule_strength, {mean})"),
+        confidence_signals=F.expr(
+            f"if({discard}, map('rule_strength', _s_rule_strength), map({pairs}))"
+        ),
     )
