@@ -11,6 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from catalogia.schema import PROFILE
+from catalogia.sources.profiles import parse_profiles
 
 LANGS = ["en", "de", "es", "fr"]
 
@@ -301,3 +302,69 @@ from {part} cross join {region} where p_type <> 'LARGE'""",
 select distinct p_type as profile, n_nationkey as pos, n_name || ' TV' as name
 from {part} cross join {nation}""",
 }
+
+
+def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile document per customer, its lists made of the customer's key."""
+    k = F.col("c_custkey")
+
+    def listed(n, make):
+        places = F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(
+            F.array().cast("array<bigint>")
+        )
+        return F.transform(places, make)
+
+    def numbered(text, i):
+        return F.concat(F.lit(text), i.cast("string"))
+
+    none = F.array().cast("array<string>")
+    key = numbered("c", k)
+    albums = listed(k % 4 + 1, lambda a: F.struct(
+        numbered("album ", a).alias("name"), F.lit(2000).alias("year"),
+        listed((k + a) % 5 + 1, lambda t: F.concat(
+            numbered("track ", a), F.lit("-"), t.cast("string")
+        )).alias("tracks"),
+    ))
+    ost = listed(k % 3, lambda i: F.struct(
+        numbered("ost ", i).alias("name"),
+        F.when((k + i) % 2 == 0, "").otherwise("film").alias("source"), F.lit(2001).alias("year"),
+    ))
+    collabs = listed(k % 3, lambda i: F.struct(
+        numbered("friend ", i).alias("name"), none.alias("aliases"),
+        F.when((k + i) % 4 == 0, none).otherwise(F.array(F.lit("duet"))).alias("songs"),
+    ))
+    shows = F.when(k % 7 < 3, F.array(F.struct(
+        F.lit("The Singer Show").alias("name"), F.lit("net").alias("network")
+    ))).otherwise(F.array().cast("array<struct<name:string,network:string>>"))
+    singles = F.when(k % 5 == 0, F.array(F.struct(
+        F.lit("one").alias("name"), F.lit("show").alias("source"), F.lit(2002).alias("year")
+    )))
+    concerts = listed(k % 2, lambda i: F.struct(
+        numbered("tour ", i).alias("name"), F.lit("2003").alias("years"), none.alias("aliases"),
+        none.alias("venues"),
+    ))
+    categories = listed(k % 3, lambda i: F.struct(
+        i.cast("int").alias("id"), numbered("cat ", i).alias("key"), numbered("Cat ", i).alias("label")
+    ))
+    artist = F.struct(
+        F.struct(F.col("c_name").alias("primary"), key.alias("english"), none.alias("aliases")).alias(
+            "names"
+        ),
+        none.alias("official_channels"), F.when(k % 6 > 0, none).alias("labels"),
+        F.when(k % 3 > 0, F.col("c_nationkey") + 1950).alias("birth_year"),
+        F.when(k % 4 > 0, F.col("c_mktsegment")).alias("genre"),
+        F.when(k % 5 > 0, F.array(numbered("Award ", F.col("c_nationkey")))).alias("awards"),
+    )
+    discography = F.struct(
+        albums.alias("solo_albums"), ost.alias("ost_singles"), singles.alias("variety_show_singles"),
+        concerts.alias("concerts"), shows.alias("variety_shows"), collabs.alias("collaborators"),
+        F.when(k % 2 > 0, F.array(F.lit("Host"))).alias("notable_interviewers"),
+    )
+    document = F.struct(
+        artist.alias("artist"), discography.alias("discography"), categories.alias("categories"),
+        F.struct(F.when(k % 9 > 0, none).alias("priority")).alias("classification"),
+    )
+    # Through JSON, as documents arrive.
+    return parse_profiles(
+        table(spark, sf_dir, "customer").select(F.to_json(document).alias("json"))
+    )
