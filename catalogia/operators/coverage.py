@@ -5,22 +5,23 @@ Substring tests are no equi-join, so there are two exact ways:
 
 * ``scan``: each title is tested against the names of its own profile, which travel as
   one size-checked array per profile.  No title is shuffled.
-* ``gram``: names of any number.  The first characters of a name are its key; a title
-  offers every window of the key lengths in use; both meet in an equi-join and the full
-  name is verified afterwards.
+* ``gram``: names of any number.  A title is cut into adjoining blocks of n characters and
+  a name offers its n-character windows at the first n offsets.  Wherever a name of at
+  least 2n - 1 characters stands in a title, it covers a whole block, which is one of
+  those windows; so both meet in an equi-join, and the full name is verified afterwards.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from catalogia.functions import blank_to_null
-from catalogia.operators.distribution import SALTS, attach
+from catalogia.operators.distribution import attach, salted_join
 
 # Names of one profile up to this many bytes are scanned for in its titles.
 SCAN_BYTES = 256 * 1024
-# Key lengths of the gram way; a name uses the longest one that fits.
-GRAM_LENGTHS = [1, 2, 3, 4, 6, 8, 12, 16, 24, 32]
+# Block lengths of the gram way; a name uses the longest n with 2n - 1 <= its length.
+BLOCK_LENGTHS = [1, 2, 4, 8, 16, 32]
 
 
 def _names(tracks: DataFrame, name: str) -> DataFrame:
@@ -41,38 +42,41 @@ def _found_by_scan(names: DataFrame, titles: DataFrame) -> DataFrame:
     return offered.select("profile", F.explode(hit).alias("_name")).distinct()
 
 
-def _windows(title: Column, lengths: Column) -> Column:
-    """Distinct windows of a title for each key length in use."""
-    def of_length(n):
-        last = F.length(title) - n + 1
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(title, i, n))
-
-    return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
+def _blocks() -> str:
+    """SQL: distinct blocks of a title in the block lengths that its profile uses."""
+    cut = ", ".join(
+        f"if(array_contains(_lengths, {n}), "
+        f"regexp_extract_all(_title, r'(?s).{{{n}}}', 0), cast(array() as array<string>))"
+        for n in BLOCK_LENGTHS
+    )
+    return f"array_distinct(concat({cut}))"
 
 
 def _found_by_gram(names: DataFrame, titles: DataFrame) -> DataFrame:
     length = F.lit(0)
-    for n in GRAM_LENGTHS:
-        length = F.when(F.length("_name") >= n, n).otherwise(length)
-    keyed = names.withColumn("_n", length).withColumn("_key", F.expr("left(_name, _n)"))
-    # An empty name is in every title; it has no key and is settled by the profile alone.
-    empty = keyed.filter("_n = 0").join(titles.select("profile").distinct(), "profile", "left_semi")
-    keyed = keyed.filter("_n > 0")
-    # At most one short list of lengths per profile.
-    lengths = keyed.groupBy("profile").agg(F.collect_set("_n").alias("_lengths"))
-    offered = attach(titles.distinct(), lengths, ["profile"], ["_title"], "inner")
-    grams = offered.select(
-        "profile", "_title", F.explode(_windows(F.col("_title"), F.col("_lengths"))).alias("_key"),
+    for n in BLOCK_LENGTHS:
+        length = F.when(F.length("_name") >= 2 * n - 1, n).otherwise(length)
+    sized = names.withColumns({"_n": length, "_name_id": F.md5("_name")})
+    # An empty name is in every title; it has no window and is settled by the profile alone.
+    empty = sized.filter("_n = 0").join(titles.select("profile").distinct(), "profile", "left_semi")
+    sized = sized.filter("_n > 0")
+    windows = F.expr(
+        "explode(array_distinct(transform(sequence(1, _n), i -> substring(_name, i, _n))))"
     )
-    # A key that many titles share would meet in one task: titles pick a salt, names are
-    # repeated once per salt.
-    salt = F.pmod(F.xxhash64("_title"), F.lit(SALTS)).cast("int")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    pairs = grams.withColumn("_salt", salt).join(
-        keyed.withColumn("_salt", salts), ["profile", "_key", "_salt"]
+    keyed = sized.select("profile", "_name_id", windows.alias("_key"))
+    # At most one short list of lengths per profile.
+    lengths = sized.groupBy("profile").agg(F.collect_set("_n").alias("_lengths"))
+    titled = titles.withColumn("_title_id", F.md5("_title"))
+    offered = attach(titled, lengths, ["profile"], ["_title_id"], "inner")
+    blocks = offered.select("profile", "_title_id", F.expr(f"explode({_blocks()})").alias("_key"))
+    # Only ids travel here; a block that very many titles share is salted.
+    pairs = salted_join(blocks, keyed, ["profile", "_key"], ["_title_id"], "inner").select(
+        "profile", "_title_id", "_name_id"
+    ).distinct()
+    candidates = pairs.join(sized.select("profile", "_name_id", "_name"), ["profile", "_name_id"])
+    verified = candidates.join(titled, ["profile", "_title_id"]).filter(
+        F.contains(F.col("_title"), F.col("_name"))
     )
-    verified = pairs.filter(F.contains(F.col("_title"), F.col("_name")))
     return verified.select("profile", "_name").distinct().unionByName(
         empty.select("profile", "_name")
     )

@@ -78,17 +78,19 @@ def attach(
 
 def ordered_index(
     df: DataFrame, by: list[str], lead: list[str], order: str, name: str = "index",
-    buckets: int = INDEX_BUCKETS,
+    buckets: int = INDEX_BUCKETS, places: DataFrame | None = None,
 ) -> DataFrame:
     """0-based dense number per group ``by`` in the order of (``lead``.., ``order``).
 
     A window over a whole group would sort a hot group in one task.  Here the order
     column is cut at ``buckets`` fixed points (quantiles, fetched once as literals, so
     every reading of the plan buckets alike), rows are numbered inside a bucket, and
-    small per-bucket counts give the offset.
+    small per-bucket counts give the offset.  ``places`` may name a table that is cheaper
+    to read and has the same order column; any cut points give the same numbers.
     """
     cuts = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(order, cuts, 1000).alias("cuts")).first()["cuts"] or []
+    measured = df if places is None else places
+    found = measured.agg(F.percentile_approx(order, cuts, 1000).alias("cuts")).first()["cuts"] or []
     bucket: Column = F.lit(0)
     if found:
         # The bucket is the number of cut points below the value.

@@ -13,10 +13,16 @@ from catalogia.schema import LABELS
 _BATCH = ["profile", "batch_id", "index"]
 
 
-def label_batches(items: DataFrame, size: int = V.LABEL_BATCH) -> DataFrame:
-    """Unclassified items in batches of ``size`` per profile, in item order."""
+def label_batches(
+    items: DataFrame, size: int = V.LABEL_BATCH, places: DataFrame | None = None,
+) -> DataFrame:
+    """Unclassified items in batches of ``size`` per profile, in item order.
+
+    ``places``: the items before classification, to cut their order without classifying
+    them once more.
+    """
     waiting = items.filter(F.col("category") == V.UNCLASSIFIED)
-    numbered = ordered_index(waiting, ["profile"], ["file_id"], "ord", "_n")
+    numbered = ordered_index(waiting, ["profile"], ["file_id"], "ord", "_n", places=places)
     return numbered.withColumns({
         "batch_id": F.floor(F.col("_n") / size), "index": (F.col("_n") % size).cast("int"),
     }).drop("_n")

@@ -5,115 +5,116 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from catalogia import fixed_values as V
 from catalogia.operators.distribution import attach, first_by
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
+_HEAD_FIELDS = ["primary", "english", "group", "group_alias"]
+_ENTRY_FIELDS = sorted(
+    {f for t in V.QUERY_TEMPLATES for f in _PLACEHOLDER.findall(t[4])} - set(_HEAD_FIELDS)
+)
+# Dimensions that exist only for a profile with a group.
+_GROUP_ONLY = [
+    "group", "group_alias", "group_concerts", "group_shows", "group_tracks", "group_tracks_first",
+]
+
+
+def _render(text: str) -> str:
+    """SQL that fills the placeholders of a template from columns."""
+    parts = [
+        f"`{piece}`" if i % 2 else f"'{piece}'"
+        for i, piece in enumerate(_PLACEHOLDER.split(text)) if piece
+    ]
+    return f"concat({', '.join(parts)})"
+
+
+def _templates() -> str:
+    """SQL: for the dimension of a row, the list of its queries."""
+    rows: dict[str, list[str]] = {}
+    for k, (dim, step, phase, tool, text, page, category) in enumerate(V.QUERY_TEMPLATES):
+        rows.setdefault(dim, []).append(
+            f"struct(struct({step} as step, i, {phase} as phase, j, {k} as k) as ord, "
+            f"'{tool}' as tool, {_render(text)} as query, {page} as page, '{category}' as category)"
+        )
+    return "case dim " + " ".join(
+        f"when '{dim}' then array({', '.join(structs)})" for dim, structs in rows.items()
+    ) + " end"
 
 
-def _render(text: str) -> Column:
-    parts = []
-    for i, piece in enumerate(_PLACEHOLDER.split(text)):
-        if i % 2:
-            parts.append(F.col(piece).cast("string"))
-        elif piece:
-            parts.append(F.lit(piece))
-    return F.concat(*parts)
-
+def _entries(dims: dict[str, DataFrame]) -> DataFrame:
+    """Entries of every dimension the templates name, in one table.
 
-def _template_inputs(dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Each dimension that the templates name, with loop places ``i`` and ``j``."""
-    heads = dims["profiles"].select(
-        "profile", "primary", "english", F.col("group_name").alias("group"), "group_alias"
-    )
-    found = {
-        "primary": heads,
-        "other_english": heads.filter(F.col("english") != F.col("primary")),
-        "group": heads.filter(F.col("group").isNotNull()),
-        "group_alias": heads.filter(F.col("group").isNotNull() & F.col("group_alias").isNotNull()),
-    }
-    found = {
-        name: df.withColumns({"i": F.lit(0).cast("bigint"), "j": F.lit(0).cast("bigint")})
-        for name, df in found.items()
-    }
-
-    def entries(dim, outer="pos", inner=None, keep=lambda df: df, grouped=False):
-        if dim not in dims:
-            return None
-        df = keep(dims[dim]).withColumns({
-            "i": F.col(outer).cast("bigint"),
-            "j": (F.col(inner) if inner else F.lit(0)).cast("bigint"),
-        })
-        joined = attach(df, heads, ["profile"], ["i", "j"], "inner")
-        return joined.filter(F.col("group").isNotNull()) if grouped else joined
+    ``dim`` says which; ``i`` and ``j`` are the loop places; fields a dimension lacks
+    are null.
+    """
+    found = []
+
+    def add(name, dim, outer="pos", inner="0", keep=lambda df: df):
+        if dim in dims:
+            rows = keep(dims[dim])
+            found.append(rows.selectExpr(
+                "profile", f"'{name}' as dim", f"cast({outer} as bigint) as i",
+                f"cast({inner} as bigint) as j",
+                *[f"cast({f if f in rows.columns else 'null'} as string) as {f}"
+                  for f in _ENTRY_FIELDS],
+            ))
 
     def top(n, *by):
         return lambda df: first_by(df, ["profile", *by], ["pos"], n)
 
-    sourced = F.coalesce(F.col("source"), F.lit("")) != ""
+    def where(condition):
+        return lambda df: df.filter(condition)
 
     def with_short_name(df):
-        concerts = dims["concerts"].select(
-            "profile", F.col("pos").alias("concert_pos"),
-            F.coalesce("first_alias", "name").alias("short_name"),
-        )
+        short = F.coalesce("first_alias", "name").alias("short_name")
+        concerts = dims["concerts"].select("profile", F.col("pos").alias("concert_pos"), short)
         return attach(df, concerts, ["profile", "concert_pos"], ["pos"], "inner")
 
-    found.update({
-        "tracks": entries("tracks", "album_pos", "pos"),
-        "tracks_first": entries(
-            "tracks", "album_pos", "pos", top(V.TRACKS_PER_ALBUM, "album_pos")
-        ),
-        "albums": entries("albums"),
-        "aliases": entries("aliases"),
-        "ost": entries("ost"),
-        "ost_with_source": entries("ost", keep=lambda df: df.filter(sourced)),
-        "ost_other_source": entries(
-            "ost", keep=lambda df: df.filter(sourced & (F.col("source") != F.col("name")))
-        ),
-        "ost_no_source": entries("ost", keep=lambda df: df.filter(~sourced)),
-        "ost_first": entries("ost", keep=top(V.TOP_OST)),
-        "variety_singles": entries("variety_singles"),
-        "concerts": entries("concerts"),
-        "concert_aliases": entries("concert_aliases", "concert_pos", "pos"),
-        "concert_venues": entries("concert_venues", "concert_pos", "pos", with_short_name),
-        "group_concerts": entries("group_concerts", grouped=True),
-        "shows": entries("shows"),
-        "group_shows": entries(
-            "shows", keep=lambda df: df.filter(F.coalesce(F.col("network"), F.lit("")) != ""),
-            grouped=True,
-        ),
-        "interviewers": entries("interviewers"),
-        "channels_first": entries("interview_channels", keep=top(V.TOP_MEDIA_CHANNELS)),
-        "group_tracks": entries("group_mvs", grouped=True),
-        "group_tracks_first": entries("group_mvs", keep=top(V.TOP_GROUP_TRACKS), grouped=True),
-        "collab_songs": entries("collab_songs", "collab_pos", "pos"),
-        "collab_no_songs": entries("collabs", keep=lambda df: df.filter("n_songs = 0")),
-        "collab_aliases": entries("collab_aliases", "collab_pos", "pos"),
-    })
-    return {name: df for name, df in found.items() if df is not None}
+    sourced = "coalesce(source, '') <> ''"
+    album, concert, collab = "album_pos", "concert_pos", "collab_pos"
+    add("tracks", "tracks", album, "pos")
+    add("tracks_first", "tracks", album, "pos", top(V.TRACKS_PER_ALBUM, album))
+    add("albums", "albums")
+    add("aliases", "aliases")
+    add("ost", "ost")
+    add("ost_with_source", "ost", keep=where(sourced))
+    add("ost_other_source", "ost", keep=where(f"{sourced} and source <> name"))
+    add("ost_no_source", "ost", keep=where(f"not ({sourced})"))
+    add("ost_first", "ost", keep=top(V.TOP_OST))
+    add("variety_singles", "variety_singles")
+    add("concerts", "concerts")
+    add("concert_aliases", "concert_aliases", concert, "pos")
+    add("concert_venues", "concert_venues", concert, "pos", with_short_name)
+    add("group_concerts", "group_concerts")
+    add("shows", "shows")
+    add("group_shows", "shows", keep=where("coalesce(network, '') <> ''"))
+    add("interviewers", "interviewers")
+    add("channels_first", "interview_channels", keep=top(V.TOP_MEDIA_CHANNELS))
+    add("group_tracks", "group_mvs")
+    add("group_tracks_first", "group_mvs", keep=top(V.TOP_GROUP_TRACKS))
+    add("collab_songs", "collab_songs", collab, "pos")
+    add("collab_no_songs", "collabs", keep=where("n_songs = 0"))
+    add("collab_aliases", "collab_aliases", collab, "pos")
+    return reduce(DataFrame.union, found)
 
 
 def emitted_queries(dims: dict[str, DataFrame]) -> DataFrame:
     """Every query the templates give, repeats included, with its place of emission."""
-    branches = []
-    for dim, df in _template_inputs(dims).items():
-        rows = [
-            F.struct(
-                F.struct(
-                    F.lit(step).alias("step"), F.col("i"), F.lit(phase).alias("phase"), F.col("j"),
-                    F.lit(k).alias("k"),
-                ).alias("ord"),
-                F.lit(tool).alias("tool"), _render(text).alias("query"),
-                F.lit(page).alias("page"), F.lit(category).alias("category"),
-            )
-            for k, (name, step, phase, tool, text, page, category) in enumerate(V.QUERY_TEMPLATES)
-            if name == dim
-        ]
-        branches.append(df.select("profile", F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionByName, branches)
+    heads = dims["profiles"].select(
+        "profile", "primary", "english", F.col("group_name").alias("group"), "group_alias"
+    )
+    alone = heads.select("*", F.explode(F.array(
+        *[F.lit(d) for d in ("primary", "other_english", "group", "group_alias")]
+    )).alias("dim"), F.lit(0).cast("bigint").alias("i"), F.lit(0).cast("bigint").alias("j"))
+    named = attach(_entries(dims), heads, ["profile"], ["i", "j"], "inner")
+    rows = named.unionByName(alone, allowMissingColumns=True).filter(
+        (~F.col("dim").isin(_GROUP_ONLY) | F.col("group").isNotNull())
+        & ((F.col("dim") != "group_alias") | F.col("group_alias").isNotNull())
+        & ((F.col("dim") != "other_english") | (F.col("english") != F.col("primary")))
+    )
+    return rows.select("profile", F.inline(F.expr(_templates())))
 
 
 def gen_queries(dims: dict[str, DataFrame]) -> DataFrame:

@@ -12,7 +12,7 @@ from catalogia.operators import coverage, labels, profile_checks, querygen, rend
 from catalogia.operators.profiles import dims as profile_dims
 from catalogia.operators.profiles import has_group_name
 from catalogia.plans import tables
-from catalogia.plans.classify_queries import filtered
+from catalogia.plans.classify_queries import settled
 from catalogia.plans.oracle_parts import q, with_ctes
 from catalogia.plans.registry import query
 
@@ -105,13 +105,13 @@ _WEB_TEXT = f"""'| ' || {_escaped('title')} || ' | [链接](' || url || ') | Goo
 @query(with_ctes("filtered", f"""select {_ROW}, category, {_VIDEO_TEXT} as text from filtered
 where source in ('youtube', 'bilibili')"""))
 def video_lines(spark, sf_dir):
-    return rendering.video_lines(filtered(spark, sf_dir))
+    return rendering.video_lines(settled(spark, sf_dir))
 
 
 @query(with_ctes("filtered", f"""select {_ROW}, category, {_WEB_TEXT} as text from filtered
 where source = 'google'"""))
 def web_lines(spark, sf_dir):
-    return rendering.web_lines(filtered(spark, sf_dir))
+    return rendering.web_lines(settled(spark, sf_dir))
 
 
 _HEAD = " union all ".join([
@@ -153,7 +153,7 @@ from filtered f join p_cats c on c.profile = f.profile and c.key = f.category"""
 def document_lines(spark, sf_dir):
     d = profile_dims(tables.profiles(spark))
     return rendering.document_lines(
-        filtered(spark, sf_dir), d["categories"], d["profiles"], "2024-01-01"
+        settled(spark, sf_dir), d["categories"], d["profiles"], "2024-01-01"
     )
 
 
@@ -161,7 +161,7 @@ def document_lines(spark, sf_dir):
   json_merge_patch('{{}}', json_object({', '.join(f"'{k}', {k}" for k in V.COMPACT_KEYS)}))::varchar
     as payload from filtered"""))
 def compact_payload(spark, sf_dir):
-    return rendering.compact_payload(filtered(spark, sf_dir))
+    return rendering.compact_payload(settled(spark, sf_dir))
 
 
 # --- browsing ----------------------------------------------------------------------------
@@ -204,13 +204,13 @@ def search_titles(spark, sf_dir):
   count(*) filter (source = 'bilibili') as n_bilibili,
   count(*) filter (source = 'bilibili') as n_shown from filtered group by profile, category"""))
 def facets(spark, sf_dir):
-    return B.facets(filtered(spark, sf_dir), platform="bilibili")
+    return B.facets(settled(spark, sf_dir), platform="bilibili")
 
 
 @query(with_ctes("filtered", f"""select {_ROW}, title from filtered
 where profile = 'en' and category = 'concerts'"""))
 def category_items(spark, sf_dir):
-    return B.category_items(filtered(spark, sf_dir), "en", "concerts").select(
+    return B.category_items(settled(spark, sf_dir), "en", "concerts").select(
         "profile", "file_id", "ord", "title"
     )
 
@@ -223,7 +223,7 @@ select f.profile, 'TOTAL', null, null, count(*) from filtered f
 join p_cats c on f.profile = c.profile and f.category = c.key group by f.profile"""))
 def nav_counts(spark, sf_dir):
     return B.nav_counts(
-        filtered(spark, sf_dir), profile_dims(tables.profiles(spark))["categories"]
+        settled(spark, sf_dir), profile_dims(tables.profiles(spark))["categories"]
     )
 
 

@@ -10,6 +10,7 @@ from catalogia.operators.profiles import dims
 from catalogia.plans import tables
 from catalogia.plans.oracle_parts import is_in, q, scored_cte, with_ctes
 from catalogia.plans.registry import query
+from catalogia.session import cut_lineage
 
 _ROW = "profile, file_id, ord"
 _CATEGORIES = [*V.CATEGORY_FILE_IDS, V.DISCARD, V.UNCLASSIFIED]
@@ -33,6 +34,19 @@ def filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.filter_low_views(base, tables.profiles(spark))
 
 
+def settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classified and view-filtered items, for counts that need no confidence."""
+    return quality.filter_low_views(
+        classified(spark, sf_dir, keep_dictionary=True), tables.profiles(spark)
+    )
+
+
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored catalogue as a review meets it: written once, then only read."""
+    columns = ["url", "category", "classification_reason", "confidence"]
+    return cut_lineage(_row(filtered(spark, sf_dir), *columns))
+
+
 def _categories(spark: SparkSession) -> DataFrame:
     return dims(tables.profiles(spark))["categories"]
 
@@ -83,13 +97,13 @@ group by profile, category
 union all
 select profile, 'TOTAL', null, count(*) from filtered group by profile"""))
 def category_counts(spark, sf_dir):
-    return reports.category_counts(filtered(spark, sf_dir), _categories(spark))
+    return reports.category_counts(settled(spark, sf_dir), _categories(spark))
 
 
 @query(with_ctes("filtered", """select profile, classification_reason as reason, count(*) as n
 from filtered group by 1, 2"""))
 def reason_counts(spark, sf_dir):
-    return reports.reason_counts(filtered(spark, sf_dir))
+    return reports.reason_counts(settled(spark, sf_dir))
 
 
 @query(with_ctes("filtered", """select profile, bucket, n, round(n * 100e0 / total, 1) as percent,
@@ -108,7 +122,7 @@ def confidence_buckets(spark, sf_dir):
     f"count(*) filter (category = {q(c)}) as {c}" for c in _CATEGORIES
 ) + " from filtered group by profile, original_file_id"))
 def migration_matrix(spark, sf_dir):
-    return reports.migration_matrix(filtered(spark, sf_dir))
+    return reports.migration_matrix(settled(spark, sf_dir))
 
 
 _CATALOG_COUNTS = """counted as (
@@ -121,20 +135,20 @@ _CATALOG_COUNTS = """counted as (
     "filtered", "select profile, category, label, n, n = 0 as missing from counted", _CATALOG_COUNTS
 ))
 def catalog_counts(spark, sf_dir):
-    return reports.catalog_counts(filtered(spark, sf_dir), _categories(spark))
+    return reports.catalog_counts(settled(spark, sf_dir), _categories(spark))
 
 
 @query(with_ctes("filtered", """select profile, sum(n) as n_items,
   count(*) filter (n > 0) as n_categories from counted group by profile""", _CATALOG_COUNTS))
 def profile_summary(spark, sf_dir):
-    return reports.profile_summary(filtered(spark, sf_dir), _categories(spark))
+    return reports.profile_summary(settled(spark, sf_dir), _categories(spark))
 
 
 @query(with_ctes("filtered", """select profile,
   count(*) filter (category <> 'unclassified') as n_classified,
   count(*) filter (category = 'unclassified') as n_unclassified from filtered group by profile"""))
 def rule_counts(spark, sf_dir):
-    return reports.rule_counts(filtered(spark, sf_dir))
+    return reports.rule_counts(settled(spark, sf_dir))
 
 
 # Labels. Each document's own label row is turned into the labeller's answer for it.
@@ -146,7 +160,9 @@ batched as (select * exclude (n), cast(floor(n / 20) as bigint) as batch_id,
 
 
 def _batches(spark, sf_dir):
-    return labels.label_batches(classified(spark, sf_dir))
+    """Numbering reads its input twice, so the waiting rows are stored first."""
+    waiting = classified(spark, sf_dir).filter(F.col("category") == V.UNCLASSIFIED)
+    return labels.label_batches(cut_lineage(waiting))
 
 
 @query(with_ctes("classified", f'select {_ROW}, batch_id, idx as "index" from batched', _NUMBERED))
@@ -177,10 +193,10 @@ def label_prompts(spark, sf_dir):
 _KEYS = [*V.CATEGORY_FILE_IDS, V.DISCARD, "no_such_category"]
 
 
-def _answers(spark, sf_dir) -> DataFrame:
+def _answers(spark, sf_dir, batches: DataFrame) -> DataFrame:
     """A labeller's answer per labelled item, in one of four envelopes."""
     marks = tables.table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "ord")
-    batched = _batches(spark, sf_dir).join(marks, "ord")
+    batched = batches.join(marks, "ord")
     keys = F.array(*[F.lit(k) for k in _KEYS])
     answer = F.to_json(F.array(F.struct(
         "index", F.get(keys, F.col("ord") % len(_KEYS)).alias("category"),
@@ -210,12 +226,14 @@ _LABELS = f"""answered as (
     _NUMBERED, _LABELS,
 ))
 def parse_label_responses(spark, sf_dir):
-    return labels.parse_label_responses(_answers(spark, sf_dir)).drop("pos")
+    answers = _answers(spark, sf_dir, _batches(spark, sf_dir))
+    return labels.parse_label_responses(answers).drop("pos")
 
 
 def _labelled(spark, sf_dir) -> DataFrame:
-    parsed = labels.parse_label_responses(_answers(spark, sf_dir))
-    return labels.apply_labels(_batches(spark, sf_dir), parsed, _categories(spark))
+    batches = _batches(spark, sf_dir)
+    parsed = labels.parse_label_responses(_answers(spark, sf_dir, batches))
+    return labels.apply_labels(batches, parsed, _categories(spark))
 
 
 _LABELLED = f"""labelled as (
@@ -286,7 +304,7 @@ def review_queue(spark, sf_dir):
 where confidence < 0.7 and category in {is_in(V.CATEGORY_FILE_IDS)}
   and not exists (select 1 from decided d where d.url = filtered.url)""", _DECISIONS))
 def review_pending(spark, sf_dir):
-    queue = review.review_queue(filtered(spark, sf_dir), decisions=_decisions(spark, sf_dir))
+    queue = review.review_queue(stored(spark, sf_dir), decisions=_decisions(spark, sf_dir))
     return _row(queue, "category", "confidence")
 
 
@@ -297,7 +315,7 @@ def review_pending(spark, sf_dir):
   case when action = 'approve' and category <> 'discard' then 1e0 else confidence end as confidence
 from filtered f left join decided d on d.url = f.url""", _DECISIONS))
 def apply_review(spark, sf_dir):
-    kept, discards = review.apply_review(filtered(spark, sf_dir), _decisions(spark, sf_dir))
+    kept, discards = review.apply_review(stored(spark, sf_dir), _decisions(spark, sf_dir))
     return _row(kept.unionByName(discards), "category", "classification_reason", "confidence")
 
 
@@ -310,5 +328,5 @@ from filtered f left join decided d on d.url = f.url
 where confidence < 0.7 and category in {is_in(V.CATEGORY_FILE_IDS)} group by profile""", _DECISIONS))
 def action_summary(spark, sf_dir):
     return review.action_summary(
-        review.review_queue(filtered(spark, sf_dir)), _decisions(spark, sf_dir)
+        review.review_queue(stored(spark, sf_dir)), _decisions(spark, sf_dir)
     )
