@@ -19,6 +19,16 @@ def fits_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (dim.agg(size.alias("bytes")).first()["bytes"] or 0) <= max_bytes
 
 
+def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread an input that has fewer splits than the session has cores.
+
+    One small file with one row group would keep a single core busy; an input of
+    ordinary size already has more splits than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def first_by(df: DataFrame, by: list, order: list, n: int = 1, rank: str | None = None) -> DataFrame:
     """First ``n`` rows per group.
 

@@ -1,4 +1,4 @@
-"""Data-quality checks on profile dimensions."""
+"""Data-quality checks on profile documents, or on flat dimensions of any length."""
 
 from __future__ import annotations
 
@@ -22,6 +22,40 @@ def _singing_show():
     return hit
 
 
+def document_issues(profiles: DataFrame) -> DataFrame:
+    """(profile, check, n, total, names) of nested documents.
+
+    A document is one row, so every check is an expression over its own lists: one pass,
+    no join, no shuffle.
+    """
+    d = "discography"
+    singing = " or ".join(f"contains(lower(s.name), '{w}')" for w in V.SINGING_SHOW_WORDS)
+    empty = "cast(array() as array<string>)"
+    checks = [
+        (OST_WITHOUT_SOURCE, f"filter({d}.ost_singles, s -> coalesce(s.source, '') = '')",
+         "x.name", f"size({d}.ost_singles)"),
+        (COLLAB_WITHOUT_SONGS, f"filter({d}.collaborators, c -> size(coalesce(c.songs, {empty})) = 0)",
+         "x.name", f"size({d}.collaborators)"),
+        (SHOWS_WITHOUT_SINGLES,
+         f"if(coalesce(size({d}.variety_show_singles), 0) > 0, null, "
+         f"filter({d}.variety_shows, s -> {singing}))", "x.name", "null"),
+        (NO_INTERVIEWERS,
+         f"if(coalesce(size({d}.notable_interviewers), 0) > 0, null, array(artist.names.primary))",
+         "x", "null"),
+        (SHORT_ALBUM,
+         f"filter({d}.solo_albums, a -> size(coalesce(a.tracks, {empty})) < {V.SHORT_ALBUM_TRACKS})",
+         f"format_string('%s (%d tracks)', x.name, size(coalesce(x.tracks, {empty})))",
+         f"size({d}.solo_albums)"),
+    ]
+    rows = ", ".join(
+        f"struct('{check}' as check, transform({found}, x -> {name}) as names, "
+        f"cast({total} as bigint) as total)" for check, found, name, total in checks
+    )
+    return profiles.selectExpr("profile", f"inline(array({rows}))").filter("size(names) > 0").select(
+        "profile", "check", F.size("names").cast("bigint").alias("n"), "total", "names"
+    )
+
+
 def album_sizes(dims: dict[str, DataFrame]) -> DataFrame:
     counted = dims["tracks"].groupBy("profile", "album_pos").agg(F.count(F.lit(1)).alias("n_tracks"))
     albums = dims["albums"].withColumnRenamed("pos", "album_pos")

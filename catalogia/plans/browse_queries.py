@@ -15,6 +15,7 @@ from catalogia.plans import tables
 from catalogia.plans.classify_queries import settled
 from catalogia.plans.oracle_parts import q, with_ctes
 from catalogia.plans.registry import query
+from catalogia.session import cut_lineage
 
 _ROW = "profile, file_id, ord"
 
@@ -151,10 +152,10 @@ select f.profile, f.category,
   case when source = 'google' then {_WEB_TEXT} else {_VIDEO_TEXT} end
 from filtered f join p_cats c on c.profile = f.profile and c.key = f.category""", _DOCUMENT))
 def document_lines(spark, sf_dir):
+    """Counts and rows both read the catalogue, so it is stored first."""
     d = profile_dims(tables.profiles(spark))
-    return rendering.document_lines(
-        settled(spark, sf_dir), d["categories"], d["profiles"], "2024-01-01"
-    )
+    items = cut_lineage(settled(spark, sf_dir).drop("description", "classification_reason"))
+    return rendering.document_lines(items, d["categories"], d["profiles"], "2024-01-01")
 
 
 @query(with_ctes("filtered", f"""select {_ROW}, category,
@@ -276,7 +277,7 @@ def profile_tracks(spark, sf_dir):
     return profile_dims(_documents(spark, sf_dir))["tracks"]
 
 
-@query("""
+_ISSUES = """
 with a as (select c_custkey as k, unnest(range(0, 1 + c_custkey % 4)) as a from customer),
 o as (select c_custkey as k, unnest(range(0, c_custkey % 3)) as i from customer)
 select 'c' || k as profile, 'short_album' as "check", count(*) filter (1 + (k + a) % 5 < 3) as n,
@@ -287,8 +288,17 @@ union all select 'c' || k, 'collab_without_songs', count(*) filter ((k + i) % 4
 from o group by k having n > 0
 union all select 'c' || c_custkey, 'no_interviewers', 1, null from customer where c_custkey % 2 = 0
 union all select 'c' || c_custkey, 'singing_shows_without_singles', 1, null from customer
-where c_custkey % 7 < 3 and c_custkey % 5 > 0""")
+where c_custkey % 7 < 3 and c_custkey % 5 > 0"""
+
+
+@query(_ISSUES)
 def profile_issues(spark, sf_dir):
+    return profile_checks.document_issues(_documents(spark, sf_dir)).drop("names")
+
+
+@query(_ISSUES)
+def dimension_issues(spark, sf_dir):
+    """The same from flat dimensions."""
     return profile_checks.profile_issues(profile_dims(_documents(spark, sf_dir)))
 
 

@@ -10,6 +10,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from catalogia.operators.distribution import spread_small_input
 from catalogia.schema import PROFILE
 from catalogia.sources.profiles import parse_profiles
 
@@ -17,7 +18,10 @@ LANGS = ["en", "de", "es", "fr"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # The tables with long texts, where the work per row is large.
+    key = {"documents": "doc_id", "pages": "page_id"}.get(name)
+    return spread_small_input(df, key) if key else df
 
 
 def _profile(primary, english, alias, group, tracks, ost, concert, shows, collabs):
