@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catalogia import fixed_values as V
@@ -14,8 +16,8 @@ def _list(path: str, kind: str = "array<string>") -> Column:
     return F.coalesce(F.col(path), F.array().cast(kind))
 
 
-def dims(profiles: DataFrame) -> dict[str, DataFrame]:
-    """Every list of the profile document as its own table, with positions."""
+def dims(profiles: DataFrame, *names: str) -> dict[str, DataFrame]:
+    """Lists of the profile document as tables, with positions: the named ones, or all."""
 
     def explode(path, *extra):
         return profiles.select("profile", F.posexplode(path).alias("pos", "e")).select(
@@ -25,8 +27,8 @@ def dims(profiles: DataFrame) -> dict[str, DataFrame]:
     def words(path, name):
         return explode(path, F.col("e").alias(name))
 
-    def fields(path, *names):
-        return explode(path, *[F.col(f"e.{n}") for n in names])
+    def fields(path, *columns):
+        return explode(path, *[F.col(f"e.{n}") for n in columns])
 
     def nested(path, owner, inner, name):
         outer = profiles.select("profile", F.posexplode(path).alias(owner + "_pos", "e"))
@@ -36,61 +38,71 @@ def dims(profiles: DataFrame) -> dict[str, DataFrame]:
         )
 
     d = "discography."
-    blacklist = words(d + "western_artist_blacklist", "term").withColumn("kind", F.lit("western"))
-    for kind, path in (
-        ("chinese", "other_chinese_artist_blacklist"), ("wrong_context", "wrong_context_patterns"),
-    ):
-        blacklist = blacklist.unionByName(
-            words(d + path, "term").withColumn("kind", F.lit(kind))
-        )
-    names = profiles.select("profile", F.posexplode(F.array_union(
-        F.array("artist.names.primary", "artist.names.english"), "artist.names.aliases"
-    )).alias("pos", "name"))
-    group_names = profiles.filter(F.col("group").isNotNull()).select(
-        "profile", F.posexplode(F.concat(F.array("group.name"), _list("group.aliases"))).alias(
-            "pos", "name"
-        ),
-    )
-    return {
-        "profiles": profiles.select(
+
+    def heads():
+        return profiles.select(
             "profile", F.col("artist.names.primary").alias("primary"),
             F.col("artist.names.english").alias("english"), F.col("group.name").alias("group_name"),
             F.get(_list("group.aliases"), F.lit(0)).alias("group_alias"),
-        ),
-        "names": names,
-        "aliases": words("artist.names.aliases", "alias"),
-        "official_channels": words("artist.official_channels", "channel"),
-        "labels": words("artist.labels", "label"),
-        "channels": fields("artist.channels", "platform", "id", "name"),
+        )
+
+    def all_names():
+        own = F.array("artist.names.primary", "artist.names.english")
+        listed = F.posexplode(F.array_union(own, "artist.names.aliases"))
+        return profiles.select("profile", listed.alias("pos", "name"))
+
+    def group_names():
+        listed = F.posexplode(F.concat(F.array("group.name"), _list("group.aliases")))
+        grouped = profiles.filter(F.col("group").isNotNull())
+        return grouped.select("profile", listed.alias("pos", "name"))
+
+    def blacklist():
+        kinds = {
+            "western": "western_artist_blacklist", "chinese": "other_chinese_artist_blacklist",
+            "wrong_context": "wrong_context_patterns",
+        }
+        parts = [
+            words(d + path, "term").withColumn("kind", F.lit(kind)) for kind, path in kinds.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    tables = {
+        "profiles": heads,
+        "names": all_names,
+        "aliases": lambda: words("artist.names.aliases", "alias"),
+        "official_channels": lambda: words("artist.official_channels", "channel"),
+        "labels": lambda: words("artist.labels", "label"),
+        "channels": lambda: fields("artist.channels", "platform", "id", "name"),
         "group_names": group_names,
-        "albums": explode(
+        "albums": lambda: explode(
             d + "solo_albums", F.col("e.name").alias("album"), F.col("e.year").alias("year")
         ),
-        "tracks": nested(d + "solo_albums", "album", "tracks", "track"),
-        "ost": fields(d + "ost_singles", "name", "source", "year"),
-        "variety_singles": fields(d + "variety_show_singles", "name", "source", "year"),
-        "concerts": explode(
+        "tracks": lambda: nested(d + "solo_albums", "album", "tracks", "track"),
+        "ost": lambda: fields(d + "ost_singles", "name", "source", "year"),
+        "variety_singles": lambda: fields(d + "variety_show_singles", "name", "source", "year"),
+        "concerts": lambda: explode(
             d + "concerts", F.col("e.name").alias("name"),
             F.get(_list("e.aliases"), F.lit(0)).alias("first_alias"),
         ),
-        "concert_aliases": nested(d + "concerts", "concert", "aliases", "alias"),
-        "concert_venues": nested(d + "concerts", "concert", "venues", "venue"),
-        "group_concerts": fields(d + "group_concerts", "name"),
-        "shows": fields(d + "variety_shows", "name", "network"),
-        "collabs": explode(
+        "concert_aliases": lambda: nested(d + "concerts", "concert", "aliases", "alias"),
+        "concert_venues": lambda: nested(d + "concerts", "concert", "venues", "venue"),
+        "group_concerts": lambda: fields(d + "group_concerts", "name"),
+        "shows": lambda: fields(d + "variety_shows", "name", "network"),
+        "collabs": lambda: explode(
             d + "collaborators", F.col("e.name").alias("name"),
             F.size(_list("e.songs")).alias("n_songs"),
         ),
-        "collab_songs": nested(d + "collaborators", "collab", "songs", "song"),
-        "collab_aliases": nested(d + "collaborators", "collab", "aliases", "alias"),
-        "group_mvs": words(d + "group_mvs", "track"),
-        "interviewers": words(d + "notable_interviewers", "name"),
-        "interview_channels": words(d + "interview_channels", "name"),
+        "collab_songs": lambda: nested(d + "collaborators", "collab", "songs", "song"),
+        "collab_aliases": lambda: nested(d + "collaborators", "collab", "aliases", "alias"),
+        "group_mvs": lambda: words(d + "group_mvs", "track"),
+        "interviewers": lambda: words(d + "notable_interviewers", "name"),
+        "interview_channels": lambda: words(d + "interview_channels", "name"),
         "blacklist": blacklist,
-        "categories": profiles.select(
-            "profile", F.posexplode("categories").alias("pos", "e")
-        ).select("profile", "pos", "e.*"),
+        "categories": lambda: fields(
+            "categories", "id", "key", "label", "sub", "output_path", "description"
+        ),
     }
+    return {name: tables[name]() for name in names or tables}
 
 
 def _sql_list(values: list[str]) -> str:

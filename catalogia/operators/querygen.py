@@ -134,7 +134,13 @@ def search_plan(queries: DataFrame, dims: dict[str, DataFrame], nested=False) ->
         "profile", "pos", F.col("id").alias("file_id"), F.col("key").alias("category"),
         "output_path", F.concat("primary", "label").alias("title"), "description",
     )
-    flat = categories.join(queries, ["profile", "category"], "left")
+    # The long side, queries, is never shuffled to meet its category.
+    named = attach(
+        queries, categories, ["profile", "category"], ["tool", "query", "page"], "inner"
+    )
+    used = queries.select("profile", "category").distinct()
+    unused = categories.join(used, ["profile", "category"], "left_anti")
+    flat = named.unionByName(unused, allowMissingColumns=True)
     if not nested:
         return flat
     search = F.when(F.col("query").isNotNull(), F.struct("ord", "tool", "query", "page"))

@@ -153,7 +153,7 @@ select f.profile, f.category,
 from filtered f join p_cats c on c.profile = f.profile and c.key = f.category""", _DOCUMENT))
 def document_lines(spark, sf_dir):
     """Counts and rows both read the catalogue, so it is stored first."""
-    d = profile_dims(tables.profiles(spark))
+    d = profile_dims(tables.profiles(spark), "categories", "profiles")
     items = cut_lineage(settled(spark, sf_dir).drop("description", "classification_reason"))
     return rendering.document_lines(items, d["categories"], d["profiles"], "2024-01-01")
 
@@ -224,7 +224,7 @@ select f.profile, 'TOTAL', null, null, count(*) from filtered f
 join p_cats c on f.profile = c.profile and f.category = c.key group by f.profile"""))
 def nav_counts(spark, sf_dir):
     return B.nav_counts(
-        settled(spark, sf_dir), profile_dims(tables.profiles(spark))["categories"]
+        settled(spark, sf_dir), profile_dims(tables.profiles(spark), "categories")["categories"]
     )
 
 
@@ -274,7 +274,7 @@ select 'c' || k as profile, a as album_pos, 'album ' || a as album, t as pos,
   'track ' || a || '-' || t as track
 from (select k, a, unnest(range(0, 1 + (k + a) % 5)) as t from a) x""")
 def profile_tracks(spark, sf_dir):
-    return profile_dims(_documents(spark, sf_dir))["tracks"]
+    return profile_dims(_documents(spark, sf_dir), "tracks")["tracks"]
 
 
 _ISSUES = """
@@ -299,7 +299,8 @@ def profile_issues(spark, sf_dir):
 @query(_ISSUES)
 def dimension_issues(spark, sf_dir):
     """The same from flat dimensions."""
-    return profile_checks.profile_issues(profile_dims(_documents(spark, sf_dir)))
+    names = ["profiles", "albums", "tracks", "ost", "collabs", "shows", "variety_singles", "interviewers"]
+    return profile_checks.profile_issues(profile_dims(_documents(spark, sf_dir), *names))
 
 
 @query("""select c_custkey, case when c_custkey % 3 > 0 then regexp_matches(c_name || ' by S.H-' ||
@@ -318,8 +319,17 @@ def group_name_pattern(spark, sf_dir):
 # --- query generation over the part, supplier, nation and region tables ------------------
 
 def _dimension(name: str) -> str:
+    if name == "categories":
+        keys = ", ".join(q(k) for k in tables.CATEGORY_KEYS)
+        return (
+            "select p_type as profile, pos - 1 as pos, pos + 1 as id, k[pos] as key, "
+            "' ' || k[pos] as label, k[pos] || '.md' as output_path, 'About ' || k[pos] as description "
+            f"from (select p_type, [{keys}] as k, unnest(range(1, {len(tables.CATEGORY_KEYS) + 1})) as pos "
+            "from (select distinct p_type from part) t) u"
+        )
     sql = tables.DIMS_SQL[name]
-    return sql.format(part="part", supplier="supplier", nation="nation", region="region")
+    names = ("part", "supplier", "nation", "region", "lineitem")
+    return sql.format(**{t: t for t in names})
 
 
 _SOURCED = "coalesce(source, '') <> ''"
@@ -370,7 +380,7 @@ def _generation_ctes() -> str:
     ctes = ["heads as (select profile, \"primary\" as prim, english, group_name, group_alias "
             f"from ({_dimension('profiles')}) p)"]
     for name in tables.DIMS_SQL:
-        if name in ("profiles", "categories"):
+        if name == "profiles":
             continue
         extra = ""
         if name == "tracks":

@@ -48,7 +48,7 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _categories(spark: SparkSession) -> DataFrame:
-    return dims(tables.profiles(spark))["categories"]
+    return dims(tables.profiles(spark), "categories")["categories"]
 
 
 @query(with_ctes("classified", f"select {_ROW}, category, classification_reason from classified"))
@@ -186,7 +186,7 @@ join (select c.profile, string_agg('- ' || key || ': ' || description, chr(10) o
   from p_cats c join p_heads h on h.profile = c.profile group by c.profile) l
 on l.profile = t.profile""", _NUMBERED))
 def label_prompts(spark, sf_dir):
-    d = dims(tables.profiles(spark))
+    d = dims(tables.profiles(spark), "categories", "profiles")
     return labels.label_prompts(_batches(spark, sf_dir), d["categories"], d["profiles"])
 
 
@@ -194,7 +194,10 @@ _KEYS = [*V.CATEGORY_FILE_IDS, V.DISCARD, "no_such_category"]
 
 
 def _answers(spark, sf_dir, batches: DataFrame) -> DataFrame:
-    """A labeller's answer per labelled item, in one of four envelopes."""
+    """A labeller's answer per labelled item, in one of three envelopes.
+
+    Answers for toxic documents come with chatter and are no JSON, so they give no label.
+    """
     marks = tables.table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "ord")
     batched = batches.join(marks, "ord")
     keys = F.array(*[F.lit(k) for k in _KEYS])
@@ -206,9 +209,10 @@ def _answers(spark, sf_dir, batches: DataFrame) -> DataFrame:
     message = F.to_json(F.array(F.struct(
         F.array(F.struct(F.lit("text").alias("type"), answer.alias("text"))).alias("content")
     )))
-    kind = F.col("ord") % 4
-    raw = F.when(kind == 0, answer).when(kind == 1, wrapped).when(kind == 2, message).otherwise(
-        F.concat(F.lit("I think "), answer)
+    kind = F.col("ord") % 3
+    chatty = F.concat(F.lit("I think "), answer)
+    raw = F.when(F.col("toxic") == 1, chatty).when(kind == 0, answer).when(kind == 1, wrapped).otherwise(
+        message
     )
     return batched.select("profile", "batch_id", raw.alias("raw"))
 
@@ -217,7 +221,7 @@ _KEY_LIST = "[" + ", ".join(q(k) for k in _KEYS) + "]"
 _LABELS = f"""answered as (
   select b.profile, b.ord, b.batch_id, b.idx,
     {_KEY_LIST}[1 + b.ord % {len(_KEYS)}] as cat, 'quality ' || l.quality as reason
-  from batched b join labels l on l.doc_id = b.ord where b.ord % 4 <> 3)"""
+  from batched b join labels l on l.doc_id = b.ord where toxic = 0)"""
 
 
 @query(with_ctes(

@@ -210,7 +210,7 @@ select doc_id, cast(1 + doc_id % 4 as int) as page_no, split_part(text, chr(10),
   source as channel, replace(substr(text, 1, 300), chr(10), ' ') as description,
   case when doc_id % 2 = 0 then '2021-12-31' else '' end as published_at, true as verified,
   'channel_crawl' as source
-from documents where lang <> 'fr' and 1 + doc_id % 4 <= 3""")
+from documents where lang <> 'fr'""")
 def norm_playlist(spark, sf_dir):
     documents = _documents(spark, sf_dir)
     snippet = F.struct(
@@ -224,7 +224,7 @@ def norm_playlist(spark, sf_dir):
         "doc_id", (F.col("doc_id") % 4 + 1).cast("int").alias("page_no"),
         F.to_json(F.struct(F.array(item).alias("items"))).alias("payload"),
     )
-    return payloads.norm_playlist(pages, max_pages=3).drop("pos")
+    return payloads.norm_playlist(pages).drop("pos")
 
 
 @query("""
@@ -247,12 +247,12 @@ select page_id, trim(regexp_replace('<em class="k">' || url || '</em> ', '<[^>]+
   case when page_id % 3 = 0 then '' else strftime(to_timestamp(1500000000 + page_id * 86400)
     at time zone 'UTC', '%Y-%m-%d') end as published_at,
   '3:' || lpad((page_id % 60)::varchar, 2, '0') as duration, cast(null as boolean) as verified
-from pages where page_id % 10 <> 4""")
+from pages where not contains(url, '#')""")
 def norm_bili(spark, sf_dir):
     pages = tables.table(spark, sf_dir, "pages")
     page = F.col("page_id")
     item = F.struct(
-        F.when(page % 10 != 4, F.concat(F.lit("BV"), page.cast("string"))).alias("bvid"),
+        F.when(~F.contains("url", F.lit("#")), F.concat(F.lit("BV"), page.cast("string"))).alias("bvid"),
         F.concat(F.lit('<em class="k">'), "url", F.lit("</em> ")).alias("title"),
         (page * 3).alias("play"), F.concat(F.lit("author"), (page % 7).cast("string")).alias("author"),
         F.col("html").alias("description"),

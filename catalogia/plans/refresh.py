@@ -36,6 +36,6 @@ def merge_labels(
     catalog: DataFrame, batches: DataFrame, responses: DataFrame, profiles: DataFrame,
 ) -> DataFrame:
     """Settled rows plus the labelled ones; ``batches`` as they were handed out."""
-    categories = dims(profiles)["categories"]
+    categories = dims(profiles, "categories")["categories"]
     labelled = apply_labels(batches, parse_label_responses(responses), categories)
     return finalise(catalog, labelled, profiles)

@@ -10,6 +10,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from catalogia import fixed_values as V
 from catalogia.operators.distribution import spread_small_input
 from catalogia.schema import PROFILE
 from catalogia.sources.profiles import parse_profiles
@@ -226,14 +227,33 @@ def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CATEGORY_KEYS = [*V.CATEGORY_FILE_IDS, "extra"]
+
+
 def part_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Profile dimensions from the part, supplier, nation and region tables."""
-    sources = {t: table(spark, sf_dir, t) for t in ("part", "supplier", "nation", "region")}
-    return {name: spark.sql(sql.format(
-        part="{part}", supplier="{supplier}", nation="{nation}", region="{region}"
-    ), **{t: df for t, df in sources.items() if "{" + t + "}" in sql})
-        for name, sql in DIMS_SQL.items()}
+    """Profile dimensions from the part, lineitem, supplier, nation and region tables."""
+    names = ("part", "supplier", "nation", "region", "lineitem")
+    sources = {t: table(spark, sf_dir, t) for t in names}
+    found = {}
+    for name, sql in DIMS_SQL.items():
+        used = {t: df for t, df in sources.items() if "{" + t + "}" in sql}
+        found[name] = spark.sql(sql, **used)
+    listed = F.posexplode(F.array(*[F.lit(k) for k in CATEGORY_KEYS]))
+    key = F.col("key")
+    found["categories"] = (
+        sources["part"].select(F.col("p_type").alias("profile")).distinct()
+        .select("profile", listed.alias("pos", "key")).select(
+            "profile", "pos", (F.col("pos") + 2).alias("id"), "key",
+            F.concat(F.lit(" "), key).alias("label"), F.concat(key, F.lit(".md")).alias("output_path"),
+            F.concat(F.lit("About "), key).alias("description"),
+        )
+    )
+    return found
+
 
+# Suppliers of the parts of a profile.
+_SUPPLY = """(select distinct p_type as profile, l_suppkey as suppkey
+  from {lineitem} join {part} on p_partkey = l_partkey)"""
 
 # Each dimension reads whole tables; {part} and the like stand for their names.
 DIMS_SQL = {
@@ -243,11 +263,6 @@ select distinct p_type as profile, p_type as primary,
   case when length(p_type) > 5 then p_type || ' Band' end as group_name,
   case when length(p_type) > 6 then 'B-' || p_type end as group_alias
 from {part}""",
-    "categories": """
-select distinct p_type as profile, k.pos as pos, k.pos + 2 as id, k.key as key,
-  ' ' || k.key as label, '' as sub, k.key || '.md' as output_path, 'About ' || k.key as description
-from {part} cross join (values (0, 'personal_mv'), (1, 'ost_singles'), (2, 'concerts'),
-  (3, 'variety'), (4, 'interviews'), (5, 'group_mv'), (6, 'collabs'), (7, 'extra')) k(pos, key)""",
     "albums": """
 select distinct p_type as profile, cast(substr(p_brand, 7) as int) as pos, p_brand as album,
   1990 + cast(substr(p_brand, 7) as int) as year
@@ -256,9 +271,10 @@ from {part}""",
 select p_type as profile, cast(substr(p_brand, 7) as int) as album_pos, p_brand as album,
   p_partkey as pos, p_name as track
 from {part}""",
-    "aliases": """
-select distinct p_type as profile, n_nationkey as pos, n_name as alias
-from {part} cross join {nation}""",
+    "aliases": f"""
+select distinct profile, n_nationkey as pos, n_name as alias
+from {_SUPPLY} s join {{supplier}} on s_suppkey = suppkey
+  join {{nation}} on n_nationkey = s_nationkey""",
     "ost": """
 select p_type as profile, p_partkey as pos, p_name as name,
   case p_size % 3 when 0 then '' when 1 then p_name else p_brand end as source,
@@ -281,10 +297,10 @@ select p_type as profile, p_partkey as concert_pos, p_name || ' Tour' as concert
 from {part}""",
     "group_concerts": """
 select p_type as profile, p_partkey as pos, p_name || ' Group Tour' as name from {part}""",
-    "shows": """
-select distinct p_type as profile, cast(s_suppkey as int) as pos, s_name as name,
+    "shows": f"""
+select profile, cast(s_suppkey as int) as pos, s_name as name,
   case when s_nationkey % 2 = 0 then '' else 'Net ' || cast(s_nationkey as string) end as network
-from {part} cross join {supplier}""",
+from {_SUPPLY} s join {{supplier}} on s_suppkey = suppkey""",
     "collabs": """
 select p_type as profile, p_partkey as pos, p_brand || ' ' || p_name as name,
   p_size % 3 as n_songs
@@ -299,12 +315,15 @@ select p_type as profile, p_partkey as collab_pos, p_brand || ' ' || p_name as c
 from {part}""",
     "group_mvs": """
 select p_type as profile, p_partkey as pos, p_name as track from {part}""",
-    "interviewers": """
-select distinct p_type as profile, r_regionkey as pos, r_name as name
-from {part} cross join {region} where p_type <> 'LARGE'""",
-    "interview_channels": """
-select distinct p_type as profile, n_nationkey as pos, n_name || ' TV' as name
-from {part} cross join {nation}""",
+    "interviewers": f"""
+select distinct profile, r_regionkey as pos, r_name as name
+from {_SUPPLY} s join {{supplier}} on s_suppkey = suppkey
+  join {{nation}} on n_nationkey = s_nationkey join {{region}} on r_regionkey = n_regionkey
+where profile <> 'LARGE'""",
+    "interview_channels": f"""
+select distinct profile, n_nationkey as pos, n_name || ' TV' as name
+from {_SUPPLY} s join {{supplier}} on s_suppkey = suppkey
+  join {{nation}} on n_nationkey = s_nationkey""",
 }
 
 

@@ -6,6 +6,7 @@ split into known and new against the items stored by earlier micro-batches.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,7 +35,10 @@ def _stored_before(spark: SparkSession, table: str, batch_id: int, schema) -> Da
     """Items of earlier micro-batches; a repeated micro-batch does not meet its own rows."""
     try:
         stored = spark.read.parquet(table)
-    except Exception:  # the table does not exist before the first write
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # Nothing was stored before the first micro-batch.
         return spark.createDataFrame([], schema)
     return stored.filter(F.col("batch_id") < batch_id)
 

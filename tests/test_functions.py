@@ -38,7 +38,7 @@ def test_text(apply):
     assert apply(lambda x: C.truncate_desc(x, 5), ["ab\ncdefg", None, "星\n河河河河河"]) == [
         "ab cd", "", "星 河河河",
     ]
-    assert apply(C.slug, ["Star Lin", "G.E.M.", "A-Lin"]) == ["star_lin", "gem", "a-lin"]
+    assert apply(C.slug, ["Star Lin", "D.O.T.", "A-Name"]) == ["star_lin", "dot", "a-name"]
     assert apply(C.escape_md, [" a|b\nc ", None]) == ["a\\|b c", ""]
     fence = "```"
     assert apply(C.strip_fences, [f"{fence}json\n[1]\n{fence}", "x", f"{fence}only", f"a{fence}"]) == [
