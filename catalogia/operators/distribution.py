@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 # A dimension is broadcast only up to this many bytes of JSON text.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with at least this many rows is hot and is spread over SALTS buckets.
+# Rows of one key that a task should meet; a key with more is hot and spread further.
 HOT_ROWS = 1_000_000
-SALTS = 64
-# Buckets of the order column in ordered_index.
-INDEX_BUCKETS = 64
+# Rows of one numbering bucket, and the most cut points that numbering takes.
+INDEX_ROWS = 1_000_000
+INDEX_GRID = 4096
 
 
 def fits_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -42,37 +42,39 @@ def first_by(df: DataFrame, by: list, order: list, n: int = 1, rank: str | None
 
 
 def hot_keys(big: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows: at most count(big) / hot_rows of them."""
+    """Keys with at least ``hot_rows`` rows, and into how many parts to split each.
+
+    There are at most count(big) / hot_rows of them, whatever the data.
+    """
     return (
         big.select(*on).dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= hot_rows).select(*on, F.lit(True).alias("_hot"))
+        .filter(F.col("_n") >= hot_rows)
+        .select(*on, F.ceil(F.col("_n") / hot_rows).alias("_parts"))
     )
 
 
 def salted_join(
     big: DataFrame, small: DataFrame, on: list[str], spread: list[str], how: str = "left",
-    hot_rows: int = HOT_ROWS, salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join in which hot keys of ``big`` are spread over several tasks.
+    """Join in which hot keys of ``big`` are spread over as many tasks as they need.
 
-    ``small`` has one row per key.  Rows of a hot key get a salt from their own
-    identity (``spread``), so a rerun task gives the same salt; the matching row of
-    ``small`` is repeated once per salt.  Rows without a key are salted as well, since
-    they match nothing.  The list of hot keys is bounded by its definition and
-    therefore safe to broadcast.
+    Rows of a hot key get a salt from their own identity (``spread``), so a rerun task
+    gives the same salt; the matching rows of ``small`` are repeated once per salt.
+    Rows without a key match nothing and are spread freely.  The list of hot keys is
+    bounded by its definition and therefore safe to broadcast.
     """
     hot = F.broadcast(hot_keys(big, on, hot_rows))
     keyless = F.lit(False)
     for key in on:
         keyless = keyless | F.col(key).isNull()
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    identity = F.xxhash64(*spread)
     left = big.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | keyless, salt).otherwise(0)
-    ).drop("_hot")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = small.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
+        "_salt",
+        F.when(keyless, identity).otherwise(F.pmod(identity, F.coalesce("_parts", F.lit(1)))),
+    ).drop("_parts")
+    salts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
+    right = small.join(hot, on, "left").withColumn("_salt", F.explode(salts)).drop("_parts")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
@@ -86,26 +88,43 @@ def attach(
     return salted_join(items, dim, on, spread, how, hot_rows=hot_rows)
 
 
+def _bucket(points: list[int], order: str) -> str:
+    """SQL: number of cut points below the value, found in two short steps."""
+    if not points:
+        return "0"
+    width = max(1, round(len(points) ** 0.5))
+    groups = [points[i:i + width] for i in range(0, len(points), width)]
+    heads = "array(" + ", ".join(f"{g[0]}L" for g in groups) + ")"
+    inner = "array(" + ", ".join(
+        "array(" + ", ".join(f"{p}L" for p in g) + ")" for g in groups
+    ) + ")"
+    group = f"size(filter({heads}, p -> p < {order}))"
+    return (
+        f"if({group} = 0, 0, ({group} - 1) * {width} + "
+        f"size(filter(get({inner}, {group} - 1), p -> p < {order})))"
+    )
+
+
 def ordered_index(
     df: DataFrame, by: list[str], lead: list[str], order: str, name: str = "index",
-    buckets: int = INDEX_BUCKETS, places: DataFrame | None = None,
+    buckets: int | None = None, places: DataFrame | None = None,
 ) -> DataFrame:
     """0-based dense number per group ``by`` in the order of (``lead``.., ``order``).
 
-    A window over a whole group would sort a hot group in one task.  Here the order
-    column is cut at ``buckets`` fixed points (quantiles, fetched once as literals, so
-    every reading of the plan buckets alike), rows are numbered inside a bucket, and
-    small per-bucket counts give the offset.  ``places`` may name a table that is cheaper
-    to read and has the same order column; any cut points give the same numbers.
+    A window over a whole group would sort a hot group in one task.  Here the whole-number
+    order column is cut at quantiles, about one per ``INDEX_ROWS`` rows (fetched once as
+    literals, so every reading of the plan buckets alike), rows are numbered inside a
+    bucket, and small per-bucket counts give the offset.  ``places`` may name a table that
+    is cheaper to read and has the same order column; any cut points give the same numbers.
     """
-    cuts = [i / buckets for i in range(1, buckets)]
-    measured = df if places is None else places
-    found = measured.agg(F.percentile_approx(order, cuts, 1000).alias("cuts")).first()["cuts"] or []
-    bucket: Column = F.lit(0)
-    if found:
-        # The bucket is the number of cut points below the value.
-        points = F.array(*[F.lit(p) for p in sorted(set(found))])
-        bucket = F.size(F.filter(points, lambda p: p < F.col(order)))
+    grid = [i / INDEX_GRID for i in range(1, INDEX_GRID)]
+    seen = (df if places is None else places).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx(order, grid, 10 * INDEX_GRID).alias("cuts")
+    ).first()
+    points = sorted(set(seen["cuts"] or []))
+    wanted = buckets or -(-seen["n"] // INDEX_ROWS)
+    points = points[:: max(1, len(points) // wanted)] if wanted > 1 else []
+    bucket = F.expr(_bucket(points, order))
     cells = [*by, *lead, "_bucket"]
     bucketed = df.withColumn("_bucket", bucket)
     before = Window.partitionBy(*by).orderBy(*lead, "_bucket").rowsBetween(

@@ -75,7 +75,7 @@ def test_hot_keys_are_salted_and_nothing_is_lost(spark):
     big = spark.createDataFrame(rows, "i int, k string")
     small = spark.createDataFrame([("hot", 1), ("a", 2), ("b", 3)], "k string, v int")
     for how in ("left", "inner", "left_semi", "left_anti"):
-        got = distribution.salted_join(big, small, ["k"], ["i"], how, hot_rows=50, salts=7)
+        got = distribution.salted_join(big, small, ["k"], ["i"], how, hot_rows=50)
         plain = big.join(small, "k", how)
         assert sorted(map(str, got.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
     attached = distribution.attach(big, small, ["k"], ["i"], "left", max_bytes=0, hot_rows=50)
@@ -87,7 +87,7 @@ def test_ordered_index_equals_a_window(spark):
     rows = [(f"p{rng.random() < 0.8}", rng.randrange(3), i) for i in rng.sample(range(10 ** 12), 700)]
     df = spark.createDataFrame(rows, "p string, f int, o bigint")
     plain = F.row_number().over(Window.partitionBy("p").orderBy("f", "o")) - 1
-    for buckets in (1, 5, 64):
+    for buckets in (None, 1, 5, 64, 5000):
         got = distribution.ordered_index(df, ["p"], ["f"], "o", buckets=buckets)
         both = got.join(df.withColumn("w", plain), ["p", "f", "o"])
         assert both.count() == 700 and both.filter("index <> w").count() == 0
