@@ -117,9 +117,10 @@ def ordered_index(
     bucket, and small per-bucket counts give the offset.  ``places`` may name a table that
     is cheaper to read and has the same order column; any cut points give the same numbers.
     """
-    grid = [i / INDEX_GRID for i in range(1, INDEX_GRID)]
+    grid = ", ".join(f"{i / INDEX_GRID}D" for i in range(1, INDEX_GRID))
     seen = (df if places is None else places).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx(order, grid, 10 * INDEX_GRID).alias("cuts")
+        F.count(F.lit(1)).alias("n"),
+        F.expr(f"percentile_approx({order}, array({grid}), {10 * INDEX_GRID})").alias("cuts"),
     ).first()
     points = sorted(set(seen["cuts"] or []))
     wanted = buckets or -(-seen["n"] // INDEX_ROWS)

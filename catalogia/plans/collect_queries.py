@@ -9,7 +9,9 @@ from catalogia import functions as C
 from catalogia.operators import dedup, links
 from catalogia.plans import tables
 from catalogia.plans.oracle_parts import WHO, with_ctes
+from catalogia.plans.refresh import classify_items
 from catalogia.plans.registry import query
+from catalogia.plans.tables import items_sql
 from catalogia.sources import files, payloads
 
 _ROW = "profile, file_id, ord"
@@ -360,6 +362,82 @@ def crawl_summary(spark, sf_dir):
     return files.crawl_summary(_flagged(spark, sf_dir))
 
 
+# --- the flow from items to the catalogue -------------------------------------------------
+
+_UNIQUE = f"""all_items as ({items_sql()}),
+all_keyed as (select *, {_KEY} as k, cast({_RICH} as bigint) as rich from all_items),
+items as (
+  select r.* exclude (file_id, ord, original_file_id, k, rich, rn), f.file_id, f.ord,
+    r.file_id as original_file_id
+  from (select *, row_number() over (partition by profile, k order by rich desc, file_id, ord) as rn
+    from all_keyed) r
+  join (select profile, k, file_id, ord, row_number() over (
+    partition by profile, k order by file_id, ord) as rn from all_keyed) f
+  on f.profile = r.profile and f.k = r.k and f.rn = 1 where r.rn = 1)"""
+
+
+def _refreshed(spark, sf_dir) -> DataFrame:
+    unique = dedup.dedup_richest(tables.items(spark, sf_dir))
+    return classify_items(unique, tables.profiles(spark))
+
+
+@query(with_ctes("filtered", f"""select {_ROW}, original_file_id, category, classification_reason,
+  confidence, url from filtered""", items=_UNIQUE))
+def catalog_refresh(spark, sf_dir):
+    """Unique items, classified, scored and filtered in one plan."""
+    return _refreshed(spark, sf_dir).select(
+        "profile", "file_id", "ord", "original_file_id", "category", "classification_reason",
+        "confidence", "url",
+    )
+
+
+@query(with_ctes("filtered", """select profile, category, count(*) as n,
+  count(distinct original_file_id) as n_files, max(plays) as most_plays
+from filtered group by profile, category""", items=_UNIQUE))
+def unique_items_per_category(spark, sf_dir):
+    return _refreshed(spark, sf_dir).groupBy("profile", "category").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("original_file_id").alias("n_files"),
+        F.max(C.views()).alias("most_plays"),
+    )
+
+
+@query("""
+select lang as profile, cast(doc_id as int) as file_id, i - 1 as ord, l[i] as title,
+  'https://example.org/' || md5(l[i]) as url, cast(doc_id as int) as original_file_id
+from (select doc_id, lang, l, unnest(range(1, len(l) + 1)) as i
+  from (select doc_id, lang, string_split(text, chr(10)) as l from documents) a) b""")
+def catalog_items(spark, sf_dir):
+    """Nested catalogue files, one per document with its lines as results, to item rows."""
+    results = F.transform(F.split("text", "\n"), lambda line: F.struct(
+        line.alias("title"), F.concat(F.lit("https://example.org/"), F.md5(line)).alias("url"),
+        F.lit(None).cast("int").alias("original_file_id"),
+    ))
+    nested = _documents(spark, sf_dir).select(
+        F.col("lang").alias("profile"), F.col("doc_id").cast("int").alias("file_id"),
+        results.alias("results"),
+    )
+    return files.explode_catalog(nested).select(
+        "profile", "file_id", "ord", "title", "url", "original_file_id"
+    )
+
+
+@query("""
+select distinct doc_id, md5(line) as url,
+  ['approve', 'reject', 'skip'][1 + length(line) % 3] as action,
+  timestamp '2024-01-02 03:04:05' as decided_at
+from (select doc_id, unnest(string_split(text, chr(10))) as line from documents) t""")
+def decision_rows(spark, sf_dir):
+    """Review state files, one per document with its lines as urls, to decision rows."""
+    lines = F.array_distinct(F.split("text", "\n"))
+    actions = F.array(F.lit("approve"), F.lit("reject"), F.lit("skip"))
+    state = F.map_from_arrays(
+        F.transform(lines, F.md5), F.transform(lines, lambda x: F.get(actions, F.length(x) % 3))
+    )
+    return files.explode_decisions(_documents(spark, sf_dir).select(
+        "doc_id", state.alias("reviewed"), F.lit("2024-01-02T03:04:05").alias("session_start")
+    ))
+
+
 # --- link checks: item urls, with a status per url as a probe would report it ----------
 
 _STATUSES = [200, 301, 404, 0, 500, 206]

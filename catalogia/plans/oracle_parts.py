@@ -311,8 +311,12 @@ _CHAIN = {
 }
 
 
-def with_ctes(upto: str, query: str, *more: str) -> str:
-    """``query`` after every CTE up to the named one, and any extra ones."""
+def with_ctes(upto: str, query: str, *more: str, items: str | None = None) -> str:
+    """``query`` after every CTE up to the named one, and any extra ones.
+
+    ``items`` replaces the CTEs that end in the item rows.
+    """
     names = list(_CHAIN)
-    parts = [_CHAIN[n] for n in names[: names.index(upto) + 1]]
+    chain = {**_CHAIN, "items": items or ITEMS}
+    parts = [chain[n] for n in names[: names.index(upto) + 1]]
     return "with " + ",\n".join([*parts, *more]) + "\n" + query

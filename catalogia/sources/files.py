@@ -100,15 +100,21 @@ def append_discards(discards: DataFrame, path: str, fmt: str = "parquet") -> Non
     ).format(fmt).save(path)
 
 
-def read_decisions(spark: SparkSession, path: str) -> DataFrame:
-    """Review state files to rows (url, action, decided_at)."""
-    files = spark.read.schema(DECISIONS_FILE).option("multiLine", True).json(path)
+def explode_decisions(files: DataFrame) -> DataFrame:
+    """Maps of url to action as rows (url, action, decided_at), after any other columns."""
+    rest = [c for c in files.columns if c not in ("reviewed", "session_start")]
     return files.select(
-        F.explode("reviewed").alias("url", "action"),
+        *rest, F.explode("reviewed").alias("url", "action"),
         F.col("session_start").try_cast("timestamp").alias("decided_at"),
     )
 
 
+def read_decisions(spark: SparkSession, path: str) -> DataFrame:
+    """Review state files to rows (url, action, decided_at)."""
+    files = spark.read.schema(DECISIONS_FILE).option("multiLine", True).json(path)
+    return explode_decisions(files)
+
+
 def write_decisions(decisions: DataFrame, path: str, mode: str = "append") -> None:
     decisions.select("url", "action", "decided_at").write.mode(mode).parquet(path)
 
