@@ -66,14 +66,21 @@ def _found_by_gram(names: DataFrame, titles: DataFrame) -> DataFrame:
     keyed = sized.select("profile", "_name_id", windows.alias("_key"))
     # At most one short list of lengths per profile.
     lengths = sized.groupBy("profile").agg(F.collect_set("_n").alias("_lengths"))
-    titled = titles.withColumn("_title_id", F.md5("_title"))
+    # Copies of a title count once; they are merged before the shuffle.
+    titled = titles.groupBy("profile", F.md5("_title").alias("_title_id")).agg(
+        F.first("_title").alias("_title")
+    )
     offered = attach(titled, lengths, ["profile"], ["_title_id"], "inner")
     blocks = offered.select("profile", "_title_id", F.expr(f"explode({_blocks()})").alias("_key"))
     # Only ids travel here; a block that very many titles share is salted.
     pairs = salted_join(blocks, keyed, ["profile", "_key"], ["_title_id"], "inner").select(
         "profile", "_title_id", "_name_id"
     ).distinct()
-    candidates = pairs.join(sized.select("profile", "_name_id", "_name"), ["profile", "_name_id"])
+    # A name that is in very many titles is salted too.
+    candidates = salted_join(
+        pairs, sized.select("profile", "_name_id", "_name"), ["profile", "_name_id"], ["_title_id"],
+        "inner",
+    )
     verified = candidates.join(titled, ["profile", "_title_id"]).filter(
         F.contains(F.col("_title"), F.col("_name"))
     )

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from catalogia import fixed_values as V
+from catalogia.operators.distribution import salted_join
 
 OST_WITHOUT_SOURCE = "ost_without_source"
 COLLAB_WITHOUT_SONGS = "collab_without_songs"
@@ -77,7 +78,9 @@ def issue_rows(dims: dict[str, DataFrame]) -> DataFrame:
         singles = dims["variety_singles"].select("profile").distinct()
         add(
             SHOWS_WITHOUT_SINGLES,
-            dims["shows"].filter(_singing_show()).join(singles, "profile", "left_anti"),
+            salted_join(
+                dims["shows"].filter(_singing_show()), singles, ["profile"], ["name"], "left_anti"
+            ),
         )
     if {"profiles", "interviewers"} <= dims.keys():
         asked = dims["interviewers"].select("profile").distinct()
