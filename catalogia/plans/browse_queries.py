@@ -242,7 +242,7 @@ def _documents(spark, sf_dir) -> DataFrame:
   concat_ws(' · ', case when c_custkey % 3 > 0 then (1950 + c_nationkey)::varchar end,
     case when c_custkey % 4 > 0 then c_mktsegment end,
     case when c_custkey % 5 > 0 then 'Award ' || c_nationkey end) as card,
-  c_custkey % 3 as n_categories from customer""")
+  cast(c_custkey % 3 as int) as n_categories from customer""")
 def landing_cards(spark, sf_dir):
     return B.landing_cards(_documents(spark, sf_dir))
 
@@ -257,8 +257,9 @@ def profiles_with_data(spark, sf_dir):
     return B.profiles_with_data(_documents(spark, sf_dir), items).select("profile")
 
 
-@query("""select 'c' || c_custkey as profile, 1 + c_custkey % 4 as n_albums, c_custkey % 3 as n_ost,
-  c_custkey % 2 as n_concerts, c_custkey % 3 as n_collaborators, c_custkey % 3 as n_categories
+@query("""select 'c' || c_custkey as profile, cast(1 + c_custkey % 4 as int) as n_albums,
+  cast(c_custkey % 3 as int) as n_ost, cast(c_custkey % 2 as int) as n_concerts,
+  cast(c_custkey % 3 as int) as n_collaborators, cast(c_custkey % 3 as int) as n_categories
 from customer""")
 def profile_stats(spark, sf_dir):
     return profile_checks.profile_stats(_documents(spark, sf_dir))
@@ -274,7 +275,7 @@ def schema_problems(spark, sf_dir):
 
 @query("""
 with a as (select c_custkey as k, unnest(range(0, 1 + c_custkey % 4)) as a from customer)
-select 'c' || k as profile, a as album_pos, 'album ' || a as album, t as pos,
+select 'c' || k as profile, cast(a as int) as album_pos, 'album ' || a as album, cast(t as int) as pos,
   'track ' || a || '-' || t as track
 from (select k, a, unnest(range(0, 1 + (k + a) % 5)) as t from a) x""")
 def profile_tracks(spark, sf_dir):
@@ -424,7 +425,7 @@ def gen_queries(spark, sf_dir):
     return queries.select("profile", "tool", "query", "page", "category", "ord.*")
 
 
-@query(f"""with {_GENERATED} select c.profile, c.pos, c.id as file_id, c.key as category, output_path,
+@query(f"""with {_GENERATED} select c.profile, cast(c.pos as int) as pos, cast(c.id as int) as file_id, c.key as category, output_path,
   h.prim || c.label as title, description, tool, query, page, step, i
 from ({_dimension('categories')}) c join heads h on h.profile = c.profile
 left join generated g on g.profile = c.profile and g.category = c.key""")

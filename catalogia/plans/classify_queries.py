@@ -89,7 +89,7 @@ _LISTED = (
 
 
 @query(with_ctes("filtered", f"""
-select profile, category, max(file_id) as file_id, sum(n) as n from (
+select profile, category, max(file_id) as file_id, cast(sum(n) as bigint) as n from (
   select l.profile, l.category, l.file_id, count(f.ord) as n from {_LISTED}
   left join filtered f on f.profile = l.profile and f.category = l.category
   group by l.profile, l.category, l.file_id) c
@@ -138,7 +138,7 @@ def catalog_counts(spark, sf_dir):
     return reports.catalog_counts(settled(spark, sf_dir), _categories(spark))
 
 
-@query(with_ctes("filtered", """select profile, sum(n) as n_items,
+@query(with_ctes("filtered", """select profile, cast(sum(n) as bigint) as n_items,
   count(*) filter (n > 0) as n_categories from counted group by profile""", _CATALOG_COUNTS))
 def profile_summary(spark, sf_dir):
     return reports.profile_summary(settled(spark, sf_dir), _categories(spark))
