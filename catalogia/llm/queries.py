@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogia.llm.common import table
+from catalogia.llm.decontamination import find_contamination
+from catalogia.llm.kd_shards import shard_documents
+from catalogia.llm.quality_divergence import judge_quality
 from catalogia.llm.registry import ORACLES, QUERIES, query  # noqa: F401
+from catalogia.llm.toxicity import score_toxicity
 from catalogia.llm.url_filters import RULES, filter_urls
 
 URL_RULES = [
@@ -37,3 +41,31 @@ def op10_url_filters(spark, sf_dir):
     """Host, path, winning rule and verdict of every page's url."""
     rules = spark.createDataFrame(URL_RULES, RULES)
     return filter_urls(table(spark, sf_dir, "pages"), rules, "page_id")
+
+
+@query()
+def op2_quality_divergence(spark, sf_dir):
+    """Base measures, distances from the language references and verdict of every document."""
+    return judge_quality(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_benchmark_decontamination(spark, sf_dir):
+    """Documents that hold a benchmark item within its edit budget, with the place."""
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op8_toxicity(spark, sf_dir):
+    """Calibrated toxicity of every document."""
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op9_kd_shards(spark, sf_dir):
+    """Eight shards of nearly equal bytes; equal texts stay together."""
+    placed = shard_documents(table(spark, sf_dir, "documents"), shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
