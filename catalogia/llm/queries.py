@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from catalogia.llm.common import table
+from catalogia.llm.common import scratch, table
 from catalogia.llm.decontamination import find_contamination
 from catalogia.llm.kd_shards import shard_documents
+from catalogia.llm.packing import pack_documents
+from catalogia.llm.pii import replace_pii
 from catalogia.llm.quality_divergence import judge_quality
 from catalogia.llm.registry import ORACLES, QUERIES, query  # noqa: F401
+from catalogia.llm.substring_dedup import remove_duplicates
+from catalogia.llm.token_store import read_store, write_store
 from catalogia.llm.toxicity import score_toxicity
 from catalogia.llm.url_filters import RULES, filter_urls
 
+# The key is a parameter of the operator; this one belongs to the supplied test tables.
+PII_KEY = b"key of the test tables"
+TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = [
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
     ("com", "/fr/", "allow"), ("com", "/de/", "block"),
@@ -69,3 +77,31 @@ def op9_kd_shards(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query()
+def op4_best_fit_packing(spark, sf_dir):
+    """Every piece of every document with its sequence and place."""
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@query()
+def op6_token_store(spark, sf_dir):
+    """Start, length and checksum of every document, read back from a written store."""
+    path = scratch(spark)
+    write_store(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), path)
+    return read_store(spark, path)
+
+
+@query()
+def op5_pii_pseudonyms(spark, sf_dir):
+    """Every document with keyed pseudonyms in place of personal values."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_pii(docs, PII_KEY)
+
+
+@query()
+def op1_substring_dedup(spark, sf_dir):
+    """Words left of every document after removal of repeated windows, as a digest."""
+    kept = remove_duplicates(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
