@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalogia.llm.common import scratch, table
 from catalogia.llm.decontamination import find_contamination
 from catalogia.llm.kd_shards import shard_documents
+from catalogia.llm.ngram_join import jaccard_components
 from catalogia.llm.packing import pack_documents
 from catalogia.llm.pii import replace_pii
 from catalogia.llm.quality_divergence import judge_quality
@@ -105,3 +106,9 @@ def op1_substring_dedup(spark, sf_dir):
     """Words left of every document after removal of repeated windows, as a digest."""
     kept = remove_duplicates(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op3_ngram_jaccard(spark, sf_dir):
+    """Set size and near-duplicate component of every document."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
