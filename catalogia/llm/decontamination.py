@@ -145,36 +145,76 @@ def find_contamination(docs: DataFrame, items: DataFrame, words_per_edit: int =
     documents give repeated rows, repeated item ids (with their own texts) are searched each and
     give the nearest; other columns are ignored.
     """
-    items = items.filter("item_id is not null").select("item_id", "text").distinct()
-    size = items.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 64).alias("b")).first()["b"] or 0
+    items = _distinct(items)
     rows = docs.select("doc_id", "text")
-    if size > broadcast_bytes:
+    pairs = _listed(items, broadcast_bytes)
+    if pairs is None:
         return _joined(rows, items, words_per_edit)
-    listed = items.collect()
-    ids = [r["item_id"] for r in listed]
-    pairs = [(i, words_of(r["text"])) for i, r in enumerate(listed)]
 
     def search(batches):
-        known = Items(pairs, words_per_edit)
+        known = Searcher(pairs, words_per_edit)
         for batch in batches:
-            found = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = word_hashes(words_of(text))
-                best = {}
-                for i, places in known.candidates(h).items():
-                    hit = known.verify(h, i, places)
-                    if hit and (ids[i] not in best or hit < best[ids[i]]):
-                        best[ids[i]] = hit
-                found.extend((doc, item, *hit) for item, hit in best.items())
-            yield _rows(found)
+            yield _rows([
+                (doc, item, *hit)
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                for item, hit in known.hits(text).items()
+            ])
 
     return rows.mapInArrow(search, HITS)
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, words_per_edit: int = WORDS_PER_EDIT,
+                      broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``docs`` without the rows in which ``find_contamination`` finds an item; columns unchanged.
+
+    Items too many to be given to every task are joined: then rows that repeat a found id go too,
+    and rows without an id stay.
+    """
+    items = _distinct(items)
+    pairs = _listed(items, broadcast_bytes)
+    if pairs is None:
+        found = _joined(docs.select("doc_id", "text"), items, words_per_edit).select("doc_id").distinct()
+        return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+    def clean(batches):
+        known = Searcher(pairs, words_per_edit)
+        for batch in batches:
+            yield batch.filter(pa.array([not known.hits(t) for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
+def _distinct(items: DataFrame) -> DataFrame:
+    return items.filter("item_id is not null").select("item_id", "text").distinct()
+
+
+def _listed(items: DataFrame, broadcast_bytes: int) -> list[tuple[int, list[bytes]]] | None:
+    """Items and their words, or None if their measured size is over the limit."""
+    size = items.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 64).alias("b")).first()["b"] or 0
+    if size > broadcast_bytes:
+        return None
+    return [(r["item_id"], words_of(r["text"])) for r in items.collect()]
+
+
+class Searcher:
+    """Finds the listed items in texts."""
+
+    def __init__(self, pairs: list[tuple[int, list[bytes]]], words_per_edit: int):
+        self.ids = [item for item, _ in pairs]
+        self.items = Items(list(enumerate(words for _, words in pairs)), words_per_edit)
+
+    def hits(self, text: str | None) -> dict[int, tuple[int, int, int]]:
+        """item_id -> (distance, first word, last word) of the nearest occurrence."""
+        h, best = word_hashes(words_of(text)), {}
+        for i, places in self.items.candidates(h).items():
+            hit, item = self.items.verify(h, i, places), self.ids[i]
+            if hit and (item not in best or hit < best[item]):
+                best[item] = hit
+        return best
+
+
 def _joined(rows: DataFrame, items: DataFrame, words_per_edit: int) -> DataFrame:
     """The same for items of any size: pieces meet in an equi-join, pairs are verified after it."""
-    lengths = set()
-
     def cut(batches):
         for batch in batches:
             out = []

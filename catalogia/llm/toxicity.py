@@ -133,65 +133,89 @@ def features(text: str | None, memo: Memo) -> list[float]:
     ]
 
 
-def with_features(docs: DataFrame, lexicon: dict[str, float], keep: str) -> DataFrame:
-    """Columns ``keep`` (DDL, all before the text in order) and ``features`` of each row."""
-    names = [part.split()[0] for part in keep.split(", ")]
+def with_features(docs: DataFrame, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of each row, and its ``features`` as an array."""
+    chosen = docs.select(*[F.col(f"`{n}`") for n in keep], F.col("text").alias("_scored"))
+    fields = ", ".join(f"`{n}` {t}" for n, t in chosen.dtypes[:-1])
 
     def run(batches):
         memo = Memo(lexicon)
         for batch in batches:
-            texts = batch.column(len(names)).to_pylist()
+            texts = batch.column(len(keep)).to_pylist()
             found = pa.array([features(t, memo) for t in texts], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(len(names))], found], [*names, "features"]
-            )
+            columns = [batch.column(i) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*columns, found], [*keep, "_features"])
+
+    return chosen.mapInArrow(run, f"{fields}, _features array<double>")
+
 
-    return docs.select(*names, "text").mapInArrow(run, f"{keep}, features array<double>")
+class ToxicityModel:
+    """A lexicon, trees and a calibration; without the latter two a constant score."""
 
+    def __init__(self, lexicon, trees=None, calibration=None, constant=0.0):
+        self.lexicon, self.trees, self.calibration, self.constant = lexicon, trees, calibration, constant
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
-    """doc_id, held_out, score, predicted of each row of ``docs``.
+    def transform(self, docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+        """Columns ``keep`` (default: all) of every row, with ``score`` (0 to 1) and ``predicted`` (0, 1).
+
+        Existing columns of the two names are replaced.
+        """
+        keep = [n for n in (keep or docs.columns) if n not in ("score", "predicted")]
+        if self.trees is None:
+            scored = docs.select(*[f"`{n}`" for n in keep], F.lit(float(self.constant)).alias("score"))
+        else:
+            rows = with_features(docs, self.lexicon, keep).withColumn("_vector", array_to_vector("_features"))
+            out = self.calibration.transform(
+                self.trees.transform(rows).withColumn("_margin", vector_to_array("_probability")[1])
+            )
+            # A little of the margin keeps an order among documents of one calibrated level.
+            blended = 0.98 * F.col("_level") + 0.02 * F.col("_margin")
+            scored = out.select(
+                *[f"`{n}`" for n in keep], F.least(F.lit(1.0), F.greatest(F.lit(0.0), blended)).alias("score"))
+        return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
-    Learned from at most SAMPLE_ROWS rows of ``labels`` outside fold 0 with a non-null ``toxic``
-    and their texts in ``learn_from`` (default: ``docs``): half for the lexicon, three tenths for
-    the trees, a fifth for the calibration.  Of several labels of one id the largest counts, of
-    several texts each.  Without rows of both classes the score is the share of toxic rows (0
-    without rows).  A null or empty text has all features 0 and is scored like any other.
-    Repeated ids are rows of their own; other columns are ignored.
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
+    """Learn from at most SAMPLE_ROWS labelled rows: half for the lexicon, three tenths for the
+    trees, a fifth for the calibration.
+
+    Taken are rows of ``labels`` outside fold 0 with a non-null ``toxic``, and their texts.  Of
+    several labels of one id the largest counts, of several texts each.  Where a part lacks one of
+    the classes, the score is the share of toxic rows (0 without rows).
     """
     known = labels.filter("doc_id is not null and toxic is not null").filter(fold_of(F.col("doc_id")) != 0)
     chosen = (
         known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
     )
-    source = docs if learn_from is None else learn_from
-    sample = stored(source.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(10)).alias("part"), "toxic", "text"
+    sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(10)).cast("long").alias("part"), "toxic", "text"
     ))
     lexicon = learn_lexicon(sample.filter("part < 5"))
-    made = stored(with_features(
-        sample.filter("part >= 5").withColumn("part", F.col("part").cast("long")), lexicon, "part long, toxic int"
-    ).withColumn("label", F.col("toxic").cast("double")).withColumn("vector", array_to_vector("features")))
-    trees, levels = made.filter("part < 8"), made.filter("part >= 8")
+    made = stored(
+        with_features(sample.filter("part >= 5"), lexicon, ["part", "toxic"])
+        .withColumn("label", F.col("toxic").cast("double"))
+    ).withColumn("_vector", array_to_vector("_features"))
     seen = {(r["late"], r["toxic"]): r["n"] for r in made.groupBy(
         (F.col("part") >= 8).alias("late"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    folds = docs.withColumn("held_out", F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)))
     if min(seen.get((late, t), 0) for late in (False, True) for t in (0, 1)) == 0:
-        share = sample.agg(F.avg("toxic").alias("s")).first()["s"] or 0.0
-        scored = folds.select("doc_id", "held_out", F.lit(float(share)).alias("score"))
-        return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
-    model = GBTClassifier(
-        featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7,
-        minInstancesPerNode=5, maxBins=64,
-    ).fit(trees)
-    margin = vector_to_array("probability")[1]
-    isotonic = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="score").fit(
-        model.transform(levels).select(margin.alias("margin"), "label")
-    )
-    rows = with_features(folds, lexicon, "doc_id long, held_out boolean").withColumn(
-        "vector", array_to_vector("features"))
-    scored = isotonic.transform(model.transform(rows).select("doc_id", "held_out", margin.alias("margin")))
-    # A little of the margin keeps an order among documents of one calibrated level.
-    blended = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.98 * F.col("score") + 0.02 * F.col("margin")))
-    return scored.select("doc_id", "held_out", blended.alias("score")).withColumn(
-        "predicted", (F.col("score") >= 0.5).cast("int"))
+        return ToxicityModel(lexicon, constant=sample.agg(F.avg("toxic").alias("s")).first()["s"] or 0.0)
+    trees = GBTClassifier(
+        featuresCol="_vector", labelCol="label", predictionCol="_class", maxIter=TREES, maxDepth=DEPTH,
+        stepSize=STEP, seed=7, minInstancesPerNode=5, maxBins=64,
+    ).fit(made.filter("part < 8")).setProbabilityCol("_probability").setRawPredictionCol("_raw")
+    levels = trees.transform(made.filter("part >= 8")).select(
+        vector_to_array("_probability")[1].alias("_margin"), "label")
+    calibration = IsotonicRegression(featuresCol="_margin", labelCol="label", predictionCol="_level").fit(levels)
+    return ToxicityModel(lexicon, trees, calibration)
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted of each row of ``docs``, by a model fitted to its labelled rows.
+
+    ``held_out`` marks fold 0, which is never learned from; it is false for a null id.  A null or
+    empty text has all features 0 and is scored like any other.  Repeated ids are rows of their
+    own, an empty table gives no rows, other columns are ignored.
+    """
+    held = docs.select("doc_id", "text", F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"))
+    return fit_toxicity(docs, labels).transform(held, ["doc_id", "held_out"])
