@@ -6,7 +6,9 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 # A key is hot from this many rows, or from one part in HOT_SHARE of all rows if that is more;
@@ -21,6 +23,9 @@ CHUNK_WORDS = 400_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
+# Stands for a null id where rows are joined by id.
+NO_ID = -(1 << 63)
+
 _scratch: dict[str, str] = {}
 
 
@@ -91,6 +96,26 @@ def numbered(df: DataFrame, by: str, order: str, name: str) -> DataFrame:
     )
 
 
+def keyed_texts(docs: DataFrame, name: str = "text_hash") -> DataFrame:
+    """doc_id (null: NO_ID), the text's hash and the text; the two tell rows of one id apart."""
+    return docs.select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias(name), "text",
+    )
+
+
+def packed_texts(keyed: DataFrame, first: str, second: str) -> DataFrame:
+    """Two key columns and ``packed``: texts compressed before they are shuffled (null: empty)."""
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            texts = [pack.compress((t or "").encode()) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.binary())], [first, second, "packed"])
+
+    return keyed.select(first, second, "text").mapInArrow(run, f"{first} long, {second} long, packed binary")
+
+
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """Finaliser that spreads 64-bit values; one permutation per seed."""
     x = x ^ np.uint64((seed * 0xD6E8FEB86659FD93) & 0xFFFFFFFFFFFFFFFF)

@@ -20,7 +20,9 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from catalogia.llm.common import join_counted, mixed, stored, word_chunks
+from catalogia.llm.common import (
+    NO_ID, join_counted, keyed_texts, mixed, packed_texts, stored, word_chunks,
+)
 from catalogia.llm.components import components
 
 SHINGLE = 5
@@ -146,15 +148,8 @@ def _common():
 def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs (a, b) that really link: both texts are brought to the pair and compared whole."""
     needed = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().join(reps, "fp")
-
-    def pack(batches):
-        packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            texts = [packer.compress((t or "").encode()) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["doc_id", "packed"])
-
-    packed = docs.select("doc_id", "text").mapInArrow(pack, "doc_id long, packed binary")
-    texts = stored(packed.join(needed, "doc_id").select("fp", "packed"))
+    texts = stored(packed_texts(keyed_texts(docs), "doc_id", "text_hash").join(needed, ["doc_id", "text_hash"])
+                   .dropDuplicates(["fp"]).select("fp", "packed"))
     met = (
         pairs.select("a", "b").join(texts.select(F.col("fp").alias("a"), F.col("packed").alias("x")), "a")
         .join(texts.select(F.col("fp").alias("b"), F.col("packed").alias("y")), "b")
@@ -193,10 +188,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     def describe(batches):
         for batch in batches:
-            sets = list(shingle_sets(batch.column(1).to_pylist()))
+            sets = list(shingle_sets(batch.column(2).to_pylist()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([set_id(s) for s in sets], pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "fp", "n"])
+                [batch.column(0), batch.column(1), pa.array([set_id(s) for s in sets], pa.int64()),
+                 pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "text_hash", "fp", "n"])
 
     levels = spark.sparkContext.broadcast(frequency_levels(docs))
 
@@ -218,11 +213,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     of_token = Window.partitionBy("token")
     ends = rows.withColumn("low", F.min("fp").over(of_token)).withColumn("high", F.max("fp").over(of_token))
     shared = stored(ends.filter("low < high").dropDuplicates(["token", "fp"]))
-    members = stored(docs.select("doc_id", "text").mapInArrow(describe, "doc_id long, fp long, n long"))
+    members = stored(keyed_texts(docs).mapInArrow(describe, "doc_id long, text_hash long, fp long, n long"))
+    members = members.withColumn("known", F.nullif("doc_id", F.lit(NO_ID)))
     classes = stored(members.filter("n > 0").groupBy("fp").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"),
+        F.min("known").alias("doc_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.max("n").alias("n"),
         F.count(F.lit(1)).alias("copies")))
-    reps = classes.filter("doc_id is not null").select("doc_id", "fp")
+    reps = classes.select("fp", "rep.*")
 
     links = stored(_verified(_first_pairs(shared, classes), docs, reps))
     links = stored(links.union(_verified(_other_pairs(shared, components(links)), docs, reps)))
@@ -232,8 +228,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     answer = stored(named.join(least, "label").select("fp", "copies", "component_id"))
     linked = join_counted(members.filter("n > 0"), answer, ["fp"], "doc_id", n="copies")
-    alone = members.filter("n = 0").withColumn("component_id", F.col("doc_id"))
-    wanted = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    alone = members.filter("n = 0").withColumn("component_id", F.col("known"))
+    wanted = [F.col("known").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"]
     return linked.select(*wanted).unionByName(alone.select(*wanted))
 
 

@@ -19,7 +19,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from catalogia.llm.common import Rolling, join_counted, stored, word_chunks
+from catalogia.llm.common import (
+    NO_ID, Rolling, join_counted, keyed_texts, packed_texts, stored, word_chunks,
+)
 
 WINDOW = 35
 GRAM = 8
@@ -92,32 +94,12 @@ def _windows(batches):
                 )
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id (null: the least number), fp and text; the two tell rows of one id apart."""
-    low = F.lit(-(1 << 63)).cast("long")
-    return docs.select(
-        F.coalesce("doc_id", low).alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("fp"), "text"
-    )
-
-
-def _packed(keyed: DataFrame) -> DataFrame:
-    """Texts compressed before they are shuffled."""
-    def run(batches):
-        pack = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            texts = [pack.compress((t or "").encode()) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.binary())], ["doc_id", "fp", "packed"])
-
-    return keyed.mapInArrow(run, "doc_id long, fp long, packed binary")
-
-
 def duplicate_spans(docs: DataFrame) -> DataFrame:
     """doc_id, fp, start, n, reference: ``n`` windows from word ``start`` on that also start elsewhere.
 
     ``reference`` is the least document with the same block, null at factor boundaries.
     """
-    return _spans(_keyed(docs))
+    return _spans(keyed_texts(docs, "fp"))
 
 
 def _spans(keyed: DataFrame) -> DataFrame:
@@ -135,7 +117,7 @@ def _spans(keyed: DataFrame) -> DataFrame:
     edges = blocks.join(several, "gram").select("gram", "first.*")
     listed = edges.groupBy(*KEY).agg(F.collect_list(F.struct("gram", "start", "n")).alias("blocks"))
     windows = stored(
-        _packed(keyed).dropDuplicates(KEY).join(listed, KEY)
+        packed_texts(keyed, *KEY).dropDuplicates(KEY).join(listed, KEY)
         .mapInArrow(_windows, "doc_id long, fp long, gram long, window long, start int")
     )
     repeated = stored(
@@ -164,7 +146,7 @@ def remove_duplicates(docs: DataFrame) -> DataFrame:
     words; texts below WINDOW words lose none; repeated rows are copies of each other like any
     others; other columns are ignored.
     """
-    keyed = _keyed(docs)
+    keyed = keyed_texts(docs, "fp")
     spans = _spans(keyed).groupBy(*KEY).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
     def run(batches):
@@ -186,8 +168,7 @@ def remove_duplicates(docs: DataFrame) -> DataFrame:
                 ["doc_id", "kept_text", "n_words", "n_removed", "kept_sha256"],
             )
 
-    low = F.lit(-(1 << 63)).cast("long")
-    joined = _packed(keyed).join(spans, KEY, "left").select("doc_id", "packed", "spans")
+    joined = packed_texts(keyed, *KEY).join(spans, KEY, "left").select("doc_id", "packed", "spans")
     return joined.mapInArrow(
         run, "doc_id long, kept_text string, n_words long, n_removed long, kept_sha256 string"
-    ).withColumn("doc_id", F.nullif("doc_id", low))
+    ).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))

@@ -134,19 +134,18 @@ def features(text: str | None, memo: Memo) -> list[float]:
 
 
 def with_features(docs: DataFrame, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of each row, and its ``features`` as an array."""
-    chosen = docs.select(*[F.col(f"`{n}`") for n in keep], F.col("text").alias("_scored"))
-    fields = ", ".join(f"`{n}` {t}" for n, t in chosen.dtypes[:-1])
+    """``row``, a struct of the columns ``keep`` whatever their names are, and ``features`` of each row."""
+    chosen = docs.select(F.struct(*[F.col(f"`{n}`") for n in keep]).alias("row"), "text")
 
     def run(batches):
         memo = Memo(lexicon)
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            found = pa.array([features(t, memo) for t in texts], pa.list_(pa.float64()))
-            columns = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*columns, found], [*keep, "_features"])
+            found = [features(t, memo) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["row", "features"])
 
-    return chosen.mapInArrow(run, f"{fields}, _features array<double>")
+    return chosen.mapInArrow(run, f"row {chosen.dtypes[0][1]}, features array<double>").withColumn(
+        "vector", array_to_vector("features"))
 
 
 class ToxicityModel:
@@ -155,24 +154,23 @@ class ToxicityModel:
     def __init__(self, lexicon, trees=None, calibration=None, constant=0.0):
         self.lexicon, self.trees, self.calibration, self.constant = lexicon, trees, calibration, constant
 
-    def transform(self, docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-        """Columns ``keep`` (default: all) of every row, with ``score`` (0 to 1) and ``predicted`` (0, 1).
-
-        Existing columns of the two names are replaced.
-        """
-        keep = [n for n in (keep or docs.columns) if n not in ("score", "predicted")]
+    def scored(self, docs: DataFrame, keep: list[str]) -> DataFrame:
+        """``row`` (the columns ``keep``), ``score`` and ``predicted`` of every row."""
         if self.trees is None:
-            scored = docs.select(*[f"`{n}`" for n in keep], F.lit(float(self.constant)).alias("score"))
+            rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in keep]).alias("row"))
+            score = F.lit(float(self.constant))
         else:
-            rows = with_features(docs, self.lexicon, keep).withColumn("_vector", array_to_vector("_features"))
-            out = self.calibration.transform(
-                self.trees.transform(rows).withColumn("_margin", vector_to_array("_probability")[1])
-            )
+            margins = self.trees.transform(with_features(docs, self.lexicon, keep)).withColumn(
+                "margin", vector_to_array("probability")[1])
+            rows = self.calibration.transform(margins)
             # A little of the margin keeps an order among documents of one calibrated level.
-            blended = 0.98 * F.col("_level") + 0.02 * F.col("_margin")
-            scored = out.select(
-                *[f"`{n}`" for n in keep], F.least(F.lit(1.0), F.greatest(F.lit(0.0), blended)).alias("score"))
-        return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+            score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.98 * F.col("level") + 0.02 * F.col("margin")))
+        return rows.select("row", score.alias("score")).withColumn(
+            "predicted", (F.col("score") >= 0.5).cast("int"))
+
+    def drop_toxic(self, docs: DataFrame) -> DataFrame:
+        """``docs`` without the rows that are predicted toxic; columns unchanged."""
+        return self.scored(docs, docs.columns).filter("predicted = 0").select("row.*")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
@@ -194,19 +192,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     lexicon = learn_lexicon(sample.filter("part < 5"))
     made = stored(
         with_features(sample.filter("part >= 5"), lexicon, ["part", "toxic"])
-        .withColumn("label", F.col("toxic").cast("double"))
-    ).withColumn("_vector", array_to_vector("_features"))
+        .select("row.*", "features", F.col("row.toxic").cast("double").alias("label"))
+    ).withColumn("vector", array_to_vector("features"))
     seen = {(r["late"], r["toxic"]): r["n"] for r in made.groupBy(
         (F.col("part") >= 8).alias("late"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if min(seen.get((late, t), 0) for late in (False, True) for t in (0, 1)) == 0:
         return ToxicityModel(lexicon, constant=sample.agg(F.avg("toxic").alias("s")).first()["s"] or 0.0)
     trees = GBTClassifier(
-        featuresCol="_vector", labelCol="label", predictionCol="_class", maxIter=TREES, maxDepth=DEPTH,
+        featuresCol="vector", labelCol="label", predictionCol="class", maxIter=TREES, maxDepth=DEPTH,
         stepSize=STEP, seed=7, minInstancesPerNode=5, maxBins=64,
-    ).fit(made.filter("part < 8")).setProbabilityCol("_probability").setRawPredictionCol("_raw")
+    ).fit(made.filter("part < 8"))
     levels = trees.transform(made.filter("part >= 8")).select(
-        vector_to_array("_probability")[1].alias("_margin"), "label")
-    calibration = IsotonicRegression(featuresCol="_margin", labelCol="label", predictionCol="_level").fit(levels)
+        vector_to_array("probability")[1].alias("margin"), "label")
+    calibration = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="level").fit(levels)
     return ToxicityModel(lexicon, trees, calibration)
 
 
@@ -218,4 +216,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     own, an empty table gives no rows, other columns are ignored.
     """
     held = docs.select("doc_id", "text", F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"))
-    return fit_toxicity(docs, labels).transform(held, ["doc_id", "held_out"])
+    scored = fit_toxicity(docs, labels).scored(held, ["doc_id", "held_out"])
+    return scored.select("row.*", "score", "predicted")

@@ -20,8 +20,7 @@ from catalogia.llm.toxicity import fit_toxicity
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the calibrated model does not call toxic."""
-    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return model.transform(docs).filter("predicted = 0").select(*docs.columns)
+    return fit_toxicity(docs, table(spark, sf_dir, "labels")).drop_toxic(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
