@@ -30,7 +30,7 @@ EDGES = ".,;:!?\"'()[]{}«»¿¡…-#*$%&|<>"
 MIN_CHARS = 200
 MIN_WORDS = 50
 MAX_CHAR_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.45
+MAX_WORD_DISTANCE = 0.36
 
 CLASSES = 8
 STATS = (
