@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from catalogia.functions import blank_to_null
-from catalogia.operators.distribution import attach, salted_join
+from catalogia.functions.display import fixed
+from catalogia.operators.distribution import attach, spread_join
 
 # Names of one profile up to this many bytes are scanned for in its titles.
 SCAN_BYTES = 256 * 1024
@@ -73,11 +74,11 @@ def _found_by_gram(names: DataFrame, titles: DataFrame) -> DataFrame:
     offered = attach(titled, lengths, ["profile"], ["_title_id"], "inner")
     blocks = offered.select("profile", "_title_id", F.expr(f"explode({_blocks()})").alias("_key"))
     # Only ids travel here; a block that very many titles share is salted.
-    pairs = salted_join(blocks, keyed, ["profile", "_key"], ["_title_id"], "inner").select(
+    pairs = spread_join(blocks, keyed, ["profile", "_key"], ["_title_id"], "inner").select(
         "profile", "_title_id", "_name_id"
     ).distinct()
     # A name that is in very many titles is salted too.
-    candidates = salted_join(
+    candidates = spread_join(
         pairs, sized.select("profile", "_name_id", "_name"), ["profile", "_name_id"], ["_title_id"],
         "inner",
     )
@@ -155,6 +156,6 @@ def coverage_summary(profiles: DataFrame, tracks: DataFrame, singles: DataFrame)
         columns += [
             total.alias(f"{prefix}_total"), found.alias(f"{prefix}_found"),
             (total - found).alias(f"{prefix}_missing"),
-            F.when(total > 0, F.round(found / total * 100, 1)).otherwise(0.0).alias(percent),
+            F.when(total > 0, fixed(found / total * 100, 1).cast("double")).otherwise(0.0).alias(percent),
         ]
     return joined.select(*columns)

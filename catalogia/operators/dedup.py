@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from catalogia.functions import (
     batch_key, blank_to_null, catalog_key, richness, tracker_key, video_id_simple,
 )
-from catalogia.operators.distribution import first_by, salted_join
+from catalogia.operators.distribution import first_by, spread_join
 
 _PLACE = ["file_id", "ord"]
 
@@ -31,20 +31,30 @@ def _catalog_key() -> Column:
 def dedup_richest(items: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Richest item per key over all files of a profile; equal ones go to the earliest.
 
-    One aggregation with map-side combine: only a task's best row per key is shuffled.
-    ``original_file_id`` says where the kept item came from, (``file_id``, ``ord``) is
-    the place where the key was first seen.  ``columns`` limits what travels along.
+    Winners are chosen on keys, ranks and places alone; only then is the winner's row fetched
+    by its place, which is unique, so no text is compared or aggregated.  ``original_file_id``
+    says where the kept item came from, (``file_id``, ``ord``) is the place where the key was
+    first seen.  ``columns`` limits what travels along.
     """
     wanted = [c for c in (columns or items.columns) if c not in
               ("profile", "file_id", "ord", "original_file_id")]
-    ranked = items.withColumn("_key", _catalog_key()).withColumn(
-        "_rank", F.struct(richness().alias("r"), -F.col("file_id"), -F.col("ord"))
+    rank = F.struct(richness().alias("r"), -F.col("file_id"), -F.col("ord"), *_PLACE)
+    best = items.select("profile", _catalog_key().alias("_key"), rank.alias("_rank"), *_PLACE).groupBy(
+        "profile", "_key"
+    ).agg(F.max("_rank").alias("b"), F.min(F.struct(*_PLACE)).alias("first"))
+    winners = best.select(
+        F.col("profile").alias("_profile"), F.col("b.file_id").alias("_file"), F.col("b.ord").alias("_ord"),
+        F.col("first.file_id").alias("_first_file"), F.col("first.ord").alias("_first_ord"),
     )
-    best = ranked.groupBy("profile", "_key").agg(
-        F.max_by(F.struct(F.col("file_id").alias("original_file_id"), *wanted), "_rank").alias("b"),
-        F.min(F.struct(*_PLACE)).alias("first"),
+    place = (
+        (F.col("profile") == F.col("_profile")) & (F.col("file_id") == F.col("_file"))
+        & (F.col("ord") == F.col("_ord"))
+    )
+    rows = items.select("profile", *_PLACE, *[F.col(c).alias(f"_kept_{c}") for c in wanted])
+    return rows.join(winners, place).select(
+        "profile", F.col("_first_file").alias("file_id"), F.col("_first_ord").alias("ord"),
+        F.col("file_id").alias("original_file_id"), *[F.col(f"_kept_{c}").alias(c) for c in wanted],
     )
-    return best.select("profile", "first.file_id", "first.ord", "b.*")
 
 
 def dup_count(items: DataFrame) -> DataFrame:
@@ -94,7 +104,7 @@ def flag_known(crawled: DataFrame, catalog: DataFrame) -> DataFrame:
         .filter(F.col("_vid").isNotNull()).distinct().withColumn("_known", F.lit(True))
     )
     keyed = crawled.withColumn("_vid", blank_to_null(F.col("video_id")))
-    joined = salted_join(keyed, ids, ["profile", "_vid"], _PLACE)
+    joined = spread_join(keyed, ids, ["profile", "_vid"], _PLACE)
     return joined.select(*crawled.columns, F.col("_known").isNotNull().alias("known"))
 
 

@@ -1,16 +1,15 @@
-"""How rows meet: size-checked broadcasts, salted hot keys, numbering without one task."""
+"""How rows meet: size-checked broadcasts, spread joins, numbering without one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from catalogia.session import cut_lineage
+
 # A dimension is broadcast only up to this many bytes of JSON text.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Rows of one key that a task should meet; a key with more is hot and spread further.
-HOT_ROWS = 1_000_000
-# Rows of one numbering bucket, and the most cut points that numbering takes.
+# Rows of one numbering bucket.
 INDEX_ROWS = 1_000_000
-INDEX_GRID = 4096
 
 
 def fits_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -19,16 +18,6 @@ def fits_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (dim.agg(size.alias("bytes")).first()["bytes"] or 0) <= max_bytes
 
 
-def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input that has fewer splits than the session has cores.
-
-    One small file with one row group would keep a single core busy; an input of
-    ordinary size already has more splits than cores and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def first_by(df: DataFrame, by: list, order: list, n: int = 1, rank: str | None = None) -> DataFrame:
     """First ``n`` rows per group.
 
@@ -41,103 +30,55 @@ def first_by(df: DataFrame, by: list, order: list, n: int = 1, rank: str | None
     return kept if rank else kept.drop(name)
 
 
-def hot_keys(big: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows, and into how many parts to split each.
-
-    There are at most count(big) / hot_rows of them, whatever the data.
-    """
-    return (
-        big.select(*on).dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= hot_rows)
-        .select(*on, F.ceil(F.col("_n") / hot_rows).alias("_parts"))
-    )
-
-
-def salted_join(
+def spread_join(
     big: DataFrame, small: DataFrame, on: list[str], spread: list[str], how: str = "left",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join in which hot keys of ``big`` are spread over as many tasks as they need.
+    """Join of a side whose keys may be missing or hot with one that has a row or few per key.
 
-    Rows of a hot key get a salt from their own identity (``spread``), so a rerun task
-    gives the same salt; the matching rows of ``small`` are repeated once per salt.
-    Rows without a key match nothing and are spread freely.  The list of hot keys is
-    bounded by its definition and therefore safe to broadcast.
+    Each side is read once.  Rows without a key match nothing: they are spread by their own identity
+    (``spread``) instead of meeting in one task.  Hot keys are left to adaptive execution, which
+    splits the large partitions of ``big`` and repeats the matching part of ``small``.
     """
-    hot = F.broadcast(hot_keys(big, on, hot_rows))
     keyless = F.lit(False)
     for key in on:
         keyless = keyless | F.col(key).isNull()
-    identity = F.xxhash64(*spread)
-    left = big.join(hot, on, "left").withColumn(
-        "_salt",
-        F.when(keyless, identity).otherwise(F.pmod(identity, F.coalesce("_parts", F.lit(1)))),
-    ).drop("_parts")
-    salts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
-    right = small.join(hot, on, "left").withColumn("_salt", F.explode(salts)).drop("_parts")
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    left = big.withColumn("_spread", F.when(keyless, F.xxhash64(*spread)).otherwise(0))
+    return left.join(small.withColumn("_spread", F.lit(0).cast("bigint")), [*on, "_spread"], how).drop("_spread")
 
 
 def attach(
     items: DataFrame, dim: DataFrame, on: list[str], spread: list[str], how: str = "inner",
-    max_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Give each item the row of a dimension: broadcast if measured small, else salted join."""
+    """Give each item the row of a dimension: broadcast if measured small, else a spread join."""
     if fits_broadcast(dim, max_bytes):
         return items.join(F.broadcast(dim), on, how)
-    return salted_join(items, dim, on, spread, how, hot_rows=hot_rows)
-
-
-def _bucket(points: list[int], order: str) -> str:
-    """SQL: number of cut points below the value, found in two short steps."""
-    if not points:
-        return "0"
-    width = max(1, round(len(points) ** 0.5))
-    groups = [points[i:i + width] for i in range(0, len(points), width)]
-    heads = "array(" + ", ".join(f"{g[0]}L" for g in groups) + ")"
-    inner = "array(" + ", ".join(
-        "array(" + ", ".join(f"{p}L" for p in g) + ")" for g in groups
-    ) + ")"
-    group = f"size(filter({heads}, p -> p < {order}))"
-    return (
-        f"if({group} = 0, 0, ({group} - 1) * {width} + "
-        f"size(filter(get({inner}, {group} - 1), p -> p < {order})))"
-    )
+    return spread_join(items, dim, on, spread, how)
 
 
 def ordered_index(
     df: DataFrame, by: list[str], lead: list[str], order: str, name: str = "index",
-    buckets: int | None = None, places: DataFrame | None = None,
+    pieces: int | None = None,
 ) -> DataFrame:
     """0-based dense number per group ``by`` in the order of (``lead``.., ``order``).
 
-    A window over a whole group would sort a hot group in one task.  Here the whole-number
-    order column is cut at quantiles, about one per ``INDEX_ROWS`` rows (fetched once as
-    literals, so every reading of the plan buckets alike), rows are numbered inside a
-    bucket, and small per-bucket counts give the offset.  ``places`` may name a table that
-    is cheaper to read and has the same order column; any cut points give the same numbers.
+    A window over a whole group would sort a hot group in one task.  Here the rows are cut into
+    ranges of (``by``.., ``lead``.., ``order``), about one per ``INDEX_ROWS`` rows, and kept with
+    the number of their range; rows are numbered inside a range, and the counts of the ranges
+    before it, one small row each, give the offset.  ``df`` is read to be counted and cut.
     """
-    grid = ", ".join(f"{i / INDEX_GRID}D" for i in range(1, INDEX_GRID))
-    seen = (df if places is None else places).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr(f"percentile_approx({order}, array({grid}), {10 * INDEX_GRID})").alias("cuts"),
-    ).first()
-    points = sorted(set(seen["cuts"] or []))
-    wanted = buckets or -(-seen["n"] // INDEX_ROWS)
-    points = points[:: max(1, len(points) // wanted)] if wanted > 1 else []
-    bucket = F.expr(_bucket(points, order))
-    cells = [*by, *lead, "_bucket"]
-    bucketed = df.withColumn("_bucket", bucket)
-    before = Window.partitionBy(*by).orderBy(*lead, "_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    place = [*by, *lead, order]
+    wanted = pieces or max(1, -(-df.count() // INDEX_ROWS))
+    cut = cut_lineage(df.repartitionByRange(wanted, *place).withColumn("_range", F.spark_partition_id()))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy(*cells).agg(F.count(F.lit(1)).alias("_n"))
+        cut.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     )
-    inside = F.row_number().over(Window.partitionBy(*cells).orderBy(order)) - 1
-    keys = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in cells]
-    matched = bucketed.withColumn("_inside", inside).alias("l").join(offsets.alias("r"), keys, "left")
+    inside = F.row_number().over(Window.partitionBy(*by, "_range").orderBy(*lead, order)) - 1
+    keys = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+    keys.append(F.col("l._range") == F.col("r._range"))
+    matched = cut.withColumn("_inside", inside).alias("l").join(offsets.alias("r"), keys, "left")
     return matched.select(
         *[F.col(f"l.{c}") for c in df.columns],
         (F.col("r._offset") + F.col("l._inside")).alias(name),

@@ -14,15 +14,11 @@ _BATCH = ["profile", "batch_id", "index"]
 
 
 def label_batches(
-    items: DataFrame, size: int = V.LABEL_BATCH, places: DataFrame | None = None,
+    items: DataFrame, size: int = V.LABEL_BATCH,
 ) -> DataFrame:
-    """Unclassified items in batches of ``size`` per profile, in item order.
-
-    ``places``: the items before classification, to cut their order without classifying
-    them once more.
-    """
+    """Unclassified items in batches of ``size`` per profile, in item order."""
     waiting = items.filter(F.col("category") == V.UNCLASSIFIED)
-    numbered = ordered_index(waiting, ["profile"], ["file_id"], "ord", "_n", places=places)
+    numbered = ordered_index(waiting, ["profile"], ["file_id"], "ord", "_n")
     return numbered.withColumns({
         "batch_id": F.floor(F.col("_n") / size), "index": (F.col("_n") % size).cast("int"),
     }).drop("_n")
@@ -122,11 +118,13 @@ def apply_labels(
 ) -> DataFrame:
     """Category and reason of each batched item from the last label for its index.
 
+    With several answers to a batch, column ``answer`` tells their order.
     ``categories(profile, key)`` lists the valid ones; ``failed(profile, batch_id)``
     names batches without any answer.
     """
+    later = [c for c in ("answer", "pos") if c in labels.columns]
     last = labels.filter(F.col("index").isNotNull()).groupBy(*_BATCH).agg(
-        F.max_by(F.struct("category", "reason"), "pos").alias("_l")
+        F.max_by(F.struct("category", "reason"), F.struct(*later)).alias("_l")
     )
     valid = categories.select("profile", F.col("key").alias("_c"), F.lit(True).alias("_valid"))
     answered = batches.join(last, _BATCH, "left").withColumn("_c", F.col("_l.category"))

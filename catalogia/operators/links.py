@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catalogia import fixed_values as V
-from catalogia.operators.distribution import ordered_index, salted_join
+from catalogia.operators.distribution import ordered_index, spread_join
 
 
 def _checkable() -> Column:
@@ -56,7 +56,7 @@ def apply_link_checks(items: DataFrame, checks: DataFrame) -> DataFrame:
     )
     kept = [c for c in items.columns if c not in ("verified", "verify_status", "verify_note")]
     asked = items.withColumn("_url", F.when(_checkable(), F.col("url")))
-    joined = salted_join(asked, verdicts, ["_url"], ["file_id", "ord"])
+    joined = spread_join(asked, verdicts, ["_url"], ["file_id", "ord"])
     checked = F.col("_v").isNotNull()
     return joined.filter(~checked | F.col("_v.valid") | (F.col("_v.status") == 0)).select(
         *kept,

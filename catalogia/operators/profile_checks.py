@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from catalogia import fixed_values as V
-from catalogia.operators.distribution import salted_join
+from catalogia.operators.distribution import spread_join
 
 OST_WITHOUT_SOURCE = "ost_without_source"
 COLLAB_WITHOUT_SONGS = "collab_without_songs"
@@ -78,7 +78,7 @@ def issue_rows(dims: dict[str, DataFrame]) -> DataFrame:
         singles = dims["variety_singles"].select("profile").distinct()
         add(
             SHOWS_WITHOUT_SINGLES,
-            salted_join(
+            spread_join(
                 dims["shows"].filter(_singing_show()), singles, ["profile"], ["name"], "left_anti"
             ),
         )

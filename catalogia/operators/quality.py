@@ -16,8 +16,8 @@ def filter_low_views(
 ) -> DataFrame:
     """Move items below the view threshold of their category to ``discard``.
 
-    Items without a view count and items of official channels are exempt; confidence
-    stays what it was.  ``thresholds(category, min_views)`` replaces the fixed ones.
+    Items without a view count, items of official channels and unclassified items (the
+    labeller gets those unfiltered) are exempt; confidence stays what it was.  ``thresholds(category, min_views)`` replaces the fixed ones.
     """
     names = [c for c in items.columns if c != DICTIONARY]
     base = with_dictionary(items, profiles)
@@ -31,7 +31,7 @@ def filter_low_views(
         limit = F.coalesce(F.col("_min"), F.lit(default))
     official = F.coalesce(F.array_contains(f"{DICTIONARY}.official", who()), F.lit(False))
     count = F.coalesce(views(), F.lit(0))
-    low = (F.col("category") != V.DISCARD) & (count != 0) & ~official & (count < limit)
+    low = ~F.col("category").isin(V.DISCARD, V.UNCLASSIFIED) & (count != 0) & ~official & (count < limit)
     changed = {
         "category": F.when(low, V.DISCARD).otherwise(F.col("category")),
         "classification_reason": F.when(low, "filtered_low_views").otherwise(

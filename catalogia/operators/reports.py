@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from catalogia import fixed_values as V
+from catalogia.functions.display import fixed
 
 
 def _counted(items: DataFrame) -> DataFrame:
@@ -42,7 +43,10 @@ def reason_counts(items: DataFrame) -> DataFrame:
 
 
 def confidence_buckets(items: DataFrame) -> DataFrame:
-    """Count, percent and mean per confidence bucket; the mean is summed in decimals."""
+    """Count, percent and mean per confidence bucket; the mean is summed in decimals.
+
+    Both are rounded on the exact binary value.
+    """
     c = F.col("confidence")
     sums = items.filter(c.isNotNull()).groupBy("profile").agg(
         F.count(F.lit(1)).alias("total"), F.sum(c.cast("decimal(12,6)")).alias("s"),
@@ -55,8 +59,8 @@ def confidence_buckets(items: DataFrame) -> DataFrame:
     ])
     return sums.select("profile", "total", "s", F.inline(rows)).select(
         "profile", "bucket", "n",
-        F.round(F.col("n") * 100.0 / F.col("total"), 1).alias("percent"),
-        F.round(F.col("s").cast("double") / F.col("total"), 3).alias("mean_confidence"),
+        fixed(F.col("n") * 100.0 / F.col("total"), 1).cast("double").alias("percent"),
+        fixed(F.col("s").cast("double") / F.col("total"), 3).cast("double").alias("mean_confidence"),
     )
 
 

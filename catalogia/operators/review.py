@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from catalogia import fixed_values as V
-from catalogia.operators.distribution import salted_join
+from catalogia.operators.distribution import spread_join
 from catalogia.operators.quality import low_confidence
 
 _ROW = ["file_id", "ord"]
 
 
 def latest_decisions(decisions: DataFrame) -> DataFrame:
-    """One action per url: the last answer counts."""
-    return decisions.groupBy("url").agg(F.max_by("action", "decided_at").alias("action"))
+    """One action per profile and url: the last answer counts."""
+    return decisions.groupBy("profile", "url").agg(F.max_by("action", "decided_at").alias("action"))
 
 
 def _decided(items: DataFrame, decisions: DataFrame) -> DataFrame:
-    return salted_join(items, latest_decisions(decisions), ["url"], _ROW)
+    return spread_join(items, latest_decisions(decisions), ["profile", "url"], _ROW)
 
 
 def review_queue(

@@ -77,8 +77,8 @@ def single_coverage(spark, sf_dir):
 
 
 @query(f"""with {_FOUND} select 'all' as profile, t as album_tracks_total, f as album_tracks_found,
-  t - f as album_tracks_missing, round(f * 100e0 / t, 1) as album_coverage_pct, ot as ost_total,
-  o as ost_found, ot - o as ost_missing, round(o * 100e0 / ot, 1) as ost_coverage_pct
+  t - f as album_tracks_missing, cast(printf('%.1f', f * 100e0 / t) as double) as album_coverage_pct, ot as ost_total,
+  o as ost_found, ot - o as ost_missing, cast(printf('%.1f', o * 100e0 / ot) as double) as ost_coverage_pct
 from (select count(*) as t, count(*) filter (found) as f from found) x,
   (select count(*) as ot, count(*) filter (found) as o from found_singles) y""")
 def coverage_summary(spark, sf_dir):

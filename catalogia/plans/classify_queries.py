@@ -106,8 +106,8 @@ def reason_counts(spark, sf_dir):
     return reports.reason_counts(settled(spark, sf_dir))
 
 
-@query(with_ctes("filtered", """select profile, bucket, n, round(n * 100e0 / total, 1) as percent,
-  round(cast(s as double) / total, 3) as mean_confidence from (
+@query(with_ctes("filtered", """select profile, bucket, n, cast(printf('%.1f', n * 100e0 / total) as double) as percent,
+  cast(printf('%.3f', cast(s as double) / total) as double) as mean_confidence from (
   select profile, count(*) as total, sum(cast(confidence as decimal(12, 6))) as s,
     count(*) filter (confidence >= 0.8e0) as high,
     count(*) filter (confidence >= 0.5e0 and confidence < 0.8e0) as medium,
@@ -282,18 +282,18 @@ def _decisions(spark, sf_dir) -> DataFrame:
             (F.col("ord") + 2).cast("int").alias("decided_at"),
         ),
     )
-    return judged.select("url", F.inline(rounds))
+    return judged.select("profile", "url", F.inline(rounds))
 
 
 _DECISIONS = """decided as (
-  select url, arg_max(action, decided_at) as action from (
-    select i.url, case when toxic = 1 then 'skip' when quality = 1 then 'approve' else 'reject' end
+  select profile, url, arg_max(action, decided_at) as action from (
+    select i.profile, i.url, case when toxic = 1 then 'skip' when quality = 1 then 'approve' else 'reject' end
       as action, i.ord + 2 as decided_at
     from items i join labels l on l.doc_id = i.ord) d
-  group by url)"""
+  group by profile, url)"""
 
 
-@query(with_ctes("items", "select url, action from decided", _DECISIONS))
+@query(with_ctes("items", "select profile, url, action from decided", _DECISIONS))
 def latest_decisions(spark, sf_dir):
     return review.latest_decisions(_decisions(spark, sf_dir))
 
@@ -306,7 +306,8 @@ def review_queue(spark, sf_dir):
 
 @query(with_ctes("filtered", f"""select {_ROW}, category, confidence from filtered
 where confidence < 0.7 and category in {is_in(V.CATEGORY_FILE_IDS)}
-  and not exists (select 1 from decided d where d.url = filtered.url)""", _DECISIONS))
+  and not exists (select 1 from decided d
+    where d.profile = filtered.profile and d.url = filtered.url)""", _DECISIONS))
 def review_pending(spark, sf_dir):
     queue = review.review_queue(stored(spark, sf_dir), decisions=_decisions(spark, sf_dir))
     return _row(queue, "category", "confidence")
@@ -317,19 +318,19 @@ def review_pending(spark, sf_dir):
   case when action = 'reject' and category <> 'discard' then 'review_rejected'
     else classification_reason end as classification_reason,
   case when action = 'approve' and category <> 'discard' then 1e0 else confidence end as confidence
-from filtered f left join decided d on d.url = f.url""", _DECISIONS))
+from filtered f left join decided d on d.profile = f.profile and d.url = f.url""", _DECISIONS))
 def apply_review(spark, sf_dir):
     kept, discards = review.apply_review(stored(spark, sf_dir), _decisions(spark, sf_dir))
     return _row(kept.unionByName(discards), "category", "classification_reason", "confidence")
 
 
-@query(with_ctes("filtered", f"""select profile, count(*) as n_queue,
+@query(with_ctes("filtered", f"""select f.profile, count(*) as n_queue,
   count(*) filter (action = 'approve') as n_approved,
   count(*) filter (action = 'reject') as n_rejected,
   count(*) filter (action = 'skip') as n_skipped,
   count(*) filter (action is null) as n_remaining
-from filtered f left join decided d on d.url = f.url
-where confidence < 0.7 and category in {is_in(V.CATEGORY_FILE_IDS)} group by profile""", _DECISIONS))
+from filtered f left join decided d on d.profile = f.profile and d.url = f.url
+where confidence < 0.7 and category in {is_in(V.CATEGORY_FILE_IDS)} group by f.profile""", _DECISIONS))
 def action_summary(spark, sf_dir):
     return review.action_summary(
         review.review_queue(stored(spark, sf_dir)), _decisions(spark, sf_dir)

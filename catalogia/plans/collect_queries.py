@@ -272,8 +272,8 @@ _RAW = """raw as (
     ((i - 1) // 3) * 4294967296 + (i - 1) % 3 as ord, l[i] as title,
     ['youtube', 'bilibili', 'google'][1 + ((i - 1) // 3) % 3] as source,
     'query ' || ((i - 1) // 3) as search_query,
-    'https://www.youtube.com/watch?v=' || substr(md5(l[i]), 1, 11) || '&t=7' as url,
-    case when length(l[i]) % 4 <> 0 then substr(md5(l[i]), 1, 11) end as bvid
+    'https://www.youtube.com/watch?v=' || md5(l[i]) || '&t=7' as url,
+    case when length(l[i]) % 4 <> 0 then md5(l[i]) end as bvid
   from (select doc_id, lang, l, unnest(range(1, len(l) + 1)) as i
     from (select doc_id, lang, string_split(text, chr(10)) as l from documents) a) b)"""
 
@@ -286,7 +286,7 @@ def raw_items(spark, sf_dir):
 
 
 @query(f"""with {_RAW},
-keyed as (select *, case when source = 'youtube' then 'yt:' || substr(md5(title), 1, 11)
+keyed as (select *, case when source = 'youtube' then 'yt:' || md5(title)
     when source = 'bilibili' then 'bili:' || bvid else 'url:' || url end as k from raw)
 select {_ROW}, source, search_query, url from (
   select *, row_number() over (partition by profile, file_id, k order by ord) as rn from keyed) r

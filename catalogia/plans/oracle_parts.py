@@ -299,7 +299,7 @@ FILTERED = f"""filtered as (
     case when low then 'discard' else category end as category,
     case when low then 'filtered_low_views' else classification_reason end as classification_reason
   ) from (
-    select *, category <> 'discard' and coalesce(plays, 0) <> 0 and not official
+    select *, category not in ('discard', 'unclassified') and coalesce(plays, 0) <> 0 and not official
       and plays < case category {_LIMITS} else {V.VIEW_THRESHOLD_DEFAULT} end as low
     from scored
   ) f

@@ -11,7 +11,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from catalogia import fixed_values as V
-from catalogia.operators.distribution import spread_small_input
 from catalogia.schema import PROFILE
 from catalogia.sources.profiles import parse_profiles
 
@@ -19,10 +18,7 @@ LANGS = ["en", "de", "es", "fr"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    # The tables with long texts, where the work per row is large.
-    key = {"documents": "doc_id", "pages": "page_id"}.get(name)
-    return spread_small_input(df, key) if key else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _profile(primary, english, alias, group, tracks, ost, concert, shows, collabs):
@@ -177,7 +173,7 @@ select lang as profile, cast(2 + doc_id % 7 as int) as file_id, doc_id as ord,
   cast(null as string) as search_query,
   cast(2 + doc_id % 7 as int) as original_file_id
 from (
-  select doc_id, text, lang, source, substr(md5(text), 1, 11) as vid,
+  select doc_id, text, lang, source, md5(text) as vid,
     instr('0123456789abcdef', substr(md5(text), 1, 1)) % 3 as kind,
     case when doc_id % 8 = 0 then doc_id * 17 % 16000
          when doc_id % 2 = 0 then doc_id * 7 % 600 else doc_id * 37 % 9000 end as seconds,
@@ -204,7 +200,7 @@ def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
 
     def hit(line):
-        vid = F.substring(F.md5(line), 1, 11)
+        vid = F.md5(line)
         return F.struct(
             line.alias("title"),
             F.concat(F.lit("https://www.youtube.com/watch?v="), vid, F.lit("&t=7")).alias("url"),

@@ -33,7 +33,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
-            if not context.master.startswith("local"):
+            if not context.master.startswith("local[") and context.master != "local":
                 raise ValueError("set spark.checkpoint.dir to a shared folder")
             shared = tempfile.mkdtemp(prefix="catalogia-checkpoint-")
         context.setCheckpointDir(shared)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from catalogia.operators.dedup import dedup_first
-from catalogia.operators.distribution import salted_join
+from catalogia.operators.distribution import spread_join
 from catalogia.functions import batch_key
 from catalogia.schema import RAW_FILE
 from catalogia.sources.files import explode_raw
@@ -55,7 +55,7 @@ def append_new(batch: DataFrame, batch_id: int, table: str) -> None:
         _keyed(_stored_before(spark, table, batch_id, batch.schema))
         .select("profile", "file_id", "_key").dropna().distinct().withColumn("_seen", F.lit(True))
     )
-    fresh = salted_join(_keyed(unique), seen, ["profile", "file_id", "_key"], ["ord"]).filter(
+    fresh = spread_join(_keyed(unique), seen, ["profile", "file_id", "_key"], ["ord"]).filter(
         F.col("_seen").isNull()
     )
     (

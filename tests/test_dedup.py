@@ -69,16 +69,16 @@ def test_uploads(make_items):
     assert ords(new) == [0, 1, 2, 3, 4] and known.count() == 0
 
 
-def test_hot_keys_are_salted_and_nothing_is_lost(spark):
+def test_spread_join_loses_nothing(spark):
     rng = random.Random(1)
     rows = [(i, "hot" if i % 3 else rng.choice(["a", "b", None, "z"])) for i in range(600)]
     big = spark.createDataFrame(rows, "i int, k string")
     small = spark.createDataFrame([("hot", 1), ("a", 2), ("b", 3)], "k string, v int")
     for how in ("left", "inner", "left_semi", "left_anti"):
-        got = distribution.salted_join(big, small, ["k"], ["i"], how, hot_rows=50)
+        got = distribution.spread_join(big, small, ["k"], ["i"], how)
         plain = big.join(small, "k", how)
         assert sorted(map(str, got.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
-    attached = distribution.attach(big, small, ["k"], ["i"], "left", max_bytes=0, hot_rows=50)
+    attached = distribution.attach(big, small, ["k"], ["i"], "left", max_bytes=0)
     assert attached.count() == 600
 
 
@@ -87,8 +87,8 @@ def test_ordered_index_equals_a_window(spark):
     rows = [(f"p{rng.random() < 0.8}", rng.randrange(3), i) for i in rng.sample(range(10 ** 12), 700)]
     df = spark.createDataFrame(rows, "p string, f int, o bigint")
     plain = F.row_number().over(Window.partitionBy("p").orderBy("f", "o")) - 1
-    for buckets in (None, 1, 5, 64, 5000):
-        got = distribution.ordered_index(df, ["p"], ["f"], "o", buckets=buckets)
+    for pieces in (None, 1, 5, 64):
+        got = distribution.ordered_index(df, ["p"], ["f"], "o", pieces=pieces)
         both = got.join(df.withColumn("w", plain), ["p", "f", "o"])
         assert both.count() == 700 and both.filter("index <> w").count() == 0
     assert distribution.ordered_index(df.filter("false"), ["p"], ["f"], "o").count() == 0

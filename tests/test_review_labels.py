@@ -20,7 +20,8 @@ def catalog(make_items):
 
 
 def decisions(spark, *rows):
-    return spark.createDataFrame(list(rows), "url string, action string, decided_at int")
+    named = [("star_lin", *r) if len(r) == 3 else r for r in rows]
+    return spark.createDataFrame(named, "profile string, url string, action string, decided_at int")
 
 
 def urls(df):
@@ -52,6 +53,17 @@ def test_apply_review(spark, catalog):
     assert untouched.count() == 5 and before.count() == 1
 
 
+def test_decisions_hold_for_their_profile_only(spark, make_items):
+    rows = {"url": "u", "confidence": 0.3, "category": "concerts", "classification_reason": "a"}
+    items = make_items({**rows, "profile": "one"}, {**rows, "profile": "two"})
+    d = decisions(spark, ("one", "u", "reject", 1), ("two", "u", "skip", 1))
+    kept, discards = review.apply_review(items, d)
+    assert [r["profile"] for r in kept.collect()] == ["two"]
+    assert [r["profile"] for r in discards.collect()] == ["one"]
+    left = review.review_queue(items, decisions=d.filter("profile = 'one'")).collect()
+    assert [r["profile"] for r in left] == ["two"]
+
+
 def test_action_summary(spark, catalog):
     d = decisions(spark, ("low", "reject", 1), ("tie", "skip", 1))
     got = review.action_summary(review.review_queue(catalog), d).first()

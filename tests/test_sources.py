@@ -42,15 +42,32 @@ def raw_dir(tmp_path):
 
 
 def test_read_raw(spark, raw_dir):
-    raw = files.read_raw(spark, raw_dir, "star_lin").orderBy("file_id", "ord").collect()
+    raw = files.read_raw(spark, raw_dir, "star_lin", True).orderBy("file_id", "ord").collect()
     assert [(r["file_id"], r["ord"] >> 32, r["ord"] & 0xFFFFFFFF, r["source"], r["search_query"]) for r in raw] == [
         (2, 0, 0, "youtube", "q1"), (2, 0, 1, "youtube", "q1"), (2, 1, 0, "google", "q2"),
         (2, 1, 1, "google", "q2"), (2, 2, 0, "youtube", "q3"), (3, 0, 0, "youtube", "q4")]
-    assert dedup.dedup_first(files.read_raw(spark, raw_dir, "p")).count() == 5
+    assert dedup.dedup_first(files.read_raw(spark, raw_dir, "p", True)).count() == 5
+    with pytest.raises(Exception, match="unreadable file .*file_9.json"):
+        files.read_raw(spark, raw_dir, "p").count()
+    bad = files.unreadable_files(spark, raw_dir).collect()
+    assert [(r["path"].rsplit("/", 1)[1], r["reason"]) for r in bad] == [("file_9.json", "not valid JSON: {broken")]
+
+
+def test_profiles_from_paths(spark, tmp_path):
+    for name in ("one", "two words"):
+        folder = tmp_path / "data" / name / "raw_results"
+        folder.mkdir(parents=True)
+        (folder / "file_2.json").write_text(json.dumps(raw_file(2, ("youtube", "q", [{"url": watch(name[:3])}]))), encoding="utf-8")
+        (tmp_path / "data" / name / "state.json").write_text(json.dumps(
+            {"reviewed": {"u": "skip"}, "session_start": None}), encoding="utf-8")
+    raw = files.read_raw(spark, str(tmp_path))
+    assert {(r["profile"], r["url"]) for r in raw.collect()} == {("one", watch("one")), ("two words", watch("two"))}
+    decisions = files.read_decisions(spark, str(tmp_path / "data" / "*" / "state.json"))
+    assert {r["profile"] for r in decisions.collect()} == {"one", "two words"}
 
 
 def test_refresh_and_catalogue_round_trip(spark, raw_dir, profiles, tmp_path):
-    catalog = refresh(files.read_raw(spark, raw_dir, "star_lin"), profiles)
+    catalog = refresh(files.read_raw(spark, raw_dir, "star_lin", True), profiles)
     path = str(tmp_path / "catalog")
     files.write_catalog(catalog, path)
     stored = files.read_catalog(spark, path)
@@ -59,18 +76,34 @@ def test_refresh_and_catalogue_round_trip(spark, raw_dir, profiles, tmp_path):
     assert [(r["original_file_id"], r["file_id"], r["view_count"]) for r in mv] == [(3, 2, 90_000)]
     scan = files.read_catalog(spark, path, "star_lin", "discard")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(profile" in scan
-    # Overwriting one category leaves the others.
-    renamed = stored.filter("category = 'interviews'").withColumn("title", F.lit("new")).collect()
-    files.write_catalog(spark.createDataFrame(renamed, stored.schema), path)
+    # A profile is overwritten whole: a category that empties leaves nothing; other profiles stay.
+    other = spark.createDataFrame(stored.withColumn("profile", F.lit("other")).collect(), stored.schema)
+    files.write_catalog(other, path)
+    moved = stored.filter("profile = 'star_lin' and category = 'interviews'").withColumn("title", F.lit("new")).collect()
+    files.write_catalog(spark.createDataFrame(moved, stored.schema), path)
     again = files.read_catalog(spark, path)
-    assert again.count() == 4 and again.filter("title = 'new'").count() == 1
-    files.append_discards(spark.createDataFrame(mv, stored.schema), path)
-    assert files.read_catalog(spark, path, category="discard").count() == stored.filter("category = 'discard'").count() + 1
+    assert again.filter("profile = 'star_lin'").count() == len(moved) and again.filter("profile = 'other'").count() == 4
+    # A repeated append adds nothing.
+    before = files.read_catalog(spark, path, category="discard").count()
+    for _ in range(2):
+        files.append_discards(spark.createDataFrame(mv, stored.schema), path)
+    assert files.read_catalog(spark, path, category="discard").count() == before + 1
+    files.append_discards(spark.createDataFrame(mv, stored.schema), str(tmp_path / "fresh"))
+    assert files.read_catalog(spark, str(tmp_path / "fresh")).count() == 1
     parity = str(tmp_path / "parity")
     files.write_catalog(catalog, parity, keep_unclassified=False)
     assert files.read_catalog(spark, parity).filter("category = 'unclassified'").count() == 0
 
 
+def test_documents_of_other_profiles_stay(spark, tmp_path):
+    lines = [(p, "c", 0, i, None, None, f"{p}{i}") for p in ("a", "b") for i in range(3)]
+    df = spark.createDataFrame(lines, "profile string, category string, section int, block int, file_id int, ord long, text string")
+    for p in ("a", "b", "a"):
+        files.write_documents(df.filter(F.col("profile") == p), str(tmp_path / "docs"))
+    got = spark.read.text(str(tmp_path / "docs")).collect()
+    assert sorted(r["value"] for r in got) == ["a0", "a1", "a2", "b0", "b1", "b2"]
+
+
 def test_catalogue_files(spark, tmp_path):
     for i, hits in ((2, [{"title": "a", "url": watch("x")}, {"title": "b"}]), (4, [])):
         (tmp_path / f"file_{i}.json").write_text(json.dumps(
@@ -95,7 +128,7 @@ def test_profiles_from_json_and_yaml(spark, tmp_path):
 def test_decisions(spark, tmp_path):
     (tmp_path / "s.json").write_text(json.dumps(
         {"reviewed": {"u1": "approve", "u2": "skip"}, "session_start": "2024-01-01T00:00:00"}), encoding="utf-8")
-    got = files.read_decisions(spark, str(tmp_path / "s.json"))
+    got = files.read_decisions(spark, str(tmp_path / "s.json"), "p")
     assert {(r["url"], r["action"]) for r in got.collect()} == {("u1", "approve"), ("u2", "skip")}
     files.write_decisions(got, str(tmp_path / "table"))
     files.write_decisions(got, str(tmp_path / "table"))
@@ -162,6 +195,6 @@ def test_incremental_ingest(spark, raw_dir, tmp_path):
     incremental.start_ingest(hits, table, state).awaitTermination()
     assert spark.read.parquet(table).count() == 6
     # A repeated micro-batch replaces its own rows.
-    again = files.read_raw(spark, raw_dir, "star_lin").filter(F.col("search_query") == "q")
+    again = files.read_raw(spark, raw_dir, "star_lin", True).filter(F.col("search_query") == "q")
     incremental.append_new(again, 1, table)
     assert spark.read.parquet(table).count() == 6
