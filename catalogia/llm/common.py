@@ -18,11 +18,13 @@ HOT_SHARE = 20_000
 # Rows that one numbering task sorts.
 CELL_ROWS = 100_000
 # Words handled at once inside a task; a longer document is handled alone.
-CHUNK_WORDS = 400_000
+CHUNK_WORDS = 150_000
 # Fixed odd multiplier of the rolling word hash (64 bits) and its inverse.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
+# Rows of one Arrow batch that a task emits.
+OUTPUT_ROWS = 200_000
 # Stands for a null id where rows are joined by id.
 NO_ID = -(1 << 63)
 

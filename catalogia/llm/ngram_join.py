@@ -12,8 +12,6 @@ and pairs inside a component found so need no further look, because only compone
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -21,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from catalogia.llm.common import (
-    NO_ID, join_counted, keyed_texts, mixed, packed_texts, stored, word_chunks,
+    NO_ID, OUTPUT_ROWS, Rolling, join_counted, keyed_texts, mixed, packed_texts, stored, word_chunks,
 )
 from catalogia.llm.components import components
 
@@ -39,10 +37,8 @@ def shingle_sets(texts: list[str | None], shingle: int = SHINGLE):
     """Yield the sorted distinct shingle hashes of each text; texts below ``shingle`` words are one shingle."""
     lowered = [t.translate(LOWER).encode() if t else None for t in texts]
     for _, bounds, hashes in word_chunks(lowered):
-        n = len(hashes) - shingle + 1
-        made = np.zeros(max(n, 0), np.uint64)
-        for j in range(shingle):
-            made = mixed(made + hashes[j:j + n], 3) if n > 0 else made
+        at = np.arange(max(0, len(hashes) - shingle + 1))
+        made = Rolling(hashes).of(at, at + shingle)
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if b - a >= shingle:
                 yield np.unique(made[a:b - shingle + 1])
@@ -60,27 +56,42 @@ def set_id(tokens: np.ndarray) -> int:
 
 
 def _sketch(batches):
-    counts, used = np.zeros(CELLS, np.uint32), False
+    counts, held, size = np.zeros(CELLS, np.uint32), [], 0
+
+    def count():
+        cells, n = np.unique(np.concatenate(held) & np.uint64(CELLS - 1), return_counts=True)
+        counts[cells.astype(np.int64)] += n.astype(np.uint32)
+
     for batch in batches:
         for tokens in shingle_sets(batch.column(0).to_pylist()):
-            np.add.at(counts, (tokens & np.uint64(CELLS - 1)).astype(np.int64), 1)
-            used = used or len(tokens) > 0
-    if used:
+            held.append(tokens)
+            size += len(tokens)
+            if size >= 10 * OUTPUT_ROWS:
+                count()
+                held, size = [], 0
+    if held:
+        count()
+    if counts.any():
         yield from _slices(dict(enumerate(counts.reshape(SLICES, -1))))
 
 
 def _slices(found: dict[int, np.ndarray]):
+    packer = zstandard.ZstdCompressor(level=1)
     for i, part in found.items():
         yield pa.RecordBatch.from_arrays(
-            [pa.array([i], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
+            [pa.array([i], pa.int32()), pa.array([packer.compress(part.tobytes())], pa.binary())],
             ["slice", "counts"])
 
 
+def _counts_in(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint32)
+
+
 def _merge(batches):
     found: dict[int, np.ndarray] = {}
     for batch in batches:
         for i, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            part = np.frombuffer(zlib.decompress(data), np.uint32)
+            part = _counts_in(data)
             found[i] = found[i] + part if i in found else part
     yield from _slices(found)
 
@@ -95,7 +106,7 @@ def frequency_levels(docs: DataFrame) -> np.ndarray:
     parts = docs.select("text").mapInArrow(_sketch, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)))
     merged = parts.repartition("slice", "salt").select("slice", "counts").mapInArrow(_merge, kind)
     found = merged.repartition("slice").mapInArrow(_merge, kind).collect()
-    counts = [np.frombuffer(zlib.decompress(row["counts"]), np.uint32) for row in found]
+    counts = [_counts_in(row["counts"]) for row in found]
     mean = max(1.0, sum(int(c.sum(dtype=np.int64)) for c in counts) / CELLS)
     levels = np.zeros((SLICES, CELLS // SLICES), np.uint8)
     for row, c in zip(found, counts, strict=True):
@@ -147,6 +158,7 @@ def _common():
 
 def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs (a, b) that really link: both texts are brought to the pair and compared whole."""
+    pairs = stored(pairs)
     needed = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().join(reps, "fp")
     texts = stored(packed_texts(keyed_texts(docs), "doc_id", "text_hash").join(needed, ["doc_id", "text_hash"])
                    .dropDuplicates(["fp"]).select("fp", "packed"))
@@ -196,18 +208,29 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     levels = spark.sparkContext.broadcast(frequency_levels(docs))
 
     def emit(batches):
-        seen = set()
+        seen, found, size = set(), [], 0
+
+        def rows():
+            keys, orders, fps, sizes = zip(*found, strict=True)
+            counts = [len(k) for k in keys]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(orders, np.int8), counts)),
+                 pa.array(np.repeat(np.array(fps, np.int64), counts)),
+                 pa.array(np.repeat(np.array(sizes, np.int32), counts))], ["token", "ord", "fp", "n"])
+
         for batch in batches:
             for tokens in shingle_sets(batch.column(0).to_pylist()):
                 fp = set_id(tokens)
                 if len(tokens) and fp not in seen:
                     seen.add(fp)
                     for order, keys in prefixes(tokens, levels.value):
-                        k = len(keys)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(keys.view(np.int64)), pa.array(np.full(k, order, np.int8)),
-                             pa.array(np.full(k, fp, np.int64)), pa.array(np.full(k, len(tokens), np.int32))],
-                            ["token", "ord", "fp", "n"])
+                        found.append((keys, order, fp, len(tokens)))
+                        size += len(keys)
+                    if size >= OUTPUT_ROWS:
+                        yield rows()
+                        found, size = [], 0
+        if found:
+            yield rows()
 
     rows = docs.select("text").mapInArrow(emit, "token long, ord byte, fp long, n int")
     of_token = Window.partitionBy("token")

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from catalogia.llm.common import (
-    NO_ID, Rolling, join_counted, keyed_texts, packed_texts, stored, word_chunks,
+    NO_ID, OUTPUT_ROWS, Rolling, join_counted, keyed_texts, packed_texts, stored, word_chunks,
 )
 
 WINDOW = 35
@@ -79,19 +79,28 @@ def _runs(batches):
 
 def _windows(batches):
     """Hash of each window of the listed blocks of a document."""
-    unpack = zstandard.ZstdDecompressor()
+    unpack, held, size = zstandard.ZstdDecompressor(), [], 0
+
+    def rows():
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in columns], ["doc_id", "fp", "gram", "window", "start"])
+
     for batch in batches:
         for doc, fp, packed, blocks in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             for _, _, hashes in word_chunks([unpack.decompress(packed)]):
-                rolling = Rolling(hashes)
-                at = np.concatenate([np.arange(b["start"], b["start"] + b["n"]) for b in blocks])
-                gram = np.repeat([b["gram"] for b in blocks], [b["n"] for b in blocks])
-                found = rolling.of(at, at + WINDOW).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), doc)), pa.array(np.full(len(at), fp)), pa.array(gram),
-                     pa.array(found), pa.array(at.astype(np.int32))],
-                    ["doc_id", "fp", "gram", "window", "start"],
-                )
+                first, n = np.array([b["start"] for b in blocks]), np.array([b["n"] for b in blocks])
+                # Windows first, first + 1, .. of each block, all blocks in one array.
+                at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                gram = np.repeat(np.array([b["gram"] for b in blocks]), n)
+                found = Rolling(hashes).of(at, at + WINDOW).view(np.int64)
+                held.append((np.full(len(at), doc), np.full(len(at), fp), gram, found, at.astype(np.int32)))
+                size += len(at)
+            if size >= OUTPUT_ROWS:
+                yield rows()
+                held, size = [], 0
+    if held:
+        yield rows()
 
 
 def duplicate_spans(docs: DataFrame) -> DataFrame:
@@ -113,8 +122,8 @@ def _spans(keyed: DataFrame) -> DataFrame:
                          ["gram", "block"], "fp", n="met")
     factors = known.filter("met > 1").select(*KEY, "start", "n", "reference")
     # Owners with several contents: one block of each content stands for all of its copies.
-    several = blocks.groupBy("gram").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
-    edges = blocks.join(several, "gram").select("gram", "first.*")
+    several = stored(blocks.groupBy("gram").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1"))
+    edges = join_counted(blocks, several, ["gram"], "block", n="contents").select("gram", "first.*")
     listed = edges.groupBy(*KEY).agg(F.collect_list(F.struct("gram", "start", "n")).alias("blocks"))
     windows = stored(
         packed_texts(keyed, *KEY).dropDuplicates(KEY).join(listed, KEY)
