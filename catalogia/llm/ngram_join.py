@@ -29,13 +29,14 @@ ORDERS = (1, 2)
 # Cells of the frequency sketch: its size, and that of its broadcast (a byte a cell), is fixed.
 CELLS = 1 << 24
 SLICES = 64
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+# Bytes of UTF-8 text with A-Z lower-cased.
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 MERGE_PARTS = 16
 
 
 def shingle_sets(texts: list[str | None], shingle: int = SHINGLE):
     """Yield the sorted distinct shingle hashes of each text; texts below ``shingle`` words are one shingle."""
-    lowered = [t.translate(LOWER).encode() if t else None for t in texts]
+    lowered = [t.encode().translate(LOWER) if t else None for t in texts]
     for _, bounds, hashes in word_chunks(lowered):
         at = np.arange(max(0, len(hashes) - shingle + 1))
         made = Rolling(hashes).of(at, at + shingle)
