@@ -1,14 +1,17 @@
 """How much of a discography the catalogue covers.
 
 A track is found if its lower-cased name is a substring of any lower-cased title.
-Substring tests are no equi-join, so there are two exact ways:
+Substring tests are no equi-join, so names and titles are made to meet in one:
 
-* ``scan``: each title is tested against the names of its own profile, which travel as
-  one size-checked array per profile.  No title is shuffled.
-* ``gram``: names of any number.  A title is cut into adjoining blocks of n characters and
-  a name offers its n-character windows at the first n offsets.  Wherever a name of at
+* A short name is met whole: a title offers its distinct substrings of the lengths that short
+  names of its profile have, so only true hits meet.
+* A long name is met by a block: a title is cut into adjoining blocks of n characters and a
+  name offers its n-character windows at the first n offsets.  Wherever a name of at
   least 2n - 1 characters stands in a title, it covers a whole block, which is one of
-  those windows; so both meet in an equi-join, and the full name is verified afterwards.
+  those windows; the full name is verified afterwards.
+
+``way='scan'`` tests each title against all names of its profile instead; no title is
+shuffled, which suits a few names.
 """
 
 from __future__ import annotations
@@ -17,12 +20,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from catalogia.functions import blank_to_null
 from catalogia.functions.display import fixed
-from catalogia.operators.distribution import attach, spread_join
+from catalogia.operators.distribution import attach
 
-# Names of one profile up to this many bytes are scanned for in its titles.
-SCAN_BYTES = 256 * 1024
-# Block lengths of the gram way; a name uses the longest n with 2n - 1 <= its length.
-BLOCK_LENGTHS = [1, 2, 4, 8, 16, 32]
+# Block lengths of long names; a name uses the longest n with 2n - 1 <= its length.
+BLOCK_LENGTHS = [8, 16, 32]
+# Shorter names are met whole, by the title's substrings of the lengths that its profile uses.
+SHORT = 2 * BLOCK_LENGTHS[0] - 1
 
 
 def _names(tracks: DataFrame, name: str) -> DataFrame:
@@ -53,55 +56,45 @@ def _blocks() -> str:
     return f"array_distinct(concat({cut}))"
 
 
+def _found_short(names: DataFrame, titles: DataFrame) -> DataFrame:
+    short = names.filter(F.length("_name") < SHORT)
+    # At most one short list of lengths per profile.
+    lengths = short.groupBy("profile").agg(F.collect_set(F.length("_name")).alias("_lengths"))
+    offered = attach(titles, lengths, ["profile"], ["_title"], "inner")
+    # A look-ahead yields the substring at every place in one pass over the title.
+    cut = ", ".join(
+        f"if(array_contains(_lengths, {n}), "
+        f"regexp_extract_all(_title, r'(?s)(?=(.{{{n}}}))', 1), cast(array() as array<string>))"
+        for n in range(1, SHORT)
+    )
+    pieces = F.expr(f"explode(array_distinct(concat(if(array_contains(_lengths, 0), array(''), array()), {cut})))")
+    seen = offered.select("profile", pieces.alias("_name")).distinct()
+    return seen.join(short, ["profile", "_name"])
+
+
 def _found_by_gram(names: DataFrame, titles: DataFrame) -> DataFrame:
-    length = F.lit(0)
-    for n in BLOCK_LENGTHS:
+    length = F.lit(BLOCK_LENGTHS[0])
+    for n in BLOCK_LENGTHS[1:]:
         length = F.when(F.length("_name") >= 2 * n - 1, n).otherwise(length)
-    sized = names.withColumns({"_n": length, "_name_id": F.md5("_name")})
-    # An empty name is in every title; it has no window and is settled by the profile alone.
-    empty = sized.filter("_n = 0").join(titles.select("profile").distinct(), "profile", "left_semi")
-    sized = sized.filter("_n > 0")
+    sized = names.filter(F.length("_name") >= SHORT).withColumn("_n", length)
     windows = F.expr(
         "explode(array_distinct(transform(sequence(1, _n), i -> substring(_name, i, _n))))"
     )
-    keyed = sized.select("profile", "_name_id", windows.alias("_key"))
-    # At most one short list of lengths per profile.
+    keyed = sized.select("profile", "_name", windows.alias("_key"))
     lengths = sized.groupBy("profile").agg(F.collect_set("_n").alias("_lengths"))
-    # Copies of a title count once; they are merged before the shuffle.
-    titled = titles.groupBy("profile", F.md5("_title").alias("_title_id")).agg(
-        F.first("_title").alias("_title")
-    )
-    offered = attach(titled, lengths, ["profile"], ["_title_id"], "inner")
-    blocks = offered.select("profile", "_title_id", F.expr(f"explode({_blocks()})").alias("_key"))
-    # Only ids travel here; a block that very many titles share is salted.
-    pairs = spread_join(blocks, keyed, ["profile", "_key"], ["_title_id"], "inner").select(
-        "profile", "_title_id", "_name_id"
-    ).distinct()
-    # A name that is in very many titles is salted too.
-    candidates = spread_join(
-        pairs, sized.select("profile", "_name_id", "_name"), ["profile", "_name_id"], ["_title_id"],
-        "inner",
-    )
-    verified = candidates.join(titled, ["profile", "_title_id"]).filter(
-        F.contains(F.col("_title"), F.col("_name"))
-    )
-    return verified.select("profile", "_name").distinct().unionByName(
-        empty.select("profile", "_name")
-    )
-
-
-def _largest_profile_bytes(names: DataFrame) -> int:
-    per_profile = names.groupBy("profile").agg(F.sum(F.octet_length("_name")).alias("b"))
-    return per_profile.agg(F.max("b").alias("b")).first()["b"] or 0
+    offered = attach(titles, lengths, ["profile"], ["_title"], "inner")
+    blocks = offered.select("profile", "_title", F.expr(f"explode({_blocks()})").alias("_key"))
+    # The few names of a block are brought to the titles that hold it; the title is at hand there.
+    met = attach(blocks, keyed, ["profile", "_key"], ["_title"], "inner")
+    found = met.filter(F.contains(F.col("_title"), F.col("_name"))).select("profile", "_name").distinct()
+    return found.unionByName(_found_short(names, titles).select("profile", "_name"))
 
 
 def track_found(
-    tracks: DataFrame, items: DataFrame, name: str = "track", way: str | None = None,
+    tracks: DataFrame, items: DataFrame, name: str = "track", way: str = "gram",
 ) -> DataFrame:
-    """``tracks`` plus ``found``.  ``way`` is measured if not given."""
+    """``tracks`` plus ``found``."""
     names, titles = _names(tracks, name), _titles(items)
-    if way is None:
-        way = "scan" if _largest_profile_bytes(names) <= SCAN_BYTES else "gram"
     hits = (_found_by_scan if way == "scan" else _found_by_gram)(names, titles)
     hits = hits.withColumn("_found", F.lit(True))
     joined = tracks.withColumn("_name", F.lower(name)).join(hits, ["profile", "_name"], "left")
@@ -109,23 +102,25 @@ def track_found(
 
 
 def album_coverage(found: DataFrame, lists: bool = False) -> DataFrame:
-    """Totals per album from ``track_found`` rows.
+    """Totals per album from ``track_found`` rows; editions of one name and different years
+    (column ``year``) or places (column ``album_pos``), where there are such columns, stay apart.
 
     ``lists`` adds the ordered found and missing tracks; an album of a profile document
     is short, so use it for those.
     """
     hit = F.col("found")
+    by = ["profile", "album", *[c for c in ("album_pos", "year") if c in found.columns]]
     measures = [
         F.count(F.lit(1)).alias("total_tracks"), F.count_if(hit).alias("found_count"),
         F.count_if(~hit).alias("missing_count"),
     ]
     if not lists:
-        return found.groupBy("profile", "album").agg(*measures)
-    grouped = found.groupBy("profile", "album").agg(
+        return found.groupBy(*by).agg(*measures)
+    grouped = found.groupBy(*by).agg(
         *measures, F.array_sort(F.collect_list(F.struct("pos", "track", "found"))).alias("_all")
     )
     return grouped.select(
-        "profile", "album", "total_tracks", "found_count", "missing_count",
+        *by, "total_tracks", "found_count", "missing_count",
         F.transform(F.filter("_all", lambda t: t["found"]), lambda t: t.track).alias("found_tracks"),
         F.transform(F.filter("_all", lambda t: ~t["found"]), lambda t: t.track).alias(
             "missing_tracks"
@@ -133,7 +128,7 @@ def album_coverage(found: DataFrame, lists: bool = False) -> DataFrame:
     )
 
 
-def single_coverage(singles: DataFrame, items: DataFrame, way: str | None = None) -> DataFrame:
+def single_coverage(singles: DataFrame, items: DataFrame, way: str = "gram") -> DataFrame:
     return track_found(singles, items, "name", way)
 
 

@@ -22,53 +22,67 @@ _ROW = "profile, file_id, ord"
 
 # --- coverage: benchmark passages as tracks, whole documents as titles -------------------
 
+def _of(column: str):
+    """Three profiles, by the id of a passage or document."""
+    return F.concat(F.lit("p"), (F.col(column) % 3).cast("string")).alias("profile")
+
+
 def _tracks(spark, sf_dir) -> DataFrame:
+    album = F.col("item_id") % 7
     return tables.table(spark, sf_dir, "benchmark").select(
-        F.lit("all").alias("profile"),
-        F.concat(F.lit("album "), (F.col("item_id") % 7).cast("string")).alias("album"),
-        F.col("item_id").alias("pos"), F.col("text").alias("track"),
+        _of("item_id"), F.concat(F.lit("album "), album.cast("string")).alias("album"),
+        (album + 2000).alias("year"), F.col("item_id").alias("pos"), F.col("text").alias("track"),
     )
 
 
 def _singles(spark, sf_dir) -> DataFrame:
+    """Passages as names; every second one in capitals, which makes no difference."""
+    name = F.when(F.col("item_id") % 2 == 0, F.col("text")).otherwise(F.upper("text"))
     return tables.table(spark, sf_dir, "benchmark").select(
-        F.lit("all").alias("profile"), F.substring_index("text", " ", 3).alias("name"),
+        _of("item_id"), name.alias("name"),
         F.concat(F.lit("film "), (F.col("item_id") % 5).cast("string")).alias("source"),
         (F.col("item_id") + 1990).alias("year"),
     )
 
 
 def _titles(spark, sf_dir) -> DataFrame:
-    return tables.table(spark, sf_dir, "documents").select(
-        F.lit("all").alias("profile"), F.col("text").alias("title")
-    )
+    return tables.table(spark, sf_dir, "documents").select(_of("doc_id"), F.col("text").alias("title"))
 
 
-_FOUND = """found as (select 'all' as profile, 'album ' || item_id % 7 as album, item_id as pos,
-  b.text as track, exists (select 1 from documents d where contains(lower(d.text), lower(b.text)))
+_FOUND = """found as (select 'p' || item_id % 3 as profile, 'album ' || item_id % 7 as album,
+  item_id % 7 + 2000 as year, item_id as pos, b.text as track,
+  exists (select 1 from documents d where doc_id % 3 = item_id % 3 and contains(lower(d.text), lower(b.text)))
     as found from benchmark b),
-found_singles as (select 'all' as profile, array_to_string(string_split(b.text, ' ')[1:3], ' ')
-    as name, 'film ' || item_id % 5 as source, item_id + 1990 as year,
-  exists (select 1 from documents d where contains(lower(d.text),
-    lower(array_to_string(string_split(b.text, ' ')[1:3], ' ')))) as found from benchmark b)"""
+singles as (select item_id, case when item_id % 2 = 0 then text else upper(text) end as name
+  from benchmark),
+found_singles as (select 'p' || item_id % 3 as profile, name, 'film ' || item_id % 5 as source,
+  item_id + 1990 as year,
+  exists (select 1 from documents d where doc_id % 3 = item_id % 3 and contains(lower(d.text), lower(name)))
+    as found from singles)"""
 
 
 @query(f"with {_FOUND} select * from found")
 def track_coverage(spark, sf_dir):
-    return coverage.track_found(_tracks(spark, sf_dir), _titles(spark, sf_dir))
+    """By scan: each document against the passages of its profile."""
+    return coverage.track_found(_tracks(spark, sf_dir), _titles(spark, sf_dir), way="scan")
 
 
 @query(f"with {_FOUND} select * from found")
 def track_coverage_gram(spark, sf_dir):
-    """The same by equi-join on the first characters, for dictionaries of any size."""
-    return coverage.track_found(_tracks(spark, sf_dir), _titles(spark, sf_dir), way="gram")
+    """The same by equi-join on blocks and substrings, for dictionaries of any size."""
+    return coverage.track_found(_tracks(spark, sf_dir), _titles(spark, sf_dir))
 
 
-@query(f"""with {_FOUND} select profile, album, count(*) as total_tracks,
-  count(*) filter (found) as found_count, count(*) filter (not found) as missing_count
-from found group by profile, album""")
+@query(f"""with {_FOUND} select profile, album, year, count(*) as total_tracks,
+  count(*) filter (found) as found_count, count(*) filter (not found) as missing_count,
+  coalesce(string_agg(track, '; ' order by pos) filter (found), '') as found_tracks,
+  coalesce(string_agg(track, '; ' order by pos) filter (not found), '') as missing_tracks
+from found group by profile, album, year""")
 def album_coverage(spark, sf_dir):
-    return coverage.album_coverage(track_coverage(spark, sf_dir))
+    albums = coverage.album_coverage(track_coverage_gram(spark, sf_dir), lists=True)
+    return albums.withColumns({
+        c: F.array_join(c, "; ") for c in ("found_tracks", "missing_tracks")
+    })
 
 
 @query(f"with {_FOUND} select * from found_singles")
@@ -76,14 +90,16 @@ def single_coverage(spark, sf_dir):
     return coverage.single_coverage(_singles(spark, sf_dir), _titles(spark, sf_dir))
 
 
-@query(f"""with {_FOUND} select 'all' as profile, t as album_tracks_total, f as album_tracks_found,
-  t - f as album_tracks_missing, cast(printf('%.1f', f * 100e0 / t) as double) as album_coverage_pct, ot as ost_total,
-  o as ost_found, ot - o as ost_missing, cast(printf('%.1f', o * 100e0 / ot) as double) as ost_coverage_pct
-from (select count(*) as t, count(*) filter (found) as f from found) x,
-  (select count(*) as ot, count(*) filter (found) as o from found_singles) y""")
+@query(f"""with {_FOUND} select profile, t as album_tracks_total, f as album_tracks_found,
+  t - f as album_tracks_missing, cast(printf('%.1f', f * 100e0 / t) as double) as album_coverage_pct,
+  ot as ost_total, o as ost_found, ot - o as ost_missing,
+  cast(printf('%.1f', o * 100e0 / ot) as double) as ost_coverage_pct
+from (select profile, count(*) as t, count(*) filter (found) as f from found group by profile) x
+join (select profile, count(*) as ot, count(*) filter (found) as o from found_singles group by profile) y
+  using (profile)""")
 def coverage_summary(spark, sf_dir):
-    tracks = track_coverage(spark, sf_dir)
-    return coverage.coverage_summary(tracks, tracks, single_coverage(spark, sf_dir))
+    heads = _tracks(spark, sf_dir).select("profile")
+    return coverage.coverage_summary(heads, track_coverage_gram(spark, sf_dir), single_coverage(spark, sf_dir))
 
 
 # --- rendering ---------------------------------------------------------------------------
@@ -286,26 +302,33 @@ _ISSUES = """
 with a as (select c_custkey as k, unnest(range(0, 1 + c_custkey % 4)) as a from customer),
 o as (select c_custkey as k, unnest(range(0, c_custkey % 3)) as i from customer)
 select 'c' || k as profile, 'short_album' as "check", count(*) filter (1 + (k + a) % 5 < 3) as n,
-  count(*) as total from a group by k having n > 0
-union all select 'c' || k, 'ost_without_source', count(*) filter ((k + i) % 2 = 0) as n, count(*)
+  count(*) as total, string_agg('album ' || a || ' (' || 1 + (k + a) % 5 || ' tracks)', '; ' order by a)
+    filter (1 + (k + a) % 5 < 3) as names
+from a group by k having n > 0
+union all select 'c' || k, 'ost_without_source', count(*) filter ((k + i) % 2 = 0) as n, count(*),
+  string_agg('ost ' || i, '; ' order by i) filter ((k + i) % 2 = 0)
 from o group by k having n > 0
-union all select 'c' || k, 'collab_without_songs', count(*) filter ((k + i) % 4 = 0) as n, count(*)
+union all select 'c' || k, 'collab_without_songs', count(*) filter ((k + i) % 4 = 0) as n, count(*),
+  string_agg('friend ' || i, '; ' order by i) filter ((k + i) % 4 = 0)
 from o group by k having n > 0
-union all select 'c' || c_custkey, 'no_interviewers', 1, null from customer where c_custkey % 2 = 0
-union all select 'c' || c_custkey, 'singing_shows_without_singles', 1, null from customer
+union all select 'c' || c_custkey, 'no_interviewers', 1, null, c_name from customer where c_custkey % 2 = 0
+union all select 'c' || c_custkey, 'singing_shows_without_singles', 1, null, 'The Singer Show' from customer
 where c_custkey % 7 < 3 and c_custkey % 5 > 0"""
 
 
 @query(_ISSUES)
 def profile_issues(spark, sf_dir):
-    return profile_checks.document_issues(_documents(spark, sf_dir)).drop("names")
+    issues = profile_checks.document_issues(_documents(spark, sf_dir))
+    return issues.withColumn("names", F.array_join("names", "; "))
 
 
 @query(_ISSUES)
 def dimension_issues(spark, sf_dir):
     """The same from flat dimensions."""
     names = ["profiles", "albums", "tracks", "ost", "collabs", "shows", "variety_singles", "interviewers"]
-    return profile_checks.profile_issues(profile_dims(_documents(spark, sf_dir), *names))
+    dims = profile_dims(_documents(spark, sf_dir), *names)
+    issues = profile_checks.profile_issues(dims, names=True)
+    return issues.withColumn("names", F.array_join("names", "; "))
 
 
 @query("""select c_custkey, case when c_custkey % 3 > 0 then regexp_matches(c_name || ' by S.H-' ||
