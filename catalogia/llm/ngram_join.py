@@ -258,9 +258,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def _first_pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each set with the least and the greatest set of each of its tokens, if they share a quarter
-    of what similar sets must: enough to find most links, and no pair is lost by it."""
-    hubs = shared.select("fp", "n", "ord", F.explode(F.array("low", "high")).alias("hub")).filter("fp <> hub")
+    """Each set with the most central and with the least set of each of its tokens, if they share a
+    quarter of what similar sets must: enough to find most links, and no pair is lost by it.
+
+    Central is the set whose prefix holds most shared tokens for its size: of near copies, the one
+    that they are copies of.
+    """
+    weights = shared.groupBy("fp").agg(F.count(F.lit(1)).alias("weight"))
+    central = F.max(F.struct((F.col("weight") / F.col("n")).alias("w"), "fp")).over(Window.partitionBy("token"))
+    ranked = shared.join(weights, "fp").withColumn("central", central)
+    hubs = ranked.select(
+        "fp", "n", "ord", F.explode(F.array_distinct(F.array("central.fp", "low"))).alias("hub")
+    ).filter("fp <> hub")
     counted = hubs.groupBy("fp", "hub", "n").agg(*_common())
     sized = counted.join(classes.select(F.col("fp").alias("hub"), F.col("n").alias("m")), "hub")
     return sized.filter(_counts(0.25)).select(
@@ -271,19 +280,27 @@ def _other_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """All pairs of different components that share enough prefix tokens under every order.
 
     A token's components are paired first and their members after that, so the members of one
-    component are never compared with each other.
+    component are never compared with each other.  Only sets of one size band, or of neighbouring
+    ones, can be similar enough: bands are as wide as the largest ratio of sizes.
     """
     of_token = Window.partitionBy("token")
     named = shared.join(labels, shared["fp"] == labels["node"], "left").select(
-        "token", "ord", "fp", "n", F.coalesce("label", "fp").alias("part"))
+        "token", "ord", "fp", "n", F.coalesce("label", "fp").alias("part"),
+        F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)) - 1e-9).cast("int").alias("band"))
     mixed_tokens = stored(
         named.withColumn("first", F.min("part").over(of_token)).withColumn("last", F.max("part").over(of_token))
         .filter("first < last").drop("first", "last")
     )
-    parts = mixed_tokens.select("token", "part").distinct()
-    met = parts.withColumnRenamed("part", "pa").join(parts.withColumnRenamed("part", "pb"), "token").filter("pa < pb")
-    left = mixed_tokens.select("token", F.col("part").alias("pa"), "ord", F.col("fp").alias("x"), "n")
-    right = mixed_tokens.select("token", F.col("part").alias("pb"), F.col("fp").alias("y"), F.col("n").alias("m"))
-    pairs = met.join(left, ["token", "pa"]).join(right, ["token", "pb"]).filter(SIZES_FIT)
+    parts = mixed_tokens.select("token", "band", "part").distinct()
+    # The first of a pair is of the same band or one below; in one band each pair is met once.
+    upper = parts.select("token", F.col("part").alias("pb"), F.col("band").alias("bb"), F.explode(
+        F.array("band", F.col("band") - 1)).alias("band"))
+    met = parts.withColumnRenamed("part", "pa").join(upper, ["token", "band"]).filter(
+        "pa < pb or (band < bb and pa <> pb)").withColumnRenamed("band", "ba")
+    left = mixed_tokens.select("token", F.col("part").alias("pa"), F.col("band").alias("ba"), "ord",
+                               F.col("fp").alias("x"), "n")
+    right = mixed_tokens.select("token", F.col("part").alias("pb"), F.col("band").alias("bb"),
+                                F.col("fp").alias("y"), F.col("n").alias("m"))
+    pairs = met.join(left, ["token", "pa", "ba"]).join(right, ["token", "pb", "bb"]).filter(SIZES_FIT)
     return pairs.groupBy("x", "y", "n", "m").agg(*_common()).filter(_counts()).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
