@@ -133,15 +133,45 @@ def profile_stats(profiles: DataFrame) -> DataFrame:
     )
 
 
-def schema_problems(profiles: DataFrame) -> DataFrame:
-    """Required parts of the typed document that a parsed profile lacks: (profile, problem)."""
-    required = [
-        "artist.names.primary", "artist.names.english", "artist.names.aliases",
-        "artist.official_channels", "artist.labels", "discography.solo_albums",
-        "discography.ost_singles", "discography.concerts", "discography.variety_shows",
-        "discography.collaborators", "categories", "classification.priority",
+# Parts that every document must have, and fields that every entry of a list must have.
+REQUIRED = [
+    "artist.names.primary", "artist.names.english", "artist.names.aliases", "artist.official_channels",
+    "artist.labels", "discography.solo_albums", "discography.ost_singles", "discography.concerts",
+    "discography.variety_shows", "discography.collaborators", "categories", "classification.priority",
+]
+REQUIRED_IN = {
+    "artist.channels": ["platform", "id"],
+    "discography.solo_albums": ["name", "year", "tracks"],
+    "discography.ost_singles": ["name", "source", "year"],
+    "discography.variety_show_singles": ["name", "source", "year"],
+    "discography.concerts": ["name", "years"], "discography.group_concerts": ["name", "years"],
+    "discography.variety_shows": ["name"], "discography.collaborators": ["name"],
+    "categories": ["id", "key", "label"],
+}
+GROUP_PARTS = ["name", "aliases", "members", "member_names"]
+
+
+def schema_problems(documents: DataFrame, key: str = "profile") -> DataFrame:
+    """(key, problem) of typed documents (``parse_documents``), of those without a name too.
+
+    A part counts as missing if it is absent or of another type; a document of which nothing
+    could be read has that one problem.
+    """
+    def problem(condition, text):
+        return F.when(condition, F.lit(text))
+
+    unread = F.lit(True)
+    for part in ("artist", "discography", "categories", "classification", "group"):
+        unread = unread & F.col(part).isNull()
+    found = [problem(F.col(p).isNull(), f"missing {p}") for p in REQUIRED]
+    for path, fields in REQUIRED_IN.items():
+        found += [
+            problem(F.expr(f"coalesce(exists({path}, x -> x.{f} is null), false)"), f"missing {path}[].{f}")
+            for f in fields
+        ]
+    found += [
+        problem(F.col("group").isNotNull() & F.col("group")[f].isNull(), f"missing group.{f}") for f in GROUP_PARTS
     ]
-    missing = F.array(*[F.when(F.col(p).isNull(), F.lit(f"missing {p}")) for p in required])
-    return profiles.select(
-        "profile", F.explode(F.filter(missing, lambda m: m.isNotNull())).alias("problem")
-    )
+    listed = F.when(unread, F.array(F.lit("unreadable document"))).otherwise(
+        F.filter(F.array(*found), lambda m: m.isNotNull()))
+    return documents.select(key, F.explode(listed).alias("problem"))

@@ -16,6 +16,7 @@ from catalogia.plans.classify_queries import settled
 from catalogia.plans.oracle_parts import q, with_ctes
 from catalogia.plans.registry import query
 from catalogia.session import cut_lineage
+from catalogia.sources.profiles import parse_documents
 
 _ROW = "profile, file_id, ord"
 
@@ -281,12 +282,18 @@ def profile_stats(spark, sf_dir):
     return profile_checks.profile_stats(_documents(spark, sf_dir))
 
 
-@query("""select 'c' || c_custkey as profile, 'missing artist.labels' as problem from customer
-where c_custkey % 6 = 0
-union all select 'c' || c_custkey, 'missing classification.priority' from customer
-where c_custkey % 9 = 0""")
+@query("""
+with k as (select c_custkey as key from customer), r as (select key from k where key % 5 <> 0)
+select key, 'unreadable document' as problem from k where key % 5 = 0
+union all select key, 'missing artist.labels' from r where key % 6 = 0
+union all select key, 'missing classification.priority' from r where key % 9 = 0
+union all select key, 'missing artist.names.english' from r where key % 7 = 1
+union all select key, 'missing discography.solo_albums[].year' from r where key % 7 = 2
+union all select key, 'missing categories[].label' from r where key % 7 = 3 and key % 3 > 0
+union all select key, 'missing discography.solo_albums' from r where key % 7 = 4""")
 def schema_problems(spark, sf_dir):
-    return profile_checks.schema_problems(_documents(spark, sf_dir))
+    documents = parse_documents(tables.faulty_documents(spark, sf_dir))
+    return profile_checks.schema_problems(documents, "key")
 
 
 @query("""

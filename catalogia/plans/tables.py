@@ -323,8 +323,8 @@ from {_SUPPLY} s join {{supplier}} on s_suppkey = suppkey
 }
 
 
-def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A profile document per customer, its lists made of the customer's key."""
+def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, json): a profile document per customer, its lists made of the customer's key."""
     k = F.col("c_custkey")
 
     def listed(n, make):
@@ -383,7 +383,23 @@ def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         artist.alias("artist"), discography.alias("discography"), categories.alias("categories"),
         F.struct(F.when(k % 9 > 0, none).alias("priority")).alias("classification"),
     )
-    # Through JSON, as documents arrive.
-    return parse_profiles(
-        table(spark, sf_dir, "customer").select(F.to_json(document).alias("json"))
+    return table(spark, sf_dir, "customer").select(k.alias("key"), F.to_json(document).alias("json"))
+
+
+def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers' documents read from JSON, as documents arrive."""
+    return parse_profiles(customer_documents(spark, sf_dir).select("json"))
+
+
+def faulty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers' documents, some of them broken in one of several ways by their key."""
+    k, text = F.col("key"), F.col("json")
+    broken = (
+        F.when(k % 5 == 0, F.substring(text, 1, 40))
+        .when(k % 7 == 1, F.regexp_replace(text, '"english":"[^"]*",', ""))
+        .when(k % 7 == 2, F.regexp_replace(text, '"year":2000', '"year":"soon"'))
+        .when(k % 7 == 3, F.regexp_replace(text, '"label":', '"title":'))
+        .when(k % 7 == 4, F.regexp_replace(text, '"solo_albums":', '"albums":'))
+        .otherwise(text)
     )
+    return customer_documents(spark, sf_dir).select("key", broken.alias("json"))

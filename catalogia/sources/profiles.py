@@ -24,11 +24,20 @@ def _yaml_to_json(batches):
         yield batch[["path", "json"]]
 
 
+def parse_documents(documents: DataFrame, on_error: str = "PERMISSIVE") -> DataFrame:
+    """``documents(json)`` and any other columns to typed documents; every document keeps its row.
+
+    A document that is no JSON object has null in every part; a part of another type is null.
+    """
+    kept = [c for c in documents.columns if c != "json"]
+    return documents.select(
+        *kept, F.from_json("json", PROFILE_DOCUMENT, {"mode": on_error}).alias("d")
+    ).select(*kept, "d.*")
+
+
 def parse_profiles(documents: DataFrame, on_error: str = "PERMISSIVE") -> DataFrame:
     """``documents(json)`` to profile rows; the slug of the English name is the profile key."""
-    parsed = documents.select(
-        F.from_json("json", PROFILE_DOCUMENT, {"mode": on_error}).alias("d")
-    ).select("d.*")
+    parsed = parse_documents(documents.select("json"), on_error)
     return parsed.filter(F.coalesce("artist.names.english", F.lit("")) != "").select(
         slug(F.col("artist.names.english")).alias("profile"), "*"
     )
