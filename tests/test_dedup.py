@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import Window, functions as F
 
@@ -137,3 +138,13 @@ def test_link_chunks(make_items):
                        {"source": "youtube", "url": "https://y"})
     got = links.links_to_check(items).groupBy("chunk").count().orderBy("chunk").collect()
     assert [tuple(r) for r in got] == [(0, 50), (1, 3)]
+
+
+def test_richest_moves_no_text_that_is_not_asked_for(spark, make_items):
+    items = make_items({"url": watch("a")}, {"url": watch("a"), "description": "more"})
+    best = dedup.dedup_richest(items)
+    assert [r["description"] for r in best.collect()] == ["more"]
+    narrow = best.select("profile", "original_file_id")
+    plan = spark._jvm.PythonSQLUtils.explainString(narrow._jdf.queryExecution(), "formatted")
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert moved and not any("description" in m or "snippet" in m for m in moved)
