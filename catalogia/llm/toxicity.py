@@ -17,6 +17,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catalogia.llm.common import stored
+from catalogia.llm.encoding import encoder_of
 
 # Labelled rows that are learned from at most: the first by a hash of their id.
 SAMPLE_ROWS = 20_000
@@ -32,6 +33,9 @@ SECOND_PERSON = frozenset(
 LOOKALIKES = str.maketrans("013457@$!|", "oieastasil")
 EDGES = ".,;:!?\"'()[]{}«»¿¡…-*#%&"
 NEAR = 5
+# Words remembered in a task at most, and what is remembered of most of them.
+MEMO_WORDS = 200_000
+NOTHING = (0.0, 0.0, 0.0, 0.0)
 FEATURES = [
     "hits_rate", "weight_rate", "hits", "max_weight", "distinct_hits", "near_second_person",
     "second_person_rate", "upper_rate", "punct_rate", "loud_rate", "obfuscated_rate", "hidden_hits",
@@ -93,7 +97,7 @@ class Memo(dict):
         return max((self.lexicon.get(k, 0.0) for k in keys_of(word)), default=0.0)
 
     def __missing__(self, raw: str):
-        if len(self) > 400_000:
+        if len(self) > MEMO_WORDS:
             self.clear()
         word = raw.strip(EDGES)
         weight, hidden = self.weight(word), bool(HIDDEN.search(word))
@@ -101,7 +105,7 @@ class Memo(dict):
         if hidden and not weight:
             found = self.weight(word.translate(LOOKALIKES).replace("*", ""))
         out = (max(weight, found), float(word in SECOND_PERSON), float(hidden), float(found > 0))
-        self[raw] = out
+        self[raw] = out = out if any(out) else NOTHING
         return out
 
 
@@ -138,6 +142,8 @@ def with_features(docs: DataFrame, lexicon: dict[str, float], keep: list[str]) -
     chosen = docs.select(F.struct(*[F.col(f"`{n}`") for n in keep]).alias("row"), "text")
 
     def run(batches):
+        # What tokenization remembered in this worker is not needed beside this memory.
+        encoder_of.cache_clear()
         memo = Memo(lexicon)
         for batch in batches:
             found = [features(t, memo) for t in batch.column(1).to_pylist()]
