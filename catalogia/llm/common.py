@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -131,14 +132,17 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), dtype=">u8").astype(np.uint64)
 
 
-def word_chunks(texts: list[bytes | None], lower: bool = False):
+def word_chunks(texts: Iterable[bytes | None], lower: bool = False):
     """Yield (first document, bounds, hashes): documents of a batch in chunks of bounded size.
 
     Words are maximal runs without ASCII white space; document ``first + i`` has the hashes
-    ``bounds[i]:bounds[i + 1]``.  A null text has no words.
+    ``bounds[i]:bounds[i + 1]``.  A null text has no words.  Strings are refused: they would be
+    split at other places than their bytes.
     """
     first, bounds, parts, size = 0, [0], [], 0
     for i, text in enumerate(texts):
+        if isinstance(text, str):
+            raise TypeError("words are cut in UTF-8 bytes")
         words = ((text.lower() if lower else text).split()) if text else []
         if size and size + len(words) > CHUNK_WORDS:
             yield first, np.array(bounds), np.concatenate(parts)

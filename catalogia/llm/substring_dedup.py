@@ -68,7 +68,8 @@ def blocks_of(hashes: np.ndarray, bounds: np.ndarray, window: int = WINDOW, gram
 def _runs(batches):
     for batch in batches:
         ids, fps = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-        for base, bounds, hashes in word_chunks(batch.column(2).to_pylist()):
+        texts = (t.encode() if t else None for t in batch.column(2).to_pylist())
+        for base, bounds, hashes in word_chunks(texts):
             doc, gram, block, start, n = blocks_of(hashes, bounds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[base + doc]), pa.array(fps[base + doc]), pa.array(gram.view(np.int64)),

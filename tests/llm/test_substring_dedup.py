@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from catalogia.llm.common import word_chunks
 from catalogia.llm.substring_dedup import leftmost_min, remove_duplicates
 from helpers import awkward, documents, near, prose
 
@@ -49,5 +50,22 @@ def test_repeated_and_null_ids(spark):
     assert digests(remove_duplicates(documents(spark, texts))) == want
 
 
+@pytest.mark.parametrize("space", ["\u00a0", "\u3000", "\u2028", "\x85", "\x1c", "\x1f"])
+def test_only_ascii_white_space_ends_a_word(spark, space):
+    words = prose(20, 80).split()
+    joined = " ".join(words[:10]) + space + " ".join(words[10:])
+    blank = " ".join(words[:45]) + " 10 000 " + " ".join(words[45:])
+    texts = [joined, " ".join(words), f"{space} {prose(21, 40)} {joined}{space}", blank,
+             blank.replace("10 000", f"10{space}000"), prose(22, 36).replace(" ", space), f" {space} ".join(words)]
+    texts += [f" {space} ".join(words[20:60]), " ".join(f"a{space}b" for _ in range(40))]
+    want = sorted((i, *row) for i, row in enumerate(plain(texts)))
+    assert digests(remove_duplicates(documents(spark, texts))) == want
+
+
+def test_words_are_bytes():
+    with pytest.raises(TypeError):
+        list(word_chunks(["a b"]))
+
+
 def test_empty_table(spark):
     assert remove_duplicates(documents(spark, [])).count() == 0
