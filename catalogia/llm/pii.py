@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import math
 import re
 from functools import lru_cache
 
@@ -37,25 +38,29 @@ def feistel(value: int, size: int, key: bytes, tweak: str) -> int:
     """Keyed permutation of 0 .. size - 1 (alternating modular halves, walking back into range)."""
     if size < 2:
         return value
-    a = int(size ** 0.5) or 1
-    while a * a < size:
-        a += 1
+    a = math.isqrt(size - 1) + 1
     b = -(-size // a)
     while True:
         left, right = divmod(value, b)
         for i in range(ROUNDS):
             if i % 2 == 0:
-                left = (left + _round(key, tweak, i, right)) % a
+                left = (left + _round(key, tweak, i, right, a)) % a
             else:
-                right = (right + _round(key, tweak, i, left)) % b
+                right = (right + _round(key, tweak, i, left, b)) % b
         value = left * b + right
         if value < size:
             return value
 
 
-def _round(key: bytes, tweak: str, i: int, half: int) -> int:
-    data = f"{tweak}|{i}|{half}".encode()
-    return int.from_bytes(hashlib.blake2b(data, key=key[:64], digest_size=16).digest(), "big")
+def _round(key: bytes, tweak: str, i: int, half: int, modulus: int) -> int:
+    if modulus <= 1 << 128:
+        data = f"{tweak}|{i}|{half}".encode()
+        return int.from_bytes(hashlib.blake2b(data, key=key[:64], digest_size=16).digest(), "big")
+    # As many digests as reach the highest symbols of a long value, and 64 bits more.
+    blocks = -(-(modulus.bit_length() + 64) // 512)
+    seed = hashlib.blake2b(f"{tweak}|{i}|{half:x}".encode(), key=key[:64]).digest()
+    digests = [hashlib.blake2b(seed + k.to_bytes(8, "big"), key=key[:64]).digest() for k in range(blocks)]
+    return int.from_bytes(b"".join(digests), "big")
 
 
 def _permuted(symbols: str, alphabet: str, key: bytes, tweak: str) -> str:
