@@ -8,11 +8,12 @@ holds the key can invert it.
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import math
 import re
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,14 +24,14 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 # The patterns of the kinds, tried in this order at each place.
 PATTERN = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
-    r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b)"
+    r"|(?P<iban>\b(?![0-9A-F]{32,64}(?![0-9A-Za-z]))[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b)"
     r"|(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d))"
     r"|(?P<date>(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![./-]?\d))"
     r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\d-])"
     r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?![\d-])|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-]))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))"
-    r"|(?P<secret>(?<![0-9A-Za-z])(?=[a-f]*[0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z]))"
+    r"|(?P<secret>(?<![0-9A-Za-z])(?=[a-fA-F]*[0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z]))"
 )
 
 
@@ -147,20 +148,34 @@ def _ip(text, key):
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 12, 31).toordinal()
 
 
+@cache
+def _late_days() -> list[int]:
+    """Days after the 12th of a month: written mm/dd they are no dd/mm date, so the form is known."""
+    return [d for d in range(FIRST_DAY, LAST_DAY + 1) if datetime.date.fromordinal(d).day > 12]
+
+
 def _date(text, key):
-    iso = text[4] == "-"
+    iso, month_first = text[4] == "-", False
+    parts = list(map(int, re.split(r"[-./]", text)))
+    year, month, day = parts if iso else reversed(parts)
+    if not iso and month > 12:
+        month_first, month, day = True, day, month
     try:
-        parts = list(map(int, re.split(r"[-./]", text)))
-        day = datetime.date(*parts) if iso else datetime.date(parts[2], parts[1], parts[0])
+        at = datetime.date(year, month, day).toordinal()
     except ValueError:
         return text
-    at = day.toordinal() - FIRST_DAY
-    if not 0 <= at <= LAST_DAY - FIRST_DAY:
+    if not FIRST_DAY <= at <= LAST_DAY:
         return text
-    new = datetime.date.fromordinal(FIRST_DAY + feistel(at, LAST_DAY - FIRST_DAY + 1, key, "date"))
+    if month_first:
+        days = _late_days()
+        new = days[feistel(bisect.bisect_left(days, at), len(days), key, "date|mdy")]
+    else:
+        new = FIRST_DAY + feistel(at - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date")
+    new = datetime.date.fromordinal(new)
     if iso:
         return new.isoformat()
-    return f"{new.day:02d}{text[2]}{new.month:02d}{text[5]}{new.year:04d}"
+    first, second = (new.month, new.day) if month_first else (new.day, new.month)
+    return f"{first:02d}{text[2]}{second:02d}{text[5]}{new.year:04d}"
 
 
 def _iban(text, key):
@@ -217,7 +232,7 @@ def replace_pii(docs: DataFrame, key: bytes, text_col: str = "text", counts: boo
 
     Kinds: e-mail addresses (local part), card numbers (Luhn-valid ones stay valid, other numbers
     of 13 to 19 digits are permuted as digits), IBANs that check, IPv4 addresses, real dates of
-    1900 to 2100, phone numbers (country code kept), social security numbers and hexadecimal
+    1900 to 2100 (year, day or month first; xx/yy is mm/dd only if it is no dd/mm), phone numbers (country code kept), social security numbers and hexadecimal
     secrets of 32 to 64 digits.  A null or empty text stays as it is; all other columns and rows
     are kept unchanged, existing columns of the two names are replaced.
     """

@@ -84,6 +84,31 @@ def test_formats():
     assert pseudonymise(None, KEY) == (None, {})
 
 
+def test_upper_case_secrets():
+    r = random.Random(5)
+    secrets = ["D41D8CD98F00B204E9800998ECF8427E", "AB12" + "CDEF0123" * 4, "AB12" + "C" * 28, "FF00" + "A1" * 30]
+    secrets += ["".join(r.choice("0123456789ABCDEF") for _ in range(r.randrange(32, 65))) for _ in range(200)]
+    for secret in secrets:
+        new, seen = pseudonymise(f"key {secret} THE END", KEY)
+        assert seen == {"secret": 1} and secret not in new
+        assert re.fullmatch(rf"key [0-9A-F]{{{len(secret)}}} THE END", new)
+    assert one("A" * 40) == "A" * 40 and one("f" * 40) == "f" * 40
+
+
+def test_dates_of_either_order():
+    for sep in "./":
+        late = [datetime.date(y, m, d) for y in (1900, 1999, 2100) for m in range(1, 13) for d in (13, 28)]
+        old = [f"{d.month:02d}{sep}{d.day:02d}{sep}{d.year}" for d in late] + [f"12{sep}31{sep}1999"]
+        new = [one(t) for t in old]
+        assert len(set(new)) == len(old) and sum(a == b for a, b in zip(old, new, strict=True)) <= 1
+        assert all(datetime.datetime.strptime(t, f"%m{sep}%d{sep}%Y").day > 12 for t in new)
+    assert pseudonymise("12/31/1999", KEY)[1] == {"date": 1}
+    for kept in ("13/32/1999", "02/30/1999", "31/13/1999", "12/31/1899", "00/13/1999", "13/00/1999"):
+        assert one(kept) == kept
+    days = [f"{m:02d}/{d:02d}/2001" for m in range(1, 13) for d in range(13, 29)]
+    assert len({one(t) for t in days}) == len(days)
+
+
 def test_equal_values_stay_linked_and_keys_differ():
     a, b = "mail x.1@a.org or 10.1.2.3", "10.1.2.3 and x.1@a.org"
     new_a, new_b = one(a).split(), one(b).split()
