@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from catalogia.llm.common import Rolling, word_hashes
+from catalogia.llm.common import NO_ID, Rolling, word_hashes
 
 # One edit is allowed per this many words of an item.
 WORDS_PER_EDIT = 8
@@ -22,6 +22,9 @@ WORDS_PER_EDIT = 8
 BROADCAST_BYTES = 64 * 1024 * 1024
 EDGES = "".join(c for c in map(chr, range(0x2050)) if unicodedata.category(c)[0] in "PS")
 HITS = "doc_id long, item_id long, distance int, first_word long, last_word long"
+HIT = {"item_id": pa.int64(), "distance": pa.int32(), "first_word": pa.int64(), "last_word": pa.int64()}
+KEY = ["_doc", "_hash"]
+KEYED = dict.fromkeys(KEY, pa.int64())
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -125,13 +128,10 @@ class Items:
         return best
 
 
-def _rows(found: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*found, strict=True)) or [[]] * 5
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+def _rows(found: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*found, strict=True)) or [[]] * len(kinds)
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-        ["doc_id", "item_id", "distance", "first_word", "last_word"],
-    )
+        [pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, words_per_edit: int = WORDS_PER_EDIT,
@@ -149,7 +149,10 @@ def find_contamination(docs: DataFrame, items: DataFrame, words_per_edit: int =
     rows = docs.select("doc_id", "text")
     pairs = _listed(items, broadcast_bytes)
     if pairs is None:
-        return _joined(rows, items, words_per_edit)
+        keyed = rows.select("doc_id", *_key(), "text")
+        found = _joined(keyed.select("_doc", "_hash", "text"), items, words_per_edit)
+        return keyed.drop("text").join(found, KEY).select(
+            F.col("doc_id").cast("long").alias("doc_id"), "item_id", "distance", "first_word", "last_word")
 
     def search(batches):
         known = Searcher(pairs, words_per_edit)
@@ -158,23 +161,20 @@ def find_contamination(docs: DataFrame, items: DataFrame, words_per_edit: int =
                 (doc, item, *hit)
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
                 for item, hit in known.hits(text).items()
-            ])
+            ], {"doc_id": pa.int64(), **HIT})
 
     return rows.mapInArrow(search, HITS)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, words_per_edit: int = WORDS_PER_EDIT,
                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``docs`` without the rows in which ``find_contamination`` finds an item; columns unchanged.
-
-    Items too many to be given to every task are joined: then rows that repeat a found id go too,
-    and rows without an id stay.
-    """
+    """``docs`` without the rows in which ``find_contamination`` finds an item; columns unchanged."""
     items = _distinct(items)
     pairs = _listed(items, broadcast_bytes)
     if pairs is None:
-        found = _joined(docs.select("doc_id", "text"), items, words_per_edit).select("doc_id").distinct()
-        return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+        rows = docs.select(F.struct("*").alias("_row"), *_key())
+        found = _joined(docs.select(*_key(), "text"), items, words_per_edit).select(*KEY).distinct()
+        return rows.join(found, KEY, "left_anti").select("_row.*")
 
     def clean(batches):
         known = Searcher(pairs, words_per_edit)
@@ -184,6 +184,12 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, words_per_edit: int = W
     return docs.mapInArrow(clean, docs.schema)
 
 
+def _key():
+    """Columns that tell rows apart by what is searched: the id (null: NO_ID) and the text's hash."""
+    return (F.coalesce("doc_id", F.lit(NO_ID)).alias("_doc"),
+            F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+
+
 def _distinct(items: DataFrame) -> DataFrame:
     return items.filter("item_id is not null").select("item_id", "text").distinct()
 
@@ -213,8 +219,11 @@ class Searcher:
         return best
 
 
-def _joined(rows: DataFrame, items: DataFrame, words_per_edit: int) -> DataFrame:
-    """The same for items of any size: pieces meet in an equi-join, pairs are verified after it."""
+def _joined(keyed: DataFrame, items: DataFrame, words_per_edit: int) -> DataFrame:
+    """Hits of each key (_doc, _hash) for items of any size: pieces meet in an equi-join, pairs are
+    verified after it.  Rows of one key have one text, so it is searched once."""
+    rows = keyed.dropDuplicates(KEY)
+
     def cut(batches):
         for batch in batches:
             out = []
@@ -234,7 +243,7 @@ def _joined(rows: DataFrame, items: DataFrame, words_per_edit: int) -> DataFrame
 
     def scan(batches):
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, fp, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 h = word_hashes(words_of(text))
                 rolling = Rolling(h) if len(h) else None
                 for n in lengths:
@@ -242,27 +251,28 @@ def _joined(rows: DataFrame, items: DataFrame, words_per_edit: int) -> DataFrame
                         at = np.arange(len(h) - n + 1)
                         keys = np.unique(rolling.of(at, at + n)).view(np.int64)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(keys), doc)), pa.array(np.full(len(keys), n, np.int32)),
-                             pa.array(keys)], ["doc_id", "length", "piece"])
+                            [pa.array(np.full(len(keys), doc)), pa.array(np.full(len(keys), fp)),
+                             pa.array(np.full(len(keys), n, np.int32)), pa.array(keys)],
+                            [*KEY, "length", "piece"])
 
     hits = (
-        rows.filter("doc_id is not null").mapInArrow(scan, "doc_id long, length int, piece long")
-        .join(pieces, ["length", "piece"]).select("doc_id", "item_id").distinct()
+        rows.mapInArrow(scan, "_doc long, _hash long, length int, piece long")
+        .join(pieces, ["length", "piece"]).select(*KEY, "item_id").distinct()
     )
-    met = hits.join(rows, "doc_id").join(items.withColumnRenamed("text", "item"), "item_id").select(
-        "doc_id", "text", "item_id", "item")
+    met = hits.join(rows, KEY).join(items.withColumnRenamed("text", "item"), "item_id").select(
+        *KEY, "text", "item_id", "item")
 
     def check(batches):
         for batch in batches:
             found = []
-            for doc, text, item_id, item in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for doc, fp, text, item_id, item in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 known, h = Items([(0, words_of(item))], words_per_edit), word_hashes(words_of(text))
                 for _, places in known.candidates(h).items():
                     hit = known.verify(h, 0, places)
                     if hit:
-                        found.append((doc, item_id, *hit))
-            yield _rows(found)
+                        found.append((doc, fp, item_id, *hit))
+            yield _rows(found, {**KEYED, **HIT})
 
-    near = met.mapInArrow(check, HITS)
+    near = met.mapInArrow(check, f"_doc long, _hash long, {HITS.removeprefix('doc_id long, ')}")
     best = F.min(F.struct("distance", "first_word", "last_word")).alias("b")
-    return near.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")
+    return near.groupBy(*KEY, "item_id").agg(best).select(*KEY, "item_id", "b.*")

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -77,6 +78,32 @@ def test_equals_brute_force_both_ways(spark):
     assert places[100, 0] == (30, 39)
 
 
+def test_repeated_and_null_ids_both_ways(spark):
+    items = [(j, prose(900 + j, 24, 3000)) for j in range(3)] + [(2, prose(950, 24, 3000))]
+    held = [f"{prose(k, 20)} {edited(items[k][1], k, k % 3)} {prose(k + 50, 20)}" for k in range(4)]
+    texts = [(None, held[0]), (None, held[0]), (None, prose(60)), (None, None), (7, held[1]), (7, held[1]),
+             (7, prose(61)), (7, held[2] + " " + held[3]), (8, held[3]), (8, ""), (8, None), (9, prose(62)), (9, prose(62))]
+    docs = documents(spark, texts, clash=True)
+    given = spark.createDataFrame(items, "item_id long, text string")
+    hits, clean = Counter(), Counter()
+    for doc, text in texts:
+        found = {}
+        for _, item, distance in sorted(plain([(0, text)], items), reverse=True):
+            found[item] = min(distance, found.get(item, distance))
+        hits.update((doc, item, d) for item, d in found.items())
+        clean[doc, text] += not found
+    assert sum(hits.values()) == 6
+    places = []
+    for limit in (1 << 20, 0):
+        got = find_contamination(docs, given, broadcast_bytes=limit).collect()
+        assert Counter((r["doc_id"], r["item_id"], r["distance"]) for r in got) == hits
+        places.append(Counter(got))
+        kept = drop_contaminated(docs, given, broadcast_bytes=limit)
+        assert kept.schema == docs.schema
+        assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == +clean
+    assert places[0] == places[1]
+
+
 def test_empty_tables(spark):
     none, some = spark.createDataFrame([], "item_id long, text string"), documents(spark, awkward(100))
     assert find_contamination(some, none).count() == 0
