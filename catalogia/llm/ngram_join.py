@@ -197,6 +197,30 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     own component.  Repeated ids are rows of their own with equal components where their texts
     link; null ids are kept and stay out of the least; other columns are ignored.
     """
+    members, named = _labelled(docs)
+    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    answer = stored(named.join(least, "label").select("fp", "copies", "component_id"))
+    linked = join_counted(members.filter("n > 0"), answer, ["fp"], "doc_id", n="copies")
+    alone = members.filter("n = 0").withColumn("component_id", F.col("known"))
+    wanted = [F.col("known").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"]
+    return linked.select(*wanted).unionByName(alone.select(*wanted))
+
+
+def component_firsts(docs: DataFrame) -> DataFrame:
+    """doc_id (null: NO_ID), text_hash, alone: the rows that stand for the components of ``docs``.
+
+    Of a component it is the key of its least id (null ids last), then of the least text hash.
+    Rows with empty sets, ``alone``, stand for themselves.  The keys are distinct.
+    """
+    members, named = _labelled(docs)
+    firsts = named.groupBy("label").agg(F.min("first").alias("first")).select(
+        "first.doc_id", "first.text_hash", F.lit(False).alias("alone"))
+    empty = members.filter("n = 0").select("doc_id", "text_hash", F.lit(True).alias("alone")).distinct()
+    return firsts.unionByName(empty)
+
+
+def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with the fingerprints of their sets, and classes of equal sets with their component's label."""
     spark = docs.sparkSession
 
     def describe(batches):
@@ -240,7 +264,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     members = stored(keyed_texts(docs).mapInArrow(describe, "doc_id long, text_hash long, fp long, n long"))
     members = members.withColumn("known", F.nullif("doc_id", F.lit(NO_ID)))
     classes = stored(members.filter("n > 0").groupBy("fp").agg(
-        F.min("known").alias("doc_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.max("n").alias("n"),
+        F.min("known").alias("doc_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"),
+        F.min(F.struct(F.col("known").isNull().alias("last"), "doc_id", "text_hash")).alias("first"), F.max("n").alias("n"),
         F.count(F.lit(1)).alias("copies")))
     reps = classes.select("fp", "rep.*")
 
@@ -248,13 +273,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = stored(links.union(_verified(_other_pairs(shared, components(links)), docs, reps)))
     labels = components(links)
     named = classes.join(labels, classes["fp"] == labels["node"], "left").select(
-        "fp", "doc_id", "copies", F.coalesce("label", "fp").alias("label"))
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    answer = stored(named.join(least, "label").select("fp", "copies", "component_id"))
-    linked = join_counted(members.filter("n > 0"), answer, ["fp"], "doc_id", n="copies")
-    alone = members.filter("n = 0").withColumn("component_id", F.col("known"))
-    wanted = [F.col("known").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"]
-    return linked.select(*wanted).unionByName(alone.select(*wanted))
+        "fp", "doc_id", "first", "copies", F.coalesce("label", "fp").alias("label"))
+    return members, named
 
 
 def _first_pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:

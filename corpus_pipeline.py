@@ -6,12 +6,14 @@ return rows of ``documents``; the last returns the pieces and their places in se
 
 from __future__ import annotations
 
+from functools import reduce
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from catalogia.llm.common import scratch, table
+from catalogia.llm.common import NO_ID, scratch, table
 from catalogia.llm.decontamination import drop_contaminated
-from catalogia.llm.ngram_join import jaccard_components
+from catalogia.llm.ngram_join import component_firsts
 from catalogia.llm.packing import pack_documents
 from catalogia.llm.pii import replace_pii
 from catalogia.llm.queries import PII_KEY, TOKENIZER
@@ -24,13 +26,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each near-duplicate component, and rows without an id.
+    """One document of each near-duplicate component: that of the least id (ids before none), then
+    of the least text hash; documents without words stay.
 
-    Rows that repeat an id stay or go together.
+    Of rows without an id that are equal in text one stays; repeats of one row with an id, being
+    the same document, stay or go together.
     """
-    kept = jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return with_id.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    firsts = component_firsts(docs).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "alone")
+    rows = docs.select(
+        F.struct("*").alias("_row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("_doc"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+    with_id = rows.filter("_row.doc_id is not null").join(firsts, ["_doc", "_hash"])
+    without = rows.filter("_row.doc_id is null").join(firsts.filter(F.col("_doc") == NO_ID), ["_doc", "_hash"])
+    copy = F.row_number().over(Window.partitionBy("_hash").orderBy("_doc"))
+    one = without.filter("not alone").withColumn("_copy", copy).filter("_copy = 1")
+    parts = [with_id, without.filter("alone"), one]
+    return reduce(DataFrame.unionByName, [p.select("_row.*") for p in parts])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

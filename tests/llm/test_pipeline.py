@@ -1,3 +1,5 @@
+from collections import Counter
+
 import corpus_pipeline
 from catalogia.llm import queries
 from catalogia.llm.common import scratch
@@ -56,6 +58,21 @@ def test_extra_and_null_rows(spark, tmp_path):
         assert docs.count() == 5 and len(docs.columns) == len(set(docs.columns))
 
 
+def test_one_document_of_each_component(spark):
+    a, b, c, d = (prose(700 + k, 150, 5000) for k in range(4))
+    texts = [(3, a), (9, near(a, 1)), (None, near(a, 2)), (None, a),
+             (3, b), (2, near(b, 3)), (None, b),
+             (None, c), (None, c), (None, c), (None, near(c, 4)),
+             (5, d), (5, near(d, 5)), (None, ""), (None, ""), (None, None), (6, ""), (6, "")]
+    docs = documents(spark, texts, clash=True)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert got.pop((3, a)) == 1 and got.pop((2, near(b, 3))) == 1
+    assert got.pop((None, "")) == 2 and got.pop((None, None)) == 1 and got.pop((6, "")) == 2
+    assert sorted((str(doc), t in (c, near(c, 4)), n) for (doc, t), n in got.items()) == [("5", False, 1), ("None", True, 1)]
+
+
 def test_empty_tables(spark, tmp_path):
     folder = tables(spark, tmp_path, [], [], [])
     assert corpus_pipeline.run(spark, folder).count() == 0
