@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from catalogia.operators import browse, coverage, profile_checks, querygen, rendering
 from catalogia.operators.profiles import dims
 from catalogia.sources.files import write_documents
-from conftest import document
+from sample_profiles import document
 
 
 def distance(a, b):

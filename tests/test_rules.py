@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalogia import fixed_values as V
 from catalogia.operators import quality, rules, scoring
 from catalogia.operators.profiles import dims, has_group_name
-from conftest import document
+from sample_profiles import document
 
 ONE_PER_REASON = [
     ("林星河 海邊的信 reaction", "遠聲唱片", "4:00", "discard", "rule0_wrong_context"),

@@ -9,7 +9,7 @@ from catalogia.operators.distribution import fits_broadcast
 from catalogia.plans.refresh import refresh
 from catalogia.sources import files, payloads, profiles as source
 from catalogia.streaming import incremental
-from conftest import document
+from sample_profiles import document
 
 
 def raw_file(file_id, *batches):
