@@ -26,6 +26,8 @@ BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 # Rows of one Arrow batch that a task emits.
 OUTPUT_ROWS = 200_000
+# Characters of text in one Arrow batch that a task emits; a longer text is alone in its batch.
+OUTPUT_CHARS = 8_000_000
 # Stands for a null id where rows are joined by id.
 NO_ID = -(1 << 63)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogia.llm.common import scratch, table
 from catalogia.llm.decontamination import find_contamination
+from catalogia.llm.fill_in_middle import fill_in_middle
 from catalogia.llm.kd_shards import shard_documents
 from catalogia.llm.ngram_join import jaccard_components
 from catalogia.llm.packing import pack_documents
@@ -112,3 +113,31 @@ def op1_substring_dedup(spark, sf_dir):
 def op3_ngram_jaccard(spark, sf_dir):
     """Set size and near-duplicate component of every document."""
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("""
+    with cut as (
+        select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h
+        from documents
+    ), numbers as (
+        select doc_id, t, length(t) as n, cast('0x' || h[1:8] as bigint) as h1, cast('0x' || h[9:16] as bigint) as h2,
+            cast('0x' || h[17:24] as bigint) as h3, cast('0x' || h[25:32] as bigint) as h4
+        from cut
+    ), formed as (
+        select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+            case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90
+                then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form
+        from numbers
+    ), parts as (
+        select *, substr(t, 1, a) as p, substr(t, a + 1, b - a) as m, substr(t, b + 1) as s from formed
+    )
+    select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+        case when form <> 'plain' then b - a end as middle_chars,
+        sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+            else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+        sha256(t) as restored_sha256
+    from parts
+""")
+def op12_fill_in_middle(spark, sf_dir):
+    """Form, cuts and digests of every document's fill-in-middle output."""
+    return fill_in_middle(table(spark, sf_dir, "documents")).drop("output")
