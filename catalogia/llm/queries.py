@@ -14,6 +14,7 @@ from catalogia.llm.packing import pack_documents
 from catalogia.llm.pii import replace_pii
 from catalogia.llm.quality_divergence import judge_quality
 from catalogia.llm.registry import ORACLES, QUERIES, query  # noqa: F401
+from catalogia.llm.source_audit import source_audit
 from catalogia.llm.substring_dedup import remove_duplicates
 from catalogia.llm.token_store import read_store, write_store
 from catalogia.llm.toxicity import score_toxicity
@@ -141,3 +142,47 @@ def op3_ngram_jaccard(spark, sf_dir):
 def op12_fill_in_middle(spark, sf_dir):
     """Form, cuts and digests of every document's fill-in-middle output."""
     return fill_in_middle(table(spark, sf_dir, "documents")).drop("output")
+
+
+@query(r"""
+    with docs as (
+        select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+        from documents
+    ), words as (
+        select r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs
+    ), cells as (
+        select lang, source, term, cast(count(*) as hugeint) as n, count(distinct r) as d from words group by all
+    ), kept as (
+        select lang, term, cast(sum(n) as hugeint) as total from cells group by all having sum(d) >= 3
+    ), langs as (
+        select lang, cast(count(*) as hugeint) as v, cast(sum(total) as hugeint) as n from kept group by lang
+    ), full_cells as (
+        select g.lang, g.source, k.term, k.total, coalesce(c.n, 0) as n
+        from (select distinct lang, source from docs) g join kept k on k.lang = g.lang
+        left join cells c on c.lang = g.lang and c.source = g.source and c.term = k.term
+    ), shared as (
+        select f.lang, f.source, term, f.n as count_here,
+            1 + (1000000000 * (f.n + 1)) // cast(sum(f.n) over (partition by f.lang, f.source) + v as hugeint) as p,
+            1 + (1000000000 * (total + 1)) // (l.n + v) as q
+        from full_cells f join langs l on l.lang = f.lang
+    ), pairs as (
+        select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+        from shared a join shared b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+    ), groups as (select distinct lang, source from docs),
+    listed as (
+        select g.lang, g.source, 'pair' as part, o.source as item, cast(coalesce(value, 0) as bigint) as value
+        from groups g join groups o on o.lang = g.lang and o.source <> g.source
+        left join pairs p on p.lang = g.lang and p.source = g.source and p.item = o.source
+        union all
+        select lang, source, 'term', term, cast((p - q) * (p - q) // q as bigint)
+        from shared where count_here > 0 and p > q
+    )
+    select lang, source, part, item, value, cast(rank as int) as rank from (
+        select *, row_number() over (partition by lang, source, part order by value desc, encode(item)) as rank
+        from listed)
+    where part = 'pair' or rank <= 200
+""")
+def op11_source_audit(spark, sf_dir):
+    """Divergence of every source from the others of its language and its most telling terms."""
+    return source_audit(table(spark, sf_dir, "documents"))
