@@ -2,30 +2,32 @@
 
 Two sets of Jaccard similarity t or more share a token among the first few tokens of both under
 any global order, and in fact a number of them that follows from their sizes.  Sets are put in
-order twice, by two independent hash orders inside levels of corpus frequency (rare first), and
-only pairs that pass the counts under both orders are verified.
+order twice, by two independent hash orders inside levels of corpus frequency (rare first).  Sets
+meet where they share a prefix token of the first order; before a pair is named at all, its sizes
+and the count that the second order demands must fit, the latter by signatures of the second
+prefix that never turn a similar pair away, as does a signature of the whole set.
 
-Equal sets are one class from the start.  Before all pairs of a token are formed, every set is
-compared with the least and greatest set of each of its tokens: that joins groups of near copies,
-and pairs inside a component found so need no further look, because only components are asked for.
+Equal sets are one class from the start; pairs are verified whole and components merged by rounds.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from catalogia.llm.common import (
-    NO_ID, OUTPUT_ROWS, Rolling, join_counted, keyed_texts, mixed, packed_texts, stored, word_chunks,
-)
-from catalogia.llm.components import components
+from catalogia.llm.common import NO_ID, OUTPUT_ROWS, Rolling, join_counted, keyed_texts, mixed, stored, word_chunks
+from catalogia.llm.similar_classes import fixed_width, similar_labels, texts_of
 
 SHINGLE = 5
 PERCENT = 80
 ORDERS = (1, 2)
+# Bits of each of the two signatures of a set.
+SIGNATURE_BITS = 256
 # Cells of the frequency sketch: its size, and that of its broadcast (a byte a cell), is fixed.
 CELLS = 1 << 24
 SLICES = 64
@@ -34,9 +36,9 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 MERGE_PARTS = 16
 
 
-def shingle_sets(texts: list[str | None], shingle: int = SHINGLE):
+def shingle_sets(texts: Iterable[str | bytes | None], shingle: int = SHINGLE):
     """Yield the sorted distinct shingle hashes of each text; texts below ``shingle`` words are one shingle."""
-    lowered = [t.encode().translate(LOWER) if t else None for t in texts]
+    lowered = ((t.encode() if isinstance(t, str) else t).translate(LOWER) if t else None for t in texts)
     for _, bounds, hashes in word_chunks(lowered):
         at = np.arange(max(0, len(hashes) - shingle + 1))
         made = Rolling(hashes).of(at, at + shingle)
@@ -120,72 +122,57 @@ def prefix_length(n: int) -> int:
     return n - -(-PERCENT * n // 100) + 1
 
 
-def prefixes(tokens: np.ndarray, levels: np.ndarray):
-    """Join keys of the prefix under each order."""
-    p = prefix_length(len(tokens))
+def prefixes(tokens: np.ndarray, levels: np.ndarray) -> list[np.ndarray]:
+    """Tokens of the prefix under each order."""
+    p, found = prefix_length(len(tokens)), []
     level = levels[(tokens & np.uint64(CELLS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58)
     for order in ORDERS:
         rank = level | (mixed(tokens, order) >> np.uint64(6))
-        first = np.argpartition(rank, p - 1)[:p] if p < len(tokens) else slice(None)
-        yield order, mixed(tokens[first], 100 + order)
+        found.append(tokens[np.argpartition(rank, p - 1)[:p]] if p < len(tokens) else tokens)
+    return found
 
 
-def shared_needed(n: str, m: str):
+def shared_needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Least number of prefix tokens that sets of n and m tokens share, if they are similar enough.
 
     With an overlap of at least o, a prefix that is l - 1 tokens longer than the one for o must
     show l common ones; l is how far the fixed prefix exceeds that of the pair's overlap.
     """
-    least = F.ceil((F.col(n) + F.col(m)) * PERCENT / (100 + PERCENT) - 1e-9)
-    own = [least - F.ceil(F.col(c) * PERCENT / 100 - 1e-9) + 1 for c in (n, m)]
-    return F.greatest(F.lit(1), F.least(*own))
-
-
-SIZES_FIT = f"100 * least(n, m) >= {PERCENT} * greatest(n, m)"
-
-
-def _counts(share: float = 1.0):
-    """Condition on a pair's counts c1, c2, ..: each reaches that share of what the order demands."""
-    needed = F.greatest(F.lit(1), F.floor(shared_needed("n", "m") * share))
-    passed = F.expr(SIZES_FIT)
-    for o in ORDERS:
-        passed = passed & (F.col(f"c{o}") >= needed)
-    return passed
-
-
-def _common():
-    return [F.count(F.when(F.col("ord") == o, 1)).alias(f"c{o}") for o in ORDERS]
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) that really link: both texts are brought to the pair and compared whole."""
-    pairs = stored(pairs)
-    needed = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().join(reps, "fp")
-    texts = stored(packed_texts(keyed_texts(docs), "doc_id", "text_hash").join(needed, ["doc_id", "text_hash"])
-                   .dropDuplicates(["fp"]).select("fp", "packed"))
-    met = (
-        pairs.select("a", "b").join(texts.select(F.col("fp").alias("a"), F.col("packed").alias("x")), "a")
-        .join(texts.select(F.col("fp").alias("b"), F.col("packed").alias("y")), "b")
-    )
-
-    def check(batches):
-        unpacker = zstandard.ZstdDecompressor()
-        for batch in batches:
-            b, a, x, y = (batch.column(n).to_pylist() for n in ("b", "a", "x", "y"))
-            unpacked: dict[int, np.ndarray] = {}
-            for ids, data in ((a, x), (b, y)):
-                fresh = {i: d for i, d in zip(ids, data, strict=True) if i not in unpacked}
-                sets = shingle_sets([unpacker.decompress(d).decode() for d in fresh.values()])
-                unpacked.update(zip(fresh, sets, strict=True))
-            keep = []
-            for i, j in zip(a, b, strict=True):
-                both = len(np.intersect1d(unpacked[i], unpacked[j], assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(unpacked[i]) + len(unpacked[j]) - both))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, k in zip(a, keep, strict=True) if k], pa.int64()),
-                 pa.array([i for i, k in zip(b, keep, strict=True) if k], pa.int64())], ["a", "b"])
-
-    return met.mapInArrow(check, "a long, b long")
+    least = -(-PERCENT * (n + m) // (100 + PERCENT))
+    own = np.minimum(least + PERCENT * n // -100, least + PERCENT * m // -100) + 1
+    return np.maximum(1, own)
+
+
+def signature(tokens: np.ndarray, bits: int = SIGNATURE_BITS) -> np.ndarray:
+    """Parity per bit of the tokens that fall on it: two signatures differ in no more bits than the
+    sets differ in tokens."""
+    counts = np.bincount((tokens >> np.uint64(40)).astype(np.int64) % bits, minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8))
+
+
+def passes_filters(table: pa.Table):
+    """The filter of pairs that share a prefix token of the first order: sizes, the count of common
+    prefix tokens under the second order and the overlap of the whole sets, the last two as far as
+    the signatures tell.  No similar pair is turned away."""
+    sizes = table.column("n").to_numpy().astype(np.int64)
+    bytes_ = SIGNATURE_BITS // 8
+    rows = fixed_width(table.column("signatures").chunk(0), 2 * bytes_).view(np.uint64)
+    second, whole = rows[:, :bytes_ // 8], rows[:, bytes_ // 8:]
+
+    def passes(left, right):
+        n, m = sizes[left], sizes[right]
+        ok = 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
+        at = np.flatnonzero(ok)
+        left, right, n, m = left[at], right[at], n[at], m[at]
+        apart = np.bitwise_count(whole[left] ^ whole[right]).sum(axis=1, dtype=np.int64)
+        beyond = np.bitwise_count(second[left] ^ second[right]).sum(axis=1, dtype=np.int64)
+        # Of n + m tokens, at least 2 PERCENT / (100 + PERCENT) are common to both.
+        few = (100 + PERCENT) * apart <= (100 - PERCENT) * (n + m)
+        common = prefix_length(n) + prefix_length(m) - beyond >= 2 * shared_needed(n, m)
+        ok[at] = few & common
+        return ok
+
+    return passes
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -221,106 +208,60 @@ def component_firsts(docs: DataFrame) -> DataFrame:
 
 def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with the fingerprints of their sets, and classes of equal sets with their component's label."""
-    spark = docs.sparkSession
+    levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs))
+    kind = "doc_id long, text_hash long, fp long, n long, signatures binary, tokens array<long>"
 
     def describe(batches):
+        seen = set()
         for batch in batches:
-            sets = list(shingle_sets(batch.column(2).to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([set_id(s) for s in sets], pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "text_hash", "fp", "n"])
+            for rows in _described(batch, levels.value, seen):
+                yield rows
 
-    levels = spark.sparkContext.broadcast(frequency_levels(docs))
-
-    def emit(batches):
-        seen, found, size = set(), [], 0
-
-        def rows():
-            keys, orders, fps, sizes = zip(*found, strict=True)
-            counts = [len(k) for k in keys]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(orders, np.int8), counts)),
-                 pa.array(np.repeat(np.array(fps, np.int64), counts)),
-                 pa.array(np.repeat(np.array(sizes, np.int32), counts))], ["token", "ord", "fp", "n"])
-
-        for batch in batches:
-            for tokens in shingle_sets(batch.column(0).to_pylist()):
-                fp = set_id(tokens)
-                if len(tokens) and fp not in seen:
-                    seen.add(fp)
-                    for order, keys in prefixes(tokens, levels.value):
-                        found.append((keys, order, fp, len(tokens)))
-                        size += len(keys)
-                    if size >= OUTPUT_ROWS:
-                        yield rows()
-                        found, size = [], 0
-        if found:
-            yield rows()
-
-    rows = docs.select("text").mapInArrow(emit, "token long, ord byte, fp long, n int")
-    of_token = Window.partitionBy("token")
-    ends = rows.withColumn("low", F.min("fp").over(of_token)).withColumn("high", F.max("fp").over(of_token))
-    shared = stored(ends.filter("low < high").dropDuplicates(["token", "fp"]))
-    members = stored(keyed_texts(docs).mapInArrow(describe, "doc_id long, text_hash long, fp long, n long"))
-    members = members.withColumn("known", F.nullif("doc_id", F.lit(NO_ID)))
-    classes = stored(members.filter("n > 0").groupBy("fp").agg(
+    described = stored(keyed_texts(docs).mapInArrow(describe, kind))
+    members = described.select("doc_id", "text_hash", "fp", "n").withColumn("known", F.nullif("doc_id", F.lit(NO_ID)))
+    classes = stored(described.withColumn("known", F.nullif("doc_id", F.lit(NO_ID))).filter("n > 0").groupBy("fp").agg(
         F.min("known").alias("doc_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"),
         F.min(F.struct(F.col("known").isNull().alias("last"), "doc_id", "text_hash")).alias("first"), F.max("n").alias("n"),
-        F.count(F.lit(1)).alias("copies")))
-    reps = classes.select("fp", "rep.*")
-
-    links = stored(_verified(_first_pairs(shared, classes), docs, reps))
-    links = stored(links.union(_verified(_other_pairs(shared, components(links)), docs, reps)))
-    labels = components(links)
+        F.max("signatures").alias("signatures"), F.count(F.lit(1)).alias("copies")))
+
+    posted = described.filter("tokens is not null").select(F.explode("tokens").alias("key"), "fp")
+    met = posted.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low < high").select("key")
+    shared = posted.join(met, "key").dropDuplicates(["key", "fp"])
+    postings = stored(shared.join(classes.select("fp", "n", "signatures"), "fp"))
+    texts = stored(texts_of(docs, classes, postings))
+    labels = similar_labels(postings, texts, passes_filters, shingle_sets, PERCENT)
     named = classes.join(labels, classes["fp"] == labels["node"], "left").select(
         "fp", "doc_id", "first", "copies", F.coalesce("label", "fp").alias("label"))
     return members, named
 
 
-def _first_pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each set with the most central and with the least set of each of its tokens, if they share a
-    quarter of what similar sets must: enough to find most links, and no pair is lost by it.
+def _described(batch: pa.RecordBatch, levels: np.ndarray, seen: set[int]):
+    """Rows of a batch with fingerprint and size; the first row of a set in a task has its prefix, too.
 
-    Central is the set whose prefix holds most shared tokens for its size: of near copies, the one
-    that they are copies of.
-    """
-    weights = shared.groupBy("fp").agg(F.count(F.lit(1)).alias("weight"))
-    central = F.max(F.struct((F.col("weight") / F.col("n")).alias("w"), "fp")).over(Window.partitionBy("token"))
-    ranked = shared.join(weights, "fp").withColumn("central", central)
-    hubs = ranked.select(
-        "fp", "n", "ord", F.explode(F.array_distinct(F.array("central.fp", "low"))).alias("hub")
-    ).filter("fp <> hub")
-    counted = hubs.groupBy("fp", "hub", "n").agg(*_common())
-    sized = counted.join(classes.select(F.col("fp").alias("hub"), F.col("n").alias("m")), "hub")
-    return sized.filter(_counts(0.25)).select(
-        F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
-
-
-def _other_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs of different components that share enough prefix tokens under every order.
-
-    A token's components are paired first and their members after that, so the members of one
-    component are never compared with each other.  Only sets of one size band, or of neighbouring
-    ones, can be similar enough: bands are as wide as the largest ratio of sizes.
+    Tokens are those of the prefix under the first order; signatures are those of the prefix under
+    the second order and of the whole set.
     """
-    of_token = Window.partitionBy("token")
-    named = shared.join(labels, shared["fp"] == labels["node"], "left").select(
-        "token", "ord", "fp", "n", F.coalesce("label", "fp").alias("part"),
-        F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)) - 1e-9).cast("int").alias("band"))
-    mixed_tokens = stored(
-        named.withColumn("first", F.min("part").over(of_token)).withColumn("last", F.max("part").over(of_token))
-        .filter("first < last").drop("first", "last")
-    )
-    parts = mixed_tokens.select("token", "band", "part").distinct()
-    # The first of a pair is of the same band or one below; in one band each pair is met once.
-    upper = parts.select("token", F.col("part").alias("pb"), F.col("band").alias("bb"), F.explode(
-        F.array("band", F.col("band") - 1)).alias("band"))
-    met = parts.withColumnRenamed("part", "pa").join(upper, ["token", "band"]).filter(
-        "pa < pb or (band < bb and pa <> pb)").withColumnRenamed("band", "ba")
-    left = mixed_tokens.select("token", F.col("part").alias("pa"), F.col("band").alias("ba"), "ord",
-                               F.col("fp").alias("x"), "n")
-    right = mixed_tokens.select("token", F.col("part").alias("pb"), F.col("band").alias("bb"),
-                                F.col("fp").alias("y"), F.col("n").alias("m"))
-    pairs = met.join(left, ["token", "pa", "ba"]).join(right, ["token", "pb", "bb"]).filter(SIZES_FIT)
-    return pairs.groupBy("x", "y", "n", "m").agg(*_common()).filter(_counts()).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    held, size, at = [], 0, 0
+
+    def rows():
+        fps, sizes, signatures, tokens = zip(*held, strict=True)
+        part = batch.slice(at, len(held))
+        return pa.RecordBatch.from_arrays(
+            [part.column(0), part.column(1), pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()),
+             pa.array(signatures, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))],
+            ["doc_id", "text_hash", "fp", "n", "signatures", "tokens"])
+
+    for tokens in shingle_sets(batch.column(2).to_pylist()):
+        fp, signatures, first = set_id(tokens), None, None
+        if len(tokens) and fp not in seen:
+            seen.add(fp)
+            first, second = prefixes(tokens, levels)
+            signatures, first = np.concatenate([signature(second), signature(tokens)]).tobytes(), first.view(np.int64)
+            size += len(first)
+        held.append((fp, len(tokens), signatures, first))
+        if size >= OUTPUT_ROWS:
+            yield rows()
+            at += len(held)
+            held, size = [], 0
+    if held:
+        yield rows()

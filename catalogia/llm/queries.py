@@ -14,6 +14,7 @@ from catalogia.llm.packing import pack_documents
 from catalogia.llm.pii import replace_pii
 from catalogia.llm.quality_divergence import judge_quality
 from catalogia.llm.registry import ORACLES, QUERIES, query  # noqa: F401
+from catalogia.llm.setsketch import near_duplicates
 from catalogia.llm.source_audit import source_audit
 from catalogia.llm.substring_dedup import remove_duplicates
 from catalogia.llm.token_store import read_store, write_store
@@ -186,3 +187,9 @@ def op12_fill_in_middle(spark, sf_dir):
 def op11_source_audit(spark, sf_dir):
     """Divergence of every source from the others of its language and its most telling terms."""
     return source_audit(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_setsketch(spark, sf_dir):
+    """Set size, near-duplicate component and whether it stays, of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
