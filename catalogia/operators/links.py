@@ -46,9 +46,10 @@ def apply_link_checks(items: DataFrame, checks: DataFrame) -> DataFrame:
     """Merge ``checks(url, status, note)`` into the items and drop dead links.
 
     A link that timed out (status 0) stays, unverified.  Several checks of one url:
-    the last ``checked_at`` counts if that column is there.
+    the last ``checked_at`` counts if that column is there; of equal ones, or without it, the
+    greatest status.
     """
-    order = F.col("checked_at") if "checked_at" in checks.columns else F.col("status")
+    order = F.struct(*[c for c in ("checked_at", "status", "note") if c in checks.columns])
     verdicts = (
         checks.withColumn("_v", link_verdict(F.col("url"), F.col("status"), F.col("note")))
         .groupBy("url").agg(F.max_by("_v", order).alias("_v"))

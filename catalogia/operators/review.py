@@ -12,8 +12,9 @@ _ROW = ["file_id", "ord"]
 
 
 def latest_decisions(decisions: DataFrame) -> DataFrame:
-    """One action per profile and url: the last answer counts."""
-    return decisions.groupBy("profile", "url").agg(F.max_by("action", "decided_at").alias("action"))
+    """One action per profile and url: the last answer counts, of equal times the greatest action."""
+    order = F.struct("decided_at", "action")
+    return decisions.groupBy("profile", "url").agg(F.max_by("action", order).alias("action"))
 
 
 def _decided(items: DataFrame, decisions: DataFrame) -> DataFrame:

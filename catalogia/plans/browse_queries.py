@@ -339,14 +339,14 @@ def dimension_issues(spark, sf_dir):
 
 
 @query("""select c_custkey, case when c_custkey % 3 > 0 then regexp_matches(c_name || ' by S.H-' ||
-    c_mktsegment, '(?i)(^|[^A-Za-z])(Customer|S\\.H-' || substr(c_mktsegment, 1, 5) || ')($|[^A-Za-z])')
+    c_mktsegment, '(?i)(^|[^A-Za-z])(Customer|S\\.H-' || c_mktsegment || ')($|[^A-Za-z])')
   else false end as has_group from customer""")
 def group_name_pattern(spark, sf_dir):
     """Group names with ASCII letter boundaries, a pattern per row."""
     customers = tables.table(spark, sf_dir, "customer")
     title = F.concat("c_name", F.lit(" by S.H-"), "c_mktsegment")
     names = F.when(F.col("c_custkey") % 3 > 0, F.array(
-        F.lit("customer"), F.concat(F.lit("S.H-"), F.substring("c_mktsegment", 1, 5))
+        F.lit("customer"), F.concat(F.lit("S.H-"), F.col("c_mktsegment"))
     )).otherwise(F.array().cast("array<string>"))
     return customers.select("c_custkey", has_group_name(title, names).alias("has_group"))
 
@@ -477,17 +477,39 @@ def query_counts(spark, sf_dir):
 
 # --- label requests over conversations ---------------------------------------------------
 
-@query("""select profile, cast(n // 20 as bigint) as batch_id, cast(n % 20 as int) as "index", conv_id, ord
-from (select 'p' || conv_id % 3 as profile, conv_id, turn as ord,
-  row_number() over (partition by 'p' || conv_id % 3 order by conv_id, turn) - 1 as n
-  from conversations) t""")
-def conversation_batches(spark, sf_dir):
-    """Every turn as an item that waits for a label, in batches of twenty per profile."""
+_TURNS = """turns as (select *, cast(n // 20 as bigint) as batch_id, cast(n % 20 as int) as idx from (
+  select 'p' || conv_id % 3 as profile, conv_id, turn as ord, role, text,
+    row_number() over (partition by 'p' || conv_id % 3 order by conv_id, turn) - 1 as n
+  from conversations) t)"""
+
+
+def _turns(spark, sf_dir) -> DataFrame:
+    """Every turn as an item that waits for a label: its text is the title, its role the channel."""
     turns = tables.table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("p"), (F.col("conv_id") % 3).cast("string")).alias("profile"),
-        F.col("conv_id").alias("file_id"), F.col("turn").alias("ord"),
+        F.col("conv_id").alias("file_id"), F.col("turn").alias("ord"), F.col("text").alias("title"),
+        F.col("role").alias("channel"), F.lit(None).cast("string").alias("author"),
+        F.lit(None).cast("string").alias("duration"), F.col("text").alias("description"),
         F.lit(V.UNCLASSIFIED).alias("category"),
     )
-    return labels.label_batches(turns).select(
-        "profile", "batch_id", "index", F.col("file_id").alias("conv_id"), "ord"
+    return labels.label_batches(turns)
+
+
+@query(f"""with {_TURNS} select profile, batch_id, idx as "index", conv_id, ord, role, text from turns""")
+def conversation_batches(spark, sf_dir):
+    """Every turn with its role and text, in batches of twenty per profile."""
+    return _turns(spark, sf_dir).select(
+        "profile", "batch_id", "index", F.col("file_id").alias("conv_id"), "ord",
+        F.col("channel").alias("role"), F.col("title").alias("text"),
     )
+
+
+@query(f"""with {_TURNS} select profile, batch_id, count(*) as n_items,
+  '请对以下 ' || count(*) || ' 条视频进行分类：' || chr(10) || chr(10) || string_agg(
+    '[' || idx || '] 标题: ' || coalesce(text, 'N/A') || chr(10) || '    频道: ' || coalesce(nullif(role, ''), 'N/A')
+    || chr(10) || '    时长: N/A' || chr(10) || '    简介: ' || substr(coalesce(text, ''), 1, 200),
+    chr(10) || chr(10) order by idx) as message
+from turns group by profile, batch_id""")
+def conversation_prompts(spark, sf_dir):
+    """The label requests for all turns: whole texts and roles in each message."""
+    return labels.label_prompts(_turns(spark, sf_dir))

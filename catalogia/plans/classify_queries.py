@@ -151,7 +151,7 @@ def rule_counts(spark, sf_dir):
     return reports.rule_counts(settled(spark, sf_dir))
 
 
-# Labels. Each document's own label row is turned into the labeller's answer for it.
+# Labels. The label rows of the documents are turned into the labeller's answers.
 _NUMBERED = """waiting as (
   select *, row_number() over (partition by profile order by file_id, ord) - 1 as n
   from classified where category = 'unclassified'),
@@ -194,39 +194,47 @@ _KEYS = [*V.CATEGORY_FILE_IDS, V.DISCARD, "no_such_category"]
 
 
 def _answers(spark, sf_dir, batches: DataFrame) -> DataFrame:
-    """A labeller's answer per labelled item, in one of three envelopes.
+    """A labeller's answers, each to a whole batch, in one of three envelopes.
 
-    Answers for toxic documents come with chatter and are no JSON, so they give no label.
+    An answer lists the labelled items of its batch that are not toxic.  Every seventh batch gets
+    chatter that is no JSON, every fourth a second answer about the items of even index.
     """
-    marks = tables.table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "ord")
-    batched = batches.join(marks, "ord")
+    marks = tables.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_doc"), "quality", "toxic")
+    batched = batches.withColumn("_doc", tables.document_of(F.col("ord"))).join(marks, "_doc").filter("toxic = 0")
     keys = F.array(*[F.lit(k) for k in _KEYS])
-    answer = F.to_json(F.array(F.struct(
-        "index", F.get(keys, F.col("ord") % len(_KEYS)).alias("category"),
-        F.concat(F.lit("quality "), F.col("quality").cast("string")).alias("reason"),
-    )))
-    wrapped = F.to_json(F.struct(answer.alias("result")))
+
+    def listed(answer, shift, reason, condition):
+        entry = F.struct("index", F.get(keys, (F.col("_doc") + shift) % len(_KEYS)).alias("category"), reason.alias("reason"))
+        return batched.filter(condition).groupBy("profile", "batch_id").agg(
+            F.to_json(F.array_sort(F.collect_list(entry))).alias("text")).withColumn("answer", F.lit(answer))
+
+    first = listed(1, 0, F.concat(F.lit("quality "), F.col("quality").cast("string")), F.lit(True))
+    second = listed(2, 1, F.lit("second"), "batch_id % 4 = 1 and index % 2 = 0")
+    text, kind = F.col("text"), F.col("batch_id") % 3
+    wrapped = F.to_json(F.struct(text.alias("result")))
     message = F.to_json(F.array(F.struct(
-        F.array(F.struct(F.lit("text").alias("type"), answer.alias("text"))).alias("content")
+        F.array(F.struct(F.lit("text").alias("type"), text.alias("text"))).alias("content")
     )))
-    kind = F.col("ord") % 3
-    chatty = F.concat(F.lit("I think "), answer)
-    raw = F.when(F.col("toxic") == 1, chatty).when(kind == 0, answer).when(kind == 1, wrapped).otherwise(
-        message
-    )
-    return batched.select("profile", "batch_id", raw.alias("raw"))
+    chatty = F.concat(F.lit("I think "), text)
+    raw = F.when(F.col("batch_id") % 7 == 5, chatty).when(kind == 0, text).when(kind == 1, wrapped).otherwise(message)
+    return first.unionByName(second).select("profile", "batch_id", "answer", raw.alias("raw"))
 
 
 _KEY_LIST = "[" + ", ".join(q(k) for k in _KEYS) + "]"
-_LABELS = f"""answered as (
-  select b.profile, b.ord, b.batch_id, b.idx,
-    {_KEY_LIST}[1 + b.ord % {len(_KEYS)}] as cat, 'quality ' || l.quality as reason
-  from batched b join labels l on l.doc_id = b.ord where toxic = 0)"""
+_LABELS = f"""answers as (
+  select b.profile, b.batch_id, b.idx, a.answer, case when a.answer = 1 then 'quality ' || l.quality else 'second' end as reason,
+    {_KEY_LIST}[1 + (l.doc_id + a.answer - 1) % {len(_KEYS)}] as cat
+  from batched b join labels l on l.doc_id = b.ord >> {tables.LINE_SHIFT}
+  join (values (1), (2)) a(answer) on a.answer = 1 or (b.batch_id % 4 = 1 and b.idx % 2 = 0)
+  where toxic = 0 and b.batch_id % 7 <> 5),
+answered as (
+  select profile, batch_id, idx, arg_max(cat, answer) as cat, arg_max(reason, answer) as reason
+  from answers group by all)"""
 
 
 @query(with_ctes(
     "classified",
-    'select profile, batch_id, idx as "index", cat as category, reason from answered',
+    'select profile, batch_id, answer, idx as "index", cat as category, reason from answers',
     _NUMBERED, _LABELS,
 ))
 def parse_label_responses(spark, sf_dir):
@@ -272,24 +280,24 @@ def finalise(spark, sf_dir):
 
 # Review. Two rounds of decisions on item urls come from the labels of the documents.
 def _decisions(spark, sf_dir) -> DataFrame:
-    marks = tables.table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "ord")
-    judged = tables.items(spark, sf_dir).join(marks, "ord")
+    marks = tables.table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "_doc")
+    judged = tables.items(spark, sf_dir).withColumn("_doc", tables.document_of(F.col("ord"))).join(marks, "_doc")
     rounds = F.array(
-        F.struct(F.lit("skip").alias("action"), F.lit(1).alias("decided_at")),
+        F.struct(F.lit("skip").alias("action"), F.lit(1).cast("bigint").alias("decided_at")),
         F.struct(
             F.when(F.col("toxic") == 1, "skip").when(F.col("quality") == 1, "approve")
             .otherwise("reject").alias("action"),
-            (F.col("ord") + 2).cast("int").alias("decided_at"),
+            (F.col("ord") + 2).alias("decided_at"),
         ),
     )
     return judged.select("profile", "url", F.inline(rounds))
 
 
-_DECISIONS = """decided as (
+_DECISIONS = f"""decided as (
   select profile, url, arg_max(action, decided_at) as action from (
     select i.profile, i.url, case when toxic = 1 then 'skip' when quality = 1 then 'approve' else 'reject' end
       as action, i.ord + 2 as decided_at
-    from items i join labels l on l.doc_id = i.ord) d
+    from items i join labels l on l.doc_id = i.ord >> {tables.LINE_SHIFT}) d
   group by profile, url)"""
 
 

@@ -182,51 +182,57 @@ def _packed(documents: DataFrame, payload) -> DataFrame:
 
 
 @query("""
-select doc_id, split_part(text, chr(10), 1) as title,
-  'https://www.youtube.com/watch?v=' || doc_id || 'x' as url, source as channel,
-  replace(substr(text, 1, 300), chr(10), ' ') as description, '2020-01-02' as published_at,
-  case when doc_id % 3 = 0 then 0 else n_chars end as view_count,
-  (doc_id % 60) || ':07' as duration, true as verified
-from documents""")
+select doc_id, cast(line_no as int) as pos, line as title,
+  'https://www.youtube.com/watch?v=' || doc_id || 'x' || line_no as url, source as channel,
+  substr(line, 1, 300) as description, '2020-01-02' as published_at,
+  case when doc_id % 3 = 0 then 0 else length(line) end as view_count,
+  ((doc_id + line_no) % 60) || ':07' as duration, true as verified
+from """ + tables.LINES_SQL + " t")
 def norm_video_details(spark, sf_dir):
+    """An answer per document with a hit per line."""
     documents = _documents(spark, sf_dir)
-    snippet = F.struct(
-        F.substring_index("text", "\n", 1).alias("title"), F.col("source").alias("channelTitle"),
-        F.col("text").alias("description"), F.lit("2020-01-02T03:04:05Z").alias("publishedAt"),
-    )
-    minutes = F.concat(F.lit("PT"), (F.col("doc_id") % 60).cast("string"), F.lit("M7S"))
-    item = F.struct(
-        F.concat(F.col("doc_id").cast("string"), F.lit("x")).alias("id"), snippet.alias("snippet"),
-        F.struct(F.when(F.col("doc_id") % 3 != 0, F.col("n_chars").cast("string")).alias(
-            "viewCount"
-        )).alias("statistics"),
-        F.struct(minutes.alias("duration")).alias("contentDetails"),
-    )
-    packed = _packed(documents, F.struct(F.array(item).alias("items")))
-    return payloads.norm_video_details(packed).drop("pos")
+
+    def hit(line, i):
+        snippet = F.struct(
+            line.alias("title"), F.col("source").alias("channelTitle"), line.alias("description"),
+            F.lit("2020-01-02T03:04:05Z").alias("publishedAt"),
+        )
+        minutes = F.concat(F.lit("PT"), ((F.col("doc_id") + i) % 60).cast("string"), F.lit("M7S"))
+        count = F.when(F.col("doc_id") % 3 != 0, F.length(line).cast("string"))
+        return F.struct(
+            F.concat(F.col("doc_id").cast("string"), F.lit("x"), i.cast("string")).alias("id"),
+            snippet.alias("snippet"), F.struct(count.alias("viewCount")).alias("statistics"),
+            F.struct(minutes.alias("duration")).alias("contentDetails"),
+        )
+
+    hits = F.transform(F.split("text", "\n"), hit)
+    packed = _packed(documents, F.struct(hits.alias("items")))
+    return payloads.norm_video_details(packed)
 
 
 @query("""
-select doc_id, cast(1 + doc_id % 4 as int) as page_no, split_part(text, chr(10), 1) as title,
-  'https://www.youtube.com/watch?v=' || doc_id as url, doc_id::varchar as video_id,
-  source as channel, replace(substr(text, 1, 300), chr(10), ' ') as description,
+select doc_id, cast(1 + doc_id % 4 as int) as page_no, cast(line_no as int) as pos, line as title,
+  'https://www.youtube.com/watch?v=' || doc_id || '-' || line_no as url, doc_id || '-' || line_no as video_id,
+  source as channel, substr(line, 1, 300) as description,
   case when doc_id % 2 = 0 then '2021-12-31' else '' end as published_at, true as verified,
   'channel_crawl' as source
-from documents where lang <> 'fr'""")
+from """ + tables.LINES_SQL + " t where lang <> 'fr'")
 def norm_playlist(spark, sf_dir):
-    documents = _documents(spark, sf_dir)
-    snippet = F.struct(
-        F.substring_index("text", "\n", 1).alias("title"), F.col("source").alias("channelTitle"),
-        F.col("text").alias("description"),
-        F.when(F.col("doc_id") % 2 == 0, "2021-12-31T00:00:00Z").alias("publishedAt"),
-    )
-    video = F.when(F.col("lang") != "fr", F.col("doc_id").cast("string"))
-    item = F.struct(snippet.alias("snippet"), F.struct(video.alias("videoId")).alias("contentDetails"))
-    pages = documents.select(
+    """A page per document with an upload per line; hits without an id are dropped."""
+    def upload(line, i):
+        snippet = F.struct(
+            line.alias("title"), F.col("source").alias("channelTitle"), line.alias("description"),
+            F.when(F.col("doc_id") % 2 == 0, "2021-12-31T00:00:00Z").alias("publishedAt"),
+        )
+        video = F.when(F.col("lang") != "fr", F.concat(F.col("doc_id").cast("string"), F.lit("-"), i.cast("string")))
+        return F.struct(snippet.alias("snippet"), F.struct(video.alias("videoId")).alias("contentDetails"))
+
+    hits = F.transform(F.split("text", "\n"), upload)
+    pages = _documents(spark, sf_dir).select(
         "doc_id", (F.col("doc_id") % 4 + 1).cast("int").alias("page_no"),
-        F.to_json(F.struct(F.array(item).alias("items"))).alias("payload"),
+        F.to_json(F.struct(hits.alias("items"))).alias("payload"),
     )
-    return payloads.norm_playlist(pages).drop("pos")
+    return payloads.norm_playlist(pages)
 
 
 @query("""
@@ -337,8 +343,8 @@ def dedup_across_channels(spark, sf_dir):
     )
 
 
-_KNOWN = """known as (select distinct i.profile, i.video_id from items i
-  join labels l on l.doc_id = i.ord where video_id <> ''),
+_KNOWN = f"""known as (select distinct i.profile, i.video_id from items i
+  join labels l on l.doc_id = i.ord >> {tables.LINE_SHIFT} where video_id <> ''),
 flagged as (select i.*, k.video_id is not null as known from items i
   left join known k on k.profile = i.profile and k.video_id = i.video_id)"""
 
@@ -346,8 +352,9 @@ flagged as (select i.*, k.video_id is not null as known from items i
 def _flagged(spark, sf_dir) -> DataFrame:
     """All documents as a crawl against a catalogue of the labelled ones."""
     items = tables.items(spark, sf_dir)
-    marks = tables.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ord"))
-    return dedup.flag_known(items, items.join(marks, "ord", "left_semi"))
+    marks = tables.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_doc"))
+    labelled = items.withColumn("_doc", tables.document_of(F.col("ord"))).join(marks, "_doc", "left_semi")
+    return dedup.flag_known(items, labelled.drop("_doc"))
 
 
 @query(with_ctes("items", f"select {_ROW}, known from flagged", _KNOWN))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from catalogia import fixed_values as V
 from catalogia.schema import PROFILE
@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _profile(primary, english, alias, group, tracks, ost, concert, shows, collabs):
-    """A small profile document; words are ones that occur in the documents' first lines."""
+    """A small profile document; words are ones that occur in the documents."""
     return {
         "artist": {
             "names": {"primary": primary, "english": english, "aliases": [alias]},
@@ -132,60 +132,78 @@ def _pick(values: list[str], index: str) -> str:
     return f"split_part('{joined}', ';', cast(1 + {index} as int))"
 
 
-def items_sql(documents: str = "documents") -> str:
-    """Item rows from documents: the title is the first line with an ending, the
-    description the whole text; exact copies of a text share video id and source."""
+# Every line of every document, for other engines; ``lines`` is the same as a DataFrame.
+LINES_SQL = """(select doc_id, lang, source, i - 1 as line_no, l[i] as line
+  from (select doc_id, lang, source, l, unnest(range(1, len(l) + 1)) as i
+    from (select doc_id, lang, source, string_split(text, chr(10)) as l from documents) a) b)"""
+# Place of a line among all: document in the upper half, line in the lower.
+LINE_SHIFT = 32
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source, line_no, line) of every line of every document."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+
+
+def document_of(ord_: Column) -> Column:
+    """The document of an item's place."""
+    return F.shiftright(ord_, LINE_SHIFT)
+
+
+def items_sql(lines: str = LINES_SQL) -> str:
+    """Item rows, one per line of a document: the title is the line with an ending and a marker,
+    the description the line itself; equal lines share video id and url."""
     endings = " ".join(
         f"when '{lang}' then "
-        + _pick(_endings(PROFILES[lang]), f"floor(doc_id / {len(MARKERS)}) % 30")
+        + _pick(_endings(PROFILES[lang]), f"floor(n / {len(MARKERS)}) % 30")
         for lang in LANGS
     )
-    marker = _pick(MARKERS, f"doc_id % {len(MARKERS)}")
+    marker = _pick(MARKERS, f"n % {len(MARKERS)}")
     return f"""
-select lang as profile, cast(2 + doc_id % 7 as int) as file_id, doc_id as ord,
-  split_part(text, chr(10), 1) || ' ' || ending || ' ' || marker as title,
-  case when kind = 0 then 'https://www.youtube.com/watch?v=' || vid || '&t=' || cast(doc_id as string)
+select lang as profile, cast(2 + n % 7 as int) as file_id, doc_id * {1 << LINE_SHIFT} + line_no as ord,
+  line || ' ' || ending || ' ' || marker as title,
+  case when kind = 0 then 'https://www.youtube.com/watch?v=' || vid || '&t=' || cast(n as string)
        when kind = 1 then 'https://www.bilibili.com/video/' || vid
-       when doc_id % 5 = 0 then 'ftp://example.org/' || vid
+       when n % 5 = 0 then 'ftp://example.org/' || vid
        else 'https://example.org/' || vid end as url,
   case when kind = 0 then 'youtube' when kind = 1 then 'bilibili' else 'google' end as source,
   case when kind = 1 then vid end as bvid,
   case when kind = 0 then vid else '' end as video_id,
-  case when kind = 0 then source when kind = 2 and doc_id % 13 = 0 then 'ETtoday' end as channel,
-  case when kind = 1 then source when doc_id % 17 = 0 then source || ' - Topic' end as author,
-  text as description,
-  case when kind = 2 then text end as snippet,
-  case when doc_id % 10 <> 3 then '20' || cast(10 + doc_id % 14 as string) || '-'
-    || lpad(cast(1 + doc_id % 12 as string), 2, '0') || '-'
-    || lpad(cast(1 + doc_id % 28 as string), 2, '0') end as published_at,
-  case when doc_id % 3 = 0 then '2020-01-0' || cast(1 + doc_id % 9 as string) end as date,
-  case when doc_id % 19 = 0 then null
+  case when kind = 0 then source when kind = 2 and n % 13 = 0 then 'ETtoday' end as channel,
+  case when kind = 1 then source when n % 17 = 0 then source || ' - Topic' end as author,
+  line as description,
+  case when kind = 2 then line end as snippet,
+  case when n % 10 <> 3 then '20' || cast(10 + n % 14 as string) || '-'
+    || lpad(cast(1 + n % 12 as string), 2, '0') || '-'
+    || lpad(cast(1 + n % 28 as string), 2, '0') end as published_at,
+  case when n % 3 = 0 then '2020-01-0' || cast(1 + n % 9 as string) end as date,
+  case when n % 19 = 0 then null
        when seconds >= 3600 then cast(cast(floor(seconds / 3600) as bigint) as string) || ':'
          || lpad(cast(cast(floor(seconds % 3600 / 60) as bigint) as string), 2, '0') || ':'
          || lpad(cast(seconds % 60 as string), 2, '0')
        else cast(cast(floor(seconds / 60) as bigint) as string) || ':'
          || lpad(cast(seconds % 60 as string), 2, '0') end as duration,
-  case when kind <> 1 and doc_id % 11 <> 0 then plays end as view_count,
-  case when kind = 1 and doc_id % 11 <> 0 then plays end as play_count,
-  case when doc_id % 9 = 0 then null else doc_id % 4 <> 0 end as verified,
-  case when doc_id % 6 = 0 then 0 when doc_id % 7 = 0 then 404 end as verify_status,
+  case when kind <> 1 and n % 11 <> 0 then plays end as view_count,
+  case when kind = 1 and n % 11 <> 0 then plays end as play_count,
+  case when n % 9 = 0 then null else n % 4 <> 0 end as verified,
+  case when n % 6 = 0 then 0 when n % 7 = 0 then 404 end as verify_status,
   cast(null as string) as verify_note,
   cast(null as string) as search_query,
-  cast(2 + doc_id % 7 as int) as original_file_id
+  cast(2 + n % 7 as int) as original_file_id
 from (
-  select doc_id, text, lang, source, md5(text) as vid,
-    instr('0123456789abcdef', substr(md5(text), 1, 1)) % 3 as kind,
-    case when doc_id % 8 = 0 then doc_id * 17 % 16000
-         when doc_id % 2 = 0 then doc_id * 7 % 600 else doc_id * 37 % 9000 end as seconds,
-    case when doc_id % 5 = 0 then doc_id * 37 % 1500 else doc_id * 7919 % 2000000 end as plays,
+  select *, instr('0123456789abcdef', substr(vid, 1, 1)) % 3 as kind,
+    case when n % 8 = 0 then n * 17 % 16000
+         when n % 2 = 0 then n * 7 % 600 else n * 37 % 9000 end as seconds,
+    case when n % 5 = 0 then n * 37 % 1500 else n * 7919 % 2000000 end as plays,
     {marker} as marker,
     case lang {endings} end as ending
-  from {documents}
+  from (select doc_id, lang, source, line_no, line, doc_id + 11 * line_no as n, md5(line) as vid from {lines} t) l
 ) d"""
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(items_sql("{documents}"), documents=table(spark, sf_dir, "documents"))
+    return spark.sql(items_sql("{lines}"), lines=lines(spark, sf_dir))
 
 
 def profiles(spark: SparkSession) -> DataFrame:
@@ -277,8 +295,9 @@ select p_type as profile, p_partkey as pos, p_name as name,
   1990 + p_size as year
 from {part}""",
     "variety_singles": """
-select p_type as profile, p_partkey as pos, p_name as name, p_brand as source, 1990 + p_size as year
-from {part} where p_type <> 'PROMO' and p_retailprice > 1000""",
+select p_type as profile, p_partkey as pos, p_name as name,
+  case when p_type = 'PROMO' then '' else p_brand end as source, 1990 + p_size as year
+from {part}""",
     "concerts": """
 select p_type as profile, p_partkey as pos, p_name || ' Tour' as name,
   case when p_size > 25 then p_brand end as first_alias
