@@ -21,7 +21,9 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from catalogia.llm.common import NO_ID, OUTPUT_ROWS, Rolling, join_counted, keyed_texts, mixed, stored, word_chunks
-from catalogia.llm.similar_classes import fixed_width, similar_labels, texts_of
+from catalogia.llm.similar_classes import (
+    apart_bits, everywhere, fixed_width, may_overlap, parity, similar_labels, texts_of,
+)
 
 SHINGLE = 5
 PERCENT = 80
@@ -143,36 +145,24 @@ def shared_needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return np.maximum(1, own)
 
 
-def signature(tokens: np.ndarray, bits: int = SIGNATURE_BITS) -> np.ndarray:
-    """Parity per bit of the tokens that fall on it: two signatures differ in no more bits than the
-    sets differ in tokens."""
-    counts = np.bincount((tokens >> np.uint64(40)).astype(np.int64) % bits, minlength=bits)
-    return np.packbits((counts & 1).astype(np.uint8))
-
-
-def passes_filters(table: pa.Table):
+def pair_filters(table: pa.Table):
     """The filter of pairs that share a prefix token of the first order: sizes, the count of common
     prefix tokens under the second order and the overlap of the whole sets, the last two as far as
     the signatures tell.  No similar pair is turned away."""
     sizes = table.column("n").to_numpy().astype(np.int64)
-    bytes_ = SIGNATURE_BITS // 8
-    rows = fixed_width(table.column("signatures").chunk(0), 2 * bytes_).view(np.uint64)
-    second, whole = rows[:, :bytes_ // 8], rows[:, bytes_ // 8:]
+    rows = fixed_width(table.column("signatures").chunk(0), SIGNATURE_BITS // 4).view(np.uint64)
+    second, whole = np.hsplit(rows, 2)
 
     def passes(left, right):
         n, m = sizes[left], sizes[right]
         ok = 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
         at = np.flatnonzero(ok)
         left, right, n, m = left[at], right[at], n[at], m[at]
-        apart = np.bitwise_count(whole[left] ^ whole[right]).sum(axis=1, dtype=np.int64)
-        beyond = np.bitwise_count(second[left] ^ second[right]).sum(axis=1, dtype=np.int64)
-        # Of n + m tokens, at least 2 PERCENT / (100 + PERCENT) are common to both.
-        few = (100 + PERCENT) * apart <= (100 - PERCENT) * (n + m)
-        common = prefix_length(n) + prefix_length(m) - beyond >= 2 * shared_needed(n, m)
-        ok[at] = few & common
+        common = prefix_length(n) + prefix_length(m) - apart_bits(second, left, right) >= 2 * shared_needed(n, m)
+        ok[at] = common & may_overlap(apart_bits(whole, left, right), n, m, PERCENT)
         return ok
 
-    return passes
+    return passes, everywhere
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -227,9 +217,10 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     posted = described.filter("tokens is not null").select(F.explode("tokens").alias("key"), "fp")
     met = posted.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low < high").select("key")
     shared = posted.join(met, "key").dropDuplicates(["key", "fp"])
-    postings = stored(shared.join(classes.select("fp", "n", "signatures"), "fp"))
+    postings = stored(shared)
     texts = stored(texts_of(docs, classes, postings))
-    labels = similar_labels(postings, texts, passes_filters, shingle_sets, PERCENT)
+    details = classes.select("fp", "n", "signatures")
+    labels = similar_labels(postings, details, texts, pair_filters, shingle_sets, PERCENT)
     named = classes.join(labels, classes["fp"] == labels["node"], "left").select(
         "fp", "doc_id", "first", "copies", F.coalesce("label", "fp").alias("label"))
     return members, named
@@ -256,7 +247,7 @@ def _described(batch: pa.RecordBatch, levels: np.ndarray, seen: set[int]):
         if len(tokens) and fp not in seen:
             seen.add(fp)
             first, second = prefixes(tokens, levels)
-            signatures, first = np.concatenate([signature(second), signature(tokens)]).tobytes(), first.view(np.int64)
+            signatures, first = np.concatenate([parity(second, SIGNATURE_BITS), parity(tokens, SIGNATURE_BITS)]).tobytes(), first.view(np.int64)
             size += len(first)
         held.append((fp, len(tokens), signatures, first))
         if size >= OUTPUT_ROWS:

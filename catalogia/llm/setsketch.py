@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from catalogia.llm.common import NO_ID, join_counted, keyed_texts, mixed, stored
 from catalogia.llm.ngram_join import set_id, shingle_sets
-from catalogia.llm.similar_classes import fixed_width, similar_labels, texts_of
+from catalogia.llm.similar_classes import apart_bits, fixed_width, may_overlap, parity, similar_labels, texts_of
 
 SHINGLE = 2
 PERCENT = 80
@@ -30,6 +30,8 @@ TOP = 255
 BAND = 5
 # Estimates have a standard deviation of about 0.03; this is five of them below the threshold.
 LEAST_ESTIMATE = 0.65
+# Bits of a set's parity, which tells near misses from links before any text is fetched.
+PARITY_BITS = 512
 
 _I = np.arange(1, REGISTERS + 1, dtype=np.uint64)
 _FLIP, _FACTOR = mixed(_I, 21), mixed(_I, 22) | np.uint64(1)
@@ -83,22 +85,33 @@ def estimate(a: np.ndarray, b: np.ndarray, n: int, m: int) -> float:
     return low
 
 
-def passes_estimate(table: pa.Table):
-    """The filter of pairs that share a band: sizes fit and the estimate is near the threshold."""
+def pair_filters(table: pa.Table):
+    """The filter of pairs that share a band: sizes fit, the joint estimate is near the threshold and
+    the parity of the sets does not speak against it.  A pair is named under its first common band."""
     sizes = table.column("n").to_numpy().astype(np.int64)
     registers = fixed_width(table.column("registers").chunk(0), REGISTERS)
+    parities = fixed_width(table.column("parities").chunk(0), PARITY_BITS // 8).view(np.uint64)
+    band = table.column("band").to_numpy()
 
     def passes(left, right):
         n, m = sizes[left], sizes[right]
         ok = 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
         at = np.flatnonzero(ok)
+        ok[at] = may_overlap(apart_bits(parities, left[at], right[at]), n[at], m[at], PERCENT)
+        at = np.flatnonzero(ok)
         for some in np.array_split(at, len(at) // 50_000 + 1):
             a, b = registers[left[some]], registers[right[some]]
             above, below = (a > b).sum(axis=1), (a < b).sum(axis=1)
             ok[some] = slope(above, below, n[some], m[some], LEAST_ESTIMATE) >= 0
         return ok
 
-    return passes
+    def first_band(left, right):
+        if not len(left):
+            return np.zeros(0, bool)
+        common = (registers[left] == registers[right]).reshape(len(left), -1, BAND).all(axis=2)
+        return common.argmax(axis=1) == band[right]
+
+    return passes, first_band
 
 
 def two_word_sets(texts):
@@ -111,6 +124,7 @@ def _describe(batches):
     for batch in batches:
         fps, sizes, held, places = [], [], [], []
         registers: list[bytes | None] = [None] * batch.num_rows
+        parities: list[bytes | None] = [None] * batch.num_rows
 
         def fill():
             for place, row in zip(places, sketch(held), strict=True):
@@ -124,6 +138,7 @@ def _describe(batches):
             sizes.append(len(shingles))
             if len(shingles) and fps[-1] not in seen:
                 seen.add(fps[-1])
+                parities[i] = parity(shingles, PARITY_BITS).tobytes()
                 held.append(shingles)
                 places.append(i)
                 size += len(shingles)
@@ -135,7 +150,8 @@ def _describe(batches):
             fill()
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()),
-             pa.array(registers, pa.binary())], ["doc_id", "text_hash", "fp", "n", "registers"])
+             pa.array(registers, pa.binary()), pa.array(parities, pa.binary())],
+            ["doc_id", "text_hash", "fp", "n", "registers", "parities"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -150,19 +166,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     are ignored; an empty table gives no rows.
     """
     described = stored(keyed_texts(docs).mapInArrow(
-        _describe, "doc_id long, text_hash long, fp long, n long, registers binary"))
-    members = described.drop("registers").withColumn("known", F.nullif("doc_id", F.lit(NO_ID)))
+        _describe, "doc_id long, text_hash long, fp long, n long, registers binary, parities binary"))
+    members = described.drop("registers", "parities").withColumn("known", F.nullif("doc_id", F.lit(NO_ID)))
     classes = stored(described.filter("n > 0").groupBy("fp").agg(
         F.min(F.nullif("doc_id", F.lit(NO_ID))).alias("doc_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"),
-        F.max("n").alias("n"), F.max("registers").alias("registers"), F.count(F.lit(1)).alias("copies")))
+        F.max("n").alias("n"), F.max("registers").alias("registers"), F.max("parities").alias("parities"), F.count(F.lit(1)).alias("copies")))
     bands = classes.select("fp", F.posexplode(F.transform(
         F.sequence(F.lit(1), F.lit(REGISTERS), F.lit(BAND)),
         lambda at: F.xxhash64(F.call_function("substring", "registers", at, F.lit(BAND)), at))).alias("band", "key"))
     met = bands.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("key")
-    postings = stored(bands.join(met, "key").select("key", "fp").distinct().join(
-        classes.select("fp", "n", "registers"), "fp"))
+    postings = stored(bands.join(met, "key"))
     texts = stored(texts_of(docs, classes, postings))
-    labels = similar_labels(postings, texts, passes_estimate, two_word_sets, PERCENT)
+    details = classes.select("fp", "n", "registers", "parities")
+    labels = similar_labels(postings, details, texts, pair_filters, two_word_sets, PERCENT)
     named = classes.join(labels, classes["fp"] == labels["node"], "left").select(
         "fp", "doc_id", "copies", F.coalesce("label", "fp").alias("label"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))

@@ -28,8 +28,35 @@ FIRST_PARTNERS, MORE_PARTNERS = 1, 8
 # Tasks that may share the neighbours of one set.
 HUB_SALTS = 32
 
+# Classes whose rows are looked for with a broadcast list (24 bytes each); above, by a shuffled join.
+LISTED_CLASSES = 500_000
 # (left places, right places) of pairs of a table to a boolean array.
 Filter = Callable[[np.ndarray, np.ndarray], np.ndarray]
+# From a table of postings: which pairs may link, and which of those this key is to name, as the
+# others are named under another key.
+Filters = Callable[[pa.Table], tuple[Filter, Filter]]
+
+
+def everywhere(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return np.ones(len(left), bool)
+
+
+def parity(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Parity per bit of the hashes that fall on it: two signatures differ in no more bits than the
+    sets differ in hashes."""
+    counts = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % bits, minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8))
+
+
+def apart_bits(rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Bits in which pairs of signatures (rows of 64-bit numbers) differ."""
+    return np.bitwise_count(rows[left] ^ rows[right]).sum(axis=1, dtype=np.int64)
+
+
+def may_overlap(apart: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of n and m members that differ in ``apart`` members at least may be similar enough:
+    of their n + m members, 2 percent / (100 + percent) are common ones."""
+    return (100 + percent) * apart <= (100 - percent) * (n + m)
 
 
 def fixed_width(column: pa.Array, width: int) -> np.ndarray:
@@ -67,11 +94,15 @@ def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def partners(start: np.ndarray, label: np.ndarray, own: np.ndarray, across: np.ndarray, limit: int, passes: Filter):
-    """(left, right, more): the first ``limit`` earlier places of the group that each place links to.
+def partners(
+    start: np.ndarray, label: np.ndarray, own: np.ndarray, across: np.ndarray, limit: int, passes: Filter,
+    named_here: Filter = everywhere,
+):
+    """(left, right, more): the first ``limit`` earlier places of the group that each place may link to.
 
     ``start`` is the first place of each place's group.  Pairs of one label are left out, and those
     of one block in cells ``across`` two blocks.  ``more`` marks places that may have further ones.
+    Pairs that are not ``named_here`` count, but are not returned.
     """
     place = np.arange(len(start))
     more = np.zeros(len(start), bool)
@@ -87,7 +118,9 @@ def partners(start: np.ndarray, label: np.ndarray, own: np.ndarray, across: np.n
     if limit == 1:
         # Most sets of a group of near copies link to its first one: look there before anywhere else.
         hits = np.concatenate([tested(start[r], r) for r in np.array_split(rest, len(rest) // PAIRS + 1)]) if len(rest) else np.zeros(0, bool)
-        found.append((start[rest[hits]], rest[hits]))
+        hit = rest[hits]
+        hit = hit[named_here(start[hit], hit)]
+        found.append((start[hit], hit))
         more[rest[hits]] = rest[hits] > start[rest[hits]] + 1
         rest, low = rest[~hits], start + 1
     widths = rest - low[rest]
@@ -104,13 +137,17 @@ def partners(start: np.ndarray, label: np.ndarray, own: np.ndarray, across: np.n
         left, right = left[hit], right[hit]
         rank = np.arange(len(right)) - np.searchsorted(right, right)
         more[right[rank >= limit]] = True
-        found.append((left[rank < limit], right[rank < limit]))
+        left, right = left[rank < limit], right[rank < limit]
+        here = named_here(left, right)
+        found.append((left[here], right[here]))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), more
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), more
 
 
-def _candidates(postings: DataFrame, labels: DataFrame | None, limit: int, filter_of: Callable[[pa.Table], Filter]) -> DataFrame:
+def _candidates(
+    postings: DataFrame, details: DataFrame, labels: DataFrame | None, limit: int, filters_of: Filters,
+) -> DataFrame:
     """(a, b, more) of the postings (key, fp, ..): a before b by fp, in different components."""
     named = postings.withColumn("label", F.col("fp"))
     if labels is not None:
@@ -123,7 +160,7 @@ def _candidates(postings: DataFrame, labels: DataFrame | None, limit: int, filte
         "own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
         {"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}
-    ).drop("blocks", "other")
+    ).drop("blocks", "other").join(details, "fp")
 
     def run(batches):
         for table in whole_groups(batches, ["key", "lo", "hi"]):
@@ -131,9 +168,14 @@ def _candidates(postings: DataFrame, labels: DataFrame | None, limit: int, filte
             starts = group_starts(table, ["key", "lo", "hi"])
             start = np.repeat(starts, np.diff(np.append(starts, table.num_rows)))
             label, own, lo, hi, fp = (table.column(c).to_numpy() for c in ("label", "own", "lo", "hi", "fp"))
-            left, right, more = partners(start, label, own, lo != hi, limit, filter_of(table))
+            left, right, more = partners(start, label, own, lo != hi, limit, *filters_of(table))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(fp[left]), pa.array(fp[right]), pa.array(more[right])], ["a", "b", "more"])
+            # Places with further partners tell so even where none of their pairs is named here.
+            silent = np.flatnonzero(more & ~np.isin(np.arange(len(more)), right))[:1]
+            if len(silent):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(fp[silent]), pa.array(fp[silent]), pa.array(more[silent])], ["a", "b", "more"])
 
     keys = ["key", "lo", "hi"]
     return cells.repartition(*keys).sortWithinPartitions(*keys, "fp").mapInArrow(run, "a long, b long, more boolean")
@@ -171,23 +213,26 @@ def _linked(pairs: DataFrame, texts: DataFrame, sets_of, percent: int) -> DataFr
 
 def texts_of(docs: DataFrame, classes: DataFrame, fps: DataFrame) -> DataFrame:
     """(fp, packed): a text of each listed class; classes (fp, rep) name the row to take it from."""
-    wanted = classes.join(fps.select("fp").distinct(), "fp").select("fp", "rep.doc_id", "rep.text_hash")
-    packed = packed_texts(keyed_texts(docs), "doc_id", "text_hash")
-    return packed.join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["fp"]).select("fp", "packed")
+    wanted = stored(classes.join(fps.select("fp").distinct(), "fp").select("fp", "rep.doc_id", "rep.text_hash"))
+    keyed, key = keyed_texts(docs), ["doc_id", "text_hash"]
+    if wanted.count() <= LISTED_CLASSES:
+        # Only texts that are needed are packed and travel.
+        keyed = keyed.join(F.broadcast(wanted.select(*key)), key, "left_semi")
+    return packed_texts(keyed, *key).join(wanted, key).dropDuplicates(["fp"]).select("fp", "packed")
 
 
 def similar_labels(
-    postings: DataFrame, texts: DataFrame, filter_of: Callable[[pa.Table], Filter], sets_of, percent: int,
+    postings: DataFrame, details: DataFrame, texts: DataFrame, filters_of: Filters, sets_of, percent: int,
 ) -> DataFrame:
     """node, label of every set that links to another; label is the least set of its component.
 
-    ``postings`` (key, fp, and what the filter reads) and ``texts`` (fp, packed) are stored tables;
-    ``sets_of`` turns texts as bytes into arrays of distinct hashes.
+    ``postings`` (key, fp, ..), ``details`` (fp, and what the filters read) and ``texts`` (fp, packed)
+    are stored tables; ``sets_of`` turns texts as bytes into arrays of distinct hashes.
     """
     limit, links, tried, labels = FIRST_PARTNERS, None, None, None
     while True:
-        found = stored(_candidates(postings, labels, limit, filter_of))
-        pairs = found.select("a", "b").distinct()
+        found = stored(_candidates(postings, details, labels, limit, filters_of))
+        pairs = found.filter("a <> b").select("a", "b").distinct()
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         tried = pairs if tried is None else tried.union(pairs)
         linked = stored(_linked(pairs, texts, sets_of, percent))
