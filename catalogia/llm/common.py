@@ -57,11 +57,11 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def join_counted(rows: DataFrame, index: DataFrame, on: list[str], spread: str, n: str = "n") -> DataFrame:
+def join_counted(rows: DataFrame, index: DataFrame, on: list[str], spread: str | list[str], n: str = "n") -> DataFrame:
     """Inner join with an index of which column ``n`` tells how many rows have its key.
 
     Hot keys (see HOT_SHARE) go to as many tasks as they need: their rows get a salt from
-    ``spread`` and their index row is repeated once per salt.  ``index`` is read three times:
+    ``spread`` (columns that tell the rows of a key apart) and their index row is repeated once per salt.  ``index`` is read three times:
     give a stored one.
     """
     total = index.agg(F.sum(n).alias("rows")).first()["rows"] or 0
@@ -70,7 +70,7 @@ def join_counted(rows: DataFrame, index: DataFrame, on: list[str], spread: str,
     hot = index.filter(F.col(n) > limit).select(*on, parts.alias("_parts"))
     salted = rows.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.when(F.col("_parts").isNull(), 0).otherwise(
-            F.pmod(F.xxhash64(spread), F.col("_parts")).cast("int"))
+            F.pmod(F.xxhash64(*([spread] if isinstance(spread, str) else spread)), F.col("_parts")).cast("int"))
     ).drop("_parts")
     repeated = index.withColumn(
         "_salt", F.explode(F.when(F.col(n) > limit, F.sequence(F.lit(0), parts - 1))

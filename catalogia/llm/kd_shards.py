@@ -7,19 +7,23 @@ bucket that holds it, first along the dimension and then along a tie value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from catalogia.llm.common import join_counted, numbered, stored
+from catalogia.operators.distribution import attach, ordered_index, spread_join
 
 BUCKETS = 1024
-VALUE_ROUNDS = 3
-TIE_ROUNDS = 2
 
 
-def code_of(text: Column) -> Column:
-    """Number that keeps the order of a string's first six bytes; null is lowest."""
-    padded = F.rpad(F.hex(F.encode(F.substring(text, 1, 6), "UTF-8")), 12, "0")
-    return F.coalesce(F.conv(F.substring(padded, 1, 12), 16, 10).cast("double"), F.lit(-1.0))
+def ranked(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the place of a string among the distinct ones of its column; null is lowest.
+
+    Distinct values are numbered by ranges and met again by a size-checked join.
+    """
+    values = rows.select(F.col(column).alias("_value"), F.lit(0).alias("_all")).filter("_value is not null").distinct()
+    places = ordered_index(values, ["_all"], [], "_value", "_rank").select(
+        F.col("_value").alias(column), F.col("_rank").cast("double").alias(name))
+    return attach(rows, places, [column], ["doc_id", "same"], "left").withColumn(name, F.coalesce(name, F.lit(-1.0)))
 
 
 def _narrow(points: DataFrame, nodes: list[dict], value: str, low: str, high: str) -> None:
@@ -86,13 +90,12 @@ def kd_leaves(points: DataFrame, leaves: int) -> DataFrame:
                 "t1": 1.0, "before": 0.0, "upto": s["weight"],
                 "target": s["weight"] * (count // 2) / count,
             })
-        for _ in range(VALUE_ROUNDS):
-            _narrow(current, nodes, "v", "v0", "v1")
-        for _ in range(TIE_ROUNDS):
-            _narrow(current, nodes, "tie", "t0", "t1")
-        for n in nodes:  # the last bucket goes to the side that it unbalances less
-            n["tcut"] = n["t1"] if n["upto"] - n["target"] <= n["target"] - n["before"] else n["t0"] - 1e-18
-            n["inclusive"] = n["tcut"] == n["t1"]
+        # Each round leaves one bucket of a node's range, until that holds one value, then one tie.
+        for value, low, high in (("v", "v0", "v1"), ("tie", "t0", "t1")):
+            while any(n[low] < n[high] for n in nodes):
+                _narrow(current, nodes, value, low, high)
+        for n in nodes:  # the last point goes to the side that it unbalances less
+            n["inclusive"] = n["upto"] - n["target"] <= n["target"] - n["before"]
         splits = spark.createDataFrame(
             [(n["node"], n["dim"], n["v0"], n["v1"], n["t0"], n["t1"], n["inclusive"]) for n in nodes],
             "node long, dim int, v0 double, v1 double, t0 double, t1 double, inclusive boolean",
@@ -114,7 +117,7 @@ def kd_leaves(points: DataFrame, leaves: int) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot: documents dealt to shards of nearly equal bytes.
+    """doc_id, size, text_crc32, text_md5, shard, slot: documents dealt to shards of nearly equal bytes.
 
     Size is the text's UTF-8 bytes plus 1 (null: 1).  Documents with equal texts (null counts as
     empty) stay together.  ``shards`` fixes the number of leaves; otherwise splitting goes on
@@ -124,11 +127,15 @@ def shard_documents(docs: DataFrame, shards: int | None = None, target_bytes: in
     """
     text = F.coalesce("text", F.lit("")).cast("binary")
     has = set(docs.columns)
-    rows = stored(docs.select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+    rows = docs.select(
+        # Tells rows apart that have everything else in common.
+        F.rand(9).alias("_at"), "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
         F.unhex(F.md5(text)).alias("same"),
-        *[(code_of(F.col(c)) if c in has else F.lit(0.0)).alias(f"_{c}") for c in ("source", "lang")],
-    ))
+        *[(F.col(c) if c in has else F.lit(None)).cast("string").alias(c) for c in ("source", "lang")],
+    )
+    for c in ("source", "lang"):
+        rows = ranked(rows, c, f"_{c}").drop(c)
+    rows = stored(rows)
     coords = F.array(
         F.log(F.min("size").cast("double")), F.min("_source"), F.min("_lang"),
         F.coalesce(F.min("doc_id"), F.lit(0)).cast("double"),
@@ -140,12 +147,18 @@ def shard_documents(docs: DataFrame, shards: int | None = None, target_bytes: in
         total = groups.agg(F.sum("weight").alias("w")).first()["w"] or 0
         shards = max(1, -(-total // target_bytes))
     placed = stored(kd_leaves(groups, shards).select("same", "n", F.col("leaf").alias("shard")))
-    dealt = stored(join_counted(rows, placed, ["same"], "doc_id")
-                   .select("doc_id", "size", "text_crc32", "shard"))
-    return numbered(dealt, "shard", "doc_id", "slot")
+    dealt = stored(join_counted(rows, placed, ["same"], "_at")
+                   .select("_at", "doc_id", "size", "text_crc32", F.col("same").alias("text_md5"), "shard"))
+    return numbered(dealt, "shard", "_at", "slot").drop("_at")
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
-    """Write the documents' rows below ``path``, one folder per shard."""
-    dealt = placed.select("doc_id", "shard", "slot")
-    docs.drop("shard", "slot").join(dealt, "doc_id").write.partitionBy("shard").parquet(path)
+    """Write the documents' rows below ``path``, one folder per shard.
+
+    A row goes where its text was placed, so repeated and null ids and repeated rows are written
+    as often as they occur; a null text goes with the empty ones.
+    """
+    dealt = placed.select(F.col("text_md5").alias("_md5"), "shard").distinct()
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    rows = docs.drop("shard").withColumn("_md5", F.unhex(F.md5(text)))
+    spread_join(rows, dealt, ["_md5"], ["doc_id"], "inner").drop("_md5").write.partitionBy("shard").parquet(path)

@@ -26,7 +26,7 @@ PAIRS = 200_000
 # Partners that a set names in the first round, and the factor of each further one.
 FIRST_PARTNERS, MORE_PARTNERS = 1, 8
 # Tasks that may share the neighbours of one set.
-HUB_SALTS = 32
+HUB_SALTS = 8
 
 # Classes whose rows are looked for with a broadcast list (24 bytes each); above, by a shuffled join.
 LISTED_CLASSES = 500_000

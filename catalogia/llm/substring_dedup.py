@@ -115,12 +115,12 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
 def _spans(keyed: DataFrame) -> DataFrame:
     runs = stored(keyed.mapInArrow(_runs, RUNS))
     shared = stored(runs.groupBy("gram").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"))
-    near = stored(join_counted(runs, shared, ["gram"], "fp", n="met").drop("met"))
+    near = stored(join_counted(runs, shared, ["gram"], ["doc_id", "start"], n="met").drop("met"))
     blocks = stored(near.groupBy("gram", "block").agg(
         F.count(F.lit(1)).alias("met"), F.min(F.struct("doc_id", "fp", "start", "n")).alias("first")
     ))
     known = join_counted(near, blocks.select("gram", "block", "met", F.col("first.doc_id").alias("reference")),
-                         ["gram", "block"], "fp", n="met")
+                         ["gram", "block"], ["doc_id", "start"], n="met")
     factors = known.filter("met > 1").select(*KEY, "start", "n", "reference")
     # Owners with several contents: one block of each content stands for all of its copies.
     several = stored(blocks.groupBy("gram").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1"))
@@ -133,7 +133,7 @@ def _spans(keyed: DataFrame) -> DataFrame:
     repeated = stored(
         windows.groupBy("gram", "window").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
     )
-    ends = join_counted(windows, repeated, ["gram", "window"], "fp", n="met").select(
+    ends = join_counted(windows, repeated, ["gram", "window"], ["doc_id", "start"], n="met").select(
         *KEY, "start", F.lit(1).alias("n"), F.lit(None).cast("long").alias("reference"))
     return factors.unionByName(ends)
 

@@ -1,26 +1,33 @@
 """Token-id store: blocks of raw ids with a minimal perfect hash index per block.
 
-A store is a Parquet folder of blocks in ascending document order.  A block holds the raw ids of
-some consecutive documents in one payload and an index from document key to its stretch: a
-displacement per hash bucket makes the hash of every key of the block fall on a slot of its own,
-and the slot holds the place and a fingerprint of the key, so one look-up reads one slot.
+A store has two Parquet folders.  ``blocks``, in ascending document order, hold the raw ids of some
+consecutive documents in one payload and an index from document key to its stretch: a displacement
+per hash bucket makes the hash of every key of the block fall on a slot of its own, and the slot
+holds the place, the key and a fingerprint of it.  ``index`` has the same kind of index from the keys
+of a part of the hash space to the blocks that hold them, so a look-up reads one row of the index per
+key, and the blocks that it names.
 """
 
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from catalogia.llm.common import mixed
+from catalogia.llm.common import NO_ID, OUTPUT_CHARS, mixed, stored
 from catalogia.llm.encoding import encoded_batches, encoder_of
+from catalogia.llm.similar_classes import group_starts, whole_groups
 
 # Bytes of ids after which a block is closed; a longer document has a block to itself.
 BLOCK_BYTES = 256 * 1024
 ROW_GROUP_BYTES = 16 * 1024 * 1024
+# Keys of one row of the index.
+INDEX_KEYS = 50_000
+INDEX = "bucket long, displacements binary, fingerprints binary, places binary"
 DIRECT = np.int64(1) << np.int64(40)
 BLOCK = (
     "part int, block int, first_doc long, last_doc long, n_docs long, n_tokens long, before long, "
@@ -70,35 +77,103 @@ def perfect_hash(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return displacements, slot
 
 
+def _fingerprints(hashes: np.ndarray) -> np.ndarray:
+    return (mixed(hashes, 14) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def _by_slot(values: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    out = np.empty_like(values)
+    out[slot] = values
+    return out
+
+
 def _block(part: int, number: int, before: int, docs: list, seen: list, data: list[bytes]) -> tuple:
     keys, occurrences = np.array(docs, np.int64), np.array(seen, np.int64)
     lengths = np.array([len(d) // 4 for d in data], np.int64)
     hashes = key_hash(keys, occurrences)
     displacements, slot = perfect_hash(hashes)
-    fingerprints, places = np.zeros(len(keys), np.uint32), np.zeros((len(keys), 2), np.int64)
-    fingerprints[slot] = (mixed(hashes, 14) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    places[slot, 0], places[slot, 1] = np.cumsum(lengths) - lengths, lengths
+    places = np.stack([np.cumsum(lengths) - lengths, lengths], axis=1)
     ids = np.frombuffer(b"".join(data), "<u4")
     width = 2 if ids.max() < 1 << 16 else 4
     return (
-        part, number, docs[0], docs[-1], len(docs), len(ids), before, width, keys.tobytes(),
-        occurrences.tobytes(), displacements.tobytes(), fingerprints.tobytes(), places.tobytes(),
+        part, number, docs[0], docs[-1], len(docs), len(ids), before, width,
+        *(_by_slot(v, slot).tobytes() for v in (keys, occurrences)), displacements.tobytes(),
+        *(_by_slot(v, slot).tobytes() for v in (_fingerprints(hashes), places)),
         ids.astype(f"<u{width}").tobytes(),
     )
 
 
+def _index_row(bucket: int, docs: np.ndarray, places: np.ndarray) -> tuple:
+    hashes = key_hash(docs, np.zeros(len(docs), np.int64))
+    displacements, slot = perfect_hash(hashes)
+    return (bucket, displacements.tobytes(), _by_slot(_fingerprints(hashes), slot).tobytes(), _by_slot(places, slot).tobytes())
+
+
+def bucket_of(docs: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(docs.view(np.uint64), 15) % np.uint64(buckets)).astype(np.int64)
+
+
+def _write_index(spark: SparkSession, path: str) -> None:
+    """Index rows from the keys of all blocks: per key its first and last block."""
+    blocks = spark.read.schema(BLOCK).parquet(f"{path}/blocks")
+    n_docs = blocks.agg(F.sum("n_docs").alias("n")).first()["n"] or 0
+    buckets = max(1, -(-n_docs // INDEX_KEYS))
+
+    def keys_of(batches):
+        for batch in batches:
+            for part, block, keys in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                docs = np.unique(np.frombuffer(keys, np.int64))
+                place = np.full(len(docs), (part << 32) + block)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket_of(docs, buckets)), pa.array(docs), pa.array(place)], ["bucket", "doc_id", "place"])
+
+    spans = blocks.select("part", "block", "keys").mapInArrow(keys_of, "bucket long, doc_id long, place long").groupBy(
+        "bucket", "doc_id").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+
+    def index(batches):
+        for table in whole_groups(batches, ["bucket"]):
+            starts = group_starts(table, ["bucket"])
+            columns = [table.column(c).to_numpy() for c in ("bucket", "doc_id", "first", "last")]
+            for a, b in zip(starts, [*starts[1:], table.num_rows], strict=True):
+                row = _index_row(int(columns[0][a]), columns[1][a:b], np.stack([c[a:b] for c in columns[2:]], axis=1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row[0]], pa.int64()), *(pa.array([v], pa.binary()) for v in row[1:])],
+                    ["bucket", "displacements", "fingerprints", "places"])
+
+    spans.repartitionByRange("bucket").sortWithinPartitions("bucket").mapInArrow(index, INDEX).withColumn(
+        "buckets", F.lit(buckets).cast("long")).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{path}/index")
+
+
 def write_store(docs: DataFrame, tokenizer: str, path: str, block_bytes: int = BLOCK_BYTES) -> None:
     """Write the ids of all documents (and an end id each) in ascending order of doc_id.
 
-    A null or empty text is the end id alone.  Rows of a repeated id are all kept, told apart by
-    an occurrence number; rows without an id have no key and are left out.  Ids take two bytes
-    where they fit.  Extra columns are ignored; an empty table makes an empty store.
+    A null or empty text is the end id alone.  Rows of a repeated id are all kept, told apart by an
+    occurrence number; rows without an id come first, under the key NO_ID that no document may have.
+    Ids take two bytes where they fit.  Extra columns are ignored; an empty table makes an empty store.
+
+    Texts are encoded where they are read; only ids travel to the range that they are written in.
     """
     schema = [(f.split()[0], f.split()[1]) for f in BLOCK.split(", ")]
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 
+    def encode(batches):
+        encoder = encoder_of(tokenizer)
+        for batch in batches:
+            held, size, at = [], 0, 0
+            for one in encoded_batches(batch.column(1).to_pylist(), encoder):
+                ids = np.frombuffer(one, "<u4")
+                held.append(b"2" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"4" + one)
+                size += len(held[-1])
+                if size >= OUTPUT_CHARS:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(at, len(held)), pa.array(held, pa.binary())], ["doc_id", "ids"])
+                    at, held, size = at + len(held), [], 0
+            if held:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at), pa.array(held, pa.binary())], ["doc_id", "ids"])
+
     def run(batches):
-        part, encoder = TaskContext.get().partitionId(), encoder_of(tokenizer)
+        part = TaskContext.get().partitionId()
         number = before = size = 0
         docs_, seen, data, last, times = [], [], [], None, 0
 
@@ -109,8 +184,9 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, block_bytes: int = B
             )
 
         for batch in batches:
-            ids = encoded_batches(batch.column(1).to_pylist(), encoder)
-            for doc, one in zip(batch.column(0).to_pylist(), ids, strict=True):
+            for doc, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                one = packed.as_py()
+                one = np.frombuffer(one, f"<u{chr(one[0])}", offset=1).astype("<u4").tobytes()
                 times = times + 1 if doc == last else 0
                 last = doc
                 docs_.append(doc)
@@ -120,38 +196,48 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, block_bytes: int = B
                 if size >= 2 * block_bytes:
                     yield closed()
                     number, before = number + 1, before + size // 4
-                    docs_, seen, data, size = [], [], [], 0
+                    # Occurrences are counted inside a block, which is what its index tells apart.
+                    docs_, seen, data, size, last = [], [], [], 0, None
         if docs_:
             yield closed()
 
-    text = F.col("text")
+    keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
+    encoded = stored(keyed.mapInArrow(encode, "doc_id long, ids binary"))
     (
-        docs.filter("doc_id is not null").select("doc_id", text)
-        .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-        .mapInArrow(run, BLOCK)
-        .write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+        # A hash of the ids lets the rows of a repeated id lie in several ranges.
+        encoded.withColumn("salt", F.xxhash64("ids")).repartitionByRange("doc_id", "salt")
+        .sortWithinPartitions("doc_id", "salt").select("doc_id", "ids").mapInArrow(run, BLOCK)
+        .write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{path}/blocks")
     )
+    _write_index(docs.sparkSession, path)
+
+
+def _found(row: dict, hashes: np.ndarray) -> np.ndarray:
+    """Slot of each key's hash in an index, -1 where the fingerprint says that it isn't there."""
+    displacements, fingerprints = np.frombuffer(row["displacements"], np.int64), np.frombuffer(row["fingerprints"], np.uint32)
+    if not len(fingerprints):
+        return np.full(len(hashes), -1)
+    bucket = (hashes % np.uint64(len(displacements))).astype(np.int64)
+    slot = _slots(hashes, displacements[bucket], len(fingerprints))
+    return np.where(fingerprints[slot] == _fingerprints(hashes), slot, -1)
 
 
 class Block:
     """One block's index and ids."""
 
     def __init__(self, row: dict):
-        self.displacements = np.frombuffer(row["displacements"], np.int64)
-        self.fingerprints = np.frombuffer(row["fingerprints"], np.uint32)
+        self.row = row
+        self.keys, self.occurrences = (np.frombuffer(row[c], np.int64) for c in ("keys", "occurrences"))
         self.places = np.frombuffer(row["places"], np.int64).reshape(-1, 2)
         self.payload, self.width = row["payload"], row["width"]
 
     def find(self, docs: np.ndarray, occurrences: np.ndarray) -> np.ndarray:
-        """Slot of each key, -1 where the fingerprint says that the block hasn't it."""
-        n = len(self.fingerprints)
-        if not n:
-            return np.full(len(docs), -1)
-        hashes = key_hash(docs, occurrences)
-        bucket = (hashes % np.uint64(len(self.displacements))).astype(np.int64)
-        slot = _slots(hashes, self.displacements[bucket], n)
-        known = self.fingerprints[slot] == (mixed(hashes, 14) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        return np.where(known, slot, -1)
+        """Slot of each key, -1 where the block hasn't it."""
+        slot = _found(self.row, key_hash(docs, occurrences))
+        if not len(self.keys):
+            return slot
+        same = (self.keys[slot] == docs) & (self.occurrences[slot] == occurrences)
+        return np.where(same, slot, -1)
 
     def ids(self, slot: int) -> np.ndarray:
         start, length = self.places[slot]
@@ -164,12 +250,13 @@ def _rows(blocks: pa.RecordBatch):
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every stored document, each read through the index.
+    """doc_id, start, n_tokens, ids_crc32 of every stored document, each read through its block's index.
 
     ``start`` counts the ids of all documents before it: those of earlier parts (a total per
-    written part), of earlier blocks of the part (kept in the block) and of the block.
+    written part), of earlier blocks of the part (kept in the block) and of the block.  Rows that
+    were written without an id have none here.
     """
-    blocks = spark.read.schema(BLOCK).parquet(path)
+    blocks = spark.read.schema(BLOCK).parquet(f"{path}/blocks")
     earlier = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n")).select(
         "part", F.coalesce(earlier, F.lit(0)).alias("earlier"))
@@ -177,32 +264,63 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row, block in _rows(batch):
-                docs = np.frombuffer(row["keys"], np.int64)
-                slots = block.find(docs, np.frombuffer(row["occurrences"], np.int64))
+                slots = block.find(block.keys, block.occurrences)
                 if (slots < 0).any():
                     raise ValueError("the index of a block does not know one of its keys")
                 crc = [zlib.crc32(block.ids(s).astype("<u4").tobytes()) for s in slots.tolist()]
                 places = block.places[slots]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(docs), row["part"], np.int32)), pa.array(docs),
+                    [pa.array(np.full(len(slots), row["part"], np.int32)), pa.array(block.keys),
                      pa.array(row["before"] + places[:, 0]), pa.array(places[:, 1].copy()), pa.array(crc, pa.int64())],
                     ["part", "doc_id", "inside", "n_tokens", "ids_crc32"],
                 )
 
     found = blocks.mapInArrow(run, "part int, doc_id long, inside long, n_tokens long, ids_crc32 long")
     return found.join(parts, "part").select(
-        "doc_id", (F.col("earlier") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
+        F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), (F.col("earlier") + F.col("inside")).alias("start"),
+        "n_tokens", "ids_crc32"
     )
 
 
+def blocks_of(spark: SparkSession, path: str, doc_ids: list[int]) -> list[tuple[int, int]]:
+    """(part, block) of every block that the index names for the documents, ascending."""
+    index = spark.read.parquet(f"{path}/index")
+    head = index.select("buckets").first()
+    wanted = np.array(sorted(set(doc_ids)), np.int64)
+    if head is None or not len(wanted):
+        return []
+    of = bucket_of(wanted, head["buckets"])
+    places = set()
+    for row in index.filter(F.col("bucket").isin(np.unique(of).tolist())).toLocalIterator():
+        docs = wanted[of == row["bucket"]]
+        slots = _found(row.asDict(), key_hash(docs, np.zeros(len(docs), np.int64)))
+        for first, last in np.frombuffer(row["places"], np.int64).reshape(-1, 2)[slots[slots >= 0]].tolist():
+            places.add((first, last))
+    if not places:
+        return []
+    # An id repeated over several blocks: every block from its first to its last.
+    spans = [(F.col("part").cast("long") * (1 << 32) + F.col("block")).between(a, b) for a, b in places if a != b]
+    found = {(a >> 32, a & 0xFFFFFFFF) for a, b in places if a == b}
+    for i in range(0, len(spans), 100):
+        listed = spark.read.schema(BLOCK).parquet(f"{path}/blocks").select("part", "block").filter(
+            reduce(lambda x, y: x | y, spans[i:i + 100]))
+        found |= {(r["part"], r["block"]) for r in listed.collect()}
+    return sorted(found)
+
+
 def look_up(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """doc_id, ids (array<int>) of the given documents: one slot per key in the blocks that may hold it."""
+    """doc_id, ids (array<int>) of the given documents; unknown ids give no row, repeated ones a row each.
+
+    The index names the blocks; in each a key is found by one slot, whose stored key is compared.
+    """
     wanted = np.array(sorted(set(doc_ids)), np.int64)
-    blocks = spark.read.schema(BLOCK).parquet(path)
-    reached = None
-    if len(wanted):
-        reached = (F.col("first_doc") <= int(wanted[-1])) & (F.col("last_doc") >= int(wanted[0]))
-        blocks = blocks.filter(reached)
+    places = blocks_of(spark, path, doc_ids)
+    blocks = spark.read.schema(BLOCK).parquet(f"{path}/blocks")
+    by_part: dict[int, list[int]] = {}
+    for part, block in places:
+        by_part.setdefault(part, []).append(block)
+    named = [(F.col("part") == p) & F.col("block").isin(b) for p, b in by_part.items()]
+    blocks = blocks.filter(reduce(lambda x, y: x | y, named, F.lit(False)))
 
     def run(batches):
         for batch in batches:

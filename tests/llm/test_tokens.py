@@ -9,24 +9,24 @@ from tokenizers import Tokenizer
 
 from catalogia.llm.encoding import Encoder, encoded_batches
 from catalogia.llm.packing import CapacityTree, best_fit_plan, pack_documents
-from catalogia.llm.token_store import Block, look_up, perfect_hash, read_store, write_store
+from catalogia.llm import token_store
+from catalogia.llm.token_store import Block, blocks_of, look_up, perfect_hash, read_store, write_store
 from helpers import awkward, documents
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-ODD = ["  a  b\n\n c\t d", "don't  'tis I'LL we're x   y\r\n z ", "<|endoftext|> x", "é\x1cà \x85b", "日本語 テスト　全角",
+ODD = ["  a  b\n\n c\t d", "don't  'tis I'LL we're x   y\r\n z ", "<|endoftext|> x", "a<|endoftext|>b", " x  <|endoftext|><|endoftext|>\n y", "<|endoftext|", "é\x1cà \x85b", "日本語 テスト　全角",
        "12ab34 !!?? ''' 's", " \n \n", "a​b ᠎ c", "naïve.Next,word;x½y²", "don'tcan't it's'll"]
 
 
 @pytest.fixture(scope="module")
 def reference():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def test_encoder_equals_tokenizer(reference):
     r = random.Random(3)
-    texts = awkward(300) + ODD + ["".join(r.choice("abé.,'’ \n\t\x1c19!ñ") for _ in range(50)) for _ in range(1500)]
+    texts = awkward(300) + ODD + ["".join(r.choice([*"abé.,'’ \n\t\x1c19!ñ", "<|endoftext|>"]) for _ in range(50)) for _ in range(1500)]
     got = [np.frombuffer(b, "<u4").tolist() for b in encoded_batches(texts, Encoder(PATH), chars=5000)]
     assert got == [reference(t) for t in texts]
 
@@ -100,28 +100,44 @@ def test_perfect_hash():
 
 
 def test_store(spark, reference, tmp_path):
-    texts = [(100 - 3 * i, t) for i, t in enumerate(awkward(900))]
-    texts += [(28, "twice"), (None, "no key")]
+    texts = [(100 - 3 * i, t) for i, t in enumerate(awkward(900) + ODD)]
+    texts += [(28, "twice"), (None, "no key"), (None, None)]
     path = str(tmp_path / "store")
     write_store(documents(spark, texts, clash=True), PATH, path, block_bytes=300)
     rows = sorted(read_store(spark, path).collect(), key=lambda r: r["start"])
-    kept = sorted(((i, t) for i, t in texts if i is not None), key=lambda x: (x[0], x[1] or ""))
-    assert [r["doc_id"] for r in rows] == [i for i, _ in kept]
-    at = 0
-    for r, (_, text) in zip(rows, kept, strict=True):
-        ids = np.array(reference(text), "<u4")
-        assert (r["start"], r["n_tokens"]) == (at, len(ids))
-        assert r["ids_crc32"] == zlib.crc32(ids.tobytes())
-        at += len(ids)
-    got = look_up(spark, path, [100, 97, 28, 10 ** 6]).collect()
-    want = sorted((i, reference(t)) for i, t in kept if i in (100, 97, 28))
-    assert sorted((r["doc_id"], r["ids"]) for r in got) == want
-    blocks = spark.read.parquet(path).collect()
+    assert len(rows) == len(texts)
+    ids_of = [-1 << 63 if r["doc_id"] is None else r["doc_id"] for r in rows]
+    assert ids_of == sorted(-1 << 63 if i is None else i for i, _ in texts)
+    at, seen = 0, []
+    for r in rows:
+        assert r["start"] == at
+        at += r["n_tokens"]
+        seen.append((r["doc_id"], r["n_tokens"], r["ids_crc32"]))
+    want = [(i, len(reference(t)), zlib.crc32(np.array(reference(t), "<u4").tobytes())) for i, t in texts]
+    assert sorted(seen, key=repr) == sorted(want, key=repr)
+    got = look_up(spark, path, [100, 97, 28, 10 ** 6, 10 ** 6]).collect()
+    assert sorted((r["doc_id"], r["ids"]) for r in got) == sorted((i, reference(t)) for i, t in texts if i in (100, 97, 28))
+    blocks = spark.read.parquet(f"{path}/blocks").collect()
     assert len(blocks) > 5
     absent = np.arange(10 ** 6, 10 ** 6 + 200)
     assert all((Block(b).find(absent, np.zeros(200, np.int64)) < 0).all() for b in blocks)
 
 
+def test_look_up_opens_only_the_blocks_of_its_keys(spark, reference, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_store, "INDEX_KEYS", 7)
+    texts = [(i, f"text {i} " * 20) for i in range(60)] + [(33, f"copy {k} " * 30) for k in range(20)]
+    path = str(tmp_path / "store")
+    write_store(documents(spark, texts), PATH, path, block_bytes=200)
+    places = {d: [(b["part"], b["block"]) for b in blocks if d in np.frombuffer(b["keys"], np.int64)]
+              for blocks in [spark.read.parquet(f"{path}/blocks").collect()] for d in range(60)}
+    for d in (0, 17, 59):
+        assert blocks_of(spark, path, [d]) == places[d] and len(places[d]) == 1
+    assert len(places[33]) > 3 and set(places[33]) <= set(blocks_of(spark, path, [33]))
+    assert sorted(r["ids"] for r in look_up(spark, path, [33, 61]).collect()) == sorted(
+        reference(t) for i, t in texts if i == 33)
+    assert blocks_of(spark, path, []) == [] and look_up(spark, path, []).count() == 0
+
+
 def test_empty_store(spark, tmp_path):
     path = str(tmp_path / "store")
     write_store(documents(spark, []), PATH, path)
