@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from catalogia import fixed_values as V
 from catalogia.functions import duration_seconds, title, title_lc, who
-from catalogia.operators.profiles import DICTIONARY, with_dictionary
+from catalogia.operators.automaton import attach_found, worthwhile
+from catalogia.operators.profiles import DICTIONARY, wide, with_dictionary
 
 _RESULT = ["category", "classification_reason"]
 
@@ -172,10 +173,17 @@ def settle(df: DataFrame, kept: list[str], **results: Column) -> DataFrame:
 
 def classify(
     items: DataFrame, profiles: DataFrame, word_boundary: bool = False, keep_dictionary=False,
-    **lists,
+    way: str = "measured", **lists,
 ) -> DataFrame:
-    """Items plus ``category`` and ``classification_reason``."""
+    """Items plus ``category`` and ``classification_reason``.
+
+    ``way``: "scan" tests each name of the profile on each title; "automaton" finds the names that
+    occur in one pass and tests those; "measured" takes the latter for large profiles.  Both give
+    the same rows.
+    """
     kept = [c for c in items.columns if c not in (*_RESULT, DICTIONARY)]
+    if way == "automaton" or (way == "measured" and DICTIONARY not in items.columns and worthwhile(wide(profiles, **lists))):
+        items = attach_found(items, profiles, **lists)
     named = with_dictionary(items, profiles, **lists).select(
         *kept, DICTIONARY, title().alias("_t"), title_lc().alias("_t_lc"), who().alias("_who"),
         F.lower(who()).alias("_who_lc"), duration_seconds(F.col("duration")).alias("_seconds"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalogia import fixed_values as V
-from catalogia.operators import labels, quality, reports, review, rules, scoring
+from catalogia.operators import automaton, labels, quality, reports, review, rules, scoring
 from catalogia.operators.profiles import dims
 from catalogia.plans import tables
 from catalogia.plans.oracle_parts import is_in, q, scored_cte, with_ctes
@@ -56,6 +56,32 @@ def classify_rules(spark, sf_dir):
     return _row(classified(spark, sf_dir), "category", "classification_reason")
 
 
+@query(f"""select i.profile, i.file_id, i.ord, count(*) as n_terms, min(term) as first_term, max(term) as last_term
+from ({tables.items_sql()}) i join {tables.LONG_WORDS_SQL} w on w.profile = i.profile and contains(i.title, w.term)
+group by all""")
+def dictionary_hits(spark, sf_dir):
+    """Names of large dictionaries inside titles, found by one automaton per profile."""
+    items = tables.items(spark, sf_dir).select("profile", "file_id", "ord", "title")
+    found = automaton.matched_terms(items, F.col("title"), tables.long_words(spark, sf_dir)).filter(F.size("terms") > 0)
+    return _row(
+        found, F.size("terms").cast("bigint").alias("n_terms"), F.get("terms", F.lit(0)).alias("first_term"),
+        F.element_at("terms", -1).alias("last_term"),
+    )
+
+
+@query(with_ctes("classified", f"select {_ROW}, category, classification_reason from classified").replace(
+    "p_tracks(profile, term) as", "own_tracks(profile, term) as", 1
+).replace(
+    "solo_hits as (", "p_tracks as (select profile, term from own_tracks union select profile, term "
+    f"from {tables.LONG_WORDS_SQL} w),\nsolo_hits as (", 1
+))
+def classify_large_profiles(spark, sf_dir):
+    """Classification by profiles that list all long words as tracks, through automata."""
+    profiles = tables.large_profiles(spark, sf_dir)
+    done = rules.classify(tables.items(spark, sf_dir), profiles, way="automaton")
+    return _row(done, "category", "classification_reason")
+
+
 @query(with_ctes("scored", f"""select {_ROW}, category, confidence, s_rule as rule_strength,
   case when category <> 'discard' then s_source end as source_reliability,
   case when category <> 'discard' then s_duration end as duration_fit,

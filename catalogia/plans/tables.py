@@ -213,6 +213,27 @@ def profiles(spark: SparkSession) -> DataFrame:
     return spark.range(1, numPartitions=1).select(F.inline(parsed))
 
 
+# Names as a large profile would list them: the last word of each line, if it has nine letters or more.
+LONG_WORD = "([A-Za-zÀ-ÖØ-öø-ÿ]{9,})[^A-Za-zÀ-ÖØ-öø-ÿ]*$"
+LONG_WORDS_SQL = f"""(select distinct lang as profile, regexp_extract(line, '{LONG_WORD}', 1) as term
+  from {LINES_SQL} t where regexp_matches(line, '{LONG_WORD}'))"""
+
+
+def long_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(profile, term): one large dictionary per profile, read from all lines."""
+    return lines(spark, sf_dir).filter(F.rlike("line", F.lit(LONG_WORD))).select(
+        F.col("lang").alias("profile"), F.regexp_extract("line", LONG_WORD, 1).alias("term")).distinct()
+
+
+def large_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small profiles with an album more, whose tracks are the long words."""
+    words = long_words(spark, sf_dir).groupBy("profile").agg(F.sort_array(F.collect_list("term")).alias("words"))
+    album = F.struct(F.lit("Long words").alias("name"), F.lit(2020).alias("year"), F.col("words").alias("tracks"))
+    more = F.concat("discography.solo_albums", F.array(album))
+    return profiles(spark).join(words, "profile").withColumn(
+        "discography", F.col("discography").withField("solo_albums", more)).drop("words")
+
+
 def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested raw files from the lines of each document, built inside its own row."""
     documents = table(spark, sf_dir, "documents")
