@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from catalogia import fixed_values as V
 from catalogia.functions import title_lc
+from catalogia.functions.nearness import near_window
 
 
 def _pieces(text: str, n: int) -> list[str]:
@@ -14,33 +15,27 @@ def _pieces(text: str, n: int) -> list[str]:
     return [text[a:b] for a, b in zip(cuts, cuts[1:]) if b > a]
 
 
-def title_matches(query: str, tolerance: float = V.SEARCH_TOLERANCE) -> Column:
-    """The query is in the title, or a window of its length is within the edit tolerance.
+def matches_text(text: Column, q: str, allowed: int) -> Column:
+    """A lower-case text holds the query, or a window of its length within the allowed edits.
 
-    With k edits allowed, one of k + 1 pieces of the query is untouched and therefore in
-    the title; only such titles are compared window by window.
+    With k edits allowed, one of k + 1 pieces of the query is untouched and therefore in the text;
+    only such texts are compared, all their windows at once.
     """
-    q = query.strip().lower()
-    if not q:
-        return F.lit(True)
-    title = title_lc()
-    exact = F.contains(title, F.lit(q))
-    allowed = int(len(q) * tolerance)
-    if allowed == 0:
+    exact = F.contains(text, F.lit(q))
+    if not q or allowed == 0:
         return exact
     candidate = F.lit(False)
     for piece in _pieces(q, allowed + 1):
-        candidate = candidate | F.contains(title, F.lit(piece))
+        candidate = candidate | F.contains(text, F.lit(piece))
+    # Texts that need no look are null to the comparison.
+    asked = F.when(candidate & ~exact, text)
+    return exact | near_window(asked, q, allowed)
 
-    def near(chars):
-        last = F.greatest(F.size(chars) - len(q) + 1, F.lit(1))
-        return F.exists(F.sequence(F.lit(1), last), lambda i: F.levenshtein(
-            F.array_join(F.slice(chars, i, F.lit(len(q))), ""), F.lit(q), allowed
-        ) >= 0)
 
-    # The one-element list binds the split title once per row.
-    windows = F.exists(F.array(F.split(title, "")), near)
-    return exact | F.when(candidate, windows).otherwise(False)
+def title_matches(query: str, tolerance: float = V.SEARCH_TOLERANCE) -> Column:
+    """The query is in the title, or a window of its length is within the edit tolerance."""
+    q = query.strip().lower()
+    return matches_text(title_lc(), q, int(len(q) * tolerance)) if q else F.lit(True)
 
 
 def search_titles(items: DataFrame, query: str, tolerance: float = V.SEARCH_TOLERANCE) -> DataFrame:

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from catalogia import fixed_values as V
 from catalogia.operators import browse as B
-from catalogia.operators import coverage, labels, profile_checks, querygen, rendering
+from catalogia.operators import coverage, labels, profile_checks, querygen, rendering, title_index
 from catalogia.operators.profiles import dims as profile_dims
 from catalogia.operators.profiles import has_group_name
 from catalogia.plans import tables
 from catalogia.plans.classify_queries import settled
 from catalogia.plans.oracle_parts import q, with_ctes
 from catalogia.plans.registry import query
-from catalogia.session import cut_lineage
+from catalogia.session import cut_lineage, shared_folder
 from catalogia.sources.profiles import parse_documents
 
 _ROW = "profile, file_id, ord"
@@ -209,18 +209,32 @@ def browse_top_plays(spark, sf_dir):
     )
 
 
-@query(with_ctes("items", f"""select distinct {_ROW}, title from (
-  select *, unnest(range(1, greatest(length(plain) - 8, 1) + 1)) as i from (
+def _near(q_: str, limit: int, column: str) -> str:
+    """SQL of approximate search.  It counts edits in bytes, so it first makes every character
+    beyond ASCII one byte that the query does not hold."""
+    m = len(q_)
+    return f"""select distinct {_ROW}, {column} from (
+  select *, unnest(range(1, greatest(length(plain) - {m - 1}, 1) + 1)) as i from (
     select *, regexp_replace(lower(title), '[^\\x01-\\x7F]', '?', 'g') as plain from items) t) w
-where levenshtein(substr(plain, i, 9), 'nerth dai') <= 3"""))
+where levenshtein(substr(plain, i, {m}), '{q_}') <= {limit}"""
+
+
+@query(with_ctes("items", _near("nerth dai", 3, "title")))
 def search_titles(spark, sf_dir):
-    """Approximate search.  The SQL counts edits in bytes, so it first makes every
-    non-ASCII character one byte that the query does not hold."""
+    """Approximate search over all titles."""
     return B.search_titles(tables.items(spark, sf_dir), "nerth dai").select(
         "profile", "file_id", "ord", "title"
     )
 
 
+@query(with_ctes("items", _near("lement nuit", 3, "lower(title) as title_lc")))
+def search_titles_indexed(spark, sf_dir):
+    """The same through a stored bigram index, which is written first."""
+    path = shared_folder(spark, "titles")
+    title_index.write_title_index(tables.items(spark, sf_dir), path)
+    return title_index.search_index(spark, path, "lement nuit")
+
+
 @query(with_ctes("filtered", """select profile, category, count(*) as n_all,
   count(*) filter (source = 'youtube') as n_youtube,
   count(*) filter (source = 'bilibili') as n_bilibili,

@@ -1,6 +1,7 @@
 """Session settings and lineage cuts."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,19 +23,34 @@ def build_session(app="catalogia", master=None, **conf) -> SparkSession:
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder that the cluster names.
+_local: dict[str, str] = {}
+
 
-    The folder comes from ``spark.checkpoint.dir``; only where that is unset and the
-    session runs locally (tests) is a temporary one chosen.
+def shared_root(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
+
+    Only where that is unset and the session runs locally (tests) is a temporary one chosen, once
+    per application.
     """
-    spark = df.sparkSession
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is not None:
+        return named.rstrip("/")
     context = spark.sparkContext
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="catalogia-checkpoint-")
+    return _local[context.applicationId]
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that nothing else uses."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder that the cluster names."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local[") and context.master != "local":
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            shared = tempfile.mkdtemp(prefix="catalogia-checkpoint-")
-        context.setCheckpointDir(shared)
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
