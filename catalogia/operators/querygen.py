@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from catalogia import fixed_values as V
 from catalogia.operators.distribution import attach, first_by
+from catalogia.operators.profiles import dims as profile_dims
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 _HEAD_FIELDS = ["primary", "english", "group", "group_alias"]
@@ -43,72 +43,104 @@ def _templates() -> str:
     ) + " end"
 
 
-def _entries(dims: dict[str, DataFrame]) -> DataFrame:
-    """Entries of every dimension the templates name, in one table.
+# What an entry of a kind holds besides its places; absent fields are null.
+ENTRY = ", ".join([
+    "kind string", "i bigint", "j bigint", "n_songs bigint", "network string", *[f"{f} string" for f in _ENTRY_FIELDS]])
+_KIND_FIELDS = ["n_songs", "network", *_ENTRY_FIELDS]
+
+
+def entry_sql(kind: str, i: str, j: str = "0", **fields: str) -> str:
+    """SQL: one entry struct; fields are SQL expressions."""
+    values = [f"cast({fields.get(f, 'null')} as {'bigint' if f == 'n_songs' else 'string'}) as {f}" for f in _KIND_FIELDS]
+    return f"struct('{kind}' as kind, cast({i} as bigint) as i, cast({j} as bigint) as j, {', '.join(values)})"
+
+
+_SOURCED = "coalesce(source, '') <> ''"
+# Dimensions that the entries of a kind belong to, with conditions on their fields.
+_DIMS_OF_KIND = {
+    "tracks": [("tracks", "true")], "albums": [("albums", "true")], "aliases": [("aliases", "true")],
+    "ost": [("ost", "true"), ("ost_with_source", _SOURCED), ("ost_other_source", f"{_SOURCED} and source <> name"),
+            ("ost_no_source", f"not ({_SOURCED})")],
+    "variety_singles": [("variety_singles", "true")], "concerts": [("concerts", "true")],
+    "concert_aliases": [("concert_aliases", "true")], "concert_venues": [("concert_venues", "true")],
+    "group_concerts": [("group_concerts", "true")],
+    "shows": [("shows", "true"), ("group_shows", "coalesce(network, '') <> ''")],
+    "interviewers": [("interviewers", "true")], "interview_channels": [], "group_mvs": [("group_tracks", "true")],
+    "collabs": [("collab_no_songs", "n_songs = 0")], "collab_songs": [("collab_songs", "true")],
+    "collab_aliases": [("collab_aliases", "true")],
+}
+# Kinds whose first entries are a dimension of their own: (dimension, how many, per what besides the profile).
+_FIRST_OF_KIND = {
+    "tracks": ("tracks_first", V.TRACKS_PER_ALBUM, "i"), "ost": ("ost_first", V.TOP_OST, "0"),
+    "interview_channels": ("channels_first", V.TOP_MEDIA_CHANNELS, "0"),
+    "group_mvs": ("group_tracks_first", V.TOP_GROUP_TRACKS, "0"),
+}
+
+
+def document_entries(profiles: DataFrame) -> DataFrame:
+    """(profile, kind, i, j, fields..) of every list of the profile documents, in one pass over them."""
+    d = "discography"
+
+    def each(path, make):
+        return f"transform(coalesce({path}, array()), (e, p) -> {make})"
+
+    def inner(path, owner, make):
+        return f"flatten(transform(coalesce({path}, array()), (o, q) -> transform(coalesce({owner}, array()), (e, p) -> {make})))"
+
+    short = "coalesce(get(o.aliases, 0), o.name)"
+    lists = [
+        each("artist.names.aliases", entry_sql("aliases", "p", alias="e")),
+        each(f"{d}.solo_albums", entry_sql("albums", "p", album="e.name", year="e.year")),
+        inner(f"{d}.solo_albums", "o.tracks", entry_sql("tracks", "q", "p", album="o.name", track="e")),
+        each(f"{d}.ost_singles", entry_sql("ost", "p", name="e.name", source="e.source")),
+        each(f"{d}.variety_show_singles", entry_sql("variety_singles", "p", name="e.name", source="e.source")),
+        each(f"{d}.concerts", entry_sql("concerts", "p", name="e.name")),
+        inner(f"{d}.concerts", "o.aliases", entry_sql("concert_aliases", "q", "p", alias="e")),
+        inner(f"{d}.concerts", "o.venues", entry_sql("concert_venues", "q", "p", venue="e", short_name=short)),
+        each(f"{d}.group_concerts", entry_sql("group_concerts", "p", name="e.name")),
+        each(f"{d}.variety_shows", entry_sql("shows", "p", name="e.name", network="e.network")),
+        each(f"{d}.notable_interviewers", entry_sql("interviewers", "p", name="e")),
+        each(f"{d}.interview_channels", entry_sql("interview_channels", "p", name="e")),
+        each(f"{d}.group_mvs", entry_sql("group_mvs", "p", track="e")),
+        each(f"{d}.collaborators", entry_sql("collabs", "p", name="e.name", n_songs="coalesce(size(e.songs), 0)")),
+        inner(f"{d}.collaborators", "o.songs", entry_sql("collab_songs", "q", "p", collab="o.name", song="e")),
+        inner(f"{d}.collaborators", "o.aliases", entry_sql("collab_aliases", "q", "p", alias="e")),
+    ]
+    return profiles.select("profile", F.inline(F.expr(f"concat({', '.join(lists)})")))
+
+
+def dims_of_documents(profiles: DataFrame) -> dict[str, DataFrame]:
+    """What query generation and search plans need of the profile documents."""
+    return {"entries": document_entries(profiles), **profile_dims(profiles, "profiles", "categories")}
 
-    ``dim`` says which; ``i`` and ``j`` are the loop places; fields a dimension lacks
-    are null.
-    """
-    found = []
-
-    def add(name, dim, outer="pos", inner="0", keep=lambda df: df):
-        if dim in dims:
-            rows = keep(dims[dim])
-            found.append(rows.selectExpr(
-                "profile", f"'{name}' as dim", f"cast({outer} as bigint) as i",
-                f"cast({inner} as bigint) as j",
-                *[f"cast({f if f in rows.columns else 'null'} as string) as {f}"
-                  for f in _ENTRY_FIELDS],
-            ))
-
-    def top(n, *by):
-        return lambda df: first_by(df, ["profile", *by], ["pos"], n)
-
-    def where(condition):
-        return lambda df: df.filter(condition)
-
-    def with_short_name(df):
-        short = F.coalesce("first_alias", "name").alias("short_name")
-        concerts = dims["concerts"].select("profile", F.col("pos").alias("concert_pos"), short)
-        return attach(df, concerts, ["profile", "concert_pos"], ["pos"], "inner")
-
-    sourced = "coalesce(source, '') <> ''"
-    album, concert, collab = "album_pos", "concert_pos", "collab_pos"
-    add("tracks", "tracks", album, "pos")
-    add("tracks_first", "tracks", album, "pos", top(V.TRACKS_PER_ALBUM, album))
-    add("albums", "albums")
-    add("aliases", "aliases")
-    add("ost", "ost")
-    add("ost_with_source", "ost", keep=where(sourced))
-    add("ost_other_source", "ost", keep=where(f"{sourced} and source <> name"))
-    add("ost_no_source", "ost", keep=where(f"not ({sourced})"))
-    add("ost_first", "ost", keep=top(V.TOP_OST))
-    add("variety_singles", "variety_singles")
-    add("concerts", "concerts")
-    add("concert_aliases", "concert_aliases", concert, "pos")
-    add("concert_venues", "concert_venues", concert, "pos", with_short_name)
-    add("group_concerts", "group_concerts")
-    add("shows", "shows")
-    add("group_shows", "shows", keep=where("coalesce(network, '') <> ''"))
-    add("interviewers", "interviewers")
-    add("channels_first", "interview_channels", keep=top(V.TOP_MEDIA_CHANNELS))
-    add("group_tracks", "group_mvs")
-    add("group_tracks_first", "group_mvs", keep=top(V.TOP_GROUP_TRACKS))
-    add("collab_songs", "collab_songs", collab, "pos")
-    add("collab_no_songs", "collabs", keep=where("n_songs = 0"))
-    add("collab_aliases", "collab_aliases", collab, "pos")
-    return reduce(DataFrame.union, found)
+
+def _entries(entries: DataFrame) -> DataFrame:
+    """Entries with the dimension (``dim``) of the templates that they fill, once per dimension."""
+    kinds = " ".join(
+        f"when '{kind}' then filter(array({', '.join(f"if({condition}, '{dim}', null)" for dim, condition in dims)}), x -> x is not null)"
+        for kind, dims in _DIMS_OF_KIND.items() if dims)
+    every = entries.withColumn("dim", F.explode(F.expr(f"case kind {kinds} end")))
+    firsts = " ".join(f"when '{kind}' then {per}" for kind, (_, _, per) in _FIRST_OF_KIND.items())
+    names = " ".join(f"when '{kind}' then '{dim}'" for kind, (dim, _, _) in _FIRST_OF_KIND.items())
+    limits = " ".join(f"when '{kind}' then {n}" for kind, (_, n, _) in _FIRST_OF_KIND.items())
+    listed = entries.filter(F.col("kind").isin(list(_FIRST_OF_KIND))).withColumn("_per", F.expr(f"case kind {firsts} end"))
+    first = first_by(listed, ["profile", "kind", "_per"], ["i", "j"], max(n for _, n, _ in _FIRST_OF_KIND.values()), "_rank")
+    kept = first.filter(F.expr(f"_rank <= case kind {limits} end")).withColumn("dim", F.expr(f"case kind {names} end"))
+    return every.unionByName(kept.drop("_rank", "_per"))
 
 
 def emitted_queries(dims: dict[str, DataFrame]) -> DataFrame:
-    """Every query the templates give, repeats included, with its place of emission."""
+    """Every query the templates give, repeats included, with its place of emission.
+
+    ``dims``: ``entries`` (see ``document_entries``) and ``profiles``, one row each.
+    """
     heads = dims["profiles"].select(
         "profile", "primary", "english", F.col("group_name").alias("group"), "group_alias"
     )
     alone = heads.select("*", F.explode(F.array(
         *[F.lit(d) for d in ("primary", "other_english", "group", "group_alias")]
     )).alias("dim"), F.lit(0).cast("bigint").alias("i"), F.lit(0).cast("bigint").alias("j"))
-    named = attach(_entries(dims), heads, ["profile"], ["i", "j"], "inner")
+    named = attach(_entries(dims["entries"]), heads, ["profile"], ["i", "j"], "inner")
     rows = named.unionByName(alone, allowMissingColumns=True).filter(
         (~F.col("dim").isin(_GROUP_ONLY) | F.col("group").isNotNull())
         & ((F.col("dim") != "group_alias") | F.col("group_alias").isNotNull())

@@ -465,7 +465,7 @@ _GENERATED = _generation_ctes()
 
 @query(f"with {_GENERATED} select profile, tool, query, page, category, step, i, phase, j, k from generated")
 def gen_queries(spark, sf_dir):
-    queries = querygen.gen_queries(tables.part_dims(spark, sf_dir))
+    queries = querygen.gen_queries(tables.part_generation(spark, sf_dir))
     return queries.select("profile", "tool", "query", "page", "category", "ord.*")
 
 
@@ -474,7 +474,7 @@ def gen_queries(spark, sf_dir):
 from ({_dimension('categories')}) c join heads h on h.profile = c.profile
 left join generated g on g.profile = c.profile and g.category = c.key""")
 def search_plan(spark, sf_dir):
-    dims = tables.part_dims(spark, sf_dir)
+    dims = tables.part_generation(spark, sf_dir)
     plan = querygen.search_plan(querygen.gen_queries(dims), dims)
     return plan.select(
         "profile", "pos", "file_id", "category", "output_path", "title", "description", "tool",
@@ -486,7 +486,7 @@ def search_plan(spark, sf_dir):
 group by profile, tool union all select profile, null, category, count(*) from generated
 group by profile, category""")
 def query_counts(spark, sf_dir):
-    return querygen.query_counts(querygen.gen_queries(tables.part_dims(spark, sf_dir)))
+    return querygen.query_counts(querygen.gen_queries(tables.part_generation(spark, sf_dir)))
 
 
 # --- label requests over conversations ---------------------------------------------------

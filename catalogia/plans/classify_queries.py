@@ -298,9 +298,14 @@ def apply_labels(spark, sf_dir):
     _NUMBERED, _LABELS, _LABELLED, scored_cte("labelled", "rescored"),
 ))
 def finalise(spark, sf_dir):
-    done = labels.finalise(
-        filtered(spark, sf_dir), _labelled(spark, sf_dir), tables.profiles(spark)
-    )
+    """Every item once; the catalogue is classified once and stored, then settled and waiting rows part."""
+    profiles, stored_rows = tables.profiles(spark), cut_lineage(classified(spark, sf_dir))
+    ruled = stored_rows.filter(F.col("category") != V.UNCLASSIFIED)
+    settled_rows = quality.filter_low_views(scoring.score(ruled, profiles, keep_dictionary=True), profiles)
+    batches = labels.label_batches(stored_rows)
+    parsed = labels.parse_label_responses(_answers(spark, sf_dir, batches))
+    labelled = labels.apply_labels(batches, parsed, _categories(spark))
+    done = labels.finalise(settled_rows, labelled, profiles)
     return _row(done, "category", "classification_reason", "confidence")
 
 

@@ -11,6 +11,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from catalogia import fixed_values as V
+from catalogia.operators.querygen import entry_sql
 from catalogia.schema import PROFILE
 from catalogia.sources.profiles import parse_profiles
 
@@ -265,12 +266,63 @@ def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 CATEGORY_KEYS = [*V.CATEGORY_FILE_IDS, "extra"]
 
 
-def part_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Profile dimensions from the part, lineitem, supplier, nation and region tables."""
+# The lists that parts and their suppliers make, as entries: each table is read once for all of them.
+_PART_ENTRIES = ", ".join([
+    entry_sql("tracks", "substr(p_brand, 7)", "p_partkey", album="p_brand", track="p_name"),
+    entry_sql("ost", "p_partkey", name="p_name", source="case p_size % 3 when 0 then '' when 1 then p_name else p_brand end"),
+    entry_sql("variety_singles", "p_partkey", name="p_name", source="case when p_type = 'PROMO' then '' else p_brand end"),
+    entry_sql("concerts", "p_partkey", name="p_name || ' Tour'"),
+    f"if(p_size > 25, {entry_sql('concert_aliases', 'p_partkey', alias='p_brand')}, null)",
+    entry_sql("concert_venues", "p_partkey", "p_size", venue="p_brand || ' Hall'",
+              short_name="case when p_size > 25 then p_brand else p_name || ' Tour' end"),
+    entry_sql("group_concerts", "p_partkey", name="p_name || ' Group Tour'"),
+    entry_sql("collabs", "p_partkey", name="p_brand || ' ' || p_name", n_songs="p_size % 3"),
+    f"""if(p_size % 3 > 0, {entry_sql('collab_songs', 'p_partkey', collab="p_brand || ' ' || p_name", song="p_name || ' Duet'")}, null)""",
+    entry_sql("collab_aliases", "p_partkey", alias="p_brand"),
+    entry_sql("group_mvs", "p_partkey", track="p_name"),
+])
+_ALBUM_ENTRY = entry_sql("albums", "substr(p_brand, 7)", album="p_brand", year="1990 + cast(substr(p_brand, 7) as int)")
+_SUPPLIER_ENTRIES = ", ".join([
+    entry_sql("aliases", "n_nationkey", alias="n_name"),
+    entry_sql("shows", "s_suppkey", name="s_name",
+              network="case when s_nationkey % 2 = 0 then '' else 'Net ' || cast(s_nationkey as string) end"),
+    f"if(profile <> 'LARGE', {entry_sql('interviewers', 'r_regionkey', name='r_name')}, null)",
+    entry_sql("interview_channels", "n_nationkey", name="n_name || ' TV'"),
+])
+
+
+def part_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of all kinds from the part, lineitem, supplier, nation and region tables."""
+    names = ("part", "supplier", "nation", "region", "lineitem")
+    part, supplier, nation, region, lineitem = (table(spark, sf_dir, t) for t in names)
+
+    def listed(structs):
+        return F.inline(F.expr(f"filter(array({structs}), e -> e is not null)"))
+
+    parts = part.select(F.col("p_type").alias("profile"), "p_brand", "p_name", "p_partkey", "p_size", "p_type")
+    own = parts.select("profile", listed(_PART_ENTRIES))
+    albums = parts.select("profile", "p_brand").distinct().select("profile", listed(_ALBUM_ENTRY))
+    supply = lineitem.join(part, F.col("p_partkey") == F.col("l_partkey")).select(
+        F.col("p_type").alias("profile"), F.col("l_suppkey").alias("s_suppkey")).distinct()
+    placed = supply.join(supplier, "s_suppkey").join(nation, F.col("n_nationkey") == F.col("s_nationkey")).join(
+        region, F.col("r_regionkey") == F.col("n_regionkey"))
+    return own.unionByName(albums).unionByName(placed.select("profile", listed(_SUPPLIER_ENTRIES)).distinct())
+
+
+def part_generation(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """What query generation needs of those tables."""
+    heads = part_dims(spark, sf_dir, "profiles", "categories")
+    return {"entries": part_entries(spark, sf_dir), **heads}
+
+
+def part_dims(spark: SparkSession, sf_dir: str, *wanted: str) -> dict[str, DataFrame]:
+    """Profile dimensions from the part, lineitem, supplier, nation and region tables: the named ones, or all."""
     names = ("part", "supplier", "nation", "region", "lineitem")
     sources = {t: table(spark, sf_dir, t) for t in names}
     found = {}
     for name, sql in DIMS_SQL.items():
+        if wanted and name not in wanted:
+            continue
         used = {t: df for t, df in sources.items() if "{" + t + "}" in sql}
         found[name] = spark.sql(sql, **used)
     listed = F.posexplode(F.array(*[F.lit(k) for k in CATEGORY_KEYS]))

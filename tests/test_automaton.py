@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from catalogia.operators import automaton, distribution, rules, scoring
+from catalogia import fixed_values as V
+from catalogia.operators import automaton, distribution, querygen, rules, scoring
 from catalogia.operators.profiles import DICTIONARY
 from catalogia.plans import tables
 from sample_profiles import document
@@ -66,3 +67,6 @@ def test_items_of_an_unknown_profile(make_items, profiles):
 def test_no_dimension_of_the_generated_queries_is_empty(spark):
     dims = tables.part_dims(spark, "/root/testdata/sf0.001")
     assert [name for name, df in dims.items() if df.isEmpty()] == []
+    filled = {r["dim"] for r in querygen._entries(tables.part_entries(spark, "/root/testdata/sf0.001")).select("dim").distinct().collect()}
+    heads = {"primary", "other_english", "group", "group_alias"}
+    assert filled | heads == {t[0] for t in V.QUERY_TEMPLATES}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from catalogia.operators import browse, coverage, profile_checks, querygen, rendering
 from catalogia.operators.profiles import dims
 from catalogia.sources.files import write_documents
+from catalogia.operators.querygen import dims_of_documents
 from sample_profiles import document
 
 
@@ -135,7 +136,7 @@ def test_documents(spark, make_items, profiles, tmp_path):
 
 
 def test_query_generation(spark, profiles, make_profiles):
-    d = dims(profiles)
+    d = dims_of_documents(profiles)
     queries = querygen.gen_queries(d)
     rows = sorted(queries.collect(), key=lambda r: r["ord"])
     listed = [(r["tool"], r["query"], r["page"], r["category"]) for r in rows]
@@ -160,9 +161,9 @@ def test_query_generation(spark, profiles, make_profiles):
     counts = querygen.query_counts(queries).collect()
     assert sum(r["n"] for r in counts if r["tool"]) == sum(r["n"] for r in counts if r["category"]) == len(listed)
     solo = make_profiles(document(group=None))
-    alone = querygen.gen_queries(dims(solo)).collect()
+    alone = querygen.gen_queries(dims_of_documents(solo)).collect()
     assert not [r for r in alone if r["category"] == "group_mv" or "N.O.W" in r["query"]]
-    empty = querygen.search_plan(querygen.gen_queries(dims(solo)), dims(solo), nested=True)
+    empty = querygen.search_plan(querygen.gen_queries(dims_of_documents(solo)), dims_of_documents(solo), nested=True)
     assert [r["searches"] for r in empty.filter("category = 'group_mv'").collect()] == [[]]
 
 
@@ -172,7 +173,7 @@ def test_top_n_of_query_generation(make_profiles):
     d["discography"]["ost_singles"] = [{"name": f"o{i}", "source": "s", "year": 2000} for i in range(12)]
     d["discography"]["interview_channels"] = [f"c{i}" for i in range(12)]
     d["discography"]["group_mvs"] = [f"g{i}" for i in range(15)]
-    got = {(r["tool"], r["query"]) for r in querygen.gen_queries(dims(make_profiles(d))).collect()}
+    got = {(r["tool"], r["query"]) for r in querygen.gen_queries(dims_of_documents(make_profiles(d))).collect()}
     assert ("bilibili", "林星河 t4 MV") in got and ("bilibili", "林星河 t5 MV") not in got
     assert ("bilibili", "林星河 o7") in got and ("bilibili", "林星河 o8") not in got
     assert ("youtube", "林星河 c7") in got and ("youtube", "林星河 c8") not in got
