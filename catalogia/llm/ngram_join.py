@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from catalogia.llm.common import NO_ID, OUTPUT_ROWS, Rolling, join_counted, keyed_texts, mixed, stored, word_chunks
 from catalogia.llm.similar_classes import (
@@ -215,9 +215,9 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.max("signatures").alias("signatures"), F.count(F.lit(1)).alias("copies")))
 
     posted = described.filter("tokens is not null").select(F.explode("tokens").alias("key"), "fp")
-    met = posted.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low < high").select("key")
-    shared = posted.join(met, "key").dropDuplicates(["key", "fp"])
-    postings = stored(shared)
+    of_key = Window.partitionBy("key")
+    ends = posted.withColumn("low", F.min("fp").over(of_key)).withColumn("high", F.max("fp").over(of_key))
+    postings = stored(ends.filter("low < high").select("key", "fp").dropDuplicates(["key", "fp"]))
     texts = stored(texts_of(docs, classes, postings))
     details = classes.select("fp", "n", "signatures")
     labels = similar_labels(postings, details, texts, pair_filters, shingle_sets, PERCENT)

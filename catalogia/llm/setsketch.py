@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from catalogia.llm.common import NO_ID, join_counted, keyed_texts, mixed, stored
 from catalogia.llm.ngram_join import set_id, shingle_sets
@@ -28,6 +28,8 @@ RATE = 20.0
 TOP = 255
 # Registers of a band: a pair at the threshold agrees on one of the 32 bands but for 6 in 10**7.
 BAND = 5
+BANDS = REGISTERS // BAND
+BAND_BITS = BANDS.bit_length() - 1
 # Estimates have a standard deviation of about 0.03; this is five of them below the threshold.
 LEAST_ESTIMATE = 0.65
 # Bits of a set's parity, which tells near misses from links before any text is fetched.
@@ -91,7 +93,7 @@ def pair_filters(table: pa.Table):
     sizes = table.column("n").to_numpy().astype(np.int64)
     registers = fixed_width(table.column("registers").chunk(0), REGISTERS)
     parities = fixed_width(table.column("parities").chunk(0), PARITY_BITS // 8).view(np.uint64)
-    band = table.column("band").to_numpy()
+    band = table.column("key").to_numpy() & (BANDS - 1)
 
     def passes(left, right):
         n, m = sizes[left], sizes[right]
@@ -171,11 +173,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stored(described.filter("n > 0").groupBy("fp").agg(
         F.min(F.nullif("doc_id", F.lit(NO_ID))).alias("doc_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"),
         F.max("n").alias("n"), F.max("registers").alias("registers"), F.max("parities").alias("parities"), F.count(F.lit(1)).alias("copies")))
-    bands = classes.select("fp", F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.lit(REGISTERS), F.lit(BAND)),
-        lambda at: F.xxhash64(F.call_function("substring", "registers", at, F.lit(BAND)), at))).alias("band", "key"))
-    met = bands.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("key")
-    postings = stored(bands.join(met, "key"))
+    # The last five bits of a key say which band it is of.
+    numbers = F.sequence(F.lit(0), F.lit(BANDS - 1))
+    bands = classes.select("fp", F.explode(F.transform(numbers, lambda i: F.shiftleft(F.shiftright(F.xxhash64(
+        F.call_function("substring", "registers", i * BAND + 1, F.lit(BAND)), i), BAND_BITS), BAND_BITS).bitwiseOR(i))).alias("key"))
+    met = bands.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("sets > 1")
+    postings = stored(met.select("key", "fp"))
     texts = stored(texts_of(docs, classes, postings))
     details = classes.select("fp", "n", "registers", "parities")
     labels = similar_labels(postings, details, texts, pair_filters, two_word_sets, PERCENT)

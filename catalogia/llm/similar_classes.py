@@ -25,6 +25,8 @@ BLOCK = 500
 PAIRS = 200_000
 # Partners that a set names in the first round, and the factor of each further one.
 FIRST_PARTNERS, MORE_PARTNERS = 1, 8
+# One in so many keys is looked at before all others.
+FIRST_KEYS = 8
 # Tasks that may share the neighbours of one set.
 HUB_SALTS = 8
 
@@ -145,18 +147,21 @@ def partners(
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), more
 
 
-def _candidates(
-    postings: DataFrame, details: DataFrame, labels: DataFrame | None, limit: int, filters_of: Filters,
-) -> DataFrame:
-    """(a, b, more) of the postings (key, fp, ..): a before b by fp, in different components."""
+def _open_postings(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The postings, with labels, of keys under which at least two components meet."""
     named = postings.withColumn("label", F.col("fp"))
     if labels is not None:
-        named = postings.join(labels, postings["fp"] == labels["node"], "left").withColumn(
+        named = postings.drop("label").join(labels, postings["fp"] == labels["node"], "left").withColumn(
             "label", F.coalesce("label", "fp")).drop("node")
     open_keys = named.groupBy("key").agg(
         F.min("label").alias("first"), F.max("label").alias("last"), F.count(F.lit(1)).alias("members")
     ).filter("first < last").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    cells = named.join(open_keys, "key").withColumn(
+    return named.drop("blocks").join(open_keys, "key")
+
+
+def _candidates(opened: DataFrame, details: DataFrame, limit: int, filters_of: Filters, everywhere_named: bool) -> DataFrame:
+    """(a, b, more) of open postings: a before b by fp, in different components."""
+    cells = opened.withColumn(
         "own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
         {"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}
@@ -168,7 +173,9 @@ def _candidates(
             starts = group_starts(table, ["key", "lo", "hi"])
             start = np.repeat(starts, np.diff(np.append(starts, table.num_rows)))
             label, own, lo, hi, fp = (table.column(c).to_numpy() for c in ("label", "own", "lo", "hi", "fp"))
-            left, right, more = partners(start, label, own, lo != hi, limit, *filters_of(table))
+            passes, named_here = filters_of(table)
+            left, right, more = partners(
+                start, label, own, lo != hi, limit, passes, everywhere if everywhere_named else named_here)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(fp[left]), pa.array(fp[right]), pa.array(more[right])], ["a", "b", "more"])
             # Places with further partners tell so even where none of their pairs is named here.
@@ -229,9 +236,14 @@ def similar_labels(
     ``postings`` (key, fp, ..), ``details`` (fp, and what the filters read) and ``texts`` (fp, packed)
     are stored tables; ``sets_of`` turns texts as bytes into arrays of distinct hashes.
     """
-    limit, links, tried, labels = FIRST_PARTNERS, None, None, None
+    # Groups of near copies share most of their keys: a part of the keys merges nearly all of them,
+    # and of the others only keys under which components still meet are looked at.
+    some = F.pmod(F.xxhash64("key"), F.lit(FIRST_KEYS)) == 0
+    opened = _open_postings(postings.filter(some), None)
+    links = tried = labels = None
+    limit, first = FIRST_PARTNERS, True
     while True:
-        found = stored(_candidates(postings, details, labels, limit, filters_of))
+        found = stored(_candidates(opened, details, limit, filters_of, first))
         pairs = found.filter("a <> b").select("a", "b").distinct()
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         tried = pairs if tried is None else tried.union(pairs)
@@ -239,6 +251,9 @@ def similar_labels(
         if links is None or linked.limit(1).count():
             links = linked if links is None else links.union(linked)
             labels = components(links)
-        if not found.filter("more").limit(1).count():
-            return labels
-        limit *= MORE_PARTNERS
+        if not first:
+            if not found.filter("more").limit(1).count():
+                return labels
+            limit *= MORE_PARTNERS
+        opened = stored(_open_postings(postings if first else opened, labels))
+        first = False
