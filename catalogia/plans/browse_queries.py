@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from catalogia import fixed_values as V
 from catalogia.operators import browse as B
-from catalogia.operators import coverage, labels, profile_checks, querygen, rendering, title_index
+from catalogia.functions import views
+from catalogia.operators import bands, coverage, labels, profile_checks, querygen, rank_index, rendering, title_index
 from catalogia.operators.profiles import dims as profile_dims
 from catalogia.operators.profiles import has_group_name
 from catalogia.plans import tables
@@ -235,6 +236,52 @@ def search_titles_indexed(spark, sf_dir):
     return title_index.search_index(spark, path, "lement nuit")
 
 
+@query(with_ctes("items", f"""select {_ROW}, published_at from items
+order by coalesce(published_at, '') desc, {_ROW} limit 40 offset 7000"""))
+def browse_deep_page(spark, sf_dir):
+    """A page far down, read from the stored ranges that hold it."""
+    path = shared_folder(spark, "ranks")
+    items = tables.items(spark, sf_dir).select("profile", "file_id", "ord", "published_at")
+    rank_index.write_rank_index(items, path, sort="date", range_rows=1000)
+    return rank_index.read_page(spark, path, 7000, 40).drop("rank")
+
+
+# Bands of very different widths, one per order; an item asks with its duration or its plays.
+_BANDS_SQL = """(select ['en', 'de', 'es', 'fr'][1 + o_orderkey % 4] as profile, o_orderkey as band,
+  o_orderkey * 131 % 2000000 as low, o_orderkey * 131 % 2000000 + (1 << (o_orderkey % 14)) as high,
+  o_orderkey % 100 / 100e0 as score from orders)"""
+
+
+def _bands(spark, sf_dir) -> DataFrame:
+    key = F.col("o_orderkey")
+    low = key * 131 % 2000000
+    langs = F.array(*[F.lit(x) for x in ("en", "de", "es", "fr")])
+    return tables.table(spark, sf_dir, "orders").select(
+        F.get(langs, (key % 4).cast("int")).alias("profile"), key.alias("band"), low.alias("low"),
+        (low + F.expr("shiftleft(1L, cast(o_orderkey % 14 as int))")).alias("high"), (key % 100 / 100).alias("score"))
+
+
+@query(with_ctes("items", f"""select i.profile, file_id, i.ord, count(*) as n_bands, min(band) as first_band, max(band) as last_band
+from (select *, coalesce(nullif(view_count, 0), play_count) as v from items) i
+join {_BANDS_SQL} b on b.profile = i.profile and v >= low and v < high group by i.profile, file_id, i.ord"""))
+def items_in_bands(spark, sf_dir):
+    """Every band of the profile that holds an item's plays."""
+    items = tables.items(spark, sf_dir)
+    met = bands.join_bands(items, views(), _bands(spark, sf_dir), ["profile"])
+    return met.groupBy("profile", "file_id", "ord").agg(
+        F.count(F.lit(1)).alias("n_bands"), F.min("band").alias("first_band"), F.max("band").alias("last_band"))
+
+
+@query(with_ctes("items", f"""select i.profile, file_id, i.ord, coalesce(max(score), 0.5e0) as band_score
+from (select *, coalesce(nullif(view_count, 0), play_count) as v from items) i
+left join {_BANDS_SQL} b on b.profile = i.profile and v >= low and v < high group by i.profile, file_id, i.ord"""))
+def band_scores(spark, sf_dir):
+    """A signal by a table of bands instead of fixed steps."""
+    items = tables.items(spark, sf_dir).select("profile", "file_id", "ord", "view_count", "play_count")
+    return bands.banded_score(items, views(), _bands(spark, sf_dir), ["profile"], 0.5).select(
+        "profile", "file_id", "ord", "band_score")
+
+
 @query(with_ctes("filtered", """select profile, category, count(*) as n_all,
   count(*) filter (source = 'youtube') as n_youtube,
   count(*) filter (source = 'bilibili') as n_bilibili,

@@ -14,17 +14,22 @@ from catalogia.operators.dedup import dedup_first
 from catalogia.operators.distribution import spread_join
 from catalogia.functions import batch_key
 from catalogia.schema import RAW_FILE
-from catalogia.sources.files import explode_raw
+from catalogia.sources.files import PROFILE_IN_PATH, explode_raw
 
 
-def raw_stream(spark: SparkSession, path: str, profile: str, max_files: int = 1000) -> DataFrame:
-    """Raw hits of files that appear under ``path``."""
+def raw_stream(
+    spark: SparkSession, path: str, profile: str | None = None, max_files: int = 1000, names: str = "file_*.json",
+    multi_line: bool = True,
+) -> DataFrame:
+    """Raw hits of files that appear under ``path``; without ``profile`` each file's path names it (data/<slug>/..)."""
     files = (
-        spark.readStream.schema(RAW_FILE).option("multiLine", True)
-        .option("pathGlobFilter", "file_*.json").option("recursiveFileLookup", True)
+        spark.readStream.schema(RAW_FILE).option("multiLine", multi_line)
+        .option("pathGlobFilter", names).option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files).json(path)
     )
-    return explode_raw(files.withColumn("profile", F.lit(profile)))
+    place = F.regexp_extract(F.col("_metadata.file_path"), PROFILE_IN_PATH, 1)
+    named = F.try_url_decode(place) if profile is None else F.lit(profile)
+    return explode_raw(files.withColumn("profile", named))
 
 
 def _keyed(items: DataFrame) -> DataFrame:
