@@ -20,11 +20,11 @@ from catalogia.llm.common import keyed_texts, packed_texts, stored
 from catalogia.llm.components import components
 
 # Sets of one block of a key's group; a cell holds two blocks at most.
-BLOCK = 500
+BLOCK = 2000
 # Pairs that are compared at once inside a task.
 PAIRS = 200_000
 # Partners that a set names in the first round, and the factor of each further one.
-FIRST_PARTNERS, MORE_PARTNERS = 1, 8
+FIRST_PARTNERS, MORE_PARTNERS = 1, 64
 # One in so many keys is looked at before all others.
 FIRST_KEYS = 8
 # Tasks that may share the neighbours of one set.
@@ -159,11 +159,15 @@ def _open_postings(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     return named.drop("blocks").join(open_keys, "key")
 
 
-def _candidates(opened: DataFrame, details: DataFrame, limit: int, filters_of: Filters, everywhere_named: bool) -> DataFrame:
-    """(a, b, more) of open postings: a before b by fp, in different components."""
+def _candidates(opened: DataFrame, details: DataFrame, limit: int, filters_of: Filters, first: bool) -> DataFrame:
+    """(a, b, more) of open postings: a before b by fp, in different components.
+
+    In the first round, which need not be complete, the blocks of a large group stay by themselves.
+    """
+    others = F.array("own") if first else F.sequence(F.lit(0), F.col("blocks") - 1)
     cells = opened.withColumn(
         "own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
+    ).withColumn("other", F.explode(others)).withColumns(
         {"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}
     ).drop("blocks", "other").join(details, "fp")
 
@@ -175,7 +179,7 @@ def _candidates(opened: DataFrame, details: DataFrame, limit: int, filters_of: F
             label, own, lo, hi, fp = (table.column(c).to_numpy() for c in ("label", "own", "lo", "hi", "fp"))
             passes, named_here = filters_of(table)
             left, right, more = partners(
-                start, label, own, lo != hi, limit, passes, everywhere if everywhere_named else named_here)
+                start, label, own, lo != hi, limit, passes, everywhere if first else named_here)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(fp[left]), pa.array(fp[right]), pa.array(more[right])], ["a", "b", "more"])
             # Places with further partners tell so even where none of their pairs is named here.
@@ -251,9 +255,8 @@ def similar_labels(
         if links is None or linked.limit(1).count():
             links = linked if links is None else links.union(linked)
             labels = components(links)
-        if not first:
-            if not found.filter("more").limit(1).count():
-                return labels
-            limit *= MORE_PARTNERS
+        if not first and not found.filter("more").limit(1).count():
+            return labels
+        limit *= MORE_PARTNERS
         opened = stored(_open_postings(postings if first else opened, labels))
         first = False
