@@ -82,11 +82,11 @@ SINGING_SHOW_WORDS = [
 
 # Rule strength by reason.
 STRONG_REASONS = [
+    "rule1_official_mv", "rule1_known_track_mv", "rule2_she_mv", "rule2_she_known_track_mv",
+    "rule3_ost_with_source", "rule3_ost_official", "rule4_collab_known_song",
+    "rule5_known_concert", "rule5_she_concert", "rule6_known_show",
     "rule0_wrong_context", "rule0_western_blacklist", "rule0_chinese_blacklist",
-    "rule0_artist_not_primary", "rule1_official_mv", "rule1_known_track_mv",
-    "rule2_she_mv", "rule2_she_known_track_mv", "rule3_ost_with_source",
-    "rule3_ost_official", "rule4_collab_known_song", "rule5_known_concert",
-    "rule5_she_concert", "rule6_known_show",
+    "rule0_artist_not_primary",
 ]
 MEDIUM_REASONS = [
     "rule1_known_track_broad", "rule2_she_known_track_broad", "rule3_ost_broad",
