@@ -31,6 +31,42 @@ URL_RULES = [
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
 
+def _near_sql(shingle: int, columns: str) -> str:
+    """Near-duplicate components by definition: prefix candidates, whole intersections, all that is reachable."""
+    return rf"""
+    with recursive docs as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+    ), sets as (
+        select doc_id, case when len(w) = 0 then [] when len(w) < {shingle} then [array_to_string(w, ' ')]
+            else list_distinct([array_to_string(w[i:i + {shingle - 1}], ' ') for i in range(1, len(w) - {shingle - 2})]) end as s
+        from docs
+    ), classes as (
+        select s, min(doc_id) as id, len(s) as n from sets where len(s) > 0 group by s
+    ), grams as (select id, n, unnest(s) as g from classes),
+    ranked as (
+        select id, n, g, row_number() over (partition by id order by df, g) as place
+        from (select *, count(*) over (partition by g) as df from grams) t
+    ), prefixes as (select id, n, g from ranked where place <= n - (8 * n + 9) // 10 + 1),
+    candidates as (
+        select distinct a.id as a, b.id as b from prefixes a join prefixes b on a.g = b.g and a.id < b.id
+            and 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n)
+    ), links as (
+        select a, b from (
+            select c.a, c.b, x.n + y.n as both_sizes, len(list_intersect(x.s, y.s)) as common
+            from candidates c join classes x on x.id = c.a join classes y on y.id = c.b) t
+        where 100 * common >= 80 * (both_sizes - common)
+    ), ways as (select a, b from links union all select b, a from links),
+    reached(id, other) as (
+        select id, id from classes union select r.id, w.b from reached r join ways w on w.a = r.other
+    ), labels as (select id, min(other) as component_id from reached group by id),
+    answer as (
+        select s.doc_id, cast(len(s.s) as bigint) as n_shingles, coalesce(l.component_id, s.doc_id) as component_id
+        from sets s left join classes c on c.s = s.s left join labels l on l.id = c.id
+    )
+    select {columns} from answer"""
+
+
 @query(rf"""
     with parts as (
         select page_id,
@@ -104,14 +140,31 @@ def op5_pii_pseudonyms(spark, sf_dir):
     return replace_pii(docs, PII_KEY)
 
 
-@query()
+@query(r"""
+    with docs as (
+        select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+    ), windows as (
+        select doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) as h
+        from (select doc_id, w, unnest(range(1, greatest(len(w) - 33, 1))) as i from docs) t
+    ), repeated as (select h from windows group by h having count(*) > 1),
+    gone as (
+        select distinct doc_id, i + k as i from windows join repeated using (h), range(35) r(k)
+    ), words as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from docs),
+    kept as (
+        select doc_id, string_agg(word, ' ' order by i) as t, count(*) as n
+        from words anti join gone using (doc_id, i) group by doc_id
+    )
+    select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+        sha256(coalesce(t, '')) as kept_sha256
+    from docs d left join kept k using (doc_id)
+""")
 def op1_substring_dedup(spark, sf_dir):
     """Words left of every document after removal of repeated windows, as a digest."""
     kept = remove_duplicates(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-@query()
+@query(_near_sql(5, "doc_id, n_shingles, component_id"))
 def op3_ngram_jaccard(spark, sf_dir):
     """Set size and near-duplicate component of every document."""
     return jaccard_components(table(spark, sf_dir, "documents"))
@@ -189,7 +242,7 @@ def op11_source_audit(spark, sf_dir):
     return source_audit(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(_near_sql(2, "doc_id, n_shingles, component_id, doc_id = component_id as kept"))
 def op13_setsketch(spark, sf_dir):
     """Set size, near-duplicate component and whether it stays, of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from catalogia.llm.common import NO_ID, OUTPUT_CHARS, mixed, stored
+from catalogia.llm.common import NO_ID, OUTPUT_CHARS, mixed
 from catalogia.llm.encoding import encoded_batches, encoder_of
 from catalogia.llm.similar_classes import group_starts, whole_groups
 
@@ -156,21 +156,36 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, block_bytes: int = B
     schema = [(f.split()[0], f.split()[1]) for f in BLOCK.split(", ")]
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 
+    spark = docs.sparkSession
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
+    # Where parts begin: quantiles of the ids, as many numbers as there are parts.
+    cuts = [(i + 1) / parts for i in range(parts - 1)]
+    found = keyed.agg(F.percentile_approx("doc_id", cuts, 100 * parts).alias("at")).first()["at"] if cuts else []
+    bounds = np.array(found or [], np.int64)
+
     def encode(batches):
         encoder = encoder_of(tokenizer)
         for batch in batches:
+            docs_ = batch.column(0).to_numpy()
+            # An id that fills several parts is dealt to all of them.
+            first, last = (np.searchsorted(bounds, docs_, side) for side in ("left", "right"))
+            part = pa.array((first + np.arange(len(docs_)) % (last - first + 1)).astype(np.int32))
             held, size, at = [], 0, 0
+
+            def rows():
+                n = len(held)
+                return pa.RecordBatch.from_arrays(
+                    [part.slice(at, n), batch.column(0).slice(at, n), pa.array(held, pa.binary())], ["part", "doc_id", "ids"])
+
             for one in encoded_batches(batch.column(1).to_pylist(), encoder):
-                ids = np.frombuffer(one, "<u4")
-                held.append(b"2" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"4" + one)
-                size += len(held[-1])
+                held.append(one)
+                size += len(one)
                 if size >= OUTPUT_CHARS:
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(at, len(held)), pa.array(held, pa.binary())], ["doc_id", "ids"])
+                    yield rows()
                     at, held, size = at + len(held), [], 0
             if held:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at), pa.array(held, pa.binary())], ["doc_id", "ids"])
+                yield rows()
 
     def run(batches):
         part = TaskContext.get().partitionId()
@@ -184,9 +199,7 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, block_bytes: int = B
             )
 
         for batch in batches:
-            for doc, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                one = packed.as_py()
-                one = np.frombuffer(one, f"<u{chr(one[0])}", offset=1).astype("<u4").tobytes()
+            for doc, one in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 times = times + 1 if doc == last else 0
                 last = doc
                 docs_.append(doc)
@@ -201,12 +214,9 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, block_bytes: int = B
         if docs_:
             yield closed()
 
-    keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
-    encoded = stored(keyed.mapInArrow(encode, "doc_id long, ids binary"))
     (
-        # A hash of the ids lets the rows of a repeated id lie in several ranges.
-        encoded.withColumn("salt", F.xxhash64("ids")).repartitionByRange("doc_id", "salt")
-        .sortWithinPartitions("doc_id", "salt").select("doc_id", "ids").mapInArrow(run, BLOCK)
+        keyed.mapInArrow(encode, "part int, doc_id long, ids binary").repartitionById(parts, "part")
+        .sortWithinPartitions("doc_id", "ids").select("doc_id", "ids").mapInArrow(run, BLOCK)
         .write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{path}/blocks")
     )
     _write_index(docs.sparkSession, path)
