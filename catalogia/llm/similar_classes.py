@@ -229,6 +229,7 @@ def texts_of(docs: DataFrame, classes: DataFrame, fps: DataFrame) -> DataFrame:
     if wanted.count() <= LISTED_CLASSES:
         # Only texts that are needed are packed and travel.
         keyed = keyed.join(F.broadcast(wanted.select(*key)), key, "left_semi")
+        wanted = F.broadcast(wanted)
     return packed_texts(keyed, *key).join(wanted, key).dropDuplicates(["fp"]).select("fp", "packed")
 
 
