@@ -80,5 +80,5 @@ def test_empty_tables(spark, tmp_path):
 
 def test_registered():
     names = [n for n in queries.QUERIES if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(queries.ORACLES) <= set(names)
