@@ -24,7 +24,7 @@ def dedup_first(raw: DataFrame) -> DataFrame:
     return first_by(keyed, by, ["ord"]).drop("_key", "_alone")
 
 
-def _catalog_key() -> Column:
+def dup_key() -> Column:
     return catalog_key(F.col("url"), F.col("bvid"), F.col("source"))
 
 
@@ -39,7 +39,7 @@ def dedup_richest(items: DataFrame, columns: list[str] | None = None) -> DataFra
     wanted = [c for c in (columns or items.columns) if c not in
               ("profile", "file_id", "ord", "original_file_id")]
     rank = F.struct(richness().alias("r"), -F.col("file_id"), -F.col("ord"), *_PLACE)
-    best = items.select("profile", _catalog_key().alias("_key"), rank.alias("_rank"), *_PLACE).groupBy(
+    best = items.select("profile", dup_key().alias("_key"), rank.alias("_rank"), *_PLACE).groupBy(
         "profile", "_key"
     ).agg(F.max("_rank").alias("b"), F.min(F.struct(*_PLACE)).alias("first"))
     winners = best.select(
@@ -59,9 +59,14 @@ def dedup_richest(items: DataFrame, columns: list[str] | None = None) -> DataFra
 
 def dup_count(items: DataFrame) -> DataFrame:
     """Items, distinct keys and removable duplicates per profile."""
-    per_key = items.select("profile", _catalog_key().alias("_key")).groupBy("profile", "_key").agg(
+    per_key = items.select("profile", dup_key().alias("_key")).groupBy("profile", "_key").agg(
         F.count(F.lit(1)).alias("n")
     )
+    return dup_totals(per_key)
+
+
+def dup_totals(per_key: DataFrame) -> DataFrame:
+    """The same from the number of items ``n`` of each key of a profile."""
     return per_key.groupBy("profile").agg(
         F.sum("n").alias("n_items"), F.count(F.lit(1)).alias("n_keys"),
         F.sum(F.col("n") - 1).alias("n_removed"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from catalogia import fixed_values as V
+from catalogia.operators import reports, running_counts
 from catalogia.plans import browse_queries, tables
 from catalogia.plans.classify_queries import _DECISIONS, _decisions
 from catalogia.plans.oracle_parts import is_in, with_ctes
@@ -83,3 +84,32 @@ def catalog_first_version(spark, sf_dir):
     catalogue.rewrite(items.limit(0), profiles=tables.LANGS)
     return catalogue.read(first).groupBy("profile").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("category").isin(_CATEGORIES[:2])).alias("n_sorted"))
+
+
+_VERSIONS = ORACLES["catalog_versions"]
+
+
+def _condensed(spark, sf_dir) -> DataFrame:
+    """Counts stored after the first version of a catalogue and brought to its last by what changed since."""
+    items, decisions = _sorted_items(spark, sf_dir), _decisions(spark, sf_dir)
+    catalogue = Catalogue(spark, shared_folder(spark, "versions"))
+    counts = shared_folder(spark, "counts")
+    catalogue.rewrite(items.filter(F.col("category") != V.DISCARD))
+    running_counts.update(catalogue, counts)
+    catalogue.review(decisions)
+    running_counts.update(catalogue, counts)
+    catalogue.append_discards(items.filter(F.col("category") == V.DISCARD))
+    catalogue.rewrite(items.limit(0), profiles=["fr"])
+    return running_counts.update(catalogue, counts)
+
+
+@query(f"""select profile, coalesce(classification_reason, 'unknown') as reason, count(*) as n
+from ({_VERSIONS}) v group by all""")
+def reason_counts_current(spark, sf_dir):
+    return reports.reason_counts(_condensed(spark, sf_dir), n=F.col("n"))
+
+
+@query(f"""select profile, original_file_id, {', '.join(f"count(*) filter (category = '{c}') as {c}" for c in _CATEGORIES)}
+from ({_VERSIONS}) v group by all""")
+def migration_matrix_current(spark, sf_dir):
+    return reports.migration_matrix(_condensed(spark, sf_dir), _CATEGORIES, n=F.col("n"))

@@ -88,24 +88,47 @@ class Catalogue:
         Only folders of commits that still count are opened; of those, the profiles whose rows
         were replaced later are pruned.
         """
-        live: dict[str, list[str]] = {}
         history = self.history(version)
+        if not history:
+            raise ValueError("the catalogue has no version yet")
+        return self._rows(self._live(history, profile), self._schema(history))
+
+    def changes(self, since: int, version: int | None = None) -> DataFrame:
+        """Rows that came (sign 1) and went (sign -1) from version ``since`` (0: none yet) to a later one.
+
+        Only commits that count in one of the two versions alone are opened; a row that was written
+        again unchanged both went and came.
+        """
+        history = self.history(version)
+        if not history:
+            raise ValueError("the catalogue has no version yet")
+        before = self._live([m for m in history if m["version"] <= since])
+        after, schema = self._live(history), self._schema(history)
+        came = self._rows(after - before, schema).withColumn("sign", F.lit(1).cast("bigint"))
+        return came.unionByName(self._rows(before - after, schema).withColumn("sign", F.lit(-1).cast("bigint")))
+
+    @staticmethod
+    def _schema(history: list[dict]) -> T.StructType:
+        return T.StructType.fromJson(history[-1]["schema"])
+
+    @staticmethod
+    def _live(history: list[dict], profile: str | None = None) -> set[tuple[str, str]]:
+        """(commit, profile) of the rows that count after the given manifests."""
+        live: dict[str, list[str]] = {}
         for manifest in history:
             for name in manifest["profiles"]:
                 kept = live.get(name, []) if manifest["mode"] == APPEND else []
                 live[name] = kept + ([manifest["commit"]] if name in manifest["filled"] else [])
-        if profile is not None:
-            live = {profile: live.get(profile, [])}
-        if not history:
-            raise ValueError("the catalogue has no version yet")
-        schema = T.StructType.fromJson(history[-1]["schema"])
-        commits = sorted({c for listed in live.values() for c in listed})
-        if not commits:
+        return {(c, p) for p, listed in live.items() for c in listed if profile in (None, p)}
+
+    def _rows(self, live: set[tuple[str, str]], schema: T.StructType) -> DataFrame:
+        if not live:
             return self.spark.createDataFrame([], schema)
+        commits = sorted({c for c, _ in live})
         stored = T.StructType([*schema.fields, T.StructField("commit", T.StringType())])
         rows = self.spark.read.schema(stored).option("basePath", f"{self.path}/data").parquet(
             *[f"{self.path}/data/commit={c}" for c in commits])
-        pairs = self.spark.createDataFrame([(c, p) for p, listed in live.items() for c in listed], "commit string, profile string")
+        pairs = self.spark.createDataFrame(sorted(live), "commit string, profile string")
         return rows.join(F.broadcast(pairs), ["commit", "profile"]).select(*schema.names)
 
     def _commit(self, rows: DataFrame, profiles: list[str], base: int, mode: str, operation: str) -> int:
