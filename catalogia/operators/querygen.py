@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, functions as F
 
 from catalogia import fixed_values as V
-from catalogia.operators.distribution import attach, first_by
+from catalogia.operators.distribution import attach, dealt, first_by
 from catalogia.operators.profiles import dims as profile_dims
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
@@ -77,8 +77,12 @@ _FIRST_OF_KIND = {
 }
 
 
+# Documents that one task turns into entries.
+DOCUMENTS = 1_000
+
+
 def document_entries(profiles: DataFrame) -> DataFrame:
-    """(profile, kind, i, j, fields..) of every list of the profile documents, in one pass over them."""
+    """(profile, kind, i, j, fields..) of every list of the profile documents, which are dealt over tasks first."""
     d = "discography"
 
     def each(path, make):
@@ -89,7 +93,7 @@ def document_entries(profiles: DataFrame) -> DataFrame:
 
     short = "coalesce(get(o.aliases, 0), o.name)"
     lists = [
-        each("artist.names.aliases", entry_sql("aliases", "p", alias="e")),
+        each("_aliases", entry_sql("aliases", "p", alias="e")),
         each(f"{d}.solo_albums", entry_sql("albums", "p", album="e.name", year="e.year")),
         inner(f"{d}.solo_albums", "o.tracks", entry_sql("tracks", "q", "p", album="o.name", track="e")),
         each(f"{d}.ost_singles", entry_sql("ost", "p", name="e.name", source="e.source")),
@@ -106,7 +110,8 @@ def document_entries(profiles: DataFrame) -> DataFrame:
         inner(f"{d}.collaborators", "o.songs", entry_sql("collab_songs", "q", "p", collab="o.name", song="e")),
         inner(f"{d}.collaborators", "o.aliases", entry_sql("collab_aliases", "q", "p", alias="e")),
     ]
-    return profiles.select("profile", F.inline(F.expr(f"concat({', '.join(lists)})")))
+    read = profiles.select("profile", F.col("artist.names.aliases").alias("_aliases"), d)
+    return dealt(read, DOCUMENTS).select("profile", F.inline(F.expr(f"concat({', '.join(lists)})")))
 
 
 def dims_of_documents(profiles: DataFrame) -> dict[str, DataFrame]:
