@@ -1,9 +1,15 @@
 """How work is dealt over tasks, and how often inputs are read."""
 
+import random
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
-from catalogia.operators import querygen
-from catalogia.plans import tables
+from catalogia import fixed_values as V
+from catalogia.operators import browse, querygen, rank_index, review, rules, title_index
+from catalogia.plans import browse_queries, tables  # noqa: F401
+from catalogia.plans.registry import QUERIES
 
 
 def task_sizes(df):
@@ -36,3 +42,16 @@ def test_documents_of_one_task_are_expanded_by_several(spark, make_profiles, pro
     many = profiles.crossJoin(spark.range(0, 2500, 1, 1)).coalesce(1)
     albums = querygen.document_entries(many).filter("kind = 'albums' and i = 0")
     assert max(task_sizes(albums)) <= 1000
+
+
+@pytest.mark.parametrize("pattern", sorted(
+    {v for n, v in vars(V).items() if isinstance(v, str) and "|" in v and n.isupper() and "TABLE" not in n and "LINE" not in n}))
+def test_patterns_match_as_before_without_trying_branches(spark, pattern):
+    r = random.Random(pattern)
+    pieces = [p for b in pattern.removeprefix("(?U)").split("|") for p in (
+        b, re.sub(r"\\s\*", " ", b), re.sub(r"\\[sd][*+]", "7", b), re.sub(r"\\.|\?", "", b), b[:-1], b.replace(r"\d+", "12"), b.replace("\\", ""))]
+    texts = [(None,), ("",)] + [("".join(r.choice(pieces + [" ", "\u2003", "x", "é"]) for _ in range(r.randrange(1, 4))),) for _ in range(400)]
+    rows = spark.createDataFrame(texts, "t string").selectExpr(
+        "t", f"rlike(t, r'{pattern}') as want", f"{rules.matches(pattern, 't')} as got").collect()
+    assert [x for x in rows if x["want"] != x["got"]] == [] and len({x["want"] for x in rows}) == 3
+    assert "rlike" not in rules.matches(V.LIVE)
