@@ -55,3 +55,22 @@ def test_patterns_match_as_before_without_trying_branches(spark, pattern):
         "t", f"rlike(t, r'{pattern}') as want", f"{rules.matches(pattern, 't')} as got").collect()
     assert [x for x in rows if x["want"] != x["got"]] == [] and len({x["want"] for x in rows}) == 3
     assert "rlike" not in rules.matches(V.LIVE)
+
+
+def count_reads(spark, df, column):
+    """``df`` with a column that counts how often a row is made."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def note(_):
+        seen.add(1)
+        return True
+
+    return df.filter(note.asNondeterministic()(column)), seen
+
+
+def test_a_title_index_reads_its_items_once(spark, make_items, tmp_path):
+    counted, seen = count_reads(spark, make_items(*[{"title": f"nerth dai {i}"} for i in range(40)]), "ord")
+    title_index.write_title_index(counted, str(tmp_path))
+    assert seen.value == 40
+    assert title_index.search_index(spark, str(tmp_path), "nerth dai").count() == 40
