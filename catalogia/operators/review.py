@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from catalogia import fixed_values as V
 from catalogia.operators.distribution import spread_join
 from catalogia.operators.quality import low_confidence
+from catalogia.session import cut_lineage
 
 _ROW = ["file_id", "ord"]
 
@@ -25,7 +26,10 @@ def review_queue(
     items: DataFrame, threshold: float = V.REVIEW_THRESHOLD, category: str | None = None,
     decisions: DataFrame | None = None,
 ) -> DataFrame:
-    """Items to look at, least certain first; decided ones (skips too) are left out."""
+    """Items to look at, least certain first; decided ones (skips too) are left out.
+
+    A sort reads its input twice, once for its ranges, so the listed rows are stored before it.
+    """
     listed = low_confidence(items, threshold).filter(F.col("category").isin(
         [category] if category else list(V.CATEGORY_FILE_IDS)
     ))
@@ -34,7 +38,7 @@ def review_queue(
     rank = F.lit(99)
     for key, file_id in V.CATEGORY_FILE_IDS.items():
         rank = F.when(F.col("category") == key, file_id).otherwise(rank)
-    return listed.orderBy("confidence", rank, *_ROW)
+    return cut_lineage(listed).orderBy("confidence", rank, *_ROW)
 
 
 def with_review(items: DataFrame, decisions: DataFrame) -> DataFrame:

@@ -69,6 +69,14 @@ def count_reads(spark, df, column):
     return df.filter(note.asNondeterministic()(column)), seen
 
 
+def test_the_queue_reads_its_items_once(spark, make_items):
+    items = make_items(*[{"title": f"t{i}"} for i in range(40)]).selectExpr(
+        "profile", "file_id", "ord", "'concerts' as category", "ord / 100D as confidence")
+    counted, seen = count_reads(spark, items, "ord")
+    assert [r["ord"] for r in review.review_queue(counted).collect()] == list(range(40))
+    assert seen.value == 40
+
+
 def test_a_title_index_reads_its_items_once(spark, make_items, tmp_path):
     counted, seen = count_reads(spark, make_items(*[{"title": f"nerth dai {i}"} for i in range(40)]), "ord")
     title_index.write_title_index(counted, str(tmp_path))
