@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from catalogia.operators.browse import plays
+from catalogia.operators.distribution import INDEX_ROWS
+from catalogia.session import cut_lineage
 
 _TIES = ["profile", "file_id", "ord"]
 RANGE_ROWS = 100_000
@@ -21,10 +23,23 @@ def _order(sort: str, desc: bool) -> list:
 def write_rank_index(
     items: DataFrame, path: str, sort: str = "plays", desc: bool = True, range_rows: int = RANGE_ROWS,
 ) -> None:
-    """Store the rows in the order of ``browse.sort_items``, cut into ranges of about ``range_rows``."""
-    order, ranges = _order(sort, desc), max(1, -(-items.count() // range_rows))
-    cut = items.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
-    cut.sortWithinPartitions("_range", *order).write.mode("overwrite").partitionBy("_range").parquet(f"{path}/rows")
+    """Store the rows in the order of ``browse.sort_items``, cut into ranges of ``range_rows``, or fewer.
+
+    Tasks sort about ``INDEX_ROWS`` rows each and cut them into ranges: a partition per range would
+    send the driver a sample of every one of them.
+    """
+    order, pieces = _order(sort, desc), max(1, -(-items.count() // INDEX_ROWS))
+    cut = cut_lineage(items.repartitionByRange(pieces, *order).withColumn("_piece", F.spark_partition_id()))
+    # The last row of a piece may share its range with none of the next one.
+    sizes = sorted((r["_piece"], r["n"]) for r in cut.groupBy("_piece").agg(F.count(F.lit(1)).alias("n")).collect())
+    first, starts = 0, []
+    for piece, n in sizes:
+        starts += [F.lit(piece), F.lit(first)]
+        first += -(-n // range_rows)
+    inside = F.row_number().over(Window.partitionBy("_piece").orderBy(*order)) - 1
+    before = F.element_at(F.create_map(*starts or [F.lit(0), F.lit(0)]), F.col("_piece"))
+    ranged = cut.withColumn("_range", (before + F.floor(inside / range_rows)).cast("int")).drop("_piece")
+    ranged.sortWithinPartitions("_range", *order).write.mode("overwrite").partitionBy("_range").parquet(f"{path}/rows")
     # An empty catalogue has no ranges, but columns.
     items.limit(0).write.mode("overwrite").parquet(f"{path}/columns")
     rows = _rows(items.sparkSession, path)

@@ -82,3 +82,22 @@ def test_a_title_index_reads_its_items_once(spark, make_items, tmp_path):
     title_index.write_title_index(counted, str(tmp_path))
     assert seen.value == 40
     assert title_index.search_index(spark, str(tmp_path), "nerth dai").count() == 40
+
+
+def test_many_ranges_are_cut_by_few_tasks(spark, make_items, tmp_path):
+    items = make_items(*[{"view_count": i % 50} for i in range(300)]).repartition(3)
+    rank_index.write_rank_index(items, str(tmp_path), range_rows=2)
+    ranges = spark.read.parquet(f"{tmp_path}/ranges")
+    assert ranges.count() == 150 and ranges.filter("n = 2").count() == 150
+    want = [r["ord"] for r in browse.browse(items, limit=7, offset=141).collect()]
+    assert [r["ord"] for r in rank_index.read_page(spark, str(tmp_path), 141, 7).collect()] == want
+
+
+def test_pieces_of_a_rank_index_join_up(spark, make_items, tmp_path, monkeypatch):
+    monkeypatch.setattr(rank_index, "INDEX_ROWS", 40)
+    items = make_items(*[{"view_count": i % 7, "published_at": None} for i in range(150)])
+    rank_index.write_rank_index(items, str(tmp_path), range_rows=9)
+    for offset, limit in ((0, 20), (35, 60), (140, 30)):
+        want = [r["ord"] for r in browse.browse(items, limit=limit, offset=offset).collect()]
+        got = rank_index.read_page(spark, str(tmp_path), offset, limit).collect()
+        assert [r["ord"] for r in got] == want and [r["rank"] for r in got] == list(range(offset, offset + len(want)))
