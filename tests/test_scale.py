@@ -101,3 +101,12 @@ def test_pieces_of_a_rank_index_join_up(spark, make_items, tmp_path, monkeypatch
         want = [r["ord"] for r in browse.browse(items, limit=limit, offset=offset).collect()]
         got = rank_index.read_page(spark, str(tmp_path), offset, limit).collect()
         assert [r["ord"] for r in got] == want and [r["rank"] for r in got] == list(range(offset, offset + len(want)))
+
+
+def test_dimension_issues_parse_documents_once(spark, tmp_path):
+    sf_dir = write(spark, tmp_path, customer=(
+        [(k, f"C{k}", k % 5, "M") for k in range(30)], "c_custkey long, c_name string, c_nationkey long, c_mktsegment string"))
+    plan = QUERIES["dimension_issues"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "customer" not in plan
+    assert {tuple(r) for r in QUERIES["dimension_issues"](spark, sf_dir).collect()} == {
+        tuple(r) for r in QUERIES["profile_issues"](spark, sf_dir).select(*QUERIES["dimension_issues"](spark, sf_dir).columns).collect()}
