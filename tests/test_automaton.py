@@ -1,7 +1,10 @@
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from catalogia import fixed_values as V
 from catalogia.operators import automaton, distribution, querygen, rules, scoring
@@ -59,6 +62,56 @@ def test_a_large_profile_costs_what_its_titles_hold(make_items, make_profiles):
         "rule1_known_track_mv", "rule0_artist_not_primary"]
 
 
+KIND = "struct<names:array<string>,solo:array<struct<track:string,sources:array<string>>>,collabs:array<struct<name:string,name_lc:string>>,has_group:boolean>"
+
+
+def dictionaries(spark, known):
+    kind = spark.createDataFrame([], f"d {KIND}").schema["d"].dataType
+    table = pa.table({"profile": pa.array(list(known), pa.string()), DICTIONARY: pa.array(list(known.values()), to_arrow_type(kind))})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return automaton.Dictionaries(sink.getvalue().to_pybytes(), kind)
+
+
+def test_parts_equal_brute_force(spark):
+    r = random.Random(2)
+    word = lambda: r.choice([None, "", *["".join(r.choice("abé ") for _ in range(r.randrange(1, 4))) for _ in range(8)]])
+    known = {name: {
+        "names": None if name == "q" else [word() for _ in range(12)],
+        "solo": [r.choice([None, {"track": word(), "sources": r.choice([None, [], ["x", None]])}]) for _ in range(9)],
+        "collabs": [{"name": word(), "name_lc": word()} for _ in range(size)], "has_group": group,
+    } for name, size, group in (("p", 7, True), ("q", 0, None), ("r", 3, False))}
+    asked = [(r.choice(["p", "q", "r", "nobody", None]), ("".join(r.choice("abé c") for _ in range(r.randrange(9))), r.choice([None, "", "ab"]))) for _ in range(200)]
+
+    def holds(entry, texts):
+        keys = [entry] if isinstance(entry, str) else [entry[k] for k in ("name", "name_lc", "track") if k in entry]
+        return any(k is not None and (k == "" or any(t and k in t for t in texts)) for k in keys)
+
+    want = [known.get(name) and {k: v if not isinstance(v, list) else [e for e in v if e is not None and holds(e, texts)]
+                                 for k, v in known[name].items()} for name, texts in asked]
+    got = dictionaries(spark, known).part([name for name, _ in asked], [texts for _, texts in asked]).to_pylist()
+    assert got == want
+    assert dictionaries(spark, {}).part(["p"], [("x",)]).to_pylist() == [None]
+
+
+def test_a_dictionary_takes_few_bytes_a_name(make_items, make_profiles, spark, monkeypatch):
+    """What a worker holds beside the automaton and the Arrow buffers: numbers, no objects per name."""
+    n, sent, plain = 20_000, [], spark.sparkContext.broadcast
+    many = document()
+    many["discography"]["solo_albums"].append({"name": "All", "year": 2020, "tracks": [f"track number {i}" for i in range(n)]})
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sent.append(value) or plain(value))
+    profiles = make_profiles(many)
+    automaton.attach_found(make_items({"title": "x"}), profiles)
+    assert isinstance(sent[0], bytes) and len(sent[0]) < 150 * n
+    tracemalloc.start()
+    held = automaton.Dictionaries(sent[0], automaton.wide(profiles).schema[DICTIONARY].dataType)
+    assert held.part(["star_lin"], [("track number 7",)]).to_pylist()[0]["tracks"] == ["track number 7"]
+    used, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert used < 150 * n
+
+
 def test_items_of_an_unknown_profile(make_items, profiles):
     rows = automaton.attach_found(make_items({"title": "x", "profile": "nobody"}, {"title": "x", "profile": None}), profiles).collect()
     assert [r[DICTIONARY] for r in rows] == [None, None]
