@@ -8,6 +8,7 @@ from array import array
 from functools import cache
 from itertools import chain
 
+import numpy as np
 
 # Characters with the Unicode property White_Space.
 SPACES = "\t-\r \x85\xa0  -     　"
@@ -19,6 +20,10 @@ UNITS = re.compile(
 MEMO_UNITS = 600_000
 MEMO_LENGTH = 48
 END_ID = 0
+# A blank in the tokens of a byte-level tokenizer.
+BLANK = "\u0120"
+# Characters that are encoded in one call: words with a blank before them, one after the other.
+JOINED_CHARS = 20_000
 
 
 class Encoder:
@@ -38,6 +43,11 @@ class Encoder:
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.memo: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.size = max(vocabulary.values(), default=0) + 1
+        # Ids whose token begins with a blank.
+        self.opens = np.zeros(self.size, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
 
     def _units(self, text: str | None) -> list[str]:
         if not text:
@@ -47,6 +57,26 @@ class Encoder:
         parts = self.cut.split(text)
         return [u for i, part in enumerate(parts) for u in ([part] if i % 2 else UNITS.findall(part))]
 
+    def _encoded(self, units: list[str]):
+        found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
+        return ((u, array("I", e.ids).tobytes()) for u, e in zip(units, found, strict=True))
+
+    def _encoded_words(self, words: list[str]):
+        """Pairs of a word and its ids.  A byte-level pre-tokenizer cuts before the blank of each word, so
+        words are encoded many at once, and a word's ids begin where a token begins with a blank."""
+        ends = np.cumsum([len(w) for w in words]) // JOINED_CHARS
+        cuts = (np.flatnonzero(np.diff(ends)) + 1).tolist()
+        for first, last in zip([0, *cuts], [*cuts, len(words)], strict=True) if words else []:
+            some = words[first:last]
+            joined = "".join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            starts = np.flatnonzero(self.opens[ids]).tolist()
+            if len(starts) != len(some) or any(token in joined for token in self.added):
+                yield from self._encoded(some)
+                continue
+            data = ids.tobytes()
+            yield from ((w, data[4 * a:4 * b]) for w, a, b in zip(some, starts, [*starts[1:], len(ids)], strict=True))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and END_ID, as little-endian unsigned 32-bit numbers; null is empty.
 
@@ -55,8 +85,10 @@ class Encoder:
         units, memo = list(map(self._units, texts)), self.memo
         unknown = list(set(chain.from_iterable(units)).difference(memo))
         full = len(memo) >= MEMO_UNITS
-        found = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-        memo.update((u, array("I", e.ids).tobytes()) for u, e in zip(unknown, found, strict=True))
+        words = [u for u in unknown if u[0] == " " and u[1:].isalpha()]
+        others = set(unknown).difference(words)
+        memo.update(self._encoded_words(words))
+        memo.update(self._encoded(list(others)))
         end = END_ID.to_bytes(4, "little")
         out = [b"".join(map(memo.__getitem__, u)) + end for u in units]
         for unit in unknown:

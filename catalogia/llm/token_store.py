@@ -25,6 +25,8 @@ from catalogia.llm.similar_classes import group_starts, whole_groups
 # Bytes of ids after which a block is closed; a longer document has a block to itself.
 BLOCK_BYTES = 256 * 1024
 ROW_GROUP_BYTES = 16 * 1024 * 1024
+# Displacements that are tried at once for a bucket: at first, and at most.
+FIRST_TRIES, MOST_TRIES = 8, 512
 # Keys of one row of the index.
 INDEX_KEYS = 50_000
 INDEX = "bucket long, displacements binary, fingerprints binary, places binary"
@@ -63,12 +65,16 @@ def perfect_hash(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if sizes[b] < 2:
             break
         members = order[starts[b]:starts[b + 1]]
-        d = 0
+        own, d, tries = hashes[members], 0, FIRST_TRIES
         while True:
-            at = _slots(hashes[members], np.full(len(members), d), n)
-            if not taken[at].any() and len(set(at.tolist())) == len(at):
+            # The more slots are taken the more displacements fail: ever more are tried at once.
+            at = np.sort(_slots(own, np.arange(d, d + tries)[:, None], n), axis=1)
+            fits = np.flatnonzero(~taken[at].any(axis=1) & (at[:, 1:] != at[:, :-1]).all(axis=1))
+            if len(fits):
+                d += int(fits[0])
                 break
-            d += 1
+            d, tries = d + tries, min(4 * tries, MOST_TRIES)
+        at = _slots(own, np.full(len(own), d), n)
         displacements[b], slot[members], taken[at] = d, at, True
     single = np.flatnonzero(sizes == 1)
     free = np.flatnonzero(~taken)[:len(single)]
@@ -87,13 +93,13 @@ def _by_slot(values: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return out
 
 
-def _block(part: int, number: int, before: int, docs: list, seen: list, data: list[bytes]) -> tuple:
+def _block(part: int, number: int, before: int, docs: list, seen: list, data: list[bytes], travelled: int) -> tuple:
     keys, occurrences = np.array(docs, np.int64), np.array(seen, np.int64)
-    lengths = np.array([len(d) // 4 for d in data], np.int64)
+    lengths = np.array([len(d) // travelled for d in data], np.int64)
     hashes = key_hash(keys, occurrences)
     displacements, slot = perfect_hash(hashes)
     places = np.stack([np.cumsum(lengths) - lengths, lengths], axis=1)
-    ids = np.frombuffer(b"".join(data), "<u4")
+    ids = np.frombuffer(b"".join(data), f"<u{travelled}")
     width = 2 if ids.max() < 1 << 16 else 4
     return (
         part, number, docs[0], docs[-1], len(docs), len(ids), before, width,
@@ -151,7 +157,8 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, block_bytes: int = B
     occurrence number; rows without an id come first, under the key NO_ID that no document may have.
     Ids take two bytes where they fit.  Extra columns are ignored; an empty table makes an empty store.
 
-    Texts are encoded where they are read; only ids travel to the range that they are written in.
+    Texts are encoded where they are read; only ids travel to the range that they are written in, in two
+    bytes each if the tokenizer has no more.
     """
     schema = [(f.split()[0], f.split()[1]) for f in BLOCK.split(", ")]
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
@@ -163,6 +170,7 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, block_bytes: int = B
     cuts = [(i + 1) / parts for i in range(parts - 1)]
     found = keyed.agg(F.percentile_approx("doc_id", cuts, 100 * parts).alias("at")).first()["at"] if cuts else []
     bounds = np.array(found or [], np.int64)
+    travelled = 2 if encoder_of(tokenizer).size <= 1 << 16 else 4
 
     def encode(batches):
         encoder = encoder_of(tokenizer)
@@ -179,7 +187,7 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, block_bytes: int = B
                     [part.slice(at, n), batch.column(0).slice(at, n), pa.array(held, pa.binary())], ["part", "doc_id", "ids"])
 
             for one in encoded_batches(batch.column(1).to_pylist(), encoder):
-                held.append(one)
+                held.append(np.frombuffer(one, "<u4").astype(f"<u{travelled}").tobytes())
                 size += len(one)
                 if size >= OUTPUT_CHARS:
                     yield rows()
@@ -193,7 +201,7 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, block_bytes: int = B
         docs_, seen, data, last, times = [], [], [], None, 0
 
         def closed():
-            row = _block(part, number, before, docs_, seen, data)
+            row = _block(part, number, before, docs_, seen, data, travelled)
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], kinds[t]) for v, (_, t) in zip(row, schema, strict=True)], [n for n, _ in schema]
             )
@@ -205,7 +213,7 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, block_bytes: int = B
                 docs_.append(doc)
                 seen.append(times)
                 data.append(one)
-                size += len(one)
+                size += 4 * (len(one) // travelled)
                 if size >= 2 * block_bytes:
                     yield closed()
                     number, before = number + 1, before + size // 4

@@ -99,6 +99,39 @@ def test_perfect_hash():
         assert sorted(perfect_hash(hashes)[1].tolist()) == list(range(n))
 
 
+def test_perfect_hash_is_quick_and_takes_the_least_displacement():
+    n = 3000
+    hashes = np.random.default_rng(7).integers(0, 1 << 63, n).astype(np.uint64)
+    calls, plain = [], token_store._slots
+    token_store._slots = lambda *a: calls.append(1) or plain(*a)
+    try:
+        displacements, slot = perfect_hash(hashes)
+    finally:
+        token_store._slots = plain
+    assert len(calls) < 8 * len(displacements)
+    taken, buckets = np.zeros(n, bool), (hashes % np.uint64(len(displacements))).astype(np.int64)
+    for b in np.argsort(-np.bincount(buckets, minlength=len(displacements)), kind="stable"):
+        members = np.flatnonzero(buckets == b)
+        if len(members) < 2:
+            break
+        for d in range(displacements[b] + 1):
+            at = plain(hashes[members], np.full(len(members), d), n)
+            fits = not taken[at].any() and len(set(at.tolist())) == len(at)
+            assert fits == (d == displacements[b])
+        assert slot[members].tolist() == at.tolist()
+        taken[at] = True
+
+
+def test_words_encoded_together(reference):
+    encoder, r = Encoder(PATH), random.Random(5)
+    words = sorted({" " + "".join(r.choice("abcdeèüßñ日本я") for _ in range(r.randrange(1, 14))) for _ in range(6000)})
+    got = dict(encoder._encoded_words(words))
+    assert [np.frombuffer(got[w], "<u4").tolist() for w in words] == [reference(w)[:-1] for w in words]
+    # Words that a token with a blank does not begin are encoded one by one.
+    encoder.opens[:] = False
+    assert dict(encoder._encoded_words(words)) == got and dict(encoder._encoded_words([])) == {}
+
+
 def test_store(spark, reference, tmp_path):
     texts = [(100 - 3 * i, t) for i, t in enumerate(awkward(900) + ODD)]
     texts += [(28, "twice"), (None, "no key"), (None, None)]
