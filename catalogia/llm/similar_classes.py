@@ -3,8 +3,8 @@
 Pairs of a group are never rows.  A task goes through the groups of its keys with arrays, and each
 set names at most a few earlier sets of its group that pass the operator's filter and belong to
 another component.  Named pairs are verified, components merge, and the next round names more
-partners, but only for sets that still have unverified ones in other components; it ends when there
-are none, so no link is lost.  A large group is dealt to cells of bounded size, two blocks in each.
+partners, but only for sets that still have unverified ones in other components, and a bounded number
+for any two components; it ends when there are none, so no link is lost.  A large group is dealt to cells of bounded size, two blocks in each.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from catalogia.llm.common import keyed_texts, packed_texts, stored
 from catalogia.llm.components import components
@@ -30,6 +30,9 @@ FIRST_KEYS = 8
 # Tasks that may share the neighbours of one set.
 HUB_SALTS = 8
 
+# Columns of named pairs.
+NAMED = ["a", "b", "low", "high", "more"]
+
 # Classes whose rows are looked for with a broadcast list (24 bytes each); above, by a shuffled join.
 LISTED_CLASSES = 500_000
 # (left places, right places) of pairs of a table to a boolean array.
@@ -147,6 +150,22 @@ def partners(
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), more
 
 
+def fewest(start: np.ndarray, label: np.ndarray, left: np.ndarray, right: np.ndarray, limit: int) -> np.ndarray:
+    """Which of the named pairs are among the first ``limit`` of their group that join the same two labels."""
+    ends = np.sort(np.stack([label[left], label[right]]), axis=0)
+    keys = [right, ends[1], ends[0], start[right]]
+    order = np.lexsort([left, *keys])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys[1:]:
+        new[1:] |= key[order][1:] != key[order][:-1]
+    firsts = np.flatnonzero(new)
+    rank = np.arange(len(order)) - np.repeat(firsts, np.diff(np.append(firsts, len(order))))
+    kept = np.empty(len(order), bool)
+    kept[order] = rank < limit
+    return kept
+
+
 def _open_postings(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     """The postings, with labels, of keys under which at least two components meet."""
     named = postings.withColumn("label", F.col("fp"))
@@ -160,9 +179,10 @@ def _open_postings(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _candidates(opened: DataFrame, details: DataFrame, limit: int, filters_of: Filters, first: bool) -> DataFrame:
-    """(a, b, more) of open postings: a before b by fp, in different components.
+    """(a, b, low, high, more) of open postings: a before b by fp, in the components ``low`` < ``high``.
 
     In the first round, which need not be complete, the blocks of a large group stay by themselves.
+    Later ones name ``limit`` pairs of the same two components in a cell: one that links is enough.
     """
     others = F.array("own") if first else F.sequence(F.lit(0), F.col("blocks") - 1)
     cells = opened.withColumn(
@@ -180,16 +200,22 @@ def _candidates(opened: DataFrame, details: DataFrame, limit: int, filters_of: F
             passes, named_here = filters_of(table)
             left, right, more = partners(
                 start, label, own, lo != hi, limit, passes, everywhere if first else named_here)
+            if not first:
+                kept = fewest(start, label, left, right, limit)
+                more[right[~kept]] = True
+                left, right = left[kept], right[kept]
+            ends = [np.minimum(label[left], label[right]), np.maximum(label[left], label[right])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(fp[left]), pa.array(fp[right]), pa.array(more[right])], ["a", "b", "more"])
+                [pa.array(c) for c in (fp[left], fp[right], *ends, more[right])], NAMED)
             # Places with further partners tell so even where none of their pairs is named here.
             silent = np.flatnonzero(more & ~np.isin(np.arange(len(more)), right))[:1]
             if len(silent):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(fp[silent]), pa.array(fp[silent]), pa.array(more[silent])], ["a", "b", "more"])
+                    [pa.array(c) for c in (fp[silent], fp[silent], label[silent], label[silent], more[silent])], NAMED)
 
     keys = ["key", "lo", "hi"]
-    return cells.repartition(*keys).sortWithinPartitions(*keys, "fp").mapInArrow(run, "a long, b long, more boolean")
+    return cells.repartition(*keys).sortWithinPartitions(*keys, "fp").mapInArrow(
+        run, "a long, b long, low long, high long, more boolean")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, sets_of, percent: int) -> DataFrame:
@@ -249,14 +275,21 @@ def similar_labels(
     limit, first = FIRST_PARTNERS, True
     while True:
         found = stored(_candidates(opened, details, limit, filters_of, first))
-        pairs = found.filter("a <> b").select("a", "b").distinct()
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        pairs = found.filter("a <> b").select("a", "b", "low", "high").dropDuplicates(["a", "b"])
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        if first:
+            pairs, cut = stored(pairs.select("a", "b")), False
+        else:
+            # Two components that meet under many keys are joined by a few pairs, or tried again.
+            place = F.row_number().over(Window.partitionBy("low", "high").orderBy("a", "b"))
+            ranked = stored(pairs.withColumn("place", place).filter(F.col("place") <= limit + 1))
+            pairs, cut = ranked.filter(F.col("place") <= limit).select("a", "b"), ranked.filter(F.col("place") > limit).limit(1).count()
         tried = pairs if tried is None else tried.union(pairs)
         linked = stored(_linked(pairs, texts, sets_of, percent))
         if links is None or linked.limit(1).count():
             links = linked if links is None else links.union(linked)
             labels = components(links)
-        if not first and not found.filter("more").limit(1).count():
+        if not first and not cut and not found.filter("more").limit(1).count():
             return labels
         limit *= MORE_PARTNERS
         opened = stored(_open_postings(postings if first else opened, labels))

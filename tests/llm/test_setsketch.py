@@ -120,6 +120,42 @@ def test_partners_are_named_once_per_limit():
         assert more.tolist() == [i - start[i] > limit for i in range(9)]
 
 
+def test_two_components_are_joined_by_few_pairs():
+    r = np.random.default_rng(6)
+    start, label = np.repeat([0, 40], 40), r.integers(0, 4, 80)
+    left, right = (x.ravel() for x in np.meshgrid(np.arange(80), np.arange(80)))
+    ok = (left < right) & (start[left] == start[right]) & (label[left] != label[right])
+    left, right = left[ok], right[ok]
+    for limit in (1, 3, 10_000):
+        kept = similar_classes.fewest(start, label, left, right, limit)
+        groups = {}
+        for a, b, k in sorted(zip(left.tolist(), right.tolist(), kept.tolist(), strict=True), key=lambda x: (x[1], x[0])):
+            groups.setdefault((start[b], *sorted([label[a], label[b]])), []).append(k)
+        assert all(g == [i < limit for i in range(len(g))] for g in groups.values()) and len(groups) == 12
+    none = np.zeros(0, np.int64)
+    assert similar_classes.fewest(none, none, none, none, 1).tolist() == []
+
+
+def test_links_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    """Two blocks of near copies become components of their own, which then meet under very many keys."""
+    made, plain = [], similar_classes._linked
+    monkeypatch.setattr(similar_classes, "BLOCK", 50)
+    monkeypatch.setattr(similar_classes, "_linked", lambda pairs, *a: made.append(pairs.count()) or plain(pairs, *a))
+    base = prose(4, 120)
+    texts = [near(base, i, 2) for i in range(200)]
+    rows = found(near_duplicates(documents(spark, texts)))
+    assert {c for _, _, c, _ in rows} == {0}
+    assert sum(made) < 15 * len(texts)
+
+
+def test_pairs_that_were_left_out_are_tried_later(spark, monkeypatch):
+    """Of two components that meet, the pairs that link come after many that do not."""
+    monkeypatch.setattr(similar_classes, "MORE_PARTNERS", 2)
+    base = prose(4, 100)
+    texts = [near(base, i, k) for k in (1, 4, 8, 12, 16) for i in range(k * 100, k * 100 + 25)]
+    assert found(near_duplicates(documents(spark, texts))) == plain(range(len(texts)), texts)
+
+
 def test_partners_in_small_chunks(monkeypatch):
     r = np.random.default_rng(5)
     monkeypatch.setattr(similar_classes, "PAIRS", 7)
