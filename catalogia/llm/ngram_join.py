@@ -84,12 +84,21 @@ def _slices(found: dict[int, np.ndarray]):
     packer = zstandard.ZstdCompressor(level=1)
     for i, part in found.items():
         yield pa.RecordBatch.from_arrays(
-            [pa.array([i], pa.int32()), pa.array([packer.compress(part.tobytes())], pa.binary())],
+            [pa.array([i], pa.int32()), pa.array([packer.compress(_planes(part))], pa.binary())],
             ["slice", "counts"])
 
 
-def _counts_in(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint32)
+def _planes(counts: np.ndarray) -> bytes:
+    """Counts as planes of one bit of each, which take far less room than numbers that are mostly small."""
+    return b"".join(np.packbits((counts >> np.uint32(k)) & np.uint32(1) != 0).tobytes() for k in range(int(counts.max()).bit_length()))
+
+
+def _counts_in(data: bytes, cells: int = CELLS // SLICES) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(-1, -(-cells // 8))
+    counts = np.zeros(cells, np.uint32)
+    for k, plane in enumerate(planes):
+        counts |= np.unpackbits(plane, count=cells).astype(np.uint32) << np.uint32(k)
+    return counts
 
 
 def _merge(batches):
@@ -218,7 +227,7 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     of_key = Window.partitionBy("key")
     ends = posted.withColumn("low", F.min("fp").over(of_key)).withColumn("high", F.max("fp").over(of_key))
     postings = stored(ends.filter("low < high").select("key", "fp").dropDuplicates(["key", "fp"]))
-    texts = stored(texts_of(docs, classes, postings))
+    texts = texts_of(docs, classes, postings)
     details = classes.select("fp", "n", "signatures")
     labels = similar_labels(postings, details, texts, pair_filters, shingle_sets, PERCENT)
     named = classes.join(labels, classes["fp"] == labels["node"], "left").select(

@@ -179,7 +179,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.call_function("substring", "registers", i * BAND + 1, F.lit(BAND)), i), BAND_BITS), BAND_BITS).bitwiseOR(i))).alias("key"))
     met = bands.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("sets > 1")
     postings = stored(met.select("key", "fp"))
-    texts = stored(texts_of(docs, classes, postings))
+    texts = texts_of(docs, classes, postings)
     details = classes.select("fp", "n", "registers", "parities")
     labels = similar_labels(postings, details, texts, pair_filters, two_word_sets, PERCENT)
     named = classes.join(labels, classes["fp"] == labels["node"], "left").select(

@@ -249,14 +249,16 @@ def _linked(pairs: DataFrame, texts: DataFrame, sets_of, percent: int) -> DataFr
 
 
 def texts_of(docs: DataFrame, classes: DataFrame, fps: DataFrame) -> DataFrame:
-    """(fp, packed): a text of each listed class; classes (fp, rep) name the row to take it from."""
+    """(fp, packed), stored: a text of each listed class; classes (fp, rep) name the row to take it from."""
     wanted = stored(classes.join(fps.select("fp").distinct(), "fp").select("fp", "rep.doc_id", "rep.text_hash"))
-    keyed, key = keyed_texts(docs), ["doc_id", "text_hash"]
-    if wanted.count() <= LISTED_CLASSES:
+    keyed, key, listed = keyed_texts(docs), ["doc_id", "text_hash"], wanted.count()
+    if listed <= LISTED_CLASSES:
         # Only texts that are needed are packed and travel.
         keyed = keyed.join(F.broadcast(wanted.select(*key)), key, "left_semi")
         wanted = F.broadcast(wanted)
-    return packed_texts(keyed, *key).join(wanted, key).dropDuplicates(["fp"]).select("fp", "packed")
+    texts = stored(packed_texts(keyed, *key).join(wanted, key).select("fp", "packed"))
+    # Only rows that repeat an id and its text give a class more than one.
+    return texts if texts.count() <= listed else stored(texts.dropDuplicates(["fp"]))
 
 
 def similar_labels(

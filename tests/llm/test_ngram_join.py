@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from catalogia.llm import ngram_join
@@ -114,3 +115,14 @@ def test_components(spark):
 def test_prefix_length(n):
     assert prefix_length(n) == n - -(-8 * n // 10) + 1
     assert ngram_join.PERCENT == 80
+
+
+def test_counts_travel_as_planes():
+    r = np.random.default_rng(1)
+    size = ngram_join.CELLS // ngram_join.SLICES
+    for counts in (r.poisson(0.2, size), np.zeros(size), r.integers(0, 1 << 32, size)):
+        counts = counts.astype(np.uint32)
+        (batch,) = ngram_join._slices({3: counts})
+        assert (ngram_join._counts_in(batch.column(1)[0].as_py()) == counts).all()
+    (batch,) = ngram_join._slices({0: r.poisson(0.2, size).astype(np.uint32)})
+    assert len(batch.column(1)[0].as_py()) < size // 8

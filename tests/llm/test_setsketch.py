@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+import zstandard
 
 from catalogia.llm import setsketch, similar_classes
 from catalogia.llm.setsketch import estimate, merged, near_duplicates, sketch
@@ -120,6 +121,20 @@ def test_partners_are_named_once_per_limit():
         assert more.tolist() == [i - start[i] > limit for i in range(9)]
 
 
+@pytest.mark.parametrize("times", [1, 2])
+def test_texts_are_shuffled_only_where_rows_repeat(spark, monkeypatch, times):
+    made, plain_stored = [], similar_classes.stored
+    monkeypatch.setattr(similar_classes, "stored", lambda df: made.append(df) or plain_stored(df))
+    texts = [prose(i, 20) for i in range(30)]
+    docs = documents(spark, [(i, t) for i, t in enumerate(texts)] * times).repartition(4)
+    classes = docs.distinct().selectExpr("doc_id as fp", "struct(doc_id, xxhash64(text) as text_hash) as rep").filter("fp % 2 = 0").distinct()
+    got = similar_classes.texts_of(docs, classes, classes.filter("fp > 4")).collect()
+    assert {r["fp"]: zstandard.ZstdDecompressor().decompress(r["packed"]).decode() for r in got} == {i: texts[i] for i in range(6, 30, 2)}
+    assert len(got) == 12 and len(made) == 1 + times
+    plan = made[1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(fp") == 0
+
+
 def test_two_components_are_joined_by_few_pairs():
     r = np.random.default_rng(6)
     start, label = np.repeat([0, 40], 40), r.integers(0, 4, 80)
