@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from catalogia.llm.common import NO_ID, join_counted, keyed_texts, mixed, stored
 from catalogia.llm.ngram_join import set_id, shingle_sets
-from catalogia.llm.similar_classes import apart_bits, fixed_width, may_overlap, parity, similar_labels, texts_of
+from catalogia.llm.similar_classes import apart_bits, fixed_width, may_overlap, parity, similar_labels, size_fits, texts_of
 
 SHINGLE = 2
 PERCENT = 80
@@ -175,10 +175,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.max("n").alias("n"), F.max("registers").alias("registers"), F.max("parities").alias("parities"), F.count(F.lit(1)).alias("copies")))
     # The last five bits of a key say which band it is of.
     numbers = F.sequence(F.lit(0), F.lit(BANDS - 1))
-    bands = classes.select("fp", F.explode(F.transform(numbers, lambda i: F.shiftleft(F.shiftright(F.xxhash64(
+    bands = classes.select("fp", F.col("n").cast("int").alias("n"), F.explode(F.transform(numbers, lambda i: F.shiftleft(F.shiftright(F.xxhash64(
         F.call_function("substring", "registers", i * BAND + 1, F.lit(BAND)), i), BAND_BITS), BAND_BITS).bitwiseOR(i))).alias("key"))
-    met = bands.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("sets > 1")
-    postings = stored(met.select("key", "fp"))
+    postings = stored(size_fits(bands, PERCENT))
     texts = texts_of(docs, classes, postings)
     details = classes.select("fp", "n", "registers", "parities")
     labels = similar_labels(postings, details, texts, pair_filters, two_word_sets, PERCENT)

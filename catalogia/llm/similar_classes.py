@@ -3,12 +3,13 @@
 Pairs of a group are never rows.  A task goes through the groups of its keys with arrays, and each
 set names at most a few earlier sets of its group that pass the operator's filter and belong to
 another component.  Named pairs are verified, components merge, and the next round names more
-partners, but only for sets that still have unverified ones in other components, and a bounded number
+partners, but only under keys that still have unverified ones in other components, and a bounded number
 for any two components; it ends when there are none, so no link is lost.  A large group is dealt to cells of bounded size, two blocks in each.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -30,8 +31,11 @@ FIRST_KEYS = 8
 # Tasks that may share the neighbours of one set.
 HUB_SALTS = 8
 
+# Bits of a parity whose width follows the size of its set: at least, and at most.
+LEAST_BITS, MOST_BITS = 64, 4096
+
 # Columns of named pairs.
-NAMED = ["a", "b", "low", "high", "more"]
+NAMED = ["key", "a", "b", "low", "high", "more"]
 
 # Classes whose rows are looked for with a broadcast list (24 bytes each); above, by a shuffled join.
 LISTED_CLASSES = 500_000
@@ -58,6 +62,41 @@ def apart_bits(rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndar
     return np.bitwise_count(rows[left] ^ rows[right]).sum(axis=1, dtype=np.int64)
 
 
+def fitting_bits(n: int) -> int:
+    """Bits of the parity of a set of n hashes, a power of two near n: with far fewer, unlike sets
+    differ in no more bits than similar ones may."""
+    return min(max(1 << round(math.log2(max(n, 1))), LEAST_BITS), MOST_BITS)
+
+
+class Parities:
+    """Parities of ``fitting_bits`` each.  As their bits are taken by remainders, a wider one is folded to a
+    narrower one by the exclusive or of its halves."""
+
+    def __init__(self, column: pa.Array):
+        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+        self.widths, self.folded = np.diff(offsets), {}
+        width = int(self.widths.max(initial=0))
+        while width:
+            rows = np.zeros((len(column), width // 8), np.uint64)
+            wider = self.folded.get(2 * width)
+            if wider is not None:
+                rows = wider[:, :width // 8] ^ wider[:, width // 8:]
+            own = np.flatnonzero(self.widths == width)
+            if len(own):
+                data = np.frombuffer(column.buffers()[2], np.uint8)
+                rows[own] = data[offsets[own][:, None] + np.arange(width)].view(np.uint64)
+            self.folded[width] = rows
+            width = width // 2 if width > self.widths.min() else 0
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Bits in which pairs differ, in the width of the narrower one."""
+        width, apart = np.minimum(self.widths[left], self.widths[right]), np.zeros(len(left), np.int64)
+        for one, rows in self.folded.items():
+            at = np.flatnonzero(width == one)
+            apart[at] = apart_bits(rows, left[at], right[at])
+        return apart
+
+
 def may_overlap(apart: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets of n and m members that differ in ``apart`` members at least may be similar enough:
     of their n + m members, 2 percent / (100 + percent) are common ones."""
@@ -166,6 +205,20 @@ def fewest(start: np.ndarray, label: np.ndarray, left: np.ndarray, right: np.nda
     return kept
 
 
+def size_fits(postings: DataFrame, percent: int) -> DataFrame:
+    """(key, fp) of postings (key, fp, n) that share their key with another set of a size near enough.
+
+    In the order of sizes the nearest one is a neighbour, so no similar pair is turned away; repeated
+    postings become one.
+    """
+    by_size = Window.partitionBy("key").orderBy("n", "fp")
+    once = postings.withColumn("before", F.lag("fp").over(by_size)).filter("before is null or before <> fp").drop("before")
+    less, greater = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    near = once.withColumn("near", F.coalesce(100 * less >= percent * F.col("n"), F.lit(False))
+                           | F.coalesce(100 * F.col("n") >= percent * greater, F.lit(False)))
+    return near.filter("near").select("key", "fp")
+
+
 def _open_postings(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     """The postings, with labels, of keys under which at least two components meet."""
     named = postings.withColumn("label", F.col("fp"))
@@ -179,7 +232,7 @@ def _open_postings(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _candidates(opened: DataFrame, details: DataFrame, limit: int, filters_of: Filters, first: bool) -> DataFrame:
-    """(a, b, low, high, more) of open postings: a before b by fp, in the components ``low`` < ``high``.
+    """(key, a, b, low, high, more) of open postings: a before b by fp, in the components ``low`` < ``high``.
 
     In the first round, which need not be complete, the blocks of a large group stay by themselves.
     Later ones name ``limit`` pairs of the same two components in a cell: one that links is enough.
@@ -196,7 +249,7 @@ def _candidates(opened: DataFrame, details: DataFrame, limit: int, filters_of: F
             table = table.combine_chunks()
             starts = group_starts(table, ["key", "lo", "hi"])
             start = np.repeat(starts, np.diff(np.append(starts, table.num_rows)))
-            label, own, lo, hi, fp = (table.column(c).to_numpy() for c in ("label", "own", "lo", "hi", "fp"))
+            label, own, lo, hi, fp, key = (table.column(c).to_numpy() for c in ("label", "own", "lo", "hi", "fp", "key"))
             passes, named_here = filters_of(table)
             left, right, more = partners(
                 start, label, own, lo != hi, limit, passes, everywhere if first else named_here)
@@ -206,16 +259,17 @@ def _candidates(opened: DataFrame, details: DataFrame, limit: int, filters_of: F
                 left, right = left[kept], right[kept]
             ends = [np.minimum(label[left], label[right]), np.maximum(label[left], label[right])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in (fp[left], fp[right], *ends, more[right])], NAMED)
-            # Places with further partners tell so even where none of their pairs is named here.
-            silent = np.flatnonzero(more & ~np.isin(np.arange(len(more)), right))[:1]
+                [pa.array(c) for c in (key[right], fp[left], fp[right], *ends, more[right])], NAMED)
+            # Groups with further partners tell so even where none of those places' pairs is named here.
+            silent = np.flatnonzero(more & ~np.isin(np.arange(len(more)), right))
+            silent = silent[np.unique(start[silent], return_index=True)[1]]
             if len(silent):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (fp[silent], fp[silent], label[silent], label[silent], more[silent])], NAMED)
+                    [pa.array(c) for c in (key[silent], fp[silent], fp[silent], label[silent], label[silent], more[silent])], NAMED)
 
     keys = ["key", "lo", "hi"]
     return cells.repartition(*keys).sortWithinPartitions(*keys, "fp").mapInArrow(
-        run, "a long, b long, low long, high long, more boolean")
+        run, "key long, a long, b long, low long, high long, more boolean")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, sets_of, percent: int) -> DataFrame:
@@ -280,19 +334,22 @@ def similar_labels(
         pairs = found.filter("a <> b").select("a", "b", "low", "high").dropDuplicates(["a", "b"])
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         if first:
-            pairs, cut = stored(pairs.select("a", "b")), False
+            pairs = stored(pairs.select("a", "b"))
         else:
             # Two components that meet under many keys are joined by a few pairs, or tried again.
             place = F.row_number().over(Window.partitionBy("low", "high").orderBy("a", "b"))
             ranked = stored(pairs.withColumn("place", place).filter(F.col("place") <= limit + 1))
-            pairs, cut = ranked.filter(F.col("place") <= limit).select("a", "b"), ranked.filter(F.col("place") > limit).limit(1).count()
+            pairs, cut = ranked.filter(F.col("place") <= limit).select("a", "b"), ranked.filter(F.col("place") > limit)
+            # All pairs of the other keys have been verified.
+            again = stored(found.filter("more").select("key").union(
+                found.join(cut.select("low", "high"), ["low", "high"], "left_semi").select("key")).distinct())
         tried = pairs if tried is None else tried.union(pairs)
         linked = stored(_linked(pairs, texts, sets_of, percent))
         if links is None or linked.limit(1).count():
             links = linked if links is None else links.union(linked)
             labels = components(links)
-        if not first and not cut and not found.filter("more").limit(1).count():
+        if not first and not again.limit(1).count():
             return labels
         limit *= MORE_PARTNERS
-        opened = stored(_open_postings(postings if first else opened, labels))
+        opened = stored(_open_postings(postings if first else opened.join(again, "key", "left_semi"), labels))
         first = False

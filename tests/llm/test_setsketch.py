@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -163,6 +164,50 @@ def test_links_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
     assert sum(made) < 15 * len(texts)
 
 
+def test_later_rounds_open_only_keys_with_pairs_left(spark, monkeypatch):
+    """Once all pairs of a key have been verified, its sets are not looked at again."""
+    opened, plain_rounds = [], similar_classes._candidates
+    monkeypatch.setattr(similar_classes, "MORE_PARTNERS", 2)
+    monkeypatch.setattr(similar_classes, "_candidates", lambda rows, *a: opened.append(rows.count()) or plain_rounds(rows, *a))
+    base, apart = prose(4, 100), [prose(100 + i, 60) for i in range(40)]
+    texts = [near(base, i, k) for k in (1, 4, 8, 12, 16) for i in range(k * 100, k * 100 + 25)]
+    texts += [t for i, one in enumerate(apart) for t in (one, near(one, i, 9))]
+    assert found(near_duplicates(documents(spark, texts))) == plain(range(len(texts)), texts)
+    assert len(opened) > 2 and all(b < a for a, b in zip(opened[1:], opened[2:], strict=False))
+
+
+def test_only_sets_of_near_sizes_meet(spark):
+    r = np.random.default_rng(7)
+    rows = [(int(k), int(f), 1 + int(f) * 7919 % 200) for k, f in zip(r.integers(0, 60, 400), r.integers(0, 90, 400), strict=True)]
+    got = similar_classes.size_fits(spark.createDataFrame(rows, "key long, fp long, n int"), 80).collect()
+    size = {f: n for _, f, n in rows}
+    of_key = {k: {f for key, f, _ in rows if key == k} for k, _, _ in rows}
+    want = {(k, f) for k, fps in of_key.items() for f in fps for g in fps - {f}
+            if 100 * min(size[f], size[g]) >= 80 * max(size[f], size[g])}
+    assert sorted((x["key"], x["fp"]) for x in got) == sorted(want) and 0 < len(want) < len(set(rows))
+
+
+def test_parities_of_different_widths():
+    """They never show more than the sets differ in, and tell unlike sets apart at every size."""
+    r = np.random.default_rng(8)
+    sets = []
+    for n in (1, 5, 40, 64, 100, 200, 500, 800, 1500, 5000):
+        common, own = r.integers(0, 1 << 63, n).astype(np.uint64), r.integers(0, 1 << 63, n).astype(np.uint64)
+        sets += [common, np.concatenate([common[n // 10:], own[:n // 10]]), own]
+    bits = [similar_classes.fitting_bits(len(x)) for x in sets]
+    assert min(bits) == similar_classes.LEAST_BITS and max(bits) == similar_classes.MOST_BITS and len(set(bits)) > 4
+    column = pa.array([similar_classes.parity(x, b).tobytes() for x, b in zip(sets, bits, strict=True)], pa.binary())
+    left, right = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    for skip in (0, 4):
+        on = (left >= skip) & (right >= skip)
+        apart = similar_classes.Parities(column.slice(skip)).apart(left[on] - skip, right[on] - skip)
+        assert all(a <= len(np.setxor1d(sets[i], sets[j])) for a, i, j in zip(apart.tolist(), left[on], right[on], strict=True))
+        for k in range(6, len(sets), 3):
+            n = len(sets[k])
+            at = np.flatnonzero((left[on] == k) & (right[on] == k + 2))
+            assert not similar_classes.may_overlap(apart[at], np.array([n]), np.array([n]), 80).any()
+
+
 def test_pairs_that_were_left_out_are_tried_later(spark, monkeypatch):
     """Of two components that meet, the pairs that link come after many that do not."""
     monkeypatch.setattr(similar_classes, "MORE_PARTNERS", 2)
