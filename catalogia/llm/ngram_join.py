@@ -18,17 +18,17 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from catalogia.llm.common import NO_ID, OUTPUT_ROWS, Rolling, join_counted, keyed_texts, mixed, stored, word_chunks
 from catalogia.llm.similar_classes import (
-    apart_bits, everywhere, fixed_width, may_overlap, parity, similar_labels, texts_of,
+    Parities, apart_bits, everywhere, fitting_bits, fixed_width, may_overlap, parity, similar_labels, size_fits, texts_of,
 )
 
 SHINGLE = 5
 PERCENT = 80
 ORDERS = (1, 2)
-# Bits of each of the two signatures of a set.
+# Bits of the signature of a set's second prefix.
 SIGNATURE_BITS = 256
 # Cells of the frequency sketch: its size, and that of its broadcast (a byte a cell), is fixed.
 CELLS = 1 << 24
@@ -159,8 +159,8 @@ def pair_filters(table: pa.Table):
     prefix tokens under the second order and the overlap of the whole sets, the last two as far as
     the signatures tell.  No similar pair is turned away."""
     sizes = table.column("n").to_numpy().astype(np.int64)
-    rows = fixed_width(table.column("signatures").chunk(0), SIGNATURE_BITS // 4).view(np.uint64)
-    second, whole = np.hsplit(rows, 2)
+    second = fixed_width(table.column("second").chunk(0), SIGNATURE_BITS // 8).view(np.uint64)
+    whole = Parities(table.column("whole").chunk(0))
 
     def passes(left, right):
         n, m = sizes[left], sizes[right]
@@ -168,7 +168,9 @@ def pair_filters(table: pa.Table):
         at = np.flatnonzero(ok)
         left, right, n, m = left[at], right[at], n[at], m[at]
         common = prefix_length(n) + prefix_length(m) - apart_bits(second, left, right) >= 2 * shared_needed(n, m)
-        ok[at] = common & may_overlap(apart_bits(whole, left, right), n, m, PERCENT)
+        ok[at] = common
+        at, left, right, n, m = at[common], left[common], right[common], n[common], m[common]
+        ok[at] = may_overlap(whole.apart(left, right), n, m, PERCENT)
         return ok
 
     return passes, everywhere
@@ -208,7 +210,7 @@ def component_firsts(docs: DataFrame) -> DataFrame:
 def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with the fingerprints of their sets, and classes of equal sets with their component's label."""
     levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs))
-    kind = "doc_id long, text_hash long, fp long, n long, signatures binary, tokens array<long>"
+    kind = "doc_id long, text_hash long, fp long, n long, second binary, whole binary, tokens array<long>"
 
     def describe(batches):
         seen = set()
@@ -221,14 +223,12 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = stored(described.withColumn("known", F.nullif("doc_id", F.lit(NO_ID))).filter("n > 0").groupBy("fp").agg(
         F.min("known").alias("doc_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"),
         F.min(F.struct(F.col("known").isNull().alias("last"), "doc_id", "text_hash")).alias("first"), F.max("n").alias("n"),
-        F.max("signatures").alias("signatures"), F.count(F.lit(1)).alias("copies")))
+        F.max("second").alias("second"), F.max("whole").alias("whole"), F.count(F.lit(1)).alias("copies")))
 
-    posted = described.filter("tokens is not null").select(F.explode("tokens").alias("key"), "fp")
-    of_key = Window.partitionBy("key")
-    ends = posted.withColumn("low", F.min("fp").over(of_key)).withColumn("high", F.max("fp").over(of_key))
-    postings = stored(ends.filter("low < high").select("key", "fp").dropDuplicates(["key", "fp"]))
+    posted = described.filter("tokens is not null").select(F.explode("tokens").alias("key"), "fp", F.col("n").cast("int").alias("n"))
+    postings = stored(size_fits(posted, PERCENT))
     texts = texts_of(docs, classes, postings)
-    details = classes.select("fp", "n", "signatures")
+    details = classes.select("fp", "n", "second", "whole")
     labels = similar_labels(postings, details, texts, pair_filters, shingle_sets, PERCENT)
     named = classes.join(labels, classes["fp"] == labels["node"], "left").select(
         "fp", "doc_id", "first", "copies", F.coalesce("label", "fp").alias("label"))
@@ -244,21 +244,22 @@ def _described(batch: pa.RecordBatch, levels: np.ndarray, seen: set[int]):
     held, size, at = [], 0, 0
 
     def rows():
-        fps, sizes, signatures, tokens = zip(*held, strict=True)
+        fps, sizes, seconds, wholes, tokens = zip(*held, strict=True)
         part = batch.slice(at, len(held))
         return pa.RecordBatch.from_arrays(
             [part.column(0), part.column(1), pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()),
-             pa.array(signatures, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))],
-            ["doc_id", "text_hash", "fp", "n", "signatures", "tokens"])
+             pa.array(seconds, pa.binary()), pa.array(wholes, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))],
+            ["doc_id", "text_hash", "fp", "n", "second", "whole", "tokens"])
 
     for tokens in shingle_sets(batch.column(2).to_pylist()):
-        fp, signatures, first = set_id(tokens), None, None
+        fp, second, whole, first = set_id(tokens), None, None, None
         if len(tokens) and fp not in seen:
             seen.add(fp)
             first, second = prefixes(tokens, levels)
-            signatures, first = np.concatenate([parity(second, SIGNATURE_BITS), parity(tokens, SIGNATURE_BITS)]).tobytes(), first.view(np.int64)
+            second, whole = parity(second, SIGNATURE_BITS).tobytes(), parity(tokens, fitting_bits(len(tokens))).tobytes()
+            first = first.view(np.int64)
             size += len(first)
-        held.append((fp, len(tokens), signatures, first))
+        held.append((fp, len(tokens), second, whole, first))
         if size >= OUTPUT_ROWS:
             yield rows()
             at += len(held)
