@@ -11,7 +11,7 @@ from functools import reduce
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from catalogia.llm.common import NO_ID, scratch, table
+from catalogia.llm.common import NO_ID, scratch, stored, table
 from catalogia.llm.decontamination import drop_contaminated
 from catalogia.llm.ngram_join import component_firsts
 from catalogia.llm.packing import pack_documents
@@ -19,6 +19,9 @@ from catalogia.llm.pii import replace_pii
 from catalogia.llm.queries import PII_KEY, TOKENIZER
 from catalogia.llm.toxicity import fit_toxicity
 
+# Rows that are left out by a broadcast list of their keys (16 bytes each); above, by a shuffled join.
+LISTED_ROWS = 2_000_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the calibrated model does not call toxic."""
@@ -32,11 +35,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of rows without an id that are equal in text one stays; repeats of one row with an id, being
     the same document, stay or go together.
     """
-    firsts = component_firsts(docs).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "alone")
+    firsts = stored(component_firsts(docs).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "alone"))
     rows = docs.select(
         F.struct("*").alias("_row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("_doc"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
-    with_id = rows.filter("_row.doc_id is not null").join(firsts, ["_doc", "_hash"])
+    with_id = rows.filter("_row.doc_id is not null")
+    left_out = stored(with_id.select("_doc", "_hash").join(firsts, ["_doc", "_hash"], "left_anti").distinct())
+    if left_out.count() <= LISTED_ROWS:
+        # Texts stay where they are.
+        with_id = with_id.join(F.broadcast(left_out), ["_doc", "_hash"], "left_anti")
+    else:
+        with_id = with_id.join(firsts, ["_doc", "_hash"], "left_semi")
     without = rows.filter("_row.doc_id is null").join(firsts.filter(F.col("_doc") == NO_ID), ["_doc", "_hash"])
     copy = F.row_number().over(Window.partitionBy("_hash").orderBy("_doc"))
     one = without.filter("not alone").withColumn("_copy", copy).filter("_copy = 1")

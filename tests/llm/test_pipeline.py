@@ -82,3 +82,14 @@ def test_registered():
     names = [n for n in queries.QUERIES if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(queries.ORACLES) <= set(names)
+
+
+def test_left_out_rows_are_listed_or_joined(spark, monkeypatch):
+    base = [prose(800 + k, 120, 5000) for k in range(6)]
+    texts = [(10 * k + j, near(t, j)) for k, t in enumerate(base) for j in range(4)] + [(None, base[0]), (7, ""), (None, None)]
+    docs = documents(spark, texts)
+    kept = {}
+    for rows in (0, 1000):
+        monkeypatch.setattr(corpus_pipeline, "LISTED_ROWS", rows)
+        kept[rows] = Counter(map(tuple, corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()))
+    assert kept[0] == kept[1000] and sum(kept[0].values()) == 6 + 2
