@@ -331,18 +331,21 @@ def similar_labels(
     limit, first = FIRST_PARTNERS, True
     while True:
         found = stored(_candidates(opened, details, limit, filters_of, first))
-        pairs = found.filter("a <> b").select("a", "b", "low", "high").dropDuplicates(["a", "b"])
+        # A pair that is named under several keys is found again under any one of them.
+        pairs = found.filter("a <> b").groupBy("a", "b", "low", "high").agg(F.min("key").alias("key"))
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         if first:
             pairs = stored(pairs.select("a", "b"))
         else:
             # Two components that meet under many keys are joined by a few pairs, or tried again.
+            untried = stored(pairs)
             place = F.row_number().over(Window.partitionBy("low", "high").orderBy("a", "b"))
-            ranked = stored(pairs.withColumn("place", place).filter(F.col("place") <= limit + 1))
+            ranked = stored(untried.withColumn("place", place).filter(F.col("place") <= limit + 1))
             pairs, cut = ranked.filter(F.col("place") <= limit).select("a", "b"), ranked.filter(F.col("place") > limit)
             # All pairs of the other keys have been verified.
+            left = untried.select("key", "low", "high").distinct()
             again = stored(found.filter("more").select("key").union(
-                found.join(cut.select("low", "high"), ["low", "high"], "left_semi").select("key")).distinct())
+                left.join(cut.select("low", "high"), ["low", "high"], "left_semi").select("key")).distinct())
         tried = pairs if tried is None else tried.union(pairs)
         linked = stored(_linked(pairs, texts, sets_of, percent))
         if links is None or linked.limit(1).count():

@@ -232,3 +232,24 @@ def test_partners_in_small_chunks(monkeypatch):
         for i, listed in want.items():
             assert got[i] == listed[:limit]
             assert more[i] or len(listed) <= limit
+
+
+def test_pairs_left_over_open_one_key_each(spark, monkeypatch):
+    """Two components that meet under many keys: a pair is tried again under one of its keys, not under all."""
+    opened, plain_open = [], similar_classes._open_postings
+    monkeypatch.setattr(similar_classes, "MORE_PARTNERS", 4)
+    monkeypatch.setattr(similar_classes, "_open_postings", lambda rows, labels: opened.append(
+        rows.select("key").distinct().count()) or plain_open(rows, labels))
+    keys = spark.range(200).selectExpr("id", f"pmod(xxhash64(id), {similar_classes.FIRST_KEYS}) = 0 as early").collect()
+    early, late = ([r["id"] for r in keys if r["early"] == e] for e in (True, False))
+    # Four copies in each component; every pair of unlike texts shares three keys of its own.
+    texts = {f: prose(1 if f < 4 else 2, 60) for f in range(8)}
+    rows = [(early[f // 4], f) for f in texts]
+    rows += [(late[3 * (4 * a + b) + i], f) for a in range(4) for b in range(4) for i in range(3) for f in (a, 4 + b)]
+    packed = [(f, zstandard.ZstdCompressor().compress(t.encode())) for f, t in texts.items()]
+    labels = similar_classes.similar_labels(
+        spark.createDataFrame(rows, "key long, fp long"), spark.createDataFrame([(f, 1) for f in texts], "fp long, n long"),
+        spark.createDataFrame(packed, "fp long, packed binary"),
+        lambda table: (similar_classes.everywhere, similar_classes.everywhere), setsketch.two_word_sets, 80).collect()
+    assert {(r["node"], r["label"]) for r in labels} == {(f, 4 * (f // 4)) for f in texts}
+    assert opened == [2, 50, 16]
