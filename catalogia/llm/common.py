@@ -28,6 +28,9 @@ BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 OUTPUT_ROWS = 200_000
 # Characters of text in one Arrow batch that a task emits; a longer text is alone in its batch.
 OUTPUT_CHARS = 8_000_000
+# Bytes of one Arrow batch that a Python worker is given (a longer row is alone in its batch): what executor and
+# worker hold of a batch, several times over, must not grow with the length of the texts.
+BATCH_BYTES = 4 * 1024 * 1024
 # Stands for a null id where rows are joined by id.
 NO_ID = -(1 << 63)
 
@@ -38,6 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Python workers of this session get batches of BATCH_BYTES at most."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder below the shared one that the cluster names in ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from catalogia.llm.common import NO_ID, Rolling, word_hashes
+from catalogia.llm.common import NO_ID, Rolling, small_batches, word_hashes
 
 # One edit is allowed per this many words of an item.
 WORDS_PER_EDIT = 8
@@ -145,6 +145,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, words_per_edit: int =
     documents give repeated rows, repeated item ids (with their own texts) are searched each and
     give the nearest; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     items = _distinct(items)
     rows = docs.select("doc_id", "text")
     pairs = _listed(items, broadcast_bytes)
@@ -169,6 +170,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, words_per_edit: int =
 def drop_contaminated(docs: DataFrame, items: DataFrame, words_per_edit: int = WORDS_PER_EDIT,
                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` without the rows in which ``find_contamination`` finds an item; columns unchanged."""
+    small_batches(docs.sparkSession)
     items = _distinct(items)
     pairs = _listed(items, broadcast_bytes)
     if pairs is None:

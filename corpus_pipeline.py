@@ -11,7 +11,7 @@ from functools import reduce
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from catalogia.llm.common import NO_ID, scratch, stored, table
+from catalogia.llm.common import NO_ID, scratch, small_batches, stored, table
 from catalogia.llm.decontamination import drop_contaminated
 from catalogia.llm.ngram_join import component_firsts
 from catalogia.llm.packing import pack_documents
@@ -25,6 +25,7 @@ LISTED_ROWS = 2_000_000
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the calibrated model does not call toxic."""
+    small_batches(spark)
     return fit_toxicity(docs, table(spark, sf_dir, "labels")).drop_toxic(docs)
 
 
@@ -35,6 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of rows without an id that are equal in text one stays; repeats of one row with an id, being
     the same document, stay or go together.
     """
+    small_batches(spark)
     firsts = stored(component_firsts(docs).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "alone"))
     rows = docs.select(
         F.struct("*").alias("_row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("_doc"),
@@ -60,6 +62,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def hide_personal_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with pseudonyms; n_chars follows the text."""
+    small_batches(spark)
     hidden = replace_pii(docs, PII_KEY, counts=False)
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -69,6 +72,7 @@ def hide_personal_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
+    small_batches(spark)
     return pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 

@@ -1,6 +1,8 @@
 from collections import Counter
 
 import corpus_pipeline
+import pyarrow as pa
+import pytest
 from catalogia.llm import queries
 from catalogia.llm.common import scratch
 from helpers import awkward, documents, near, prose
@@ -93,3 +95,23 @@ def test_left_out_rows_are_listed_or_joined(spark, monkeypatch):
         monkeypatch.setattr(corpus_pipeline, "LISTED_ROWS", rows)
         kept[rows] = Counter(map(tuple, corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()))
     assert kept[0] == kept[1000] and sum(kept[0].values()) == 6 + 2
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_give_python_small_batches(spark, tmp_path, name):
+    """What a worker holds of a batch is bounded, however long the texts are."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(setting)
+    folder = str(tmp_path)
+    documents(spark, [(0, "few words here"), (1, "and others")]).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, "nothing of that kind")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    try:
+        dict(corpus_pipeline.STAGES)[name](spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        long = spark.range(0, 300, 1, 1).selectExpr("repeat(cast(id % 10 as string), 100000) as text")
+        sizes = [r["n"] for r in long.mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes], "rows": [b.num_rows]}) for b in batches),
+            "n long, rows long").collect()]
+        assert sum(sizes) > 30_000_000 and max(sizes) < 6_000_000
+    finally:
+        spark.conf.unset(setting)
