@@ -27,6 +27,8 @@ BLOCK_BYTES = 256 * 1024
 ROW_GROUP_BYTES = 16 * 1024 * 1024
 # Displacements that are tried at once for a bucket: at first, and at most.
 FIRST_TRIES, MOST_TRIES = 8, 512
+# Buckets that are placed together, and the displacements that are tried for all of them.
+CHUNK_BUCKETS, CHUNK_TRIES = 256, 64
 # Keys of one row of the index.
 INDEX_KEYS = 50_000
 INDEX = "bucket long, displacements binary, fingerprints binary, places binary"
@@ -61,21 +63,24 @@ def perfect_hash(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(buckets, kind="stable")
     starts = np.searchsorted(buckets[order], np.arange(len(displacements) + 1))
     sizes = np.diff(starts)
-    for b in np.argsort(-sizes, kind="stable").tolist():
-        if sizes[b] < 2:
-            break
-        members = order[starts[b]:starts[b + 1]]
-        own, d, tries = hashes[members], 0, FIRST_TRIES
-        while True:
-            # The more slots are taken the more displacements fail: ever more are tried at once.
-            at = np.sort(_slots(own, np.arange(d, d + tries)[:, None], n), axis=1)
-            fits = np.flatnonzero(~taken[at].any(axis=1) & (at[:, 1:] != at[:, :-1]).all(axis=1))
-            if len(fits):
-                d += int(fits[0])
-                break
-            d, tries = d + tries, min(4 * tries, MOST_TRIES)
-        at = _slots(own, np.full(len(own), d), n)
-        displacements[b], slot[members], taken[at] = d, at, True
+    by_size = np.argsort(-sizes, kind="stable")
+    for some in _chunks_of_a_size(by_size[:int((sizes > 1).sum())], sizes):
+        members = order[starts[some][:, None] + np.arange(sizes[some[0]])]
+        # The first displacements of many buckets at once: those that fit now may still do so in turn.
+        tried = _slots(hashes[members][:, None, :], np.arange(CHUNK_TRIES)[:, None], n)
+        at = np.sort(tried, axis=2)
+        fits = ~taken[at].any(axis=2) & (at[:, :, 1:] != at[:, :, :-1]).all(axis=2)
+        rows, fitting = (x.tolist() for x in np.nonzero(fits))
+        firsts = np.searchsorted(rows, np.arange(len(some) + 1)).tolist()
+        for i, b in enumerate(some.tolist()):
+            for d in fitting[firsts[i]:firsts[i + 1]]:
+                chosen = tried[i, d]
+                if not taken[chosen].any():
+                    break
+            else:
+                d = _least_displacement(hashes[members[i]], taken, CHUNK_TRIES)
+                chosen = _slots(hashes[members[i]], np.full(len(members[i]), d), n)
+            displacements[b], slot[members[i]], taken[chosen] = d, chosen, True
     single = np.flatnonzero(sizes == 1)
     free = np.flatnonzero(~taken)[:len(single)]
     members = order[starts[single]]
@@ -83,6 +88,25 @@ def perfect_hash(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return displacements, slot
 
 
+def _chunks_of_a_size(buckets: np.ndarray, sizes: np.ndarray):
+    """Consecutive buckets of one size, at most CHUNK_BUCKETS together."""
+    ends = np.flatnonzero(np.diff(sizes[buckets])) + 1
+    for run in np.split(buckets, ends) if len(buckets) else []:
+        yield from (run[a:a + CHUNK_BUCKETS] for a in range(0, len(run), CHUNK_BUCKETS))
+
+
+def _least_displacement(own: np.ndarray, taken: np.ndarray, d: int) -> int:
+    """The least displacement from ``d`` on that hits free slots only."""
+    tries = FIRST_TRIES
+    while True:
+        # The more slots are taken the more displacements fail: ever more are tried at once.
+        at = np.sort(_slots(own, np.arange(d, d + tries)[:, None], len(taken)), axis=1)
+        fits = np.flatnonzero(~taken[at].any(axis=1) & (at[:, 1:] != at[:, :-1]).all(axis=1))
+        if len(fits):
+            return d + int(fits[0])
+        d, tries = d + tries, min(4 * tries, MOST_TRIES)
+
+
 def _fingerprints(hashes: np.ndarray) -> np.ndarray:
     return (mixed(hashes, 14) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
